@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, mixing, simhash
+from . import decontaminate, linededup, mixing, quality, simhash
 from .common import read
 
 
@@ -14,14 +14,35 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup(read(spark, sf_dir, "pages"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_decontaminate, op4_mix_sources, op10_simhash)}
-
-ORACLE_SQL: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op4_mix_sources": mixing.ORACLE}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        op1_decontaminate,
+        op2_line_dedup,
+        op4_mix_sources,
+        op6_quality_rules,
+        op10_simhash,
+    )
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": decontaminate.ORACLE,
+    "op2_line_dedup": linededup.ORACLE,
+    "op4_mix_sources": mixing.ORACLE,
+}
