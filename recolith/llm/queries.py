@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, mixing, quality, simhash
+from . import decontaminate, linededup, mixing, quality, secrets, simhash, tokencounts, toxicity
 from .common import read
 
 
@@ -18,14 +18,26 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.dedup(read(spark, sf_dir, "pages"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(read(spark, sf_dir, "documents"))
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(read(spark, sf_dir, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.digest(read(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
@@ -35,8 +47,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontaminate,
         op2_line_dedup,
+        op3_secrets,
         op4_mix_sources,
+        op5_toxicity,
         op6_quality_rules,
+        op8_token_counts,
         op10_simhash,
     )
 }
