@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, linededup, mixing, quality, secrets, simhash, tokencounts, toxicity
+from . import archives, decontaminate, linededup, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
 from .common import read
 
 
@@ -34,10 +34,18 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.digest(read(spark, sf_dir, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.digest(read(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.digest(read(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
@@ -51,7 +59,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_mix_sources,
         op5_toxicity,
         op6_quality_rules,
+        op7_token_ids,
         op8_token_counts,
+        op9_warc,
         op10_simhash,
     )
 }
@@ -60,4 +70,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontaminate.ORACLE,
     "op2_line_dedup": linededup.ORACLE,
     "op4_mix_sources": mixing.ORACLE,
+    "op9_warc": archives.ORACLE,
 }
