@@ -70,10 +70,11 @@ class Hasher:
 
     def _grow(self, n: int) -> None:
         if len(self.power) < n:
-            with np.errstate(over="ignore"):
-                n = 1 << n.bit_length()
-                self.power = np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, dtype=np.uint64)]).astype(np.uint64))
-                self.inverse = np.cumprod(np.concatenate([[1], np.full(n - 1, pow(_BASE, -1, 1 << 64), dtype=np.uint64)]).astype(np.uint64))
+            n = 1 << n.bit_length()
+            for name, base in (("power", _BASE), ("inverse", pow(_BASE, -1, 1 << 64))):
+                factors = np.full(n, base, dtype=np.uint64)
+                factors[0] = 1
+                setattr(self, name, np.cumprod(factors))
 
     def parts(self, text: str) -> list[np.ndarray]:
         data = np.frombuffer(text.encode(), dtype=np.uint8)
