@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 HTTP = r"(?i)^https?://[^/?#\s]+"
 
@@ -33,7 +34,7 @@ def without_www(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, "#.*$", ""), r"(?i)^(https?://)www\.", "$1")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def resolve(urls: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     """A link (second) against its page (first)."""
     for base, link in urls:
