@@ -71,7 +71,12 @@ LAYOUTS = (
 
 def fields(pages: DataFrame, id_col: str, aliases: dict[str, str] | None = None) -> DataFrame:
     """id_col, field (normalised name), value: of each field the value of the first layout, and there the first."""
-    every = F.flatten(F.array(*[F.transform(F.regexp_extract_all("html", F.lit(p), F.lit(0)), lambda m, i, n=n, p=p: F.struct(F.lit(n).alias("layout"), i.alias("pos"), F.regexp_extract(m, p, 1).alias("name"), strip_tags(F.regexp_extract(m, p, 2)).alias("value"))) for n, p in enumerate(LAYOUTS)]))
+
+    def layout(n: int, pattern: str) -> Column:
+        found = F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
+        return F.transform(found, lambda m, i: F.struct(F.lit(n).alias("layout"), i.alias("pos"), F.regexp_extract(m, pattern, 1).alias("name"), strip_tags(F.regexp_extract(m, pattern, 2)).alias("value")))
+
+    every = F.flatten(F.array(*[layout(n, p) for n, p in enumerate(LAYOUTS)]))
     name = F.regexp_replace(F.regexp_replace(F.lower(strip_tags(F.col("f.name"))), "[^a-z0-9]+", "_"), "^_|_$", "")
     rows = pages.select(id_col, F.explode(every).alias("f")).select(id_col, name.alias("field"), "f.layout", "f.pos", "f.value").where("value <> '' AND field <> ''")
     if aliases:
