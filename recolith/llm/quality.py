@@ -16,12 +16,12 @@ repeated rows and null ids are scored row by row; an empty table gives none. Oth
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLANKS = " \t\n\x0b\x0c\r"
@@ -112,7 +112,7 @@ class Model:
 
 
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int) -> list:
-    """Rows (label, at, value): sparse features of the bounded sample."""
+    """Rows (label, at, value): sparse features of the bounded sample, as bytes of int32 and float32."""
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where("__id IS NOT NULL")
     each = [known.where(F.col("label") == c).orderBy(F.xxhash64("__id"), "__id").limit(rows_per_class) for c in (0, 1)]
     sample = F.broadcast(each[0].unionByName(each[1]))  # at most 2 * rows_per_class rows
@@ -123,12 +123,12 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
             at, value = [], []
             for t in b.column(1):
                 found = [np.unique(p.astype(np.int64) + i * DIM, return_counts=True) for i, p in enumerate(hasher.parts(t.as_py() or ""))]
-                at.append(np.concatenate([f[0] for f in found]).astype(np.int32))
-                value.append(np.concatenate([f[1] / max(1, f[1].sum()) for f in found]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], names=["label", "at", "value"])
+                at.append(np.concatenate([f[0] for f in found]).astype("<i4").tobytes())
+                value.append(np.concatenate([f[1] / max(1, f[1].sum()) for f in found]).astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["label", "at", "value"])
 
     chosen = docs.join(sample, docs[id_col] == sample["__id"]).select("label", F.col(text_col).cast("string").alias("text"))
-    return sorted(chosen.mapInArrow(run, "label int, at array<int>, value array<float>").collect(), key=lambda r: (r["label"], len(r["at"]), r["at"][:8]))
+    return sorted(chosen.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
 
 
 def fit(rows: list, rounds: int = 200, rate: float = 1.0, decay: float = 1e-6) -> Model:
@@ -138,8 +138,8 @@ def fit(rows: list, rounds: int = 200, rate: float = 1.0, decay: float = 1e-6) -
         share = y_all.mean() if len(y_all) else 1.0
         return Model(weights.reshape(3, DIM), 0.0, 0.0, float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6)))))
     apart = np.arange(len(rows)) % 5 == 4
-    at = [np.array(r["at"], dtype=np.int64) for r in rows]
-    value = [np.array(r["value"]) for r in rows]
+    at = [np.frombuffer(r["at"], dtype="<i4") for r in rows]
+    value = [np.frombuffer(r["value"], dtype="<f4") for r in rows]
 
     def flat(keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         own = np.flatnonzero(keep)
@@ -184,32 +184,34 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean"
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, carry: tuple[str, ...] = ()) -> DataFrame:
-    """id_col, SCORES, and the columns ``carry``, each under its name with ``__carry_`` in front."""
+def scorer(model: Model, threshold: float = THRESHOLD) -> Callable[[Column], Column]:
+    """Text to a struct of SCORES. An Arrow function of the text alone: no other column of a row passes through Python."""
+    names, kinds = [x.split()[0] for x in SCORES.split(", ")], [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         hasher = Hasher()
-        for b in batches:
+        for texts in batches:
             rows = []
-            for t in b.column(1):
+            for t in texts:
                 text = t.as_py() or ""
                 base = base_statistics(text)
                 failed = base[0] < MIN_WORDS or 100 * base[4] > MOST_REPEATED * base[0]
                 p = model.probability(hasher.parts(text))
                 rows.append((*base, failed, p, not failed and p >= threshold))
-            kinds = [pa.int64()] * 5 + [pa.bool_(), pa.float64(), pa.bool_()]
-            made = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([b.column(0), *made, *b.columns[2:]], names=[id_col, *(x.split()[0] for x in SCORES.split(", ")), *b.schema.names[2:]])
+            yield pa.StructArray.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+    return F.arrow_udf(run, "struct<" + SCORES.replace(" ", ":").replace(",:", ",") + ">")
+
 
-    rows = docs.select(id_col, F.col(text_col).cast("string").alias("__text"), *[F.col(c).alias(f"__carry_{c}") for c in carry])
-    schema = ", ".join([f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}", SCORES, *(f"`__carry_{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)])
-    return rows.mapInArrow(run, schema)
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """id_col and SCORES."""
+    return docs.select(id_col, scorer(model, threshold)(F.col(text_col).cast("string")).alias("__s")).select(id_col, "__s.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that pass; columns as they were."""
-    scored = score(docs, train(docs, labels, id_col, text_col, label_col), id_col, text_col, threshold, tuple(docs.columns))
-    return scored.where("kept").select(*[F.col(f"__carry_{c}").alias(c) for c in docs.columns])
+    verdict = scorer(train(docs, labels, id_col, text_col, label_col), threshold)(F.col(text_col).cast("string"))
+    return docs.where(verdict["kept"])
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
