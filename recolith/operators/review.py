@@ -139,3 +139,30 @@ def inbox(items: DataFrame, status: str | None = None, queues: tuple[str, ...] =
 def superseded(items: DataFrame, suppressed: DataFrame) -> DataFrame:
     """item_id and revision_id of items (item_id, ids) that keep apart an entry that a revision (revision_id, target_id) suppresses."""
     return items.select("item_id", F.explode("ids").alias("target_id")).join(suppressed, "target_id").select("item_id", "revision_id").distinct()
+
+
+def revised(items: DataFrame, tracked: DataFrame, drafted: DataFrame, broad: DataFrame | None = None) -> DataFrame:
+    """Items with their status after revisions: applied if a tracked one matches, else drafted if a draft does; what is applied
+    blocks nothing. ``tracked`` and ``drafted``: item_id and revision_id (``revisions.item_revisions``). Items of ``broad`` (item_id:
+    shared directory pages) are never applied and block no release."""
+    flag = lambda rows, name: rows.select(F.col("item_id").alias("id")).distinct().withColumn(name, F.lit(True))
+    none = items.select(F.col("id").alias("item_id")).limit(0)
+    rows = items.join(flag(tracked, "__applied"), "id", "left").join(flag(drafted, "__drafted"), "id", "left").join(flag(none if broad is None else broad, "__broad"), "id", "left").na.fill(False, ["__applied", "__drafted", "__broad"])
+    applied = F.col("__applied") & ~F.col("__broad")
+    changed = {
+        "status": F.when(applied, "applied").when(F.col("__drafted"), "drafted").otherwise("open"),
+        "blocks_state": F.col("blocks_state") & ~applied,
+        "blocks_release": F.col("blocks_release") & ~applied & ~F.col("__broad"),
+    }
+    return rows.select(*[changed.get(c, F.col(c)).alias(c) for c in items.columns])
+
+
+def stale_packets(rows: DataFrame, source: str, weak_keys: tuple[str, ...] = ("description", "shortName", "sourceOpenDcSlug", "sourceOpenDcUrl")) -> DataFrame:
+    """reason and match_key of blocks of members (``candidates.members``) that all come from the source, where some member
+    is weak (no relations, weak attributes alone, at most a boilerplate description) and another has substance."""
+    keys = F.map_keys("attributes")
+    boilerplate = F.coalesce(F.try_element_at("attributes", F.lit("description")), F.lit('"report website problems to:"')).rlike(r'(?i)^"\s*(?:report website problems to:|this website requires a browser feature called javascript)')
+    weak = ~F.col("related") & F.forall(keys, lambda k: k.isin(*weak_keys)) & boilerplate
+    substance = F.col("related") | F.exists(keys, lambda k: k.rlike("(?i)^(?:enabling|legal)")) | F.coalesce(F.try_element_at("attributes", F.lit("officialUrl")).startswith('"'), F.lit(False))
+    heads = rows.groupBy("reason", "match_key").agg(F.bool_and(F.array_contains("sources", source)).alias("own"), F.bool_or(weak).alias("weak"), F.bool_or(~weak & substance).alias("substance"))
+    return heads.where("own AND weak AND substance").select("reason", "match_key")
