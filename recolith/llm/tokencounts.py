@@ -1,12 +1,12 @@
 """Token counts from distinct pre-tokens: pieces are counted once for each, and documents sum them.
 
-A pre-token here is a run of text between blanks (20, 09-0D), in ASCII lower case, with one comma or full stop
-at its end apart: places where the tokenizer splits whatever stands around, so that the counts
-of a text's pre-tokens add up to the text's. (Its normaliser is NFC, blanks and lower case; NFC
-does not reach across a blank or an ASCII letter and a full stop.) Texts that hold a special string's opening are
-given to the library whole.
+A pre-token here is a run of text between blanks (20, 09-0D), in ASCII lower case, with the ASCII signs
+at its end apart: places where the tokenizer splits whatever stands around,
+so that the counts of a text's pre-tokens add up to the text's. (Its normaliser is NFC, blanks and lower case; NFC
+does not reach across a blank or a sign.) Texts that hold a special string's opening are given to the library whole. Pre-tokens of lower-case letters alone go to the library's model directly, after a
+check on the tokenizer at hand that this gives the same ids.
 
-Each task joins in Arrow batches: the distinct pre-tokens of the batch that it has not met go to the library
+Each task joins in Arrow batches: the distinct pre-tokens of the batch that its worker has not met go to the library
 together, their piece counts into a dictionary of at most ``CACHE`` entries, and each document sums the dictionary
 over its pre-tokens. No ids are kept and nothing is shuffled; a join of all documents' pre-token frequencies with one global
 dictionary gives the same and moves more bytes than the texts have.
@@ -19,7 +19,10 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any
 
 import pyarrow as pa
@@ -28,12 +31,21 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER
 
-#: Most pre-tokens that a task keeps; those met later are counted again in each batch.
-CACHE = 400_000
+#: Most pre-tokens that a worker keeps, some 200 bytes each; those met later are counted again in each batch.
+CACHE = 1_000_000
 LIMIT = 2048
 SPECIAL = b"<|"
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
-_MARK = re.compile(rb"(?<=[a-z])(?=[.,](?:[\x20\x09-\x0D]|$))")
+# ASCII signs, and Latin-1 letters in UTF-8.
+_SIGN, _LATIN = rb"!-/:-@\[-`{-~", rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+#: A run of signs up to a blank or the end, unless a byte beyond ASCII stands before it that is no Latin-1 letter's.
+_MARK = re.compile(rb"[" + _SIGN + rb"](?:(?<![\x80-\xff" + _SIGN + rb"].)|(?<=" + _LATIN + rb".))[" + _SIGN + rb"]*(?=[\x20\x09-\x0D]|$)")
+
+#: One run of lower-case letters of ASCII and Latin-1: a single pre-token that no normaliser changes.
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Byte-level alphabet: bytes that print stand for themselves, the others, in order, for characters from 256 on.
+_BYTES = {b: 256 + i for i, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD])}
+_PROBES = "a there disestablishment été größe ñandú straße ÿ".split()
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -45,7 +57,7 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def pre_tokens(text: str) -> list[bytes] | None:
     """None where the text must be taken whole."""
     data = text.encode()
-    return None if SPECIAL in data else _MARK.sub(b" ", data.translate(_LOWERED)).split()
+    return None if SPECIAL in data else _MARK.sub(rb" \g<0>", data.translate(_LOWERED)).split()
 
 
 class Pieces:
@@ -59,29 +71,53 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, Any] = {}
+        self.model = self.tokenizer.model
+        whole = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in _PROBES]
+        self.direct = all(self.ids_of(w.encode()) == ids for w, ids in zip(_PROBES, whole, strict=True))
+
+    def ids_of(self, word: bytes) -> list[int]:
+        """Of a single pre-token: from the library's model, without its normaliser and splitter."""
+        text = word.decode("latin-1")
+        return [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(_BYTES))]
+
+    def made(self, words: list[bytes]) -> dict[bytes, Any]:
+        """Values of pre-tokens that aren't known yet."""
+        out = {w: self.value(self.ids_of(w)) for w in words if self.direct and _LETTERS.fullmatch(w)}
+        rest = [w for w in words if w not in out]
+        encoded = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+        return out | dict(zip(rest, (self.value(e.ids) for e in encoded), strict=True))
+
+    @classmethod
+    def of_worker(cls, path: str, name: str, value: Any) -> Pieces:
+        """The Python worker's own, under the path and ``name`` of the value: tasks that follow each other share it."""
+        kept = sys.modules.setdefault("_recolith_worker", types.ModuleType("_recolith_worker")).__dict__
+        key = f"{name}:{path}"
+        if key not in kept:
+            kept[key] = cls(path, value)
+        return kept[key]
 
     def whole(self, text: str) -> Any:
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def look_up(self, texts: list[list[bytes] | None]) -> dict[bytes, Any]:
-        """A dictionary that holds every pre-token of the texts."""
-        new = list({w for t in texts if t for w in t if w not in self.known})
-        found = dict(zip(new, (self.value(e.ids) for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)), strict=True))
-        if len(self.known) + len(found) <= self.most:
-            self.known |= found
-            return self.known
-        return Both(self.known, found)
-
-
-class Both(dict):
-    """``second`` behind ``first``, without a copy."""
-
-    def __init__(self, first: dict, second: dict) -> None:
-        super().__init__(second)
-        self.first = first
-
-    def __missing__(self, key: bytes) -> Any:
-        return self.first[key]
+    def of_texts(self, texts: list[str]) -> Iterator[list]:
+        """The values of each text's pre-tokens, in order."""
+        parts = [pre_tokens(t) for t in texts]
+        words = list(chain.from_iterable(p for p in parts if p))
+        found = list(map(self.known.get, words))
+        missing = [i for i, v in enumerate(found) if v is None]
+        if missing:
+            made = self.made(list({words[i] for i in missing}))
+            for i in missing:
+                found[i] = made[words[i]]
+            if len(self.known) + len(made) <= self.most:
+                self.known |= made
+        at = 0
+        for t, p in zip(texts, parts, strict=True):
+            if p is None:
+                yield [self.whole(t)]
+            else:
+                yield found[at : at + len(p)]
+                at += len(p)
 
 
 def batches_of(texts: pa.Array, size: int = 256) -> Iterator[list[str]]:
@@ -95,13 +131,11 @@ def counts(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     path = path or vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(path, len)
+        pieces = Pieces.of_worker(path, "counts", len)
         for b in batches:
             n_bytes, n_tokens = [], []
             for texts in batches_of(b.column(1)):
-                parts = [pre_tokens(t) for t in texts]
-                known = pieces.look_up(parts)
-                n_tokens += [pieces.whole(t) if p is None else sum(map(known.__getitem__, p)) for t, p in zip(texts, parts, strict=True)]
+                n_tokens += map(sum, pieces.of_texts(texts))
                 n_bytes += [len(t.encode()) for t in texts]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())], names=[id_col, "n_bytes", "n_tokens"])
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 from typing import Any
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from . import files
 from .common import fresh_path
-from .tokencounts import Pieces, batches_of, pre_tokens, vocabulary
+from .tokencounts import Pieces, batches_of, vocabulary
 
 MAGIC = b"S8BT0001"
 #: magic, documents, ids, blocks, words, escapes, crc32.
@@ -57,10 +58,16 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bits = np.frexp(table.astype(np.float64))[1].astype(np.int8)  # bit length; floats round up at most
     bits = np.where(table < np.uint64(1) << np.uint64(50), bits, 60).astype(np.int8)
     bits[escaped] = 61
-    # the widest of the ids in [i, i + count), zeros behind the block
+    # the widest of the ids in [i, i + count), zeros behind the block; each count builds on the one below
     choice = np.full((blocks, BLOCK), ESCAPE, dtype=np.int8)
+    widest, have = bits, 1
     for s in range(ESCAPE - 1, -1, -1):
-        choice[_widest(bits, int(COUNTS[s])) <= WIDTHS[s]] = s
+        while have < COUNTS[s]:
+            step = min(have, int(COUNTS[s]) - have)
+            ahead = widest[:, step:].copy()
+            np.maximum(widest[:, :-step], ahead, out=widest[:, :-step])
+            have += step
+        np.putmask(choice, widest <= WIDTHS[s], s)
     number = np.cumsum(escaped.ravel()) - 1
     value = np.where(escaped.ravel(), number, table.ravel().view(np.int64)).astype(np.uint64)
     at, row, order, place, words = np.zeros(blocks, dtype=np.int64), np.arange(blocks), [], [], []
@@ -90,17 +97,6 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (np.cumsum(per_block) - per_block).astype(np.uint32), np.concatenate(words)[sort], escapes
 
 
-def _widest(bits: np.ndarray, count: int) -> np.ndarray:
-    """Maximum over the next ``count`` columns, by doubling."""
-    out, have = bits, 1
-    while have < count:
-        step = min(have, count - have)
-        moved = np.zeros_like(out)
-        moved[:, :-step] = out[:, step:] if step < out.shape[1] else 0
-        out, have = np.maximum(out, moved), have + step
-    return out
-
-
 def decode(offsets: np.ndarray, words: np.ndarray, escapes: np.ndarray, n: int) -> np.ndarray:
     """The n ids."""
     sel = (words & np.uint64(15)).astype(np.int64)
@@ -153,7 +149,7 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        pieces = Pieces(path, lambda ids: np.array(ids, dtype="<u4").tobytes())
+        pieces = Pieces.of_worker(path, "ids", lambda ids: array("I", ids).tobytes())
         end = np.array([end_id], dtype="<u4").tobytes()
         part, name = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.s8b"
         out, total_docs, total = None, 0, 0
@@ -173,10 +169,8 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
         for b in batches:
             known_ids = iter(b.column(0).to_pylist())
             for texts in batches_of(b.column(1)):
-                parts = [pre_tokens(t) for t in texts]
-                known = pieces.look_up(parts)
-                for t, p in zip(texts, parts, strict=True):
-                    found = (pieces.whole(t) if p is None else b"".join(map(known.__getitem__, p))) + end
+                for values in pieces.of_texts(texts):
+                    found = b"".join(values) + end
                     ids.append(next(known_ids))
                     tokens.append(found)
                     held += len(found) // 4
