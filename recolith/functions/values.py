@@ -102,3 +102,14 @@ def release_status(inventory: Column, citations: Column, snapshots: Column, reco
     count = lambda c: F.coalesce(c, F.lit(0))
     exported = F.when(F.coalesce(inventory, F.lit(False)), "inventory_only").when(count(citations) > 0, "exported")
     return exported.when(count(records) > 0, "collected_not_exported").when(count(snapshots) > 0, "collected_empty").otherwise("not_collected")
+
+
+def first_attribute(attributes: Column, *names: str) -> Column:
+    """The text of the first attribute that has one."""
+    return F.coalesce(*[attribute_text(F.try_element_at(attributes, F.lit(n))) for n in names])
+
+
+def citation_row(c: Column) -> Column:
+    """A citation as texts, '' for what it lacks: status cited or uncited, and its parts."""
+    part = lambda name: F.coalesce(c[name], F.lit("")).alias(name)
+    return F.struct(F.when(c["source"].isNotNull(), "cited").otherwise("uncited").alias("status"), part("source"), part("source_record_id"), part("locator"), part("url"), part("reason"))

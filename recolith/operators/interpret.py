@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import candidate_names, civic_slug, lookup_key, member_title
+from ..functions.text import candidate_names, civic_slug, classify, lookup_key, member_title
 from ..functions.values import cite, is_object, json_string, quoted
 from ..model import FINDING
+from .candidates import stale_duplicates
 
 
 def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -124,3 +125,31 @@ def legal_artifacts(rows: DataFrame, authority: Column, rejected: Column) -> tup
     found = with_authority.where("a IS NOT NULL")
     entries = found.groupBy("a.authority_type", "a.canonical_url").agg(F.min("a.id").alias("id"), F.min("a.locator").alias("locator"))
     return entries.select("id", "locator", "authority_type", "canonical_url"), found.select(F.col("id").alias("from_id"), F.lit("authorized_by").alias("kind"), F.col("a.id").alias("to_id")).distinct(), with_authority.where("a IS NULL AND NOT rejected").select("id", "locator")
+
+
+def public_bodies(rows: DataFrame, trusted: DataFrame, rules: list[tuple[str, str]], corrections: dict[str, str] | None = None, excluded: tuple[str, ...] = ()) -> DataFrame:
+    """Bodies (slug, name, substantive) with kind, id, shadow and stale. The kind is by words of the name, or corrected by slug; a trusted
+    entry (kind, name, id, seq) of the same kind and name gives its id, the first one; else it is the kind's with the slug.
+    Of bodies that share a name those without substance are stale if another has some."""
+    kind = classify(F.col("name"), rules, "public_body")
+    if corrections:
+        kind = F.coalesce(F.create_map(*[F.lit(x) for kv in corrections.items() for x in kv])[F.col("slug")], kind)
+    kept = rows.where(~F.col("slug").isin(*excluded)) if excluded else rows
+    known = trusted.groupBy(F.col("kind").alias("__kind"), lookup_key(F.col("name")).alias("__key")).agg(F.min_by("id", "seq").alias("__id"))
+    typed = kept.withColumn("kind", kind).withColumn("__k", lookup_key(F.col("name")))
+    joined = typed.join(known, (typed["kind"] == known["__kind"]) & (typed["__k"] == known["__key"]), "left")
+    named = joined.select(*rows.columns, "kind", F.coalesce("__id", F.concat_ws(":", "kind", "slug")).alias("id"), F.col("__id").isNotNull().alias("shadow"))
+    return stale_duplicates(named, lookup_key(F.col("name")), F.col("substantive"))
+
+
+def deferred_ids(rows: DataFrame, ref: str) -> tuple[DataFrame, DataFrame]:
+    """Rows with plain ids, and those with a slash, which wait for review."""
+    slashed = F.contains(ref, F.lit("/"))
+    return rows.where(~slashed), rows.where(slashed)
+
+
+def office_edges(offices: DataFrame, by_key: DataFrame, by_name: DataFrame) -> DataFrame:
+    """from_id, kind and to_id of offices (id, parent_key, relation_kind, agency): to the parent of that key, and to the agency of that name."""
+    up = offices.where("parent_key IS NOT NULL").join(by_key.select(F.col("key").alias("parent_key"), F.col("id").alias("to_id")), "parent_key").select(F.col("id").alias("from_id"), F.coalesce("relation_kind", F.lit("reports_to")).alias("kind"), "to_id")
+    named = offices.withColumn("key", lookup_key(F.col("agency"))).join(by_name.select("key", F.col("id").alias("to_id")), "key").select(F.col("id").alias("from_id"), F.lit("part_of").alias("kind"), "to_id")
+    return up.unionByName(named).where("from_id <> to_id").distinct()

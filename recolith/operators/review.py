@@ -166,3 +166,10 @@ def stale_packets(rows: DataFrame, source: str, weak_keys: tuple[str, ...] = ("d
     substance = F.col("related") | F.exists(keys, lambda k: k.rlike("(?i)^(?:enabling|legal)")) | F.coalesce(F.try_element_at("attributes", F.lit("officialUrl")).startswith('"'), F.lit(False))
     heads = rows.groupBy("reason", "match_key").agg(F.bool_and(F.array_contains("sources", source)).alias("own"), F.bool_or(weak).alias("weak"), F.bool_or(~weak & substance).alias("substance"))
     return heads.where("own AND weak AND substance").select("reason", "match_key")
+
+
+def item_records(items: DataFrame, records: DataFrame) -> DataFrame:
+    """Records that items cite: ``items`` have item_id and citations; found tells whether the record is there."""
+    cited = items.select("item_id", F.explode("citations").alias("c")).where("c.source IS NOT NULL").select("item_id", F.col("c.source").alias("source"), F.col("c.source_record_id").alias("key")).distinct()
+    rows = records.select("source", "key", "payload", F.lit(True).alias("found"))
+    return cited.join(rows, ["source", "key"], "left").na.fill(False, ["found"])

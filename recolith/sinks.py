@@ -126,3 +126,19 @@ def verify_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
     both = expected.withColumnsRenamed({"bytes": "b", "sha256": "s"}).join(actual, "name", "full_outer")
     problem = F.when(F.col("bytes").isNull(), "missing").when(F.col("b").isNull(), "unexpected").when(~F.col("s").eqNullSafe(F.col("sha256")), "changed")
     return both.select("name", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], views: dict[str, str] | None = None) -> None:
+    """Tables as Parquet under a path, swapped in together, after their primary keys are checked; ``views`` are further names of tables."""
+    spark = next(iter(tables.values())).sparkSession
+    for name, key in keys.items():
+        if not tables[name].groupBy(*key).count().where("count > 1").isEmpty():
+            raise ValueError(f"{name}: {', '.join(key)} is no key")
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    for name, df in tables.items():
+        blank_nulls(df).write.parquet(f"{staged}/{name}")
+    swap(spark, staged, path)
+    for name in tables:
+        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(name)
+    for view, name in (views or {}).items():
+        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(view)

@@ -108,3 +108,20 @@ def evidence(fragments: DataFrame, labels: list[str], text: str = "text") -> Dat
     longest = F.array_max(F.transform(fits, lambda x: F.struct(F.length(x).alias("n"), x.alias("label"))))["label"]
     rows = fragments.withColumn("label", longest).where("label IS NOT NULL")
     return rows.groupBy("label").agg(F.min_by(text, F.struct((-F.length(text)).alias("n"), F.col(text))).alias(text), F.array_sort(F.collect_set("url")).alias("urls"))
+
+
+def committee_pages(pages: DataFrame, id_col: str, person: str = "/councilmembers/") -> DataFrame:
+    """id_col, name (first heading), type, chair and members (structs of name and url, distinct by url, in order of the page)
+    of committee pages. The first person's link after the word chair is the chair's."""
+    link = rf'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*{person}[^"]*)"[^>]*>(.*?)</a>'
+    people = F.transform(F.regexp_extract_all("html", F.lit(link), F.lit(0)), lambda t: F.struct(strip_tags(F.regexp_extract(t, link, 2)).alias("name"), F.regexp_extract(t, link, 1).alias("url")))
+    first = F.filter(people, lambda p, i: ~F.exists(F.slice(people, 1, i), lambda q: q["url"] == p["url"]))
+    after = F.regexp_extract("html", r"(?is)\bchair(?:person|man|woman)?\b(.*)$", 1)
+    chair = F.regexp_extract(after, link, 1)
+    name = heading_of(F.col("html"))
+    return pages.select(id_col, name.alias("name"), F.when(F.lower(name).startswith("sub"), "subcommittee").otherwise("committee").alias("type"), F.when(chair != "", chair).alias("chair"), first.alias("members"))
+
+
+def grouped_values(rows: DataFrame, key: str) -> DataFrame:
+    """key and the distinct values of ``headed_links`` rows, sorted: the wards of a commission, say."""
+    return rows.groupBy(key).agg(F.array_sort(F.collect_set("value")).alias("values"))
