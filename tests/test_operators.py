@@ -296,6 +296,13 @@ def test_state_files_and_sinks(spark, tmp_path):
     assert sinks.content_fingerprint(first).first() == sinks.content_fingerprint(first.repartition(3)).first() != sinks.content_fingerprint(first.limit(1)).first()
 
 
+def test_records_of_known_snapshots(spark):
+    records = spark.createDataFrame([("s", "k", "1", "{}"), ("s", "gone", "2", "{}"), ("t", "k", "3", "[1]")], model.RECORD)
+    snapshots = spark.createDataFrame([("s", "k", "{}"), ("t", "k", "{}")], model.SNAPSHOT)
+    assert {(r["key"], r["object"]) for r in st.load_records(records, snapshots).collect()} == {("1", True), ("3", False)}
+    assert st.load_records(records, snapshots, "t").count() == 1
+
+
 def test_release_and_tampering(spark):
     entries = spark.createDataFrame([entry("b:1"), entry("a:1", "agency")], model.ENTRY)
     relations = spark.createDataFrame([{"from_id": "b:1", "kind": "governs", "to_id": "a:1", "citations": []}, {"from_id": "a:1", "kind": "governs", "to_id": "b:1", "citations": []}], model.RELATION)
