@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import materialise, small_side
+from .common import materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hash buckets in a size class of a source: the rows of a window are those of the source's size class divided by this.
@@ -85,7 +85,8 @@ def copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1
     place = W.partitionBy("__null", "__source", "__class", "__sub").orderBy("size", "__h", "doc_id")
     keyed = lambda df: df.withColumn("__null", F.col("source").isNull()).withColumn("__source", F.coalesce("source", F.lit("")))
     numbered = keyed(rows).withColumn("__i", F.row_number().over(place))
-    joined = numbered.join(small_side(keyed(starts).drop("source")), ["__null", "__source", "__class", "__sub"])
+    # the windows have dealt and sorted the rows by these keys already, so only the starts move
+    joined = numbered.join(keyed(starts).drop("source"), ["__null", "__source", "__class", "__sub"])
     offset = unit(F.concat(F.lit(f"{seed}:"), F.col("__source"), F.lit(":"), F.col("__null").cast("string")))
     k = F.col("before") + F.col("__i")
     crossed = F.floor(offset + F.col("rate") * k) - F.floor(offset + F.col("rate") * (k - 1))
