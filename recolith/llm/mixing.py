@@ -12,7 +12,7 @@ bucket, and the bucket counts alone, at most ``SUB`` per size class, are summed
 Sources are one row each; only that table of sources is sorted as a whole.
 
 Defined cases: null texts have size 0 (taken counts 0 words); a null source is a source of
-its own, last; rows that repeat an id are each a document; sources without words have target 0
+its own, last; rows that repeat an id are each a document, in order of size, id and a hash of the text; sources without words have target 0
 and take nothing; an empty table gives none. Other columns play no part.
 """
 
@@ -70,7 +70,7 @@ def targets(sources: DataFrame, weights: Sequence[int], share: float, most: floa
 
 def copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: Sequence[str] = ()) -> DataFrame:
     """doc_id, source, size, source_size, target and copies (how often the mix takes the document), and the columns ``keep``, each under its name with ``__keep_`` in front."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("__h"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("__h"), F.xxhash64(F.col(text_col)).alias("__t"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
     # quarter powers of two; the hash spreads what is equal
     rows = rows.withColumn("__class", F.floor(F.log2(F.col("size") + 1) * 4).cast("int")).withColumn("__sub", F.conv(F.substring("__h", 1, 4), 16, 10).cast("int") % SUB)
     buckets = materialise(rows.groupBy("source", "__class", "__sub").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-buckets")
@@ -82,7 +82,7 @@ def copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1
     starts = _null_safe(starts, classes, "source", "__class")
     starts = materialise(_null_safe(starts, materialise(rates, "mix-rates"), "source").withColumn("before", F.col("class_before") + F.col("sub_before")).drop("class_before", "sub_before"), "mix-starts")
     # nulls become an empty key beside a flag, so that the join is on plain equality
-    place = W.partitionBy("__null", "__source", "__class", "__sub").orderBy("size", "__h", "doc_id")
+    place = W.partitionBy("__null", "__source", "__class", "__sub").orderBy("size", "__h", "doc_id", "__t")
     keyed = lambda df: df.withColumn("__null", F.col("source").isNull()).withColumn("__source", F.coalesce("source", F.lit("")))
     numbered = keyed(rows).withColumn("__i", F.row_number().over(place))
     # the windows have dealt and sorted the rows by these keys already, so only the starts move
