@@ -7,7 +7,8 @@ one codegen stage. A window can only match where its longest word stands, so a
 position goes on only if its word is the longest word of some benchmark window
 (a second broadcast table); for those the window's hash is looked up in the hash
 set and the words compared. What is left, hits alone, is aggregated by document;
-texts are never shuffled.
+texts are never shuffled. A benchmark of more windows than may be broadcast is joined by a shuffle of all
+windows of the documents on their hashes.
 
 Defined cases: null and empty texts have no words and are never contaminated; rows that
 share a document id are judged together as one document (``n_words`` is the longest
@@ -60,20 +61,15 @@ def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str
 def hits(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per document, id_col, n_words, spans (array of start word and length, from 1) and items."""
     windows = materialise(windows, "bench-windows")
-    anchors = materialise(windows.groupBy("anchor").agg(F.collect_set(F.struct("off", "k")).alias("offs")), "bench-anchors")
-    windows = small_side(windows.select("hash", F.col("win").alias("bench_win"), "items"), broadcast_rows)
-    anchors = small_side(anchors, broadcast_rows)
+    rows = docs.select(F.col(id_col).alias("__id"), words(F.col(text_col)).alias("w"))
+    table = windows.select("hash", F.col("win").alias("bench_win"), "items")
+    few = windows.count() <= broadcast_rows
+    started = _at_anchors(rows, materialise(windows.groupBy("anchor").agg(F.collect_set(F.struct("off", "k")).alias("offs")), "bench-anchors")) if few else _everywhere(rows, windows)
     found = (
-        docs.select(F.col(id_col).alias("__id"), words(F.col(text_col)).alias("w"))
-        # the empty word in front is an anchor of its own, so that documents without hits stay too
-        .select("__id", "w", F.posexplode(F.concat(F.array(F.lit("")), F.col("w"))).alias("p", "word"))
-        .join(anchors, F.col("word") == F.col("anchor"))
-        .select("__id", "w", "p", F.explode("offs").alias("o"))
-        .select("__id", "w", (F.col("p") - F.col("o.off")).alias("start"), F.col("o.k").alias("k"))
-        .where("k = 0 OR (start >= 1 AND start + k - 1 <= size(w))")
+        started.where("k = 0 OR (start >= 1 AND start + k - 1 <= size(w))")
         .select("__id", F.size("w").alias("n"), "start", "k", F.expr("slice(w, greatest(start, 1), k)").alias("win"))
         .withColumn("hash", F.xxhash64("win"))
-        .join(windows, "hash")
+        .join(F.broadcast(table) if few else table, "hash")
         .where("win = bench_win")
     )
     return found.groupBy(F.col("__id").alias(id_col)).agg(
@@ -83,6 +79,24 @@ def hits(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
     )
 
 
+def _at_anchors(rows: DataFrame, anchors: DataFrame) -> DataFrame:
+    """__id, w, start, k: windows to look up, from the places of anchors. There are no more anchors than windows, so they are broadcast too."""
+    return (
+        # the empty word in front is an anchor of its own, so that documents without hits stay too
+        rows.select("__id", "w", F.posexplode(F.concat(F.array(F.lit("")), F.col("w"))).alias("p", "word"))
+        .join(F.broadcast(anchors), F.col("word") == F.col("anchor"))
+        .select("__id", "w", "p", F.explode("offs").alias("o"))
+        .select("__id", "w", (F.col("p") - F.col("o.off")).alias("start"), F.col("o.k").alias("k"))
+    )
+
+
+def _everywhere(rows: DataFrame, windows: DataFrame) -> DataFrame:
+    """The same for a benchmark that is too large to broadcast: every window of each length that it has. Only a window's own words go on to the shuffle."""
+    ks = F.array(*[F.lit(r["k"]) for r in windows.select("k").distinct().collect()])  # lengths, 13 at most and the mark
+    starts = F.when(F.col("k") == 0, F.array(F.lit(0))).when(F.size("w") >= F.col("k"), F.sequence(F.lit(1), F.size("w") - F.col("k") + 1))
+    return rows.select("__id", "w", F.explode(ks).alias("k")).select("__id", "w", "k", F.explode(starts).alias("start"))
+
+
 def judge(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", window: int = WINDOW, one_in: int = 20) -> DataFrame:
     """``hits`` with hit_words (the places that windows cover) and contaminated: some word is hit,
     and at least one word in ``one_in``."""
