@@ -32,7 +32,7 @@ DIM = 1 << DIM_BITS
 MIN_WORDS, MOST_REPEATED, REPEAT_WINDOW = 10, 20, 5
 #: A text stays if its probability of good quality is at least this.
 THRESHOLD = 0.3
-ROWS_PER_CLASS = 3000
+ROWS_PER_CLASS = 2000
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -131,34 +131,49 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
     return sorted(chosen.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
 
 
-def fit(rows: list, rounds: int = 200, rate: float = 1.0, decay: float = 1e-6) -> Model:
-    """Adam over all rows at once, then Platt's calibration on every fifth of them."""
-    weights, y_all = np.zeros(3 * DIM), np.array([r["label"] for r in rows], dtype=float)
-    if len(set(y_all)) < 2:
-        share = y_all.mean() if len(y_all) else 1.0
-        return Model(weights.reshape(3, DIM), 0.0, 0.0, float(np.log(np.clip(share, 1e-6, 1 - 1e-6) / (1 - np.clip(share, 1e-6, 1 - 1e-6)))))
-    apart = np.arange(len(rows)) % 5 == 4
-    at = [np.frombuffer(r["at"], dtype="<i4") for r in rows]
-    value = [np.frombuffer(r["value"], dtype="<f4") for r in rows]
+#: Rows whose features are worked on at a time.
+CHUNK = 256
+
+
+def chunks(rows: list) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Buckets, values and numbers of features of runs of rows."""
+    out = []
+    for i in range(0, len(rows), CHUNK):
+        at, value = ([np.frombuffer(r[c], dtype=kind) for r in rows[i : i + CHUNK]] for c, kind in (("at", "<i4"), ("value", "<f4")))
+        out.append((np.concatenate(at), np.concatenate(value), np.array([len(a) for a in at])))
+    return out
 
-    def flat(keep: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        own = np.flatnonzero(keep)
-        return np.concatenate([at[i] for i in own]), np.concatenate([value[i] for i in own]), np.repeat(np.arange(len(own)), [len(at[i]) for i in own]), y_all[own]
 
-    a, v, row, y = flat(~apart)
+def logits(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], weights: np.ndarray, bias: float) -> np.ndarray:
+    return bias + np.concatenate([np.add.reduceat(v * weights[a], np.cumsum(n) - n) for a, v, n in parts])
+
+
+def fit(rows: list, rounds: int = 150, rate: float = 1.0, decay: float = 1e-6) -> Model:
+    """Adam over all rows with features at once, then Platt's calibration on every fifth of them."""
+    rows = [r for r in rows if len(r["at"])]
+    weights, y_all = np.zeros(3 * DIM, dtype=np.float32), np.array([r["label"] for r in rows], dtype=float)
+    if len(set(y_all)) < 2:
+        share = float(np.clip(y_all.mean() if len(y_all) else 1.0, 1e-6, 1 - 1e-6))
+        return Model(weights.reshape(3, DIM), 0.0, 0.0, float(np.log(share / (1 - share))))
+    apart = np.arange(len(rows)) % 5 == 4
+    parts, y = chunks([r for r, out in zip(rows, apart, strict=True) if not out]), y_all[~apart]
     balance = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean())) / len(y)
     bias = 0.0
     m, s, mb, sb = np.zeros_like(weights), np.zeros_like(weights), 0.0, 0.0
     for k in range(1, rounds + 1):
-        z = bias + np.bincount(row, v * weights[a], minlength=len(y))
-        g = (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) * balance
-        grad, gb = np.bincount(a, v * g[row], minlength=len(weights)) + decay * weights, g.sum()
+        g = ((1 / (1 + np.exp(-np.clip(logits(parts, weights, bias), -50, 50))) - y) * balance).astype(np.float32)
+        grad, row = decay * weights, 0
+        for a, v, n in parts:
+            grad += np.bincount(a, v * np.repeat(g[row : row + len(n)], n), minlength=len(weights)).astype(np.float32)
+            row += len(n)
+        gb = float(g.sum())
         m, s, mb, sb = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad**2, 0.9 * mb + 0.1 * gb, 0.99 * sb + 0.01 * gb**2
-        weights -= rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-8)
+        weights -= (rate * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.99**k)) + 1e-8)).astype(np.float32)
         bias -= 0.1 * rate * (mb / (1 - 0.9**k)) / (np.sqrt(sb / (1 - 0.99**k)) + 1e-8)
-    a, v, row, y = flat(apart)
-    z = bias + np.bincount(row, v * weights[a], minlength=len(y))
-    scale, shift = platt(z, y)
+    held = [r for r, out in zip(rows, apart, strict=True) if out]
+    if not held:
+        return Model(weights.reshape(3, DIM), bias, 1.0, 0.0)
+    scale, shift = platt(logits(chunks(held), weights, bias), y_all[apart])
     return Model(weights.reshape(3, DIM), bias, scale, shift)
 
 
