@@ -31,7 +31,7 @@ DIM = 1 << DIM_BITS
 #: Base rules: fewest words, most percent of words in repeated windows, and the window.
 MIN_WORDS, MOST_REPEATED, REPEAT_WINDOW = 10, 20, 5
 #: A text stays if its probability of good quality is at least this.
-THRESHOLD = 0.3
+THRESHOLD = 0.2
 ROWS_PER_CLASS = 2000
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
