@@ -126,8 +126,7 @@ def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "")
 
 def top_packets(found: DataFrame, limit: int) -> DataFrame:
     """The first packets by (reason, match_key), each with the number of all before the limit."""
-    total = found.agg(F.count("*").alias("candidate_count"))
-    return found.orderBy("reason", "match_key").limit(limit).crossJoin(F.broadcast(total))  # one row
+    return found.orderBy("reason", "match_key").limit(limit).withColumn("candidate_count", F.lit(found.count()).cast("long"))
 
 
 def stale_duplicates(rows: DataFrame, name: Column, substantive: Column) -> DataFrame:

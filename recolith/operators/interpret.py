@@ -102,13 +102,16 @@ def members(rows: DataFrame) -> DataFrame:
 
 def committee_edges(committees: DataFrame, roster: DataFrame, whole: str = "committee of the whole") -> DataFrame:
     """from_id, kind, to_id of committees (id, name, chair, members: arrays of member ids): chairs are members too, and the
-    committee of the whole has everyone of the roster (member_id) who isn't there already. Its cross is with committees of that name alone."""
+    committee of the whole has everyone of the roster (member_id) who isn't there already."""
     listed = committees.select(F.explode("members").alias("from_id"), F.lit("member_of").alias("kind"), F.col("id").alias("to_id"))
     chairs = committees.where("chair IS NOT NULL").select(F.explode(F.array(F.struct("chair", F.lit("chairs").alias("kind")), F.struct("chair", F.lit("member_of").alias("kind")))).alias("c"), "id").select(F.col("c.chair").alias("from_id"), "c.kind", F.col("id").alias("to_id"))
     there = listed.unionByName(chairs)
-    wholes = committees.where(F.lower("name") == whole).select(F.col("id").alias("to_id"))
-    everyone = roster.select(F.col("member_id").alias("from_id"), F.lit("member_of").alias("kind")).join(F.broadcast(wholes.limit(1)))  # one committee
-    return there.unionByName(everyone.select("from_id", "kind", "to_id").join(there, ["from_id", "kind", "to_id"], "left_anti")).distinct()
+    # there is one committee of that name, so its id is a constant
+    found = committees.where(F.lower("name") == whole).agg(F.min("id").alias("id")).first()["id"]
+    if found is None:
+        return there.distinct()
+    everyone = roster.select(F.col("member_id").alias("from_id"), F.lit("member_of").alias("kind"), F.lit(found).alias("to_id"))
+    return there.unionByName(everyone.join(there, ["from_id", "kind", "to_id"], "left_anti")).distinct()
 
 
 def entry_id(kind: str, name: Column, folded: Column | None = None) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,21 +37,26 @@ def release_tables(entries: DataFrame, relations: DataFrame, categories: dict[st
 def verify_release(tables: dict[str, DataFrame], counts: DataFrame, keys: dict[str, list[str]], headers: dict[str, list[str]]) -> DataFrame:
     """check, expected, actual, ok: row counts (of a catalogue: name, row_count), unique keys, headers, roll-ups, edges between nodes."""
     spark = counts.sparkSession
-    rows = [(f"header:{name}", ",".join(want), ",".join(tables[name].columns) if name in tables else None) for name, want in headers.items()]
-    found = spark.createDataFrame(rows, "check string, expected string, actual string") if rows else None
+    text = F.count("*").cast("string").alias("actual")
+    said = [(f"header:{name}", ",".join(want)) for name, want in headers.items()]
+    found = [(f"header:{name}", ",".join(tables[name].columns)) for name in headers if name in tables]
+    actual = []
     for name, df in tables.items():
-        actual = df.agg(F.count("*").cast("string").alias("actual"))
-        said = counts.where(F.col("name") == name).agg(F.max("row_count").cast("string").alias("expected"))
-        row = said.crossJoin(actual).select(F.lit(f"rows:{name}").alias("check"), "expected", "actual")  # one row by one row
-        found = row if found is None else found.unionByName(row)
+        actual.append(df.agg(text).withColumn("check", F.lit(f"rows:{name}")))
         if name in keys:
-            twice = uniqueness(df, *keys[name]).agg(F.count("*").cast("string").alias("actual"))
-            found = found.unionByName(twice.select(F.lit(f"unique:{name}").alias("check"), F.lit("0").alias("expected"), "actual"))
+            actual.append(uniqueness(df, *keys[name]).agg(text).withColumn("check", F.lit(f"unique:{name}")))
+            said.append((f"unique:{name}", "0"))
     if {"nodes", "edges"} <= set(tables):
         ends = tables["edges"].select(F.explode(F.array("from_id", "to_id")).alias("id"))
-        lost = ends.join(tables["nodes"], "id", "left_anti").agg(F.count("*").cast("string").alias("actual"))
-        found = found.unionByName(lost.select(F.lit("edges:ends").alias("check"), F.lit("0").alias("expected"), "actual"))
+        actual.append(ends.join(tables["nodes"], "id", "left_anti").agg(text).withColumn("check", F.lit("edges:ends")))
+        said.append(("edges:ends", "0"))
+    expected = spark.createDataFrame(said, "check string, expected string") if said else spark.createDataFrame([], "check string, expected string")
+    expected = expected.unionByName(counts.where(F.col("name").isin(*tables)).select(F.concat(F.lit("rows:"), F.col("name")).alias("check"), F.col("row_count").cast("string").alias("expected")))
     if {"entries", "kind_counts"} <= set(tables):
-        total = tables["kind_counts"].agg(F.sum("n").cast("string").alias("actual")).crossJoin(tables["entries"].agg(F.count("*").cast("string").alias("expected")))  # one row by one row
-        found = found.unionByName(total.select(F.lit("rollup:kind_counts").alias("check"), "expected", "actual"))
+        actual.append(tables["kind_counts"].agg(F.sum("n").cast("string").alias("actual")).withColumn("check", F.lit("rollup:kind_counts")))
+        expected = expected.unionByName(tables["entries"].agg(F.count("*").cast("string").alias("expected")).withColumn("check", F.lit("rollup:kind_counts")))
+    if found:
+        actual.append(spark.createDataFrame(found, "check string, actual string"))
+    every = reduce(lambda a, b: a.unionByName(b), actual)
+    found = expected.join(every, "check", "full_outer").select("check", "expected", "actual")
     return found.withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))
