@@ -39,6 +39,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Deletes the tables and files that this application's operators have written to the shared folder. Results that
+    read them must be written elsewhere before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a written table) with a broadcast hint if it has at most ``rows``
     rows; else as it is, for a shuffled join whose hot keys AQE splits."""

@@ -219,3 +219,15 @@ def test_thresholds_are_the_cheapest():
 
         every = [(sum(c[t] for c, t in zip(costs, pick, strict=True)), list(pick)) for pick in itertools.product((-1, 0, 1, 2), repeat=m) if sum(pick) == 3 - m]
         assert best == pytest.approx(min(every)[0]) and sum(ts) == 3 - m
+
+
+def test_clean_up(spark, tmp_path):
+    from recolith.llm.common import clean_up, fresh_path
+
+    made = materialise(spark.range(3).toDF("x"), "t")
+    assert made.count() == 3
+    folder = fresh_path(spark, "t").rsplit("/", 1)[0]
+    assert spark.read.option("recursiveFileLookup", True).parquet(folder + "/t-*").count() == 3
+    clean_up(spark)
+    with pytest.raises(Exception):  # noqa: B017
+        spark.read.parquet(folder).count()
