@@ -193,7 +193,7 @@ def links(reps: DataFrame, chosen: list[tuple[list[int], int]] | None = None, di
         raise ValueError("hot buckets are linked through shared neighbours, which is for distance 2")
     chosen = chosen or plan(reps, distance)
     index = reps.select("fp", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), bits_of(F.col("fp"), bits).alias("value")) for k, (bits, _) in enumerate(chosen)])).alias("p")).select("p.k", "p.value", "fp")
-    # explode of a literal array of flips, apart by partition
+    # a fingerprint probes the values within its partition's threshold
     probe = index
     if any(t for _, t in chosen):
         masks = F.element_at(F.array(*[F.array(*[F.lit(x) for x in flips(bits, t)]) for bits, t in chosen]), F.col("k") + 1)
