@@ -51,14 +51,16 @@ def merge_entries(fragments: DataFrame) -> DataFrame:
     )
     citations = merge_citations(ordered.select(F.col("provisional_id").alias("id"), "citations"), "id")
     empty = F.create_map().cast("map<string,string>")
-    return heads.join(attributes, "id", "left").join(citations, "id", "left").select("id", "family", "kind", "name", F.coalesce("attributes", empty).alias("attributes"), F.coalesce("citations", F.expr("array()").cast(fragments.schema["citations"].dataType)).alias("citations"))
+    return heads.join(attributes, "id", "left").join(citations, "id").select("id", "family", "kind", "name", F.coalesce("attributes", empty).alias("attributes"), "citations")
 
 
 def merge_citations(rows: DataFrame, *keys: str) -> DataFrame:
-    """keys and citations: valid, distinct by identity, in its order."""
-    each = rows.select(*keys, F.explode("citations").alias("c")).where(is_citation(F.col("c"))).withColumn("k", citation_id(F.col("c")))
+    """keys and citations: valid, distinct by identity, in its order; an empty array where there are none."""
+    c = F.when(is_citation(F.col("c")), F.col("c"))
+    each = rows.select(*keys, F.explode_outer("citations").alias("c")).select(*keys, c.alias("c")).withColumn("k", F.when(F.col("c").isNotNull(), citation_id(F.col("c"))))
     one = each.groupBy(*keys, "k").agg(F.min("c").alias("c"))
-    return one.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda x: x["c"]).alias("citations"))
+    kept = F.collect_list(F.when(F.col("k").isNotNull(), F.struct("k", "c")))
+    return one.groupBy(*keys).agg(F.transform(F.array_sort(kept), lambda x: x["c"]).alias("citations"))
 
 
 def kind_conflicts(fragments: DataFrame) -> DataFrame:
@@ -121,10 +123,7 @@ def relation_findings(checked: DataFrame) -> DataFrame:
 def dedupe_relations(relations: DataFrame) -> DataFrame:
     """RELATION rows: one a (from, kind, to), citations united."""
     rows = relations.select("from_id", F.col("relation_kind").alias("kind"), "to_id", "citations")
-    keys = ["from_id", "kind", "to_id"]
-    united = merge_citations(rows, *keys)
-    none = F.expr("array()").cast(relations.schema["citations"].dataType)
-    return rows.select(*keys).distinct().join(united, keys, "left").withColumn("citations", F.coalesce("citations", none))
+    return merge_citations(rows, "from_id", "kind", "to_id")
 
 
 def dangling(relations: DataFrame, entries: DataFrame) -> DataFrame:
