@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import candidate_names, civic_slug, classify, lookup_key, member_title
+from ..functions.text import candidate_names, entity_slug, classify, lookup_key, member_title
 from ..functions.values import cite, is_object, json_string, quoted
 from ..model import FINDING
 from .candidates import stale_duplicates
@@ -115,7 +115,7 @@ def committee_edges(committees: DataFrame, roster: DataFrame, whole: str = "comm
 
 
 def entry_id(kind: str, name: Column, folded: Column | None = None) -> Column:
-    return F.concat(F.lit(f"{kind}:"), civic_slug(name, folded))
+    return F.concat(F.lit(f"{kind}:"), entity_slug(name, folded))
 
 
 def no_findings(rows: DataFrame) -> DataFrame:

@@ -32,8 +32,8 @@ def cases():
         (tx.fnv1a_base36(F.lit("abc")), "7aigaz"),
         (tx.review_id_segment(F.lit("abc"), 2), "ab-7aigaz"),
         (tx.percent_id(F.lit("a~b/ü c'")), "a~7Eb~2F~C3~BC~20c'"),
-        (tx.civic_slug(F.lit("Café d’Été & Co.")), "cafe-dete-and-co"),
-        (tx.civic_slug(F.lit("日本")), "~E6~97~A5~E6~9C~AC"),
+        (tx.entity_slug(F.lit("Café d’Été & Co.")), "cafe-dete-and-co"),
+        (tx.entity_slug(F.lit("日本")), "~E6~97~A5~E6~9C~AC"),
         (tx.candidate_names(F.lit("Office of Zoning (Board) - OZ")), ["Office of Zoning (Board) - OZ", "Office of Zoning (Board)", "Office of Zoning - OZ", "Office of Zoning"]),
         (tx.name_and_acronym(F.lit("Food Board (FPC)")), ("Food Board", "FPC")),
         (tx.name_and_acronym(F.lit("Food Board")), ("Food Board", None)),
