@@ -5,7 +5,8 @@ Features of a text are the shares of its hashed byte trigrams (``DIM`` buckets)
 words and word pairs (``DIM`` more each), taken with numpy over the whole text. Training sees at most
 ``rows_per_class`` labelled rows of each class, those of the smallest hashed ids; their sparse
 features are made on the executors. A fifth of them is kept apart to fit the
-calibration (Platt's). The model, less than 1 MB, goes to the executors with the tasks; scoring is one
+calibration (Platt's), each row weighted by the labelled rows of its class that it stands for, so that probabilities
+have the labels' own shares of the classes, whatever the sample's. The model, less than 1 MB, goes to the executors with the tasks; scoring is one
 pass without a shuffle.
 
 Defined cases: null texts count as empty; a text without words fails the base rules; labels that are
@@ -30,7 +31,8 @@ DIM_BITS = 16
 DIM = 1 << DIM_BITS
 #: Base rules: fewest words, most percent of words in repeated windows, and the window.
 MIN_WORDS, MOST_REPEATED, REPEAT_WINDOW = 10, 20, 5
-#: A text stays if its probability of good quality is at least this.
+#: A text stays if its probability of good quality, among texts as they are labelled, is at least this: it goes where
+#: more than four in five of its like are bad.
 THRESHOLD = 0.2
 ROWS_PER_CLASS = 2000
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
@@ -111,9 +113,11 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -50, 50))))
 
 
-def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int) -> list:
-    """Rows (label, at, value): sparse features of the bounded sample, as bytes of int32 and float32."""
+def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int) -> tuple[list, dict[int, float]]:
+    """Rows (label, at, value): sparse features of the bounded sample, as bytes of int32 and float32; and
+    how many labelled rows each sampled row of a class stands for."""
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where("__id IS NOT NULL")
+    stands = {r["label"]: r["count"] / min(r["count"], rows_per_class) for r in known.where("label IN (0, 1)").groupBy("label").count().collect()}
     each = [known.where(F.col("label") == c).orderBy(F.xxhash64("__id"), "__id").limit(rows_per_class) for c in (0, 1)]
     sample = F.broadcast(each[0].unionByName(each[1]))  # at most 2 * rows_per_class rows
 
@@ -128,7 +132,7 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["label", "at", "value"])
 
     chosen = docs.join(sample, docs[id_col] == sample["__id"]).select("label", F.col(text_col).cast("string").alias("text"))
-    return sorted(chosen.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
+    return sorted(chosen.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"]))), stands
 
 
 #: Rows whose features are worked on at a time.
@@ -148,8 +152,9 @@ def logits(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]], weights: np.n
     return bias + np.concatenate([np.add.reduceat(v * weights[a], np.cumsum(n) - n) for a, v, n in parts])
 
 
-def fit(rows: list, rounds: int = 150, rate: float = 1.0, decay: float = 1e-6) -> Model:
-    """Adam over all rows with features at once, then Platt's calibration on every fifth of them."""
+def fit(rows: list, stands: dict[int, float] | None = None, rounds: int = 150, rate: float = 1.0, decay: float = 1e-6) -> Model:
+    """Adam over all rows with features at once, then Platt's calibration on every fifth of them. ``stands``: labelled
+    rows that a row of each class stands for."""
     rows = [r for r in rows if len(r["at"])]
     weights, y_all = np.zeros(3 * DIM, dtype=np.float32), np.array([r["label"] for r in rows], dtype=float)
     if len(set(y_all)) < 2:
@@ -173,19 +178,21 @@ def fit(rows: list, rounds: int = 150, rate: float = 1.0, decay: float = 1e-6) -
     held = [r for r, out in zip(rows, apart, strict=True) if out]
     if not held:
         return Model(weights.reshape(3, DIM), bias, 1.0, 0.0)
-    scale, shift = platt(logits(chunks(held), weights, bias), y_all[apart])
+    each = np.where(y_all == 1, *((stands or {}).get(c, 1.0) for c in (1, 0)))
+    scale, shift = platt(logits(chunks(held), weights, bias), y_all[apart], each[apart])
     return Model(weights.reshape(3, DIM), bias, scale, shift)
 
 
-def platt(z: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float]:
-    """scale and shift of the logit, by Newton steps, with Platt's smoothed targets."""
+def platt(z: np.ndarray, y: np.ndarray, each: np.ndarray | None = None, rounds: int = 100) -> tuple[float, float]:
+    """scale and shift of the logit, by Newton steps, with Platt's smoothed targets; ``each``: the rows' weights."""
+    each = np.ones(len(y)) if each is None else each / each.mean()
     up, down = y.sum(), len(y) - y.sum()
     t = np.where(y == 1, (up + 1) / (up + 2), 1 / (down + 2))
     x = np.stack([z, np.ones_like(z)], axis=1)
     w = np.array([1.0, 0.0])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (p - t) + 1e-6 * (w - [1, 0]))
+        step = np.linalg.solve(x.T @ (x * (each * p * (1 - p))[:, None]) + 1e-6 * np.eye(2), x.T @ (each * (p - t)) + 1e-6 * (w - [1, 0]))
         w -= np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-9:
             break
@@ -193,7 +200,7 @@ def platt(z: np.ndarray, y: np.ndarray, rounds: int = 100) -> tuple[float, float
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    return fit(labelled_features(docs, labels, id_col, text_col, label_col, rows_per_class))
+    return fit(*labelled_features(docs, labels, id_col, text_col, label_col, rows_per_class))
 
 
 SCORES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, probability double, kept boolean"

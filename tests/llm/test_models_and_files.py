@@ -59,6 +59,15 @@ def test_quality_separates_held_out_rows(spark):
     assert np.mean(np.array(good) >= quality.THRESHOLD) > 0.97 and np.mean(bad) < np.mean(good) - 0.3
 
 
+def test_quality_has_the_labels_shares_whatever_the_sample(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = docs.join(labels, "doc_id").select("doc_id", "text", "quality")
+    share = known.agg(F.avg("quality")).first()[0]
+    for rows in (400, 10_000):  # as many rows of each class, and all
+        scored = quality.score(known, quality.train(docs, labels, rows_per_class=rows)).agg(F.avg("probability")).first()[0]
+        assert abs(scored - share) < 0.05
+
+
 def test_quality_on_odd_tables(spark, docs):
     labels = spark.createDataFrame([(0, 1), (1, None), (None, 0), (2, 1)], "doc_id long, quality int")
     got = quality.digest(docs, labels).collect()
