@@ -238,26 +238,40 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def linked_classes(fps: DataFrame, distance: int, bucket: int, *least: Column) -> DataFrame:
+    """fp, root and the named aggregates ``least`` of the fingerprints with more than one row or with links; a written table."""
+    reps = materialise(fps.groupBy("fp").agg(*least, F.count("*").alias("n")), "representatives")
+    found = materialise(components(links(reps, distance=distance, bucket=bucket)), "components")
+    linked = reps.join(found, reps["fp"] == found["node"], "left").withColumns({"root": F.coalesce("root", "fp"), "linked": F.col("root").isNotNull()}).drop("node").where("linked OR n > 1")
+    return materialise(linked, "linked")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, shingle: int = 3, bucket: int = BUCKET) -> DataFrame:
     """id_col, fp and component_id, the smallest id reachable over links."""
     fps = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    reps = materialise(fps.groupBy("fp").agg(F.min(id_col).alias("least"), F.count("*").alias("n")), "representatives")
-    found = materialise(components(links(reps, distance=distance, bucket=bucket)), "components")
-    linked = reps.join(found, reps["fp"] == found["node"], "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"), F.col("root").isNotNull().alias("linked")).where("linked OR n > 1")
-    linked = materialise(linked, "linked")
+    linked = linked_classes(fps, distance, bucket, F.min(id_col).alias("least"))
     roots = linked.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = materialise(linked.join(roots, "root").select(F.col("fp").alias("__fp"), "component_id"), "classes")
     joined = fps.join(small_side(classes), fps["fp"] == classes["__fp"], "left")
     return joined.select(id_col, "fp", F.coalesce("component_id", id_col).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **how) -> DataFrame:
-    """One row of ``docs`` of each component: that of the smallest id; columns as they were.
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, shingle: int = 3, bucket: int = BUCKET) -> DataFrame:
+    """One row of ``docs`` of each component: of its rows that have an id that of the smallest id, then of the smallest text hash; columns as they were.
 
-    Rows whose id is null can't be told apart and stay, all of them. So do rows that repeat the id that stays.
+    Rows are told apart by a number that they are written with, so a row goes or stays whatever others of its id do, and of rows that repeat
+    in id and text any one stays. Rows without an id are held against each other alone: one of them stays in each component too.
     """
-    gone = materialise(near_duplicates(docs, id_col, **how).where(f"`{id_col}` <> component_id").select(F.col(id_col).alias("__gone")), "duplicates")
-    return docs.join(small_side(gone), docs[id_col] == gone["__gone"], "left_anti")
+    docs = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    known = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col("__row").alias("row")).alias("__key"), text_col)
+    fps = materialise(fingerprints(known, "__key", text_col, shingle).select("__key.*", "fp"), "fingerprints")
+    key, named = F.struct("id", "hash", "row"), F.col("id").isNotNull()
+    linked = linked_classes(fps, distance, bucket, F.min(F.when(named, key)).alias("named"), F.min(F.when(~named, key)).alias("nameless"))
+    roots = linked.groupBy("root").agg(F.min("named")["row"].alias("first"), F.min("nameless")["row"].alias("nameless_first"))
+    classes = materialise(linked.select("fp", "root").join(roots, "root").select(F.col("fp").alias("__fp"), "first", "nameless_first"), "classes")
+    joined = fps.join(small_side(classes), fps["fp"] == classes["__fp"])
+    gone = materialise(joined.where(F.col("row") != F.when(named, F.col("first")).otherwise(F.col("nameless_first"))).select(F.col("row").alias("__gone")), "duplicates")
+    return docs.join(small_side(gone), docs["__row"] == gone["__gone"], "left_anti").drop("__row")
 
 
 def digest(docs: DataFrame) -> DataFrame:

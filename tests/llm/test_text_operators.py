@@ -210,6 +210,14 @@ def test_near_duplicates(spark):
     assert simhash.digest(docs.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_stays(spark):
+    draw = random.Random(4)
+    a, b, c, d = (prose(draw, 80) for _ in range(4))
+    rows = [(5, a), (5, b), (3, a), (3, a), (7, c), (7, c), (None, c), (None, c), (None, d), (None, d), (9, "x y"), (8, "X  y")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert Counter(map(tuple, kept.collect())) == Counter([(5, b), (3, a), (7, c), (None, c), (None, d), (8, "X  y")])
+
+
 def test_thresholds_are_the_cheapest():
     draw = np.random.default_rng(1)
     for m in (2, 3, 4):
