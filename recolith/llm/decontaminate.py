@@ -10,9 +10,10 @@ set and the words compared. What is left, hits alone, is aggregated by document;
 texts are never shuffled. A benchmark of more windows than may be broadcast is joined by a shuffle of all
 windows of the documents on their hashes.
 
-Defined cases: null and empty texts have no words and are never contaminated; rows that
+Defined cases: null and empty texts have no words and are never contaminated; where documents or spans are dropped,
+each row is judged on its own words, whatever its id; in ``judge`` rows that
 share a document id are judged together as one document (``n_words`` is the longest
-row's); null ids form one document; repeated benchmark rows count once; benchmark items
+row's), and each row without an id is a document of its own; repeated benchmark rows count once; benchmark items
 without words and null item ids add no windows; an empty benchmark marks nothing. Other columns play no part.
 """
 
@@ -35,6 +36,11 @@ def words(text: Column) -> Column:
     return F.coalesce(found, F.array().cast("array<string>"))
 
 
+def text_key(text: Column) -> Column:
+    """Stands for the text; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256))
+
+
 def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """Distinct windows: win, k (words in it), hash, items, anchor (longest word) and off (its place).
 
@@ -59,9 +65,10 @@ def benchmark_windows(bench: DataFrame, item_col: str = "item_id", text_col: str
 
 
 def hits(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """One row per document, id_col, n_words, spans (array of start word and length, from 1) and items."""
+    """One row per document, id_col, n_words, spans (array of start word and length, from 1) and items. A row without an id is a
+    document; such rows are grouped by their text, as the same words have the same hits, and come out as often as they are there."""
     windows = materialise(windows, "bench-windows")
-    rows = docs.select(F.col(id_col).alias("__id"), words(F.col(text_col)).alias("w"))
+    rows = docs.select(F.struct(F.col(id_col).alias("id"), F.when(F.col(id_col).isNull(), text_key(F.col(text_col))).alias("text")).alias("__id"), words(F.col(text_col)).alias("w"))
     table = windows.select("hash", F.col("win").alias("bench_win"), "items")
     few = windows.count() <= broadcast_rows
     started = _at_anchors(rows, materialise(windows.groupBy("anchor").agg(F.collect_set(F.struct("off", "k")).alias("offs")), "bench-anchors")) if few else _everywhere(rows, windows)
@@ -72,11 +79,13 @@ def hits(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_col:
         .join(F.broadcast(table) if few else table, "hash")
         .where("win = bench_win")
     )
-    return found.groupBy(F.col("__id").alias(id_col)).agg(
+    found = found.groupBy("__id").agg(
         F.max("n").cast("long").alias("n_words"),
         F.collect_set(F.when(F.col("k") > 0, F.struct("start", "k"))).alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
+        F.when(F.col("__id.id").isNull(), F.count_if(F.col("k") == 0)).otherwise(1).cast("int").alias("__rows"),  # each row has one mark
     )
+    return found.select(F.col("__id.id").alias(id_col), "n_words", "spans", "items", F.explode(F.array_repeat(F.lit(0), F.col("__rows"))).alias("__each")).drop("__each")
 
 
 def _at_anchors(rows: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -107,23 +116,28 @@ def judge(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: s
     return found.withColumn("contaminated", (n_hit > 0) & (F.lit(one_in) * n_hit >= F.col("n_words")))
 
 
+def judge_texts(docs: DataFrame, bench: DataFrame, text_col: str, **how) -> DataFrame:
+    """``judge`` of each distinct text, under its ``text_key`` __key: the verdict on a row depends on its text alone."""
+    return judge(docs.select(text_key(F.col(text_col)).alias("__key"), text_col), bench, "__key", text_col, **how)
+
+
 def drop_documents(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose document is not contaminated; columns as they were."""
-    bad = materialise(judge(docs, bench, id_col, text_col, **how).where("contaminated").select(F.col(id_col).alias("__bad")), "contaminated")
-    return docs.join(small_side(bad), docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+    """The rows of ``docs`` that are not contaminated, each judged on its own words; columns as they were."""
+    bad = materialise(judge_texts(docs, bench, text_col, **how).where("contaminated").select(F.col("__key").alias("__bad")), "contaminated")
+    return docs.join(small_side(bad), text_key(docs[text_col]) == F.col("__bad"), "left_anti")
 
 
 def drop_spans(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with every hit word, and what stands between it and the word before, cut from the text.
 
-    Ids must be unique here; texts without hits are unchanged.
+    Each row is judged on its own words; texts without hits are unchanged.
     """
-    spans = judge(docs, bench, id_col, text_col, **how).where("size(hit_words) > 0").select(F.col(id_col).alias("__bad"), F.col("hit_words").alias("__hit"))
+    spans = judge_texts(docs, bench, text_col, **how).where("size(hit_words) > 0").select(F.col("__key").alias("__bad"), F.col("hit_words").alias("__hit"))
     gap = RAW_WORD.replace("[^", "[")[:-1] + "*"
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(f"{gap}{RAW_WORD}"), F.lit(0))
     kept = F.filter(pieces, lambda _, i: ~F.array_contains("__hit", i + 1))
     rest = F.regexp_extract(text_col, f"{gap}$", 0)
-    joined = docs.join(spans, docs[id_col].eqNullSafe(F.col("__bad")), "left")
+    joined = docs.join(spans, text_key(docs[text_col]) == F.col("__bad"), "left")
     text = F.when(F.col("__hit").isNull(), F.col(text_col)).otherwise(F.concat(F.array_join(kept, ""), rest))
     return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])
 

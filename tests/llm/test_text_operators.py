@@ -88,6 +88,19 @@ def test_rows_that_share_an_id_are_one_document(spark):
     assert got == {1: (4, 3), None: (3, 3)}
 
 
+def test_rows_are_judged_on_their_own_words(spark):
+    copy, clean, near = "a b c", "x " * 100, "y a b c"
+    rows = [(None, copy), (None, clean), (None, clean), (None, None), (1, copy), (1, clean), (2, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(9, "a b c")], "item_id long, text string")
+    got = Counter((r["n_words"], r["n_hit"], r["contaminated"]) for r in decontaminate.digest(docs, bench).where("doc_id IS NULL").collect())
+    assert got == Counter([(3, 3, True), (100, 0, False), (100, 0, False), (0, 0, False)])
+    kept = Counter(map(tuple, decontaminate.drop_documents(docs, bench).collect()))
+    assert kept == Counter([(None, clean), (None, clean), (None, None), (1, clean)])
+    cut = Counter(map(tuple, decontaminate.drop_spans(docs, bench).collect()))
+    assert cut == Counter([(None, ""), (None, clean), (None, clean), (None, None), (1, ""), (1, clean), (2, "y")])
+
+
 def test_line_dedup(spark):
     page = lambda body: f"<html><script>x</script><!-- <p>no</p> --><nav><a href='/'>Home</a></nav><p>{body}</p><P class=x>end <b>of</b>  page</P>"
     rows = [(i, "https://u@Host.example:80/a", page(f"text {i}")) for i in range(6)] + [(10 + i, "http://small.example", page("same")) for i in range(4)]
