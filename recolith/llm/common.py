@@ -13,15 +13,20 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Most rows of a build side that is sent to every executor. Rows are keys and
 #: short values, so this is some tens of MB; a larger side is joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Most bytes of a build side whose rows have no bound of their own.
+BROADCAST_BYTES = 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Where the session names none, as in tests on one machine, one is made and set.
+    Where the session names none and driver and executors are one process (a local master), one is made and set. On a
+    cluster that is an error: what executors write to a folder of their own machine, others would read as missing or empty.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="recolith-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -52,6 +57,19 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def column(df: DataFrame, name: str) -> Column:
+    """The column of that very name, dots and signs included."""
+    return df["`" + name.replace("`", "``") + "`"]
+
+
+def private(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else. ``lower`` is that too, and faster, where every character is ASCII."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
