@@ -9,8 +9,9 @@ few, else shuffled with hot hosts split by AQE. Texts are not shuffled on the fi
 
 Defined cases: null and empty pages have no lines and an empty text; pages without a
 host (null or other urls) share the host ''; a line that a page repeats counts once for it and is dropped every time;
-hosts of fewer than ``min_pages`` pages keep everything, as any line there is on a large share of them; repeated rows are
-pages of their own; null ids too. Other columns play no part.
+a line that one page alone of its host has is never dropped, so hosts of one page keep everything; on hosts of two or three pages a line that two of
+them share goes, as its share demands (of pages that are copies nothing is left, as all they have is found elsewhere); repeated rows are
+pages of their own; null ids too. There are no ties. A very long page is one row of its lines in memory. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_side
+from .common import column, materialise, small_side
 
 #: What is no text, whole.
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -27,7 +28,8 @@ BLOCK = r"(?i)</?(?:html|head|body|title|meta|link|nav|header|footer|main|articl
 TAG = r"<[^>]*>"
 BLANKS = r"[\x20\x09-\x0D]+"
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
-RATIO, MIN_PAGES = 0.3, 5
+#: Boilerplate is on more than this share of a host's pages, and on at least so many of them.
+RATIO, LEAST = 0.3, 2
 
 
 def host_of(url: Column) -> Column:
@@ -45,23 +47,20 @@ def key_of(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """host and drop, the keys of its boilerplate lines, of ``pages`` (host, keys)."""
-    # a page counts in its host's total under a key of its own, with those lines that repeat
-    seen = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= min_pages)
-    counted = pages.select("host", F.explode(F.array_distinct("keys")).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n"))
-    # such a host needs more than one page with a line
-    counted = counted.where(F.col("n") > max(1.0, ratio * min_pages))
+    seen = pages.groupBy("host").agg(F.count("*").alias("pages"))
+    counted = pages.select("host", F.explode(F.array_distinct("keys")).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     return counted.join(seen, "host").where(F.col("n") > F.lit(float(ratio)) * F.col("pages")).groupBy("host").agg(F.collect_set("key").alias("drop"))
 
 
-def dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
     """id_col, host, n_lines, n_dropped and text, the lines that are left joined by line ends."""
     if not 0 <= ratio < 1:
         raise ValueError("ratio lies in [0, 1)")
-    cut = pages.select(F.col(id_col), host_of(F.col(url_col)).alias("host"), lines_of(F.col(html_col).cast("string")).alias("lines"))
+    cut = pages.select(column(pages, id_col), host_of(column(pages, url_col)).alias("host"), lines_of(column(pages, html_col).cast("string")).alias("lines"))
     cut = materialise(cut.withColumn("keys", F.transform("lines", key_of)), "page-lines")
-    drop = materialise(boilerplate(cut.select("host", "keys"), ratio, min_pages), "boilerplate")
+    drop = materialise(boilerplate(cut.select("host", "keys"), ratio, least), "boilerplate")
     # hosts have few boilerplate lines each, but a row holds them all
     joined = cut.join(small_side(drop, 20_000), "host", "left")
     kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("drop", F.get("keys", i))))
@@ -83,7 +82,7 @@ WITH l AS (
 ), c AS (
   SELECT host, line, count(*) AS n FROM (SELECT host, r, unnest(list_distinct(lines)) AS line FROM l) GROUP BY host, line
 ), b AS (
-  SELECT host, list(line) AS bad FROM c JOIN (SELECT host, count(*) AS pages FROM l GROUP BY host) USING (host) WHERE pages >= 5 AND n > 0.3 :: DOUBLE * pages GROUP BY host
+  SELECT host, list(line) AS bad FROM c JOIN (SELECT host, count(*) AS pages FROM l GROUP BY host) USING (host) WHERE n >= 2 AND n > 0.3 :: DOUBLE * pages GROUP BY host
 ), k AS (
   SELECT page_id, l.host, lines, CASE WHEN bad IS NULL THEN lines ELSE list_filter(lines, lambda x: NOT list_contains(bad, x)) END AS kept FROM l LEFT JOIN b ON l.host = b.host
 )
