@@ -3,17 +3,21 @@
 Each source gets a target size; its documents share one expected number of copies
 (target / size of the source). Their running sum along the source, plus one offset
 drawn for the source, is emitted once per integer boundary crossed. Documents
-run through a source by size, so a sample of any rate takes its share of every
-size and its words come near the target.
+run through a source by size class and then by hash, so a sample of any rate takes its share of every
+size and its words come near the target. The sum is kept in whole units of 2 ** -``UNIT_BITS`` copies, so that
+it is exact at any length and no document is taken more often than its rate rounded up.
 
 The running sum is taken in two levels, so that no source is one group: documents
-fall into buckets of (source, size class, hash of id); windows number the rows inside a
-bucket, and the bucket counts alone, at most ``SUB`` per size class, are summed up.
+fall into buckets of (source, size class, first bits of the hash of id and text); windows number the rows inside a
+bucket, and the bucket counts alone are summed up. The number of bits follows the number of rows; the order
+of documents, and so the result, doesn't depend on it.
 Sources are one row each; only that table of sources is sorted as a whole.
 
 Defined cases: null texts have size 0 (taken counts 0 words); a null source is a source of
-its own, last; rows that repeat an id are each a document, in order of size, id and a hash of the text; sources without words have target 0
-and take nothing; an empty table gives none. Other columns play no part.
+its own, last; rows that repeat an id are each a document; ties in size class and hash, which are rows equal in id and text, go by a hash of all columns kept,
+and of rows equal in these too any may be taken; sources without words have target 0
+and take nothing; an empty table gives none. A very long text is a row like others, the first or last of its source. Other columns play no
+part, whatever their names.
 """
 
 from __future__ import annotations
@@ -23,12 +27,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
-from .common import materialise
+from .common import column, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hash buckets in a size class of a source: the rows of a window are those of the source's size class divided by this.
-SUB = 256
+#: Bits of the hash by which a size class of a source is dealt into buckets: at least, at most, and the rows that ask for one more.
+LEAST_BITS, MOST_BITS, ROWS_LOG2 = 8, 16, 14
+#: A copy in the running sum's units, as a power of two.
+UNIT_BITS = 30
 
 
 def size_of(text: Column) -> Column:
@@ -36,9 +43,19 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def unit(text: Column) -> Column:
-    """A number in [0, 1) drawn by the md5 of the text: 32 bits, so exact as a double."""
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+def drawn(text: Column) -> Column:
+    """A number in [0, 2 ** UNIT_BITS) drawn by the md5 of the text."""
+    return F.shiftright(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), 32 - UNIT_BITS)
+
+
+def crossed(start: Column, rate: Column, k: Column) -> Column:
+    """Whole copies that the sum ``start + rate * k`` passes on the way from k to k + 1; units of 2 ** -UNIT_BITS.
+
+    Only the sum's remainder matters, and that comes from the remainders of its factors: no product overflows.
+    """
+    mask = F.lit((1 << UNIT_BITS) - 1)
+    rest = (start + rate.bitwiseAND(mask) * k.bitwiseAND(mask)).bitwiseAND(mask)
+    return F.shiftright(rest + rate, UNIT_BITS)
 
 
 def targets(sources: DataFrame, weights: Sequence[int], share: float, most: float) -> DataFrame:
@@ -69,10 +86,15 @@ def targets(sources: DataFrame, weights: Sequence[int], share: float, most: floa
 
 
 def copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", keep: Sequence[str] = ()) -> DataFrame:
-    """doc_id, source, size, source_size, target and copies (how often the mix takes the document), and the columns ``keep``, each under its name with ``__keep_`` in front."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), size_of(F.col(text_col)).alias("size"), F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("__h"), F.xxhash64(F.col(text_col)).alias("__t"), *[F.col(c).alias(f"__keep_{c}") for c in keep])
-    # quarter powers of two; the hash spreads what is equal
-    rows = rows.withColumn("__class", F.floor(F.log2(F.col("size") + 1) * 4).cast("int")).withColumn("__sub", F.conv(F.substring("__h", 1, 4), 16, 10).cast("int") % SUB)
+    """doc_id, source, size, source_size, target and copies (how often the mix takes the document), and the columns ``keep`` as __keep, a struct of fields c0, c1 and so on."""
+    kept = [column(docs, c) for c in keep]
+    id_, text = column(docs, id_col), column(docs, text_col).cast("string")
+    drawn_by = F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("")), F.lit(":"), F.coalesce(text, F.lit(""))))
+    rows = docs.select(id_.alias("doc_id"), column(docs, source_col).cast("string").alias("source"), size_of(text).alias("size"), drawn_by.alias("__h"), *([F.struct(*[c.alias(f"c{i}") for i, c in enumerate(kept)]).alias("__keep")] if kept else []))
+    n = docs.select(F.lit(1)).count()
+    bits = min(MOST_BITS, max(LEAST_BITS, (n >> ROWS_LOG2).bit_length()))
+    # quarter powers of two
+    rows = rows.withColumn("__class", F.floor(F.log2(F.col("size") + 1) * 4).cast("int")).withColumn("__sub", F.shiftright(F.conv(F.substring("__h", 1, 4), 16, 10).cast("int"), 16 - bits))
     buckets = materialise(rows.groupBy("source", "__class", "__sub").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-buckets")
     rates = targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, share, most)
     in_class, in_source = W.partitionBy("source", "__class").orderBy("__sub"), W.partitionBy("source").orderBy("__class")
@@ -82,15 +104,21 @@ def copies(docs: DataFrame, weights: Sequence[int] = (3, 1, 2), share: float = 1
     starts = _null_safe(starts, classes, "source", "__class")
     starts = materialise(_null_safe(starts, materialise(rates, "mix-rates"), "source").withColumn("before", F.col("class_before") + F.col("sub_before")).drop("class_before", "sub_before"), "mix-starts")
     # nulls become an empty key beside a flag, so that the join is on plain equality
-    place = W.partitionBy("__null", "__source", "__class", "__sub").orderBy("size", "__h", "doc_id", "__t")
+    ties = [F.xxhash64(*[F.col(f"__keep.c{i}") for i, c in enumerate(keep) if hashable(docs.schema[c].dataType)])] if keep else []
+    place = W.partitionBy("__null", "__source", "__class", "__sub").orderBy("__h", *ties)
     keyed = lambda df: df.withColumn("__null", F.col("source").isNull()).withColumn("__source", F.coalesce("source", F.lit("")))
     numbered = keyed(rows).withColumn("__i", F.row_number().over(place))
     # the windows have dealt and sorted the rows by these keys already, so only the starts move
     joined = numbered.join(keyed(starts).drop("source"), ["__null", "__source", "__class", "__sub"])
-    offset = unit(F.concat(F.lit(f"{seed}:"), F.col("__source"), F.lit(":"), F.col("__null").cast("string")))
-    k = F.col("before") + F.col("__i")
-    crossed = F.floor(offset + F.col("rate") * k) - F.floor(offset + F.col("rate") * (k - 1))
-    return joined.select("doc_id", "source", "size", "source_size", "target", crossed.cast("long").alias("copies"), *[f"__keep_{c}" for c in keep])
+    offset = drawn(F.concat(F.lit(f"{seed}:"), F.col("__source"), F.lit(":"), F.col("__null").cast("string")))
+    rate = F.floor(F.col("rate") * F.lit(float(1 << UNIT_BITS))).cast("long")
+    taken = crossed(offset, rate, F.col("before") + F.col("__i") - 1)
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken.alias("copies"), *(["__keep"] if keep else []))
+
+
+def hashable(kind: DataType) -> bool:
+    """Whether Spark hashes values of the type: maps and variants it doesn't."""
+    return not any(x in kind.simpleString() for x in ("map<", "variant"))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, *keys: str) -> DataFrame:
@@ -104,7 +132,7 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with every row as often as the mix takes it; columns as they were."""
     taken = copies(docs, keep=docs.columns, **how).where("copies > 0")
     repeated = taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return repeated.select(*[F.col(f"__keep_{c}").alias(c) for c in docs.columns])
+    return repeated.select(*[F.col(f"__keep.c{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -114,9 +142,9 @@ def digest(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) :: BIGINT AS size, md5(coalesce(doc_id :: VARCHAR, '')) AS h FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) :: BIGINT AS size, md5(coalesce(doc_id :: VARCHAR, '') || ':' || coalesce(text, '')) AS h FROM documents
 ), c AS (
-  SELECT *, floor(log2(size + 1) * 4) AS class, (('0x' || substr(h, 1, 4)) :: INT) % 256 AS sub FROM d
+  SELECT *, floor(log2(size + 1) * 4) AS class FROM d
 ), s AS (
   SELECT source, sum(size) :: BIGINT AS source_size FROM d GROUP BY source
 ), w AS (
@@ -129,10 +157,10 @@ WITH d AS (
 ), r AS (
   SELECT source, source_size, coalesce(least(cap, weight * stop), cap) AS target FROM t
 ), n AS (
-  SELECT c.*, r.source_size, target, CASE WHEN r.source_size > 0 THEN target / r.source_size ELSE 0 END AS rate,
-    row_number() OVER (PARTITION BY c.source ORDER BY class, sub, size, h, doc_id) AS k,
-    ('0x' || substr(md5('17:' || coalesce(c.source, '') || ':' || CASE WHEN c.source IS NULL THEN 'true' ELSE 'false' END), 1, 8)) :: BIGINT / 4294967296.0 :: DOUBLE AS u
+  SELECT c.*, r.source_size, target, floor(CASE WHEN r.source_size > 0 THEN target / r.source_size ELSE 0 END * 1073741824) :: BIGINT AS rate,
+    row_number() OVER (PARTITION BY c.source ORDER BY class, h) - 1 AS k,
+    ('0x' || substr(md5('17:' || coalesce(c.source, '') || ':' || CASE WHEN c.source IS NULL THEN 'true' ELSE 'false' END), 1, 8)) :: BIGINT // 4 AS u
   FROM c JOIN r ON c.source IS NOT DISTINCT FROM r.source
 )
-SELECT doc_id, size, source_size, target, ((floor(u + rate * k) - floor(u + rate * (k - 1))) * size) :: BIGINT AS taken FROM n
+SELECT doc_id, size, source_size, target, ((((u + rate % 1073741824 * (k % 1073741824)) % 1073741824 + rate) // 1073741824) * size) :: BIGINT AS taken FROM n
 """
