@@ -2,8 +2,8 @@
 n-grams, trained on labelled rows, probability-calibrated, scored in Arrow batches against fixed thresholds.
 
 Features of a text are the shares of its hashed byte trigrams (``DIM`` buckets) and of its hashed
-words and word pairs (``DIM`` more each), taken with numpy over the whole text. Training sees at most
-``rows_per_class`` labelled rows of each class, those of the smallest hashed ids; their sparse
+words and word pairs (``DIM`` more each), taken with numpy over the whole text. Training sees a
+bounded sample of labelled rows (``labelled.sample``; ``rows_per_class``); their sparse
 features are made on the executors. A fifth of them is kept apart to fit the
 calibration (Platt's), each row weighted by the labelled rows of its class that it stands for, so that probabilities
 have the labels' own shares of the classes, whatever the sample's. The model, less than 1 MB, goes to the executors with the tasks; scoring is one
@@ -12,11 +12,13 @@ pass without a shuffle.
 Defined cases: null texts count as empty; a text without words fails the base rules; labels that are
 null or repeat are left out or used as they come, one vote a row; without labels of both
 classes the model gives every text the share of class 1 (1 if there are none), and base rules decide;
-repeated rows and null ids are scored row by row; an empty table gives none. Other columns play no part.
+repeated rows and null ids are scored row by row; a probability equal to the threshold is good; very long texts are
+taken whole, in some tens of bytes of memory a byte; an empty table gives none. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -25,6 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import labelled
+from .common import column
+
 BLANKS = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 DIM_BITS = 16
@@ -116,23 +121,21 @@ class Model:
 def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows_per_class: int) -> tuple[list, dict[int, float]]:
     """Rows (label, at, value): sparse features of the bounded sample, as bytes of int32 and float32; and
     how many labelled rows each sampled row of a class stands for."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where("__id IS NOT NULL")
-    stands = {r["label"]: r["count"] / min(r["count"], rows_per_class) for r in known.where("label IN (0, 1)").groupBy("label").count().collect()}
-    each = [known.where(F.col("label") == c).orderBy(F.xxhash64("__id"), "__id").limit(rows_per_class) for c in (0, 1)]
-    sample = F.broadcast(each[0].unionByName(each[1]))  # at most 2 * rows_per_class rows
+    chosen, totals = labelled.sample(docs, labels, id_col, text_col, label_col, rows_per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for b in batches:
             at, value = [], []
             for t in b.column(1):
-                found = [np.unique(p.astype(np.int64) + i * DIM, return_counts=True) for i, p in enumerate(hasher.parts(t.as_py() or ""))]
+                found = [np.unique(p.astype(np.int64) + i * DIM, return_counts=True) for i, p in enumerate(hasher.parts(t.as_py()))]
                 at.append(np.concatenate([f[0] for f in found]).astype("<i4").tobytes())
                 value.append(np.concatenate([f[1] / max(1, f[1].sum()) for f in found]).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["label", "at", "value"])
 
-    chosen = docs.join(sample, docs[id_col] == sample["__id"]).select("label", F.col(text_col).cast("string").alias("text"))
-    return sorted(chosen.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"]))), stands
+    rows = sorted(chosen.select("label", "text").mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
+    sampled = Counter(r["label"] for r in rows)
+    return rows, {c: n / sampled[c] for c, n in totals.items() if sampled[c]}
 
 
 #: Rows whose features are worked on at a time.
@@ -227,12 +230,12 @@ def scorer(model: Model, threshold: float = THRESHOLD) -> Callable[[Column], Col
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """id_col and SCORES."""
-    return docs.select(id_col, scorer(model, threshold)(F.col(text_col).cast("string")).alias("__s")).select(id_col, "__s.*")
+    return docs.select(column(docs, id_col), scorer(model, threshold)(column(docs, text_col).cast("string")).alias("__s")).select(f"`{id_col}`", "__s.*")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that pass; columns as they were."""
-    verdict = scorer(train(docs, labels, id_col, text_col, label_col), threshold)(F.col(text_col).cast("string"))
+    verdict = scorer(train(docs, labels, id_col, text_col, label_col), threshold)(column(docs, text_col).cast("string"))
     return docs.where(verdict["kept"])
 
 

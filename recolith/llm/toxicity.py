@@ -1,22 +1,28 @@
 """Toxicity by compression distance: how much shorter do windows of a text become when
 zstandard may also use a dictionary of toxic text?
 
-Two dictionaries are trained on labelled rows: one on windows of ordinary texts, one on the
+Two dictionaries are trained on labelled rows by zstandard's own trainer: one on all windows of ordinary texts, one on the
 stretches of toxic texts whose byte 5-grams are over-represented there (likelihood ratio). Both
 compressors hold the ordinary one at the same distance; the toxic one alone follows it in one of them, and
 zeros of the same length in the other, so that ordinary text compresses alike in both and the
 difference of two lengths is what the toxic text explains. A document's windows of ``WINDOW``
 words give a histogram of differences; a logistic regression over it, fitted to the labelled rows with
 each label weighted by all its rows, gives the calibrated score, with the threshold at 0.5. Lengths come from zstandard's buffer API, a document a call.
+A window counts with at most ``STEPS`` bytes saved: more tell no more.
 
-Training sees at most ``rows_per_class`` rows of each label, those of the smallest hashed ids; near
+A departure: the toxic dictionary is not trained on whole toxic windows, as most of what these repeat is as ordinary as the text around it. Where no
+5-gram stands out whole windows are used. README has the figures of both ways.
+
+Training sees a bounded sample of labelled rows (``labelled.sample``; ``rows_per_class``); near
 copies among them, known by a run of five words at the same quarter, count once for the dictionaries. The driver holds
 that sample alone. Scoring is one pass over Arrow batches without a shuffle.
 
 Defined cases: null and empty texts score like any text without toxic windows; rows whose label
 is null are not learnt from; without labels of both kinds the score is the share of label 1, 0 if
 there are none; repeated rows and null ids (held out if crc32 of the empty text says so: it does) are
-scored row by row; an empty table gives none. Other columns are never looked at.
+scored row by row; a score of exactly 0.5 is toxic; very long texts are taken whole, and windows of very long words are cut into
+overlapping pieces of ``MOST`` bytes, so that all of them are within reach of the dictionaries; an empty table gives none. Other columns are never looked at,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -30,8 +36,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import LOWER, UPPER
+from . import labelled
+from .common import LOWER, UPPER, column
 
 WINDOW = 8
 FOLDS = 5
@@ -39,6 +47,8 @@ ROWS_PER_CLASS = 4000
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 1024
 GRAM, MIN_DOCS, MIN_RATIO, MIN_GAIN = 5, 4, 3.0, 20.0
 STEPS, FRONT = 8, 48
+#: Most bytes of a window and of the overlap of its pieces.
+MOST, OVERLAP = 4096, 32
 FEATURES = 2 + 2 * (STEPS + 1) + 2 * STEPS + 1
 _LOWERED = bytes.maketrans(UPPER.encode(), LOWER.encode())
 
@@ -48,7 +58,11 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 def windows(words: list[bytes], size: int = WINDOW, front: bytes = b"") -> list[bytes]:
-    return [front + b" " + b" ".join(words[i : i + size]) + b" " for i in range(0, len(words), size)]
+    out = []
+    for i in range(0, len(words), size):
+        window = b" " + b" ".join(words[i : i + size]) + b" "
+        out += [front + window] if len(window) <= MOST else [front + window[j : j + MOST] for j in range(0, len(window) - OVERLAP, MOST - OVERLAP)]
+    return out
 
 
 @dataclass
@@ -163,8 +177,8 @@ def fit(rows: list[tuple[str, int]], totals: dict[int, int] | None = None) -> Mo
         share = min(max(y.mean() if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(b"", b"", none, none + 1, np.concatenate([[math.log(share / (1 - share))], none]))
     marked = characteristic(toxic, ordinary)
-    samples = [s for w in toxic for x in w for s in stretches(x, marked)]
-    model = Model(dictionary([x for w in ordinary for x in windows(w)][::3], ORDINARY_BYTES), dictionary(samples, TOXIC_BYTES) if samples else b"", none, none + 1, np.concatenate([[0.0], none]))
+    samples = [s for w in toxic for x in w for s in stretches(x, marked)] or [x for w in toxic for x in windows(w)]
+    model = Model(dictionary([x for w in ordinary for x in windows(w)], ORDINARY_BYTES), dictionary(samples, TOXIC_BYTES), none, none + 1, np.concatenate([[0.0], none]))
     x = np.array([model.features(t) for t, _ in rows])
     model.mean, model.sd = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = np.hstack([np.ones((len(x), 1)), (x - model.mean) / model.sd])
@@ -185,13 +199,9 @@ def held_out(id_: Column) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", rows_per_class: int = ROWS_PER_CLASS) -> Model:
     """From labelled rows that are not held out, at most ``rows_per_class`` of each label."""
-    known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).where(F.col("__id").isNotNull() & ~held_out(F.col("__id")))
-    totals = {r["label"]: r["count"] for r in known.where("label IN (0, 1)").groupBy("label").count().collect()}
-    each = [known.where(F.col("label") == c).orderBy(F.xxhash64("__id"), "__id").limit(rows_per_class) for c in (0, 1)]
-    sample = F.broadcast(each[0].unionByName(each[1]))  # at most 2 * rows_per_class rows
-    rows = docs.join(sample, docs[id_col] == sample["__id"]).select("__id", F.col(text_col).cast("string").alias("text"), "label").collect()
-    rows.sort(key=lambda r: (r["__id"], r["label"], r["text"] or ""))
-    return fit([(r["text"] or "", r["label"]) for r in rows], totals)
+    chosen, totals = labelled.sample(docs, labels, id_col, text_col, label_col, rows_per_class, among=lambda i: ~held_out(i))
+    rows = sorted(chosen.collect(), key=lambda r: (r["h"], r["t"], r["label"]))
+    return fit([(r["text"], r["label"]) for r in rows], totals)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,8 +212,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             found = [model.score(model.features(t.as_py())) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.float64())], names=[id_col, "score"])
 
-    rows = docs.select(id_col, F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, score double")
+    rows = docs.select(column(docs, id_col), column(docs, text_col).cast("string").alias("__text"))
+    return rows.mapInArrow(run, StructType([rows.schema[0], StructField("score", DoubleType())]))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
