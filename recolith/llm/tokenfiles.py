@@ -8,11 +8,12 @@ bits its other 60 hold (``COUNTS``, ``WIDTHS``); the last selector is the escape
 id that needs more, among the escapes. Blocks begin with a word of their own, so that all
 words of a segment are decoded at once, by selector, into places that follow from the block offsets.
 
-Writing sorts documents by id over the cluster by ranges, encodes each range into one file, and lists the files
+Writing sorts documents by id, and those of one id by a hash of the text, over the cluster by ranges, encodes each range into one file, and lists the files
 with their numbers of ids; the prefix sums over that list give every file its first id's place.
 
-Defined cases: null and empty texts are documents of the end id alone; documents that share an id stay apart, in
-order of text; a null id comes first; an empty table gives no files and no rows. Other columns play no part.
+Defined cases: null and empty texts are documents of the end id alone; documents that share an id, or have none, stay apart, in
+order of the hash of their texts and then of the texts, and their number may span ranges; a null id comes first; documents equal in both are
+alike in the files too; a very long text is a segment of its own, held in memory once; an empty table gives no files and no rows. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
-from .common import fresh_path
+from .common import column, fresh_path
 from .tokencounts import Pieces, batches_of, vocabulary
 
 MAGIC = b"S8BT0001"
@@ -181,8 +182,9 @@ def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "
             out.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "path": [f"{folder}/{part:06d}-{name}"], "documents": [total_docs], "ids": [total]})
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    ordered = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    rows = docs.select(column(docs, id_col).cast("long").alias("id"), column(docs, text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    order = [F.col("id").asc_nulls_first(), F.col("h").asc()]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, F.col("text").asc_nulls_first()).select("id", "text")
     return sorted(ordered.mapInArrow(run, FILES).collect())  # a row a file
 
 
