@@ -2,18 +2,19 @@
 
 An ARC file opens with a ``filedesc:`` record that names its version and, one by one, the fields of the
 header lines that follow; each record is such a line and as many bytes as its last field declares. The
-converter reads both versions and synthesises what WARC asks for: record ids (name-based, so a
-rerun gives the same), ISO timestamps from 14 digits, types (``filedesc:`` warcinfo, HTTP
+converter reads both versions and synthesises what WARC asks for: record ids (named by the record's place, its file and number,
+so that each is unique and converting the same files again gives the same), ISO timestamps from 14 digits, types (``filedesc:`` warcinfo, HTTP
 responses, anything else resource), block and payload digests. Files are compressed record by record.
 
 Records with equal payloads of at least ``MIN_REVISIT`` bytes keep one response, that with the largest id;
-the others become revisits of it. Groups are counted over digests and lengths alone (pre-aggregated, so one
+the others become revisits of it (of records that share that id all stay responses, and the last of them in place is referred to). Groups are counted over digests and lengths alone (pre-aggregated, so one
 payload may be a third of all records); only groups of two or more meet the records again, broadcast if
 few. Each task streams its files record by record.
 
 Defined cases: null payloads are empty; null and empty urls become ``urn:page:`` and the id; blanks and controls in
 urls are percent-encoded; records of one id are all written; a record with a null id takes part, as a revisit if
-its group has an id, and reads back as null; an empty table gives no files and no rows. Other columns play no part.
+its group has an id, and reads back as null; HTTP heads may end in bare line feeds; a header line without its fields, or a record that
+ends early, is an error; a very long page is one record in memory; an empty table gives no files and no rows. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import base64
 import gzip
 import hashlib
 import io
+import os
 import re
 import uuid
 import zlib
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import files
-from .common import fresh_path, materialise, small_side
+from .common import column, fresh_path, materialise, small_side
 
 #: Header lines by version.
 FIELDS = {
@@ -41,6 +43,7 @@ FIELDS = {
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length".split(),
 }
 MIN_REVISIT = 1000
+HEAD_END = re.compile(rb"\r?\n\r?\n")
 LEVEL = 3
 #: Compressed bytes after which a task begins another file.
 FILE_BYTES = 256 << 20
@@ -48,8 +51,8 @@ ID_HEADER = "X-Page-Id"
 NAMESPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # names that are URLs (RFC 4122)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 LISTED = "path string, records long"
-RECORD = "id long, uri string, ip string, date string, mime string, block binary, head_bytes long"
-INDEX = "id long, payload_bytes long, sha256 string"
+RECORD = "id long, place string, uri string, ip string, date string, mime string, block binary, head_bytes long"
+INDEX = "id long, place string, payload_bytes long, sha256 string"
 
 
 def member(data: bytes) -> bytes:
@@ -120,7 +123,7 @@ def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: s
                 roll.add(arc_line(version, clean_url(url.as_py(), page), "0.0.0.0", date, "text/html", len(block)) + block + b"\n")
         yield roll.rows()
 
-    rows = pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"), F.col(html_col).cast("string"))
+    rows = pages.select(column(pages, id_col).cast("long"), column(pages, url_col).cast("string"), column(pages, html_col).cast("string"))
     return sorted(rows.mapInArrow(run, LISTED).collect())  # a row a file
 
 
@@ -133,7 +136,9 @@ def arc_records(stream: Any) -> Iterator[tuple[dict[str, str], bytes]]:
         if not line:
             continue
         text = line.decode("utf-8", "replace")
-        length = int(text.rsplit(" ", 1)[1])
+        if not text.rpartition(" ")[2].isdigit() or " " not in text:
+            raise ValueError(f"no header line of a record: {text[:200]}")
+        length = int(text.rpartition(" ")[2])
         block = data.read(length)
         if len(block) != length:
             raise ValueError(f"record ends early: {text[:200]}")
@@ -147,11 +152,9 @@ def arc_records(stream: Any) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def http_head(block: bytes) -> int:
-    """Bytes of the HTTP head, blank line included; 0 if the block is no HTTP response."""
-    if not block.startswith(b"HTTP/"):
-        return 0
-    end = block.find(b"\r\n\r\n")
-    return end + 4 if end >= 0 else 0
+    """Bytes of the HTTP head, blank line included; 0 if the block is no HTTP response. Old servers end lines in bare line feeds."""
+    found = HEAD_END.search(block) if block.startswith(b"HTTP/") else None
+    return found.end() if found else 0
 
 
 def named_id(head: bytes) -> int | None:
@@ -168,13 +171,13 @@ def read_arc(spark: SparkSession, listed: list, index: bool = False) -> DataFram
                 rows: list[tuple] = []
                 held = 0
                 with files.open_old(path) as stream:
-                    for fields, block in arc_records(stream):
+                    for i, (fields, block) in enumerate(arc_records(stream)):
                         head = http_head(block)
-                        page = named_id(block[:head])
+                        page, place = named_id(block[:head]), f"{os.path.basename(path)}#{i:012d}"
                         if index:
-                            rows.append((page, len(block) - head, hashlib.sha256(block[head:]).hexdigest()))
+                            rows.append((page, place, len(block) - head, hashlib.sha256(block[head:]).hexdigest()))
                         else:
-                            rows.append((page, fields["URL"], fields["IP-address"], fields["Archive-date"], fields["Content-type"], block, head))
+                            rows.append((page, place, fields["URL"], fields["IP-address"], fields["Archive-date"], fields["Content-type"], block, head))
                             held += len(block)
                         if held > 8 << 20 or len(rows) >= 5000:
                             yield batch(rows, INDEX if index else RECORD)
@@ -194,8 +197,8 @@ def batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 # --- WARC
 
 
-def record_id(page: int | None, sha1: str, uri: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, f'{page if page is not None else uri}|{sha1}')}>"
+def record_id(place: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(NAMESPACE, place)}>"
 
 
 def digest32(data: bytes) -> str:
@@ -218,21 +221,20 @@ def warc_opening(name: str) -> bytes:
     return warc_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(NAMESPACE, name)}>"), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], body)
 
 
-def convert(page: int | None, uri: str, ip: str, date: str, mime: str, block: bytes, head: int, refers_to: int | None) -> bytes:
+def convert(page: int | None, place: str, uri: str, ip: str, date: str, mime: str, block: bytes, head: int, refers_to: int | None, refers_place: str | None) -> bytes:
     """An ARC record as a WARC record."""
     payload = block[head:]
-    sha1 = hashlib.sha1(payload).hexdigest()
     kind = ("revisit" if refers_to is not None else "response") if head else "resource"
     body = block[:head] if kind == "revisit" else block
     return warc_record(
         [
             ("WARC-Type", kind),
-            ("WARC-Record-ID", record_id(page, sha1, uri)),
+            ("WARC-Record-ID", record_id(place)),
             ("WARC-Date", iso(date)),
             ("WARC-Target-URI", uri),
             ("WARC-IP-Address", ip),
             ("WARC-Profile", REVISIT_PROFILE if kind == "revisit" else None),
-            ("WARC-Refers-To", record_id(refers_to, sha1, uri) if kind == "revisit" else None),
+            ("WARC-Refers-To", record_id(refers_place) if kind == "revisit" else None),
             ("X-Refers-To-Page-Id", refers_to if kind == "revisit" else None),
             (ID_HEADER, page),
             ("WARC-Payload-Digest", digest32(payload)),
@@ -245,9 +247,9 @@ def convert(page: int | None, uri: str, ip: str, date: str, mime: str, block: by
 
 
 def revisits(index: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
-    """sha256, payload_bytes and target: groups of equal payloads, and the id of the one that stays a response."""
-    groups = index.where(F.col("payload_bytes") >= least).groupBy("sha256", "payload_bytes").agg(F.max("id").alias("target"), F.count("*").alias("n"))
-    return groups.where("n > 1").drop("n")
+    """sha256, payload_bytes, target and target_place: groups of equal payloads, and the id and place of the one that stays a response."""
+    groups = index.where(F.col("payload_bytes") >= least).groupBy("sha256", "payload_bytes").agg(F.max(F.struct("id", "place")).alias("top"), F.count("*").alias("n"))
+    return groups.where("n > 1").select("sha256", "payload_bytes", F.col("top.id").alias("target"), F.col("top.place").alias("target_place"))
 
 
 def arc_to_warc(spark: SparkSession, listed: list, folder: str, least: int = MIN_REVISIT) -> list:
@@ -256,8 +258,8 @@ def arc_to_warc(spark: SparkSession, listed: list, folder: str, least: int = MIN
     records = read_arc(spark, listed)
     payload = F.substring(F.col("block"), F.col("head_bytes").cast("int") + 1, F.length("block"))
     keyed = records.withColumn("payload_bytes", F.length("block") - F.col("head_bytes")).withColumn("sha256", F.sha2(payload, 256))
-    target = F.when(~F.col("id").eqNullSafe(F.col("target")), F.col("target")).alias("refers_to")
-    typed = keyed.join(groups, ["sha256", "payload_bytes"], "left").select(*records.columns, target)
+    other = ~F.col("id").eqNullSafe(F.col("target"))
+    typed = keyed.join(groups, ["sha256", "payload_bytes"], "left").select(*records.columns, F.when(other, F.col("target")).alias("refers_to"), F.when(other, F.col("target_place")).alias("refers_place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roll = Roll(folder, ".warc.gz", warc_opening)
