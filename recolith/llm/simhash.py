@@ -20,7 +20,8 @@ Components come from alternating large and small stars, each round a written tab
 
 Defined cases: null and empty texts have fingerprint zero and are linked like any other; rows that
 repeat a document id stay rows of their own, and share their component if their fingerprints do; a null id is never a
-component's id unless all its ids are null; an empty table gives none. Other columns play no part.
+component's id unless all its ids are null; a bit set in exactly half of the shingles is 0; very long texts are hashed in pieces of ``_CHUNK`` shingles;
+an empty table gives none. Other columns play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -31,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import LOWER, UPPER, materialise, small_side
+from .common import LOWER, UPPER, column, materialise, private, small_side
 
 BITS = 64
 SEED = 42
@@ -67,8 +69,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(t.as_py(), shingle) for t in b.column(1)], dtype=np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found)], names=[id_col, "fp"])
 
-    rows = docs.select(id_col, F.col(text_col).cast("string").alias("__text"))
-    return rows.mapInArrow(run, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, fp long")
+    rows = docs.select(column(docs, id_col), column(docs, text_col).cast("string").alias("__text"))
+    return rows.mapInArrow(run, StructType([rows.schema[0], StructField("fp", LongType())]))
 
 
 # --- partitions and thresholds
@@ -257,21 +259,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 2, shingle: int = 3, bucket: int = BUCKET) -> DataFrame:
-    """One row of ``docs`` of each component: of its rows that have an id that of the smallest id, then of the smallest text hash; columns as they were.
+    """One row of ``docs`` of each component: that of the smallest id, null last, then of the smallest text hash; columns as they were.
 
     Rows are told apart by a number that they are written with, so a row goes or stays whatever others of its id do, and of rows that repeat
-    in id and text any one stays. Rows without an id are held against each other alone: one of them stays in each component too.
+    in id and text any one stays.
     """
-    docs = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    known = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col).cast("string")).alias("hash"), F.col("__row").alias("row")).alias("__key"), text_col)
-    fps = materialise(fingerprints(known, "__key", text_col, shingle).select("__key.*", "fp"), "fingerprints")
-    key, named = F.struct("id", "hash", "row"), F.col("id").isNotNull()
-    linked = linked_classes(fps, distance, bucket, F.min(F.when(named, key)).alias("named"), F.min(F.when(~named, key)).alias("nameless"))
-    roots = linked.groupBy("root").agg(F.min("named")["row"].alias("first"), F.min("nameless")["row"].alias("nameless_first"))
-    classes = materialise(linked.select("fp", "root").join(roots, "root").select(F.col("fp").alias("__fp"), "first", "nameless_first"), "classes")
-    joined = fps.join(small_side(classes), fps["fp"] == classes["__fp"])
-    gone = materialise(joined.where(F.col("row") != F.when(named, F.col("first")).otherwise(F.col("nameless_first"))).select(F.col("row").alias("__gone")), "duplicates")
-    return docs.join(small_side(gone), docs["__row"] == gone["__gone"], "left_anti").drop("__row")
+    row = private(docs, "__row")
+    docs = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    text = column(docs, text_col)
+    known = docs.select(F.struct(column(docs, id_col).isNull().alias("nameless"), column(docs, id_col).alias("id"), F.xxhash64(text.cast("string")).alias("hash"), docs[row].alias("row")).alias("key"), text.alias("text"))
+    fps = materialise(fingerprints(known, "key", "text", shingle), "fingerprints")
+    linked = linked_classes(fps, distance, bucket, F.min("key").alias("least"))
+    roots = linked.groupBy("root").agg(F.min("least")["row"].alias("first"))
+    classes = materialise(linked.select("fp", "root").join(roots, "root").select(F.col("fp").alias("class_fp"), "first"), "classes")
+    joined = fps.join(small_side(classes), fps["fp"] == classes["class_fp"]).where(F.col("key.row") != F.col("first"))
+    gone = materialise(joined.select(F.col("key.row").alias(row)), "duplicates")
+    return docs.join(small_side(gone), docs[row] == gone[row], "left_anti").drop(row)
 
 
 def digest(docs: DataFrame) -> DataFrame:
