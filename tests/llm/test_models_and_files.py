@@ -88,6 +88,56 @@ def test_toxicity_separates_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 and r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
 
 
+def test_learning_is_bounded_and_knows_its_columns(spark):
+    """A labelled id that stands for many documents, long texts, and documents with the columns of labels and of a path in their names."""
+    from recolith.llm import labelled
+
+    rows = [(1, f"good text {i}", 0, "x", i) for i in range(50)] + [(2, f"bad text {i}", 1, "x", i) for i in range(50)] + [(3, "y" * 5000, 0, "x", 0), (None, "z", 1, "x", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, label int, `a.b` string, __id int")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0), (3, None, 7), (9, 1, 1), (None, 0, 0)], "doc_id long, quality int, toxic int")
+    got, totals = labelled.sample(docs, labels, "doc_id", "text", "quality", 20)
+    assert Counter(r["label"] for r in got.collect()) == Counter({0: 20, 1: 20}) and totals == {0: 1, 1: 3}
+    got, _ = labelled.sample(docs, labels, "doc_id", "text", "quality", 100, bytes_per_class=200)
+    size = Counter()
+    for r in got.collect():
+        size[r["label"]] += len(r["text"])
+    assert all(180 < n <= 200 for n in size.values()) and set(size) == {0, 1}
+    assert toxicity.digest(docs, labels).count() == len(rows) and quality.digest(docs, labels).count() == len(rows)
+    assert quality.keep_good(docs, labels).columns == docs.columns
+
+
+def test_quality_verdicts_follow_the_rules(spark, docs):
+    """base_failed and kept of the query, from a slow count."""
+    draw = random.Random(6)
+    rows = [(i, " ".join(draw.choices(["a", "b", "c"] if i % 2 else [f"w{j}" for j in range(500)], k=draw.randint(0, 40)))) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, quality int")
+    for r in quality.digest(spark.createDataFrame(rows, "doc_id long, text string"), labels).collect():
+        w = rows[r["doc_id"]][1].split()
+        grams = Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        repeated = len({j for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)})
+        failed = len(w) < 10 or 100 * repeated > 20 * len(w)
+        assert (r["n_words"], r["n_repeat_words"], r["base_failed"]) == (len(w), repeated, failed)
+        assert r["kept"] == (not failed and r["probability"] >= quality.THRESHOLD)
+
+
+def test_quality_probabilities_are_calibrated(spark):
+    """In bins of probability the share of good rows is near the mean, on rows that were not learnt from."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    odd = F.col("doc_id") % 2 == 1
+    scored = quality.score(docs, quality.train(docs, labels.where(odd))).join(labels.where(~odd), "doc_id").select("probability", "quality").collect()
+    p, y = np.array([r[0] for r in scored]), np.array([r[1] for r in scored])
+    bins = [(p >= a) & (p < b) for a, b in ((0, 0.2), (0.2, 0.8), (0.8, 1.01))]
+    gap = sum(b.sum() * abs(p[b].mean() - y[b].mean()) for b in bins if b.any()) / len(p)
+    assert gap < 0.05
+
+
+def test_toxicity_of_very_long_words():
+    long = b"x" * 10_000
+    parts = toxicity.windows([b"a", long, b"b"])
+    assert all(len(p) <= toxicity.MOST for p in parts) and sum(map(len, parts)) >= len(long) and parts[0].startswith(b" a x") and parts[-1].endswith(b"x b ")
+    assert all(a[-toxicity.OVERLAP :] == b[: toxicity.OVERLAP] for a, b in zip(parts, parts[1:], strict=False))
+
+
 def test_toxicity_on_odd_tables(spark, docs):
     labels = spark.createDataFrame([(3, 1), (4, 0), (None, 0), (6, None), (7, 1), (9, 0), (10, 1)], "doc_id long, toxic int")
     assert toxicity.digest(docs, labels).count() == docs.count()
@@ -103,6 +153,88 @@ def test_secret_patterns(spark):
     assert secrets.base_spans("token=a:secret=abcdefg") == [(8, 0, 22)] and secrets.base_spans("\u017fecret=abcdefg to\u212aen=abcdefg") == []
 
 
+def test_secret_patterns_against_a_slow_walk():
+    """Base spans of random strings, the counts and their digest's text, by a walk over characters."""
+    key, word = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-"), ("password", "passwd", "secret", "token", "apikey", "api_key")
+
+    def run(text, at, chars):
+        end = at
+        while end < len(text) and text[end] in chars:
+            end += 1
+        return end
+
+    def assign(text, at):
+        """End and length of group 2 of the match at the place, or None. Regular expressions give back what they took: here only the quotes are optional."""
+        for w in word:
+            if text[at : at + len(w)].lower() == w and text[at : at + len(w)].isascii():
+                i = at + len(w)
+                i += text[i : i + 1] in ('"', "'")
+                i = run(text, i, " ")
+                if text[i : i + 1] in (":", "="):
+                    i = run(text, i + 1, " ")
+                    i += text[i : i + 1] in ('"', "'")
+                    end = run(text, i, key)
+                    if end > i:
+                        return end, end - i
+        return None
+
+    def slow(text):
+        spans, at = [], 0
+        while at < len(text):
+            found = assign(text, at)
+            if found:
+                spans += [(at, 0, found[0])] if found[1] >= 6 else []
+                at = found[0]
+            else:
+                at += 1
+        for kind, start, chars, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 20), (2, "", set("0123456789abcdef"), 24)):
+            at = 0
+            while at < len(text):
+                end = run(text, at + len(start), chars) if text.startswith(start, at) else at
+                if end > at + len(start):
+                    spans += [(at, kind, end)] if end - at >= least else []
+                    at = end
+                else:
+                    at += 1
+        return sorted(spans)
+
+    draw = random.Random(21)
+    bits = ["password", "Token", "SECRET", "api_key", "apikey", "passwd", "=", ":", " ", "'", '"', "AKIA", "A1B2" * 4, "0a1b" * 6, "ab", "ffff", "é", "x-y/z", "\n", "ſ", "="]
+    for _ in range(400):
+        text = "".join(draw.choices(bits, k=draw.randint(0, 40)))
+        assert secrets.base_spans(text) == slow(text)
+
+
+def test_markov_spans_are_what_base_spans_leave(spark):
+    model = secrets.trained(spark)
+    draw = random.Random(5)
+    key = lambda n: "".join(draw.choices(secrets.ALPHABET[:62], k=n))
+    for _ in range(200):
+        text = " ".join(draw.choice([key(30), "token=" + key(10), "0a1b" * 7 + key(20), "plain words", "é" + key(16) + "é"]) for _ in range(6))
+        base = secrets.base_spans(text)
+        covered = {i for s, _, e in base for i in range(s, e)}
+        expected, at = [], 0
+        while at < len(text):
+            end = at
+            while end < len(text) and end not in covered and text[end] in secrets.ALPHABET:
+                end += 1
+            if end - at >= secrets.MIN_TOKEN and model.ratio(text[at:end]) > secrets.THRESHOLD:
+                expected.append((at, 3, end))
+            at = max(end, at + 1)
+        assert secrets.markov_spans(text, model, base) == expected
+    letters = "".join(draw.choices(secrets.ALPHABET[:52], k=40))
+    assert secrets.markov_spans(f"a {letters} b", model, []) == [(2, 3, 42)]
+    # in proportion to the length, with many spans and a token of a megabyte
+    text = "token=abcdefgh " * 100_000 + "x" * 1_000_000
+    assert len(secrets.base_spans(text)) == 100_000 and len(secrets.markov_spans(text, model, secrets.base_spans(text))) <= 1
+
+
+def test_markov_models_know_identifiers(spark):
+    model = secrets.trained(spark)
+    ordinary = ["passwordResetToken2023", "getElementsByClassName", "AbstractSingletonProxyFactoryBean", "internationalization", "/usr/local/lib/python3/dist-packages", "2024-01-01T00-00-00", "0123456789012345", "-" * 40, "Donaudampfschifffahrtsgesellschaft", "thequickbrownfoxjumps1"]
+    assert all(model.ratio(t) <= secrets.THRESHOLD for t in ordinary)
+
+
 def test_markov_models_separate_new_samples(spark):
     model = secrets.trained(spark)
     new = secrets.labelled_samples(500, seed=1234)
@@ -134,6 +266,30 @@ def test_token_counts(spark, docs):
     assert tokencounts.digest(docs.limit(0)).count() == 0
 
 
+def test_other_tokenizers_are_given_texts_whole(spark, docs):
+    """Whatever a file's normaliser and splitter are, and a sentencepiece model too, counts are the library's."""
+    import os
+
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    folder = os.path.dirname(tokencounts.vocabulary())
+    names = sorted(os.listdir(folder))
+    others = [n for n in names if n.endswith(".json") and n != "word_bpe_49k.json" and b'"model"' in open(f"{folder}/{n}", "rb").read()][:2] + [n for n in names if n.endswith(".model")][:1]
+    for name in others:
+        path = f"{folder}/{name}"
+        if name.endswith(".model"):
+            processor = sentencepiece.SentencePieceProcessor(model_file=path)
+            count = lambda t, p=processor: len(p.encode(t))
+        else:
+            library = Tokenizer.from_file(path)
+            library.no_truncation()
+            library.no_padding()
+            count = lambda t, p=library: len(p.encode(t, add_special_tokens=False).ids)
+        for r in tokencounts.counts(docs, path).where("doc_id IS NOT NULL").collect():
+            assert r["n_tokens"] == count(ODD[r["doc_id"]] or "")
+
+
 def test_token_counts_beyond_the_cache():
     pieces = tokencounts.Pieces(tokencounts.vocabulary(), len, most=3)
     for texts in (["a b c"], ["d e f a"], ["g a"]):
@@ -162,7 +318,7 @@ def test_simple8b(n, high):
 
 def test_token_files(spark, docs):
     got = tokenfiles.digest(docs.repartition(3)).orderBy("start").collect()
-    order = [None, 0, 1, 2, 3, 3, *range(4, len(ODD))]
+    order = [None, 0, 1, 2, 3, 3, *range(4, len(ODD))]  # ids of a hot id or none may span files, by the hash of the text
     assert [r["doc_id"] for r in got] == order
     start = 0
     for r in got:
@@ -181,6 +337,9 @@ def test_arc_versions(version):
     assert archives.http_head(blocks[0][1]) == 33 and archives.named_id(blocks[0][1]) == 7 and archives.http_head(blocks[1][1]) == 0
     with pytest.raises(ValueError):
         list(archives.arc_records(io.BytesIO(gzip.compress(gzip.decompress(data)[:-3]))))
+    with pytest.raises(ValueError):
+        list(archives.arc_records(io.BytesIO(gzip.compress(gzip.decompress(data) + b"nonsense\n"))))
+    assert archives.http_head(b"HTTP/1.0 200 OK\nX: y\n\nbody\r\n\r\n") == 22
 
 
 def test_arc_to_warc(spark):
@@ -195,5 +354,7 @@ def test_arc_to_warc(spark):
     records = [h for w in warcs for h, _ in archives.warc_records(files.open_old(w["path"]))]
     ids = {h["warc-record-id"] for h in records if h["warc-type"] == "response"}
     assert all(h["warc-refers-to"] in ids for h in records if h["warc-type"] == "revisit")
+    every = [h["warc-record-id"] for h in records]
+    assert len(set(every)) == len(every)
     assert {h["warc-target-uri"] for h in records if h["warc-type"] != "warcinfo"} >= {"http://a%20b%0A/x", "urn:page:2", "urn:page:None"}
     assert {h["warc-date"] for h in records if h["warc-type"] != "warcinfo"} == {"2024-01-01T00:00:00Z"} and archives.iso("2024") == "2024-01-01T00:00:00Z"
