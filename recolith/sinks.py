@@ -1,6 +1,7 @@
 """Sinks: keyed upserts, replacement by source, state files, CSV and JSON exports, catalogues and checksums.
 
-Tables are Parquet directories. Writers that replace write beside the old table and swap at the end, so a job that is lost leaves the old one.
+Tables are Parquet directories. Writers that replace write beside the old table and swap at the end: the old table moves aside, the new one takes its
+place, the old one goes. A job that is lost leaves the old table in its place, or, within the swap, both beside each other, which the next swap or ``recover`` puts right.
 """
 
 from __future__ import annotations
@@ -15,6 +16,11 @@ from pyspark.sql import functions as F
 from .sources.state import exists
 
 
+#: What is put behind the name of a table that has moved aside.
+ASIDE = ".old"
+MOST_SUMMARY = 100_000
+
+
 def _fs(spark: SparkSession, path: str) -> tuple[Any, Any]:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
@@ -25,9 +31,25 @@ def swap(spark: SparkSession, staged: str, path: str) -> None:
     files, new = _fs(spark, staged)
     old = spark._jvm.org.apache.hadoop.fs.Path(path)
     files.mkdirs(old.getParent())
-    if files.exists(old):
-        files.delete(old, True)
-    files.rename(new, old)
+    recover(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ASIDE)
+    if files.exists(old) and not files.rename(old, aside):
+        raise OSError(f"{path} can't be moved aside")
+    if not files.rename(new, old):
+        recover(spark, path)
+        raise OSError(f"{staged} can't be moved to {path}")
+    files.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """After a job that was lost within a swap: the old table comes back where no new one has come, else it goes."""
+    files, old = _fs(spark, path)
+    aside = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ASIDE)
+    if files.exists(aside):
+        if files.exists(old):
+            files.delete(aside, True)
+        else:
+            files.rename(aside, old)
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -37,15 +59,28 @@ def overwrite(df: DataFrame, path: str) -> None:
 
 
 def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Rows of ``df`` replace those of the same keys."""
+    """Rows of ``df`` replace those of the same keys, null keys included. Of rows of ``df`` that share a key the one that is largest, column by column, counts."""
     spark = df.sparkSession
-    old = spark.read.parquet(path).join(df.select(*keys), keys, "left_anti").select(*df.columns) if exists(spark, path) else df.limit(0)
-    overwrite(old.unionByName(df), path)
-
-
-def replace_source(df: DataFrame, path: str) -> None:
-    """The partitions of the sources in ``df`` are replaced, others stay."""
+    recover(spark, path)
+    one = df.groupBy(*keys).agg(F.max(F.struct(*[c for c in df.columns if c not in keys])).alias("__row")).select(*keys, "__row.*") if len(df.columns) > len(keys) else df.distinct()
+    new = one.select(*df.columns)
+    if exists(spark, path):
+        # a union and one grouping: keys are equal as groups are, null to null
+        rows = lambda d, rank: d.select(*keys, F.struct(F.lit(rank).alias("rank"), F.struct(*df.columns).alias("row")).alias("r"))
+        both = rows(spark.read.parquet(path), 0).unionByName(rows(new, 1)).groupBy(*keys).agg(F.max_by("r.row", "r.rank").alias("row"))
+        new = both.select("row.*")
+    overwrite(new, path)
+
+
+def replace_source(df: DataFrame, path: str, sources: list[str]) -> None:
+    """The partitions of ``sources`` are replaced by the rows of ``df``, which must be theirs; others stay. A source that has no rows any more has none afterwards."""
+    spark = df.sparkSession
+    if not df.where(F.coalesce(~F.col("source").isin(*sources), F.lit(True))).isEmpty():
+        raise ValueError("rows of other sources than those that are replaced")
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
+    full = {r["source"] for r in df.select("source").distinct().collect()}  # some of ``sources``
+    for source in set(sources) - full:
+        reset(spark, f"{path}/source={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(source)}")
 
 
 def reset(spark: SparkSession, *paths: str) -> None:
@@ -91,10 +126,13 @@ def write_json_lines(df: DataFrame, path: str, order: list[str]) -> None:
 
 
 def write_summary(df: DataFrame, path: str, order: list[str]) -> None:
-    """A small table as one JSON array; for summaries, a row a kind or source."""
+    """A small table as one JSON array; for summaries, a row a kind or source, ``MOST_SUMMARY`` at most."""
+    rows = df.orderBy(*order).limit(MOST_SUMMARY + 1).collect()
+    if len(rows) > MOST_SUMMARY:
+        raise ValueError(f"more than {MOST_SUMMARY} rows: write_json_lines is for tables")
     files, p = _fs(df.sparkSession, path)
     out = files.create(p, True)
-    out.write(json.dumps([r.asDict(recursive=True) for r in df.orderBy(*order).collect()], indent=2, sort_keys=True, default=str).encode())
+    out.write(json.dumps([r.asDict(recursive=True) for r in rows], indent=2, sort_keys=True, default=str).encode())
     out.close()
 
 
@@ -128,6 +166,14 @@ def verify_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
     return both.select("name", problem.alias("problem")).where("problem IS NOT NULL")
 
 
+def safe_path(name: str) -> str:
+    """The relative path, or an error for one that is empty, absolute, or leads up or to another drive or scheme."""
+    parts = name.split("/")
+    if not name or name.startswith("/") or "\\" in name or ":" in name or "\0" in name or any(p in ("", ".", "..") for p in parts):
+        raise ValueError(f"unsafe path: {name!r}")
+    return name
+
+
 def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], views: dict[str, str] | None = None) -> None:
     """Tables as Parquet under a path, swapped in together, after their primary keys are checked; ``views`` are further names of tables."""
     spark = next(iter(tables.values())).sparkSession
@@ -136,7 +182,7 @@ def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[s
             raise ValueError(f"{name}: {', '.join(key)} is no key")
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
     for name, df in tables.items():
-        blank_nulls(df).write.parquet(f"{staged}/{name}")
+        blank_nulls(df).write.parquet(f"{staged}/{safe_path(name)}")
     swap(spark, staged, path)
     for name in tables:
         spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(name)

@@ -103,11 +103,20 @@ def page_facts(pages: DataFrame, id_col: str) -> DataFrame:
 
 
 def evidence(fragments: DataFrame, labels: list[str], text: str = "text") -> DataFrame:
-    """``fragments`` with label: the longest of the configured labels that the text begins with; the longest text of each label, all pages of it."""
+    """``fragments`` with label: the longest of the configured labels that the text begins with; the longest text of each label, and how many
+    rows have it; ``evidence_pages`` has their pages."""
+    return _labelled(fragments, labels, text).groupBy("label").agg(F.min_by(text, F.struct((-F.length(text)).alias("n"), F.col(text))).alias(text), F.count("*").alias("n"))
+
+
+def evidence_pages(fragments: DataFrame, labels: list[str], text: str = "text") -> DataFrame:
+    """label and url, distinct: the pages that speak of each label."""
+    return _labelled(fragments, labels, text).select("label", "url").distinct()
+
+
+def _labelled(fragments: DataFrame, labels: list[str], text: str) -> DataFrame:
     fits = F.filter(F.array(*[F.lit(x) for x in labels]), lambda x: F.startswith(F.lower(F.col(text)), F.lower(x)))
     longest = F.array_max(F.transform(fits, lambda x: F.struct(F.length(x).alias("n"), x.alias("label"))))["label"]
-    rows = fragments.withColumn("label", longest).where("label IS NOT NULL")
-    return rows.groupBy("label").agg(F.min_by(text, F.struct((-F.length(text)).alias("n"), F.col(text))).alias(text), F.array_sort(F.collect_set("url")).alias("urls"))
+    return fragments.withColumn("label", longest).where("label IS NOT NULL")
 
 
 def committee_pages(pages: DataFrame, id_col: str, person: str = "/councilmembers/") -> DataFrame:

@@ -1,6 +1,8 @@
 """A paged JSON service as a Spark data source: a partition a run of pages, with filter, columns and limit in the request.
 
 ``spark.read.format("paged_json").options(url=..., where=..., page_size=500, pages=20).load()`` gives rows (snapshot_key, key, payload).
+Without ``pages`` the service is asked how many rows fit (``returnCountOnly``), and each page is a partition; a service that doesn't say, or ``pages=0``, is read to its end by
+one task.
 ``fetch`` names a function ``module:function`` of (url, parameters) to text, for tests and for services that want credentials.
 """
 
@@ -9,6 +11,7 @@ from __future__ import annotations
 import importlib
 import json
 from collections.abc import Iterator
+from typing import Any
 from urllib.parse import urlencode
 from urllib.request import urlopen
 
@@ -52,13 +55,28 @@ class PagedReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         """``pages`` runs of one page, and an open end that goes on to the last page."""
-        n = int(self.options.get("pages", 0))
+        n = int(self.options["pages"]) if "pages" in self.options else self.counted_pages()
         return [*(Run(i, 1) for i in range(n)), Run(n, 0)]
 
+    def fetch(self) -> Any:
+        module, _, name = self.options.get("fetch", "").partition(":")
+        return getattr(importlib.import_module(module), name) if module else http_get
+
+    def counted_pages(self) -> int:
+        """Full pages of what the service counts, within the limit; 0 if it gives no count."""
+        o = self.options
+        try:
+            said = json.loads(self.fetch()(o["url"], {"where": o.get("where", "1=1"), "returnCountOnly": "true", "f": "json"}))
+        except ValueError:
+            return 0
+        count = said.get("count") if isinstance(said, dict) else None
+        if not isinstance(count, int) or isinstance(count, bool):
+            return 0
+        return min(count, int(o.get("limit", count))) // int(o.get("page_size", 500))
+
     def read(self, partition: Run) -> Iterator[tuple]:
         o = self.options
-        module, _, name = o.get("fetch", "").partition(":")
-        fetch = getattr(importlib.import_module(module), name) if module else http_get
+        fetch = self.fetch()
         size, limit = int(o.get("page_size", 500)), int(o["limit"]) if "limit" in o else None
         page_no = partition.first
         while True:
