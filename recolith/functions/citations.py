@@ -15,7 +15,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
-from .text import stable_key
+from .text import let, stable_key
 from .values import cite
 
 #: Record fields whose text is read, upper-case with underscores.
@@ -87,6 +87,10 @@ def locators(text: str | None) -> list[str]:
     return sorted(out)
 
 
+#: A locator that is a section of the code.
+_CODE_SECTION = r"^D\.?\s*C\.? (?:Official )?Code § ([0-9][0-9A-Za-z.\-]*(?:\([^)]+\))*)$"
+
+
 @F.pandas_udf(ArrayType(StringType()))
 def text_locators(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in texts:
@@ -116,9 +120,14 @@ def record_citations(source: Column, record: Column, found: Column) -> Column:
 
 def authority(locator: Column) -> Column:
     """authority_type, locator, id, canonical_url of locators that are authorities; null for others. Titles of the code go from 1 to 99."""
-    section = F.regexp_extract(locator, r"^D\.?\s*C\.? (?:Official )?Code § ([0-9][0-9A-Za-z.\-]*(?:\([^)]+\))*)$", 1)
+    part = lambda pattern: F.regexp_extract(locator, pattern, 1)
+    parts = F.struct(part(_CODE_SECTION).alias("section"), part(r"^D\.C\. Law (\d+-\d+)$").alias("law"), part(r"^Mayor's Order (\d{4}-\d{1,4})$").alias("order"))
+    return let(parts, _authority_of)
+
+
+def _authority_of(parts: Column) -> Column:
+    section, law, order = parts["section"], parts["law"], parts["order"]
     title = F.regexp_extract(section, r"^(\d+)-", 1).try_cast("int")
-    law, order = F.regexp_extract(locator, r"^D\.C\. Law (\d+-\d+)$", 1), F.regexp_extract(locator, r"^Mayor's Order (\d{4}-\d{1,4})$", 1)
 
     def made(kind: str, text: Column, url: Column) -> Column:
         return F.struct(F.lit(kind).alias("authority_type"), text.alias("locator"), F.concat(F.lit("legal_authority:"), stable_key(text)).alias("id"), url.alias("canonical_url"))
@@ -131,6 +140,10 @@ def authority(locator: Column) -> Column:
     )
 
 
+def is_section(locator: Column) -> Column:
+    return locator.rlike(_CODE_SECTION)
+
+
 def is_rejected(locator: Column) -> Column:
     """Looks like a section of the code but is none."""
-    return locator.rlike(r"^D\.?\s*C\.? (?:Official )?Code § [0-9][0-9A-Za-z.\-]*(?:\([^)]+\))*$") & authority(locator).isNull()
+    return is_section(locator) & authority(locator).isNull()

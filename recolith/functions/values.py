@@ -15,16 +15,26 @@ def is_object(text: Column) -> Column:
     return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
 
 
-def json_string(payload: Column, *keys: str) -> Column:
-    """The first of the keys whose value is a non-blank string or a number, as text."""
+def variant_string(v: Column, *keys: str) -> Column:
+    """The first of the keys of a variant object whose value is a non-blank string or a number, as text."""
     found = []
     for key in keys:
-        value = F.try_variant_get(F.try_parse_json(payload), f"$.{key}", "string")
-        kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(payload), f"$.{key}", "variant"))
-        found.append(F.when(kind.isin("STRING", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), F.nullif(F.trim(value), F.lit(""))))
+        kind = F.schema_of_variant(F.try_variant_get(v, f"$.{key}", "variant"))
+        found.append(F.when(kind.isin("STRING", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL"), F.nullif(F.trim(F.try_variant_get(v, f"$.{key}", "string")), F.lit(""))))
     return F.coalesce(*found)
 
 
+def json_string(payload: Column, *keys: str) -> Column:
+    """The same of a JSON text."""
+    return variant_string(F.try_parse_json(payload), *keys)
+
+
+def attribute_map(**values: Column) -> Column:
+    """Attributes whose values are JSON texts; nulls are left out."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
+    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
+
+
 def quoted(text: Column) -> Column:
     """A text as a JSON text."""
     return F.when(text.isNotNull(), F.regexp_replace(F.to_json(F.array(text)), r"^\[|\]$", ""))
