@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_name, source_family, stable_key
 from ..functions.url import canonical_url, is_url_key, looks_like_url
 from ..functions.values import unquoted
+from ..stages import materialise
 
+PLACES = ("officialUrl", "sourcePageUrl", "sourceDiscoveryPageUrl", "webUrl", "sourceOancProfileUrl")
 NAME, URL, LOCATOR = "same_normalized_name", "shared_url", "shared_legal_locator"
 
 
@@ -38,13 +40,21 @@ def block_keys(entries: DataFrame) -> DataFrame:
     return entries.select("id", F.explode(every).alias("k")).select("k.reason", "k.match_key", "id").where("match_key IS NOT NULL AND match_key <> ''").distinct()
 
 
-def members(entries: DataFrame, relations: DataFrame) -> DataFrame:
-    """reason, match_key, id, and what the packets look at: family, kind, name, attributes, related (has relations), sources."""
+def shared_keys(keys: DataFrame) -> DataFrame:
+    """Keys of blocks of two and more: most keys are one entry's, and need no facts."""
+    keys = materialise(keys, "block-keys")
+    shared = keys.groupBy("reason", "match_key").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    return keys.join(shared, ["reason", "match_key"], "left_semi")
+
+
+def members(entries: DataFrame, relations: DataFrame, carry: tuple[str, ...] = ("name", "attributes")) -> DataFrame:
+    """reason, match_key, id, and what the packets look at: family, kind, related (has relations), sources; and the columns ``carry`` of
+    entries, which come once a block key."""
     sources = entry_sources(entries, relations).groupBy("id").agg(F.array_sort(F.collect_set("source")).alias("sources"))
     related = relations.select(F.col("from_id").alias("id")).distinct().withColumn("related", F.lit(True))
-    facts = entries.select("id", "family", "kind", "name", "attributes").join(sources, "id", "left").join(related, "id", "left")
+    facts = entries.select("id", "family", "kind", *carry).join(sources, "id", "left").join(related, "id", "left")
     facts = facts.withColumn("sources", F.coalesce("sources", F.array().cast("array<string>"))).withColumn("related", F.coalesce("related", F.lit(False)))
-    return block_keys(entries).join(facts, "id")
+    return shared_keys(block_keys(entries)).join(facts, "id")
 
 
 def groups(rows: DataFrame) -> DataFrame:
@@ -77,31 +87,38 @@ def packets(heads: DataFrame) -> DataFrame:
     return heads.withColumn("risks", risks()).select(F.concat_ws(":", "reason", stable_key(F.col("match_key"))).alias("id"), "reason", "match_key", severity.alias("severity"), confidence.alias("confidence"), category.alias("review_category"), "risks", families.alias("source_families"), "n", "kinds", "families", "sources")
 
 
+def places(prefix: str = "") -> Column:
+    """What ``noise`` looks at in the attributes of courts, commissions, areas and seats; null for other kinds. Small, unlike the attributes."""
+    text = lambda a: unquoted(F.try_element_at("attributes", F.lit(a)))
+    urls = F.struct(*[F.coalesce(canonical_url(text(a)), F.lit("")).alias(a) for a in PLACES], text("sourceAncId").alias("anc_id"))
+    return F.when(F.col("kind").isin(*[f"{prefix}{k}" for k in ("court", "court_division", "anc", "smd", "anc_commissioner_seat")]), urls)
+
+
 def noise(rows: DataFrame, heads: DataFrame, relations: DataFrame, prefix: str = "") -> DataFrame:
     """reason and match_key of URL groups that say nothing: all legal authorities; authorities and what they
     authorise; a court and its divisions; an area's commission with its areas and seats; many of one source and kind; areas of one source and kind.
 
-    ``prefix`` stands before kinds and ``relation:`` before relation kinds of the registry.
+    ``rows`` have ``places``. ``prefix`` stands before kinds and ``relation:`` before relation kinds of the registry. Edges meet the blocks of
+    their source first, so that a hub that many point to counts once a block.
     """
     kind = lambda k: F.col("kind") == f"{prefix}{k}"
-    text = lambda a: unquoted(F.element_at("attributes", F.lit(a)))
     block = ["reason", "match_key"]
     url_rows = rows.where(F.col("reason") == URL)
 
     def related_inside(relation: str, target: str) -> DataFrame:
         """Members with such a relation to a member of such a kind."""
         ends = url_rows.where(kind(target)).select(*block, F.col("id").alias("to_id"))
-        edges = relations.where(F.col("kind") == f"{prefix}relation:{relation}").select("from_id", "to_id")
-        return edges.join(ends, "to_id").select(*block, F.col("from_id").alias("id")).distinct()
+        edges = relations.where(F.col("kind") == f"{prefix}relation:{relation}").select(F.col("from_id").alias("id"), "to_id")
+        return url_rows.select(*block, "id").join(edges, "id").join(ends, [*block, "to_id"], "left_semi").select(*block, "id").distinct()
 
     facts = (
         url_rows.join(related_inside("authorized_by", "legal_authority").withColumn("authorised", F.lit(True)), [*block, "id"], "left")
         .join(related_inside("part_of", "court").withColumn("inside", F.lit(True)), [*block, "id"], "left")
         .na.fill(False, ["authorised", "inside"])
     )
-    points_here = lambda *names: F.array_contains(F.array(*[F.coalesce(canonical_url(text(a)), F.lit("")) for a in names]), F.col("match_key"))
+    points_here = lambda *names: F.coalesce(F.array_contains(F.array(*[F.col(f"places.{a}") for a in names]), F.col("match_key")), F.lit(False))
     law, court, division, anc, area, seat = (kind(k) for k in ("legal_authority", "court", "court_division", "anc", "smd", "anc_commissioner_seat"))
-    anc_id = text("sourceAncId")
+    anc_id = F.col("places.anc_id")
     flags = facts.groupBy(*block).agg(
         F.bool_and(law).alias("laws"),
         (F.bool_or(law) & F.bool_and(law | F.col("authorised"))).alias("authorised"),
@@ -118,7 +135,7 @@ def noise(rows: DataFrame, heads: DataFrame, relations: DataFrame, prefix: str =
 
 def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
     """Packets without the noise, and their members (packet id, entry id)."""
-    rows = members(entries, relations)
+    rows = materialise(members(entries.withColumn("places", places(prefix)), relations, ("places",)), "block-members")
     heads = groups(rows)
     kept = packets(heads.join(noise(rows, heads, relations, prefix), ["reason", "match_key"], "left_anti"))
     return kept, rows.select("reason", "match_key", F.col("id").alias("entry_id")).join(kept.select("id", "reason", "match_key"), ["reason", "match_key"]).select(F.col("id").alias("packet_id"), "entry_id")

@@ -117,7 +117,14 @@ def relation_findings(checked: DataFrame) -> DataFrame:
     """A warning for ends that were not promoted, a conflict for ends that don't exist."""
     end = F.when(F.col("status").startswith("source"), F.col("from_id")).otherwise(F.col("to_id"))
     missing = F.col("status").endswith("missing")
-    return checked.where("status <> 'keep'").select(F.when(missing, "conflict").otherwise("warn").alias("kind"), F.concat(F.lit("relation."), F.col("status")).alias("code"), F.concat_ws(" ", F.lit("relation"), "relation_kind", F.lit("end"), end).alias("message"), F.when(~missing, F.get("citations", 0)).alias("citation"))
+    code = F.concat(F.when(missing, "compiler.conflict.relation_").otherwise("compiler.relation_"), F.col("status"))
+    return checked.where("status <> 'keep'").select(F.when(missing, "conflict").otherwise("warn").alias("kind"), code.alias("code"), F.concat_ws(" ", F.lit("relation"), "relation_kind", F.lit("end"), end).alias("message"), F.when(~missing, F.get("citations", 0)).alias("citation"))
+
+
+def findings_order() -> list[Column]:
+    """Findings by kind, code, message and citation: an order for reports and files."""
+    text = F.coalesce(citation_id(F.col("citation")), F.lit(""))
+    return [F.col("kind"), F.col("code"), F.col("message"), text]
 
 
 def dedupe_relations(relations: DataFrame) -> DataFrame:

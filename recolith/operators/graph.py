@@ -84,12 +84,24 @@ def first_of_kind(entries: DataFrame, relations: DataFrame, relation: str, targe
     return entries.join(found, "id", "left")
 
 
-def related_list(relations: DataFrame, entries: DataFrame, relation: str, incoming: bool = False) -> DataFrame:
-    """id, n (not distinct), ids and names of the other ends, distinct by id, in order of name, joined by ``; ``."""
+def related(relations: DataFrame, entries: DataFrame, relation: str, incoming: bool = False) -> DataFrame:
+    """id, other and name: the other ends of an entry's relations, a row each, however many there are."""
     own, other = ("to_id", "from_id") if incoming else ("from_id", "to_id")
-    rows = relations.where(F.col("kind") == relation).select(F.col(own).alias("id"), F.col(other).alias("other")).join(entries.select(F.col("id").alias("other"), "name"), "other")
-    listed = F.array_sort(F.collect_set(F.struct("name", "other")))
-    return rows.groupBy("id").agg(F.count("*").alias("n"), listed.alias("l")).select("id", "n", F.array_join("l.other", "; ").alias("ids"), F.array_join("l.name", "; ").alias("names"))
+    return relations.where(F.col("kind") == relation).select(F.col(own).alias("id"), F.col(other).alias("other")).join(entries.select(F.col("id").alias("other"), "name"), "other").select("id", "other", "name")
+
+
+def related_counts(rows: DataFrame) -> DataFrame:
+    """id and n of ``related`` rows, not distinct; counted map-side, so a hub is one number a task."""
+    return rows.groupBy("id").agg(F.count("*").alias("n"))
+
+
+def related_list(relations: DataFrame, entries: DataFrame, relation: str, incoming: bool = False, most: int = 10_000) -> DataFrame:
+    """id, n (not distinct), ids and names of the other ends, distinct by id, in order of name, joined by ``; ``: for file sinks whose readers want
+    lists in a cell. Entries of more than ``most`` relations have null lists: their neighbours are the rows of ``related``."""
+    rows = related(relations, entries, relation, incoming)
+    counts = related_counts(rows)
+    short = rows.distinct().join(counts.where(F.col("n") <= most), "id", "left_semi").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("name", "other"))).alias("l"))
+    return counts.join(short, "id", "left").select("id", "n", F.array_join("l.other", "; ").alias("ids"), F.array_join("l.name", "; ").alias("names"))
 
 
 def chain(entries: DataFrame, relations: DataFrame, first: tuple[str, str], second: tuple[str, str], top_kind: str) -> DataFrame:
@@ -109,8 +121,10 @@ def role_override(rows: DataFrame, keys: list[str], role: str, ranks: tuple[str,
 
 
 def distinct_summary(rows: DataFrame, key: str, member: str, name: str) -> DataFrame:
-    """key, members (distinct), names (distinct, sorted, joined)."""
-    return rows.groupBy(key).agg(F.count_distinct(member).alias("members"), F.array_join(F.array_sort(F.collect_set(name)), "; ").alias("names"))
+    """key, members (distinct, counted by rows of key and member), names (distinct, sorted, joined; a column of few values)."""
+    members = rows.select(key, member).where(F.col(member).isNotNull()).distinct().groupBy(key).agg(F.count("*").alias("members"))
+    names = rows.select(key, name).distinct().groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(name)), "; ").alias("names"))
+    return names.join(members, key, "left").select(key, F.coalesce("members", F.lit(0)).cast("long").alias("members"), "names")
 
 
 def stable_position(rows: DataFrame, order: Column, tie: Column) -> DataFrame:

@@ -67,16 +67,20 @@ def finding_category(code: Column, kind: Column) -> Column:
     )
 
 
+def finding_id() -> Column:
+    """Of the columns of FINDING: code, message and what is cited."""
+    cited = F.when(F.col("citation").isNotNull(), F.concat(F.lit(":"), review_id_segment(citation_id(F.col("citation"), "|"), 60))).otherwise("")
+    return F.concat(F.lit("finding:"), review_key(F.col("code")), F.lit(":"), review_key(F.col("message")), cited)
+
+
 def from_findings(findings: DataFrame) -> DataFrame:
     rows = findings.withColumn("category", finding_category(F.col("code"), F.col("kind"))).where("category IS NOT NULL")
     code, category = F.col("code"), F.col("category")
     classification = F.when(category == "legal_authority_ambiguous", "legal_authority_ambiguity").when(category == "out_of_scope_candidate", "out_of_scope").when(code.rlike(r"^(?:\w+\.)?(?:reader|interpreter)"), "source_ingestion_bug").when(code.startswith("compiler."), "compiler_rule_bug").otherwise("curation_conflict")
     severity = F.when(category == "source_stale_or_failed", "low").when(F.col("kind") == "conflict", "high").otherwise("medium")
-    cited = F.when(F.col("citation").isNotNull(), F.concat(F.lit(":"), review_id_segment(citation_id(F.col("citation"), "|"), 60))).otherwise("")
-    id_ = F.concat(F.lit("finding:"), review_key(code), F.lit(":"), review_key(F.col("message")), cited)
     families = F.when(F.col("citation.source").isNotNull(), F.array(source_family(F.col("citation.source")))).otherwise(F.array().cast("array<string>"))
     none = F.lit(None).cast("string")
-    return rows.select(id_.alias("id"), category.alias("category"), classification.alias("classification"), severity.alias("severity"), F.lit("medium").alias("confidence"), F.lit("open").alias("status"), F.lit("finding").alias("source_type"), none.alias("reason"), F.concat(F.replace("category", F.lit("_"), F.lit(" ")), F.lit(": "), code).alias("title"), families.alias("source_families"), code.alias("finding_code"), F.lit(0).cast("long").alias("n_entries"), (F.col("kind") == "conflict").alias("blocks_state"), (~category.isin("source_stale_or_failed", "out_of_scope_candidate")).alias("blocks_release"))
+    return rows.select(finding_id().alias("id"), category.alias("category"), classification.alias("classification"), severity.alias("severity"), F.lit("medium").alias("confidence"), F.lit("open").alias("status"), F.lit("finding").alias("source_type"), none.alias("reason"), F.concat(F.replace("category", F.lit("_"), F.lit(" ")), F.lit(": "), code).alias("title"), families.alias("source_families"), code.alias("finding_code"), F.lit(0).cast("long").alias("n_entries"), (F.col("kind") == "conflict").alias("blocks_state"), (~category.isin("source_stale_or_failed", "out_of_scope_candidate")).alias("blocks_release"))
 
 
 def resolutions(category: Column) -> Column:
@@ -114,10 +118,10 @@ def zero_filled(rows: DataFrame, column: str, values: tuple[str, ...]) -> DataFr
 
 
 def deferred_groups(items: DataFrame) -> DataFrame:
-    """category, label, n and the first item's id of deferred items; most items first."""
+    """category, label, n and the first item's id, in the order of review, of deferred items; most items first."""
     label = F.coalesce(F.when(F.col("source_type") == "finding", F.col("finding_code")), F.nullif(F.array_join("source_families", ", "), F.lit("")), F.col("classification"))
     rows = items.where(queue() == "deferred").withColumn("label", label)
-    return rows.groupBy("category", "label").agg(F.count("*").alias("n"), F.min("id").alias("sample_id")).orderBy(F.desc("n"), "category", "label")
+    return rows.groupBy("category", "label").agg(F.count("*").alias("n"), F.min_by("id", F.struct(*[c.alias(f"o{i}") for i, c in enumerate(review_order())])).alias("sample_id")).orderBy(F.desc("n"), "category", "label")
 
 
 def review_order() -> list[Column]:

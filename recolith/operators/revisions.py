@@ -1,7 +1,7 @@
 """Revisions and identity aliases: resolution of ids, and the ordered fold over an otherwise set-based state.
 
-Revisions are few and ordered, entries many. The driver folds the revisions, of which it knows ids, patches and the
-ids, kinds and names of the entries they touch, to a plan of at most one row a touched id: what is suppressed and by what
+Revisions are few (``MOST_REVISIONS`` is checked) and ordered, entries and aliases many. The driver folds the revisions, of which it knows ids, patches, the
+aliases that they name and the ids, kinds and names of the entries they touch, to a plan of at most one row a touched id: what is suppressed and by what
 replaced, patched, whose relations are new. The plan then meets entries and relations in one join each.
 """
 
@@ -33,6 +33,22 @@ def resolve_aliases(keys: DataFrame, index: DataFrame) -> DataFrame:
     return keys.join(found, ["key_type", "key"], "left").select(*keys.columns, status.alias("status"), F.when(n == 1, F.get("all", 0)).alias("canonical_id"), F.array_join("all", ",").alias("canonical_ids"))
 
 
+#: Most revisions that are folded on the driver.
+MOST_REVISIONS = 200_000
+
+
+def named_keys(revisions: DataFrame) -> DataFrame:
+    """key_type and key, distinct: the ids and source references that revisions name, in their targets and in their patches."""
+    review = F.try_parse_json("patch")
+    in_patch = F.array(F.try_variant_get(review, "$.review.canonicalEntryId", "string"))
+    related = F.flatten(F.transform(F.map_values(F.coalesce(F.from_json("patch", "relations map<string,array<struct<to:string>>>")["relations"], F.create_map().cast("map<string,array<struct<to:string>>>"))), lambda v: v["to"]))
+    none = F.array().cast("array<string>")
+    ids = F.concat(F.array("target_id", "target.canonical_id"), F.coalesce("target.previous_ids", none), in_patch, F.coalesce(related, none))
+    refs = F.transform(F.coalesce("target.source_refs", F.expr("array()").cast(revisions.schema["target"].dataType["source_refs"].dataType)), lambda c: citation_id(c, "|"))
+    every = F.concat(F.transform(ids, lambda x: F.struct(F.lit("id").alias("key_type"), x.alias("key"))), F.transform(refs, lambda x: F.struct(F.lit("ref").alias("key_type"), x.alias("key"))))
+    return revisions.select(F.explode(every).alias("k")).select("k.*").where("key IS NOT NULL").distinct()
+
+
 def revision_issues(revisions: DataFrame) -> DataFrame:
     """id and rule, for each rule that a revision breaks."""
     blank = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
@@ -83,6 +99,8 @@ def fold_revisions(revisions: list[Any], touched: dict[str, tuple[str, str]], al
         found = aliases.get(("id", id_), set())
         if len(found) > 1:
             raise ValueError(f"reference {id_} has several canonical entries: {', '.join(sorted(found))}")
+        if found and found != {id_}:
+            say("info", "compiler.identity_alias.reference_resolved", f"{id_}: {min(found)}")
         return next(iter(found), id_)
 
     def target_of(r: Any) -> str | None:
@@ -103,14 +121,14 @@ def fold_revisions(revisions: list[Any], touched: dict[str, tuple[str, str]], al
             elif found:
                 unclear.append(key[1])
         if unclear or len(options) > 1:
-            say("conflict", "revision.target_ambiguous", f"{r['id']}: {', '.join(unclear or sorted(options))}")
+            say("conflict", "compiler.conflict.revision_target_ambiguous", f"{r['id']}: {', '.join(unclear or sorted(options))}")
         elif not options or next(iter(options)) not in state:
-            say("conflict", "revision.target_missing", f"{r['id']}: {r['target_id']}")
+            say("conflict", "compiler.conflict.revision_target_missing", f"{r['id']}: {r['target_id']}")
         else:
             id_ = next(iter(options))
             kind, name = state[id_]
             if selector and ((selector["kind"] and selector["kind"] != kind) or (selector["name"] and selector["name"] != name)):
-                say("conflict", "revision.target_guard_mismatch", f"{r['id']}: {id_}")
+                say("conflict", "compiler.conflict.revision_target_guard_mismatch", f"{r['id']}: {id_}")
                 return None
             return id_
         return None
@@ -130,7 +148,7 @@ def fold_revisions(revisions: list[Any], touched: dict[str, tuple[str, str]], al
                 fold.retargets.append((id_, other))
                 fold.relations = {k: [(kind, other if to == id_ and other and other != k else to, c) for kind, to, c in v if to != id_ or (other and other != k)] for k, v in fold.relations.items() if k != id_}
                 fold.patches.pop(id_, None)
-                say("info", "revision.entry_suppressed", f"{r['id']}: {id_}")
+                say("info", "compiler.revision.entry_suppressed", f"{r['id']}: {id_}")
                 continue
             if isinstance(patch.get("relations"), dict):
                 fold.relations[id_] = [(x["kind"], reference(x["to"]), x.get("citations") or []) for v in patch["relations"].values() if isinstance(v, list) for x in v if isinstance(x.get("kind"), str) and isinstance(x.get("to"), str)]
@@ -150,17 +168,14 @@ def fold_revisions(revisions: list[Any], touched: dict[str, tuple[str, str]], al
                     entry |= {"decision": review.get("decision"), "rationale": r["rationale"], "revisionId": r["id"], "source": r["source"]}
                     own.setdefault("reviews", []).append(entry)
                     own["attributes"]["revisionReviews"] = json.dumps(sorted(own["reviews"], key=lambda x: x["revisionId"]), ensure_ascii=False, separators=(",", ":"), sort_keys=True)
-                    say("info", "revision.review_recorded", f"{r['id']}: {id_}")
+                    say("info", "compiler.revision.review_recorded", f"{r['id']}: {id_}")
                 state[id_] = (own.get("kind", state[id_][0]), own.get("name", state[id_][1]))
         except ValueError as e:
-            say("conflict", "revision.invalid_state", f"{r['id']}: {e}")
+            say("conflict", "compiler.conflict.revision_invalid_state", f"{r['id']}: {e}")
     # where an edge to a suppressed id leads in the end: each step holds for what stood when it was taken
-    for start, _ in fold.retargets:
-        at: str | None = start
-        for gone, other in fold.retargets[[g for g, _ in fold.retargets].index(start) :]:
-            if at == gone:
-                at = other
-        fold.final_target[start] = at
+    # an id is suppressed once, so read backwards each replacement's own end is known by then if it goes later
+    for gone, other in reversed(fold.retargets):
+        fold.final_target[gone] = fold.final_target.get(other, other) if other else None
     return fold
 
 

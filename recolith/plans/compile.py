@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..model import FINDING
 from ..operators import fragments as fr
-from ..operators.revisions import alias_index, apply_fold, fold_revisions
+from ..operators.revisions import MOST_REVISIONS, alias_index, apply_fold, fold_revisions, named_keys
 from ..operators.validate import Registry, state_issues
+from ..stages import materialise
 
 
 @dataclass
@@ -31,28 +32,33 @@ def issues_as_findings(issues: DataFrame) -> DataFrame:
 def baseline(entries: DataFrame, relations: DataFrame, policy: DataFrame, kinds: dict[str, str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Entries, relations and findings of fragments, before validation."""
     decided = fr.promotion(entries, policy)
-    merged = fr.merge_entries(fr.promoted(decided))
+    merged = materialise(fr.merge_entries(fr.promoted(decided)), "merged")
     checked = fr.endpoint_status(fr.canonical_kinds(relations, kinds), merged.select("id"), fr.not_promoted(decided))
-    kept = fr.dedupe_relations(checked.where("status = 'keep'"))
+    checked = materialise(checked, "checked")
+    kept = materialise(fr.dedupe_relations(checked.where("status = 'keep'")), "relations")
     none = F.lit(None).cast(entries.schema["citations"].dataType.elementType)
-    renamed = checked.where("renamed").select(F.lit("warn").alias("kind"), F.lit("relation.kind_canonicalized").alias("code"), F.concat_ws(" ", F.lit("to"), "relation_kind").alias("message"), none.alias("citation"))
-    mismatched = fr.kind_conflicts(fr.promoted(decided)).select(F.lit("conflict").alias("kind"), F.lit("entry.kind_mismatch").alias("code"), F.col("id").alias("message"), none.alias("citation"))
+    renamed = checked.where("renamed").select(F.lit("warn").alias("kind"), F.lit("compiler.relation_kind_canonicalized").alias("code"), F.concat_ws(" ", F.lit("to"), "relation_kind").alias("message"), none.alias("citation"))
+    mismatched = fr.kind_conflicts(fr.promoted(decided)).select(F.lit("conflict").alias("kind"), F.lit("compiler.conflict.entry_kind_mismatch").alias("code"), F.col("id").alias("message"), none.alias("citation"))
     findings = fr.promotion_findings(decided).unionByName(fr.relation_findings(checked)).unionByName(renamed).unionByName(mismatched)
     return merged, kept, findings
 
 
 def compile_state(entries: DataFrame, relations: DataFrame, policy: DataFrame, registry: Registry, kinds: dict[str, str] | None = None, revisions: DataFrame | None = None, aliases: DataFrame | None = None) -> Compiled:
-    """The state of the fragments, as entries and relations. Revisions and aliases are small tables and meet on the driver; entries don't."""
+    """The state of the fragments, as entries and relations. Revisions, and the aliases that they name, meet on the driver; entries and other aliases don't."""
     merged, kept, findings = baseline(entries, relations, policy, kinds or {})
-    conflicts = findings.where("kind = 'conflict'").unionByName(issues_as_findings(state_issues(merged, kept, registry)))
+    findings = materialise(findings, "findings")
+    conflicts = materialise(findings.where("kind = 'conflict'").unionByName(issues_as_findings(state_issues(merged, kept, registry))), "conflicts")
     start = (merged, kept)
     if not conflicts.isEmpty():
         return Compiled(start, None, findings, conflicts)
     if revisions is None:
         return Compiled(start, start, findings, conflicts)
-    rows = revisions.collect()
+    rows = revisions.limit(MOST_REVISIONS + 1).collect()
+    if len(rows) > MOST_REVISIONS:
+        raise ValueError(f"more than {MOST_REVISIONS} revisions: they are folded on the driver")
     index: dict[tuple[str, str], set[str]] = {}
-    for r in alias_index(aliases).collect() if aliases is not None else []:
+    # of all aliases, those that revisions name
+    for r in alias_index(aliases).join(named_keys(revisions), ["key_type", "key"], "left_semi").collect() if aliases is not None else []:
         index.setdefault((r["key_type"], r["key"]), set()).add(r["canonical_id"])
     named = {r["target_id"] for r in rows} | {p for r in rows if r["target"] for p in [r["target"]["canonical_id"], *(r["target"]["previous_ids"] or [])] if p} | {c for s in index.values() for c in s}
     ids = merged.sparkSession.createDataFrame([(n,) for n in sorted(named)], "id string")
