@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import id_slug, raw_verb
-from ..functions.values import attribute_text
+from ..functions.values import attribute_text, collection_status, release_status
 from ..operators import graph
 from ..operators.coverage import uniqueness
+from ..sinks import content_fingerprint
 
 
 def release_tables(entries: DataFrame, relations: DataFrame, categories: dict[str, str], verbs: dict[str, graph.Verb], excluded: DataFrame) -> dict[str, DataFrame]:
@@ -34,29 +35,83 @@ def release_tables(entries: DataFrame, relations: DataFrame, categories: dict[st
     }
 
 
-def verify_release(tables: dict[str, DataFrame], counts: DataFrame, keys: dict[str, list[str]], headers: dict[str, list[str]]) -> DataFrame:
-    """check, expected, actual, ok: row counts (of a catalogue: name, row_count), unique keys, headers, roll-ups, edges between nodes."""
+def verify_release(
+    tables: dict[str, DataFrame],
+    counts: DataFrame,
+    keys: dict[str, list[str]],
+    headers: dict[str, list[str]],
+    contents: dict[str, DataFrame] | None = None,
+    verbs: set[str] | None = None,
+    categories: set[str] | None = None,
+    coverage: DataFrame | None = None,
+    blocking: DataFrame | None = None,
+) -> DataFrame:
+    """check, expected, actual, ok.
+
+    Row counts and headers against a catalogue (name, row_count) and what was said; contents against their fingerprints (``content_fingerprint``); unique keys;
+    roll-ups against what they sum up; the graph: ends are nodes, no loops, known verbs and categories, nodes are entries; no dangling relations;
+    coverage (source, snapshots, records, citations and both statuses): statuses follow from the counts, citations are those of the tables;
+    and no item that blocks the release. Checks of tables that aren't there are left out.
+    """
     spark = counts.sparkSession
-    text = F.count("*").cast("string").alias("actual")
-    said = [(f"header:{name}", ",".join(want)) for name, want in headers.items()]
-    found = [(f"header:{name}", ",".join(tables[name].columns)) for name in headers if name in tables]
-    actual = []
+    said: list[tuple[str, str]] = []
+    actual: list[DataFrame] = []
+    expected: list[DataFrame] = []
+    n = F.count("*").cast("string")
+
+    def one(name: str, df: DataFrame, value: Column, into: list[DataFrame], column: str = "actual") -> None:
+        into.append(df.agg(value.alias(column)).select(F.lit(name).alias("check"), column))
+
+    def none(name: str, df: DataFrame) -> None:
+        said.append((name, "0"))
+        one(name, df, n, actual)
+
+    has = lambda *names: set(names) <= set(tables)
     for name, df in tables.items():
-        actual.append(df.agg(text).withColumn("check", F.lit(f"rows:{name}")))
         if name in keys:
-            actual.append(uniqueness(df, *keys[name]).agg(text).withColumn("check", F.lit(f"unique:{name}")))
-            said.append((f"unique:{name}", "0"))
-    if {"nodes", "edges"} <= set(tables):
+            none(f"unique:{name}", uniqueness(df, *keys[name]))
+        if name in headers:
+            said.append((f"header:{name}", ",".join(headers[name])))
+            actual.append(spark.createDataFrame([(f"header:{name}", ",".join(df.columns))], "check string, actual string"))
+    listed = counts.where(F.col("name").isin(*tables)).select(F.concat(F.lit("rows:"), F.col("name")).alias("check"), F.col("row_count").cast("string").alias("expected"))
+    expected.append(listed)
+    for row in counts.select("name").where(F.col("name").isin(*tables)).collect():  # a row a table
+        one(f"rows:{row['name']}", tables[row["name"]], n, actual)
+    for name, was in (contents or {}).items():
+        now = content_fingerprint(tables[name]).select(F.col("rows").alias("r"), F.col("fingerprint").alias("f"))
+        both = was.join(now, (F.col("rows") == F.col("r")) & (F.col("fingerprint") == F.col("f")), "left")
+        said.append((f"content:{name}", "same"))
+        actual.append(both.select(F.lit(f"content:{name}").alias("check"), F.when(F.col("r").isNull(), "changed").otherwise("same").alias("actual")))
+    for counted, whole in (("kind_counts", "entries"), ("relation_kind_counts", "relations")):
+        if has(counted, whole):
+            one(f"rollup:{counted}", tables[counted], F.coalesce(F.sum("n"), F.lit(0)).cast("string"), actual)
+            one(f"rollup:{counted}", tables[whole], n, expected, "expected")
+    for section, whole in (("node_category", "nodes"), ("edge_verb", "edges")):
+        if has("graph_summary", whole):
+            one(f"rollup:graph_summary:{whole}", tables["graph_summary"].where(F.col("section") == section), F.coalesce(F.sum("n"), F.lit(0)).cast("string"), actual)
+            one(f"rollup:graph_summary:{whole}", tables[whole], n, expected, "expected")
+    if has("nodes", "edges"):
         ends = tables["edges"].select(F.explode(F.array("from_id", "to_id")).alias("id"))
-        actual.append(ends.join(tables["nodes"], "id", "left_anti").agg(text).withColumn("check", F.lit("edges:ends")))
-        said.append(("edges:ends", "0"))
-    expected = spark.createDataFrame(said, "check string, expected string") if said else spark.createDataFrame([], "check string, expected string")
-    expected = expected.unionByName(counts.where(F.col("name").isin(*tables)).select(F.concat(F.lit("rows:"), F.col("name")).alias("check"), F.col("row_count").cast("string").alias("expected")))
-    if {"entries", "kind_counts"} <= set(tables):
-        actual.append(tables["kind_counts"].agg(F.sum("n").cast("string").alias("actual")).withColumn("check", F.lit("rollup:kind_counts")))
-        expected = expected.unionByName(tables["entries"].agg(F.count("*").cast("string").alias("expected")).withColumn("check", F.lit("rollup:kind_counts")))
-    if found:
-        actual.append(spark.createDataFrame(found, "check string, actual string"))
-    every = reduce(lambda a, b: a.unionByName(b), actual)
-    found = expected.join(every, "check", "full_outer").select("check", "expected", "actual")
+        none("edges:ends", ends.join(tables["nodes"], "id", "left_anti"))
+        none("edges:loops", tables["edges"].where("from_id = to_id"))
+    if verbs is not None and has("edges"):
+        none("edges:verbs", tables["edges"].where(~F.coalesce(F.col("verb").isin(*verbs), F.lit(False))))
+    if categories is not None and has("nodes"):
+        none("nodes:categories", tables["nodes"].where(~F.coalesce(F.col("category").isin(*categories), F.lit(False))))
+    if has("nodes", "entries"):
+        none("nodes:entries", tables["nodes"].join(tables["entries"], "id", "left_anti"))
+    if has("relations", "entries"):
+        none("relations:dangling", tables["relations"].join(tables["entries"].select(F.col("id").alias("to_id")), "to_id", "left_anti"))
+    if coverage is not None:
+        count = lambda c: F.coalesce(F.col(c), F.lit(0))
+        none("coverage:collection_status", coverage.where(~F.col("collection_status").eqNullSafe(collection_status(count("snapshots"), count("records")))))
+        none("coverage:release_status", coverage.where((F.col("release_status") != "inventory_only") & ~F.col("release_status").eqNullSafe(release_status(F.lit(False), count("citations"), count("snapshots"), count("records")))))
+        if has("source_counts"):
+            known = tables["source_counts"].select("source", F.col("n").alias("__n"))
+            none("coverage:citations", coverage.join(known, "source", "full_outer").where(F.coalesce("citations", F.lit(0)) != F.coalesce("__n", F.lit(0))))
+    if blocking is not None:
+        none("blockers", blocking)
+    expected.append(spark.createDataFrame(said, "check string, expected string"))
+    union = lambda frames: reduce(lambda a, b: a.unionByName(b), frames)
+    found = union(expected).join(union(actual), "check", "full_outer").select("check", "expected", "actual")
     return found.withColumn("ok", F.col("expected").eqNullSafe(F.col("actual")))

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import entities, texts, views
+from . import entities, release, sources, texts, views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
-for _module in (entities, texts, views):
+for _module in (entities, release, sources, texts, views):
     QUERIES |= _module.QUERIES
     ORACLE_SQL |= _module.ORACLE_SQL

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.values import attribute_map as attributes
 from ..functions.values import cite
 from ..model import CITATION
 
@@ -41,12 +42,6 @@ def ord_of(record: Column) -> Column:
     return F.struct(F.lit(0).alias("binding"), record.cast("bigint").alias("record"), F.lit(0).alias("emit"))
 
 
-def attributes(**values: Column) -> Column:
-    """Attributes whose values are JSON texts; nulls are left out."""
-    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in values.items()])
-    return F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull()))
-
-
 def json_text(c: Column) -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'))
 

@@ -122,11 +122,16 @@ def order_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH r AS (SELECT o_orderkey % 11 AS f, o_custkey AS t FROM orders)
 SELECT CASE WHEN f = 3 THEN 'source_missing' WHEN f = 4 THEN 'source_not_promoted' WHEN t % 14 = 0 THEN 'target_not_promoted' WHEN t % 7 = 0 OR t NOT IN (SELECT c_custkey FROM customer) THEN 'target_missing' ELSE 'keep' END AS status, count(*) :: BIGINT AS n FROM r GROUP BY 1""")
 def relation_endpoint_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checked_relations(spark, sf_dir).groupBy("status").agg(F.count("*").alias("n"))
+
+
+def checked_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as relations, some of whose ends are missing or not promoted."""
     c = table(spark, sf_dir, "customer").select(F.concat(F.lit("customer:"), text("c_custkey")).alias("id"), "c_custkey")
     parts = spark.range(11).where("id <> 3").select(F.concat(F.lit("part:"), text("id")).alias("id"))
     entries = c.where("c_custkey % 7 <> 0").select("id").unionByName(parts.where("id <> 'part:4'"))
     held = c.where("c_custkey % 14 = 0").select("id").unionByName(parts.where("id = 'part:4'"))
-    return fr.endpoint_status(order_relations(spark, sf_dir), entries, held).groupBy("status").agg(F.count("*").alias("n"))
+    return fr.endpoint_status(order_relations(spark, sf_dir), entries, held)
 
 
 @query("""SELECT 'supplier:' || l_suppkey AS from_id, 'supplies' AS kind, 'part:' || l_partkey AS to_id, count(DISTINCT l_orderkey) :: BIGINT AS n_citations, replace(min(l_orderkey || '::'), '::', '') AS first_citation FROM lineitem GROUP BY ALL""")
@@ -206,7 +211,7 @@ def revision_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def named_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Parts and suppliers as entries with names that collide, and relations of a third of the parts."""
+    """Parts as entries with names that collide; some have relations."""
     p, k = table(spark, sf_dir, "part"), F.col("p_partkey")
     parts = p.select(F.concat(F.lit("part:"), text("p_partkey")).alias("id"), F.lit("thing").alias("family"), F.when(k % 5 == 0, "item").otherwise("part").alias("kind"), F.concat(F.col("p_name"), F.when(k % 2 == 0, " & Co").otherwise("!"), (k % 40).cast("string")).alias("name"), attributes(x=F.lit("1")).alias("attributes"), F.array(cite(F.when(k % 3 == 0, "a.parts").otherwise("b.parts"), text("p_partkey"))).alias("citations"))
     edges = p.where("p_partkey % 4 = 1").select(F.concat(F.lit("part:"), text("p_partkey")).alias("from_id"), F.lit("made_by").alias("kind"), F.lit("x").alias("to_id"), no_citations().alias("citations"))
@@ -245,6 +250,34 @@ def candidates_shared_url(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.find_candidates(pages, none)[0].select("match_key", "n", "severity", "review_category")
 
 
+@query("""WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'item' ELSE 'part' END AS kind, CASE WHEN p_partkey % 3 = 0 THEN 'a' ELSE 'b' END AS source, 'D.C. Code § 1-' || p_size AS key FROM part)
+SELECT key AS match_key, count(*) :: BIGINT AS n, CASE WHEN count(DISTINCT kind) > 1 THEN 'high' ELSE 'medium' END AS severity, CASE WHEN count(DISTINCT kind) > 1 THEN 'kind_conflict' WHEN count(DISTINCT source) > 1 THEN 'source_shadow' ELSE 'same_source_duplicate' END AS review_category, string_agg(DISTINCT source, ',' ORDER BY source) AS families
+FROM p GROUP BY key HAVING count(*) > 1""")
+def candidates_shared_locator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that cite one section, spelt with other blanks."""
+    k = F.col("p_partkey")
+    source = F.when(k % 3 == 0, "a.parts").otherwise("b.parts")
+    locator = F.concat(F.lit("D.C."), F.when(k % 2 == 0, "  ").otherwise(" "), F.lit("Code § 1-"), text("p_size"), F.when(k % 2 == 0, " ").otherwise(""))
+    parts = table(spark, sf_dir, "part").select(F.concat(F.lit("part:"), text("p_partkey")).alias("id"), F.lit("thing").alias("family"), F.when(k % 5 == 0, "item").otherwise("part").alias("kind"), F.lit("").alias("name"), attributes(x=F.lit("1")).alias("attributes"), F.array(cite(source, text("p_partkey"), locator)).alias("citations"))
+    none = spark.createDataFrame([], f"from_id string, kind string, to_id string, citations {parts.schema['citations'].dataType.simpleString()}")
+    found = ca.find_candidates(parts, none)[0].where("reason = 'shared_legal_locator'")
+    return found.select("match_key", "n", "severity", "review_category", F.array_join("source_families", ",").alias("families"))
+
+
+@query("""WITH g AS (SELECT n_nationkey AS k, count(s_suppkey) AS boards FROM nation LEFT JOIN supplier ON s_nationkey = n_nationkey GROUP BY 1)
+SELECT 'https://law.example/' || k AS match_key, (boards + 1) :: BIGINT AS n, 'high' AS severity, 'cross_source_shadow,family_conflict,kind_conflict' || CASE WHEN k % 3 = 1 THEN ',relation_review_needed' ELSE '' END AS risks FROM g WHERE boards > 0 AND k % 3 <> 0""")
+def candidates_noise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laws and the boards on their page: noise where the law authorises every board, candidates where it authorises some or none."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    url = lambda k: F.concat(F.lit("https://law.example/"), text(k))
+    made = lambda df, key, kind, family, link: df.select(F.concat(F.lit(f"{kind}:"), text(key)).alias("id"), F.lit(family).alias("family"), F.lit(kind).alias("kind"), F.lit("").alias("name"), attributes(webUrl=json_text(url(link))).alias("attributes"), F.array(cite(F.lit(kind), text(key))).alias("citations"))
+    entries = made(n, "n_nationkey", "legal_authority", "authority", "n_nationkey").unionByName(made(s, "s_suppkey", "board", "organization", "s_nationkey"))
+    law = F.concat(F.lit("legal_authority:"), text("s_nationkey"))
+    k = F.col("s_nationkey") % 3
+    edges = s.select(F.concat(F.lit("board:"), text("s_suppkey")).alias("from_id"), F.when(k == 0, "relation:authorized_by").when(k == 1, "relation:governs").alias("kind"), law.alias("to_id"), no_citations().alias("citations")).where("kind IS NOT NULL")
+    return ca.find_candidates(entries, edges)[0].where("reason = 'shared_url'").select("match_key", "n", "severity", F.array_join("risks", ",").alias("risks"))
+
+
 @query("""WITH d AS (SELECT doc_id, trim(regexp_replace(replace(lower(text), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS k, source IN ('src0', 'src1', 'src2', 'src3', 'src4') AS good FROM documents), g AS (SELECT k FROM d WHERE k <> '' GROUP BY k HAVING count(*) > 1 AND bool_or(good))
 SELECT doc_id, k IN (SELECT k FROM g) AND NOT good AS stale FROM d""")
 def stale_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,11 +293,11 @@ def topk_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.top_packets(found, 20).select("id", "match_key", "candidate_count")
 
 
-@query("""WITH i AS (SELECT o_orderkey AS item, o_custkey AS c FROM orders WHERE o_orderkey % 5 = 0), v AS (SELECT c_custkey AS rev, c_custkey AS target, c_custkey + 1 AS related FROM customer WHERE c_custkey % 3 = 0)
+@query("""WITH i AS (SELECT o_orderkey AS item, o_custkey AS c FROM orders), v AS (SELECT c_custkey AS rev, c_custkey AS target, c_custkey + 1 AS related FROM customer)
 SELECT DISTINCT 'item:' || item AS item_id, 'rev:' || rev AS revision_id FROM i JOIN v ON i.c = v.target OR i.c = v.related OR i.item = v.rev""")
 def item_revision_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items and revisions that share an id or a citation: an equi-join in place of a theta join."""
-    o, c = table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0"), table(spark, sf_dir, "customer").where("c_custkey % 3 = 0")
+    o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     items = o.select(F.concat(F.lit("item:"), text("o_orderkey")).alias("item_id"), F.array(text("o_custkey")).alias("ids"), F.array(cite(F.lit("k"), text("o_orderkey"))).alias("citations"))
     revisions = c.select(F.concat(F.lit("rev:"), text("c_custkey")).alias("revision_id"), F.array(text("c_custkey"), (F.col("c_custkey") + 1).cast("string")).alias("ids"), F.array(cite(F.lit("k"), text("c_custkey"))).alias("citations"))
     return rv.item_revisions(items, revisions)

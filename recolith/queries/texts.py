@@ -70,17 +70,27 @@ def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", ur.canonical_url(u).alias("canonical"), ur.host_of(u).alias("host"), F.size(ur.segments(u)).alias("n_segments"), ur.official_url(u).isNotNull().alias("is_http"))
 
 
-@query(r"""WITH d AS (SELECT doc_id, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') AS mail, text FROM documents)
-SELECT doc_id, length(CASE WHEN mail = '' THEN text ELSE left(text, strpos(text, mail) - 1) || substr(text, strpos(text, mail) + length(mail)) END) :: INT AS n_left, mail <> '' AS found FROM d""")
+# Sentences without those about contacts, each without its first address and number.
+SCRUB_SQL = r"""
+k AS (SELECT doc_id, text AS whole, list_filter(string_split(regexp_replace(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda s: NOT (regexp_matches(s, '(?i)\b(?:phone|telephone|fax|correspondence)\b|\b(?:by|via) e-?mail\b|\be-?mail\s*:')
+  OR (regexp_matches(s, '(?i)\bfor (?:(?:any|all) )?(?:questions|(?:more|additional|further) information)\b') AND (regexp_matches(s, '(?i)\b(?:contact|e-?mail)\b') OR regexp_matches(s, '\b[0-9]{10}\b|(?:\(?\b[0-9]{3}\)?[-. ]?)?\b[0-9]{3}[-. ]?[0-9]{4}\b'))))) AS parts FROM documents),
+s AS (SELECT doc_id, whole, trim(regexp_replace(regexp_replace(array_to_string(list_transform(parts, lambda s: regexp_replace(regexp_replace(s, '[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', ''), '\b[0-9]{10}\b|(?:\(?\b[0-9]{3}\)?[-. ]?)?\b[0-9]{3}[-. ]?[0-9]{4}\b', '')), ' '), ' {2,}', ' ', 'g'), ' +([.,;!?])', '\1', 'g')) AS text FROM k)
+"""
+
+
+@query(f"WITH {SCRUB_SQL} SELECT doc_id, text FROM s")
 def pii_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first e-mail address goes."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.select("doc_id", F.length(tx.replace_first(F.col("text"), tx.EMAIL)).alias("n_left"), F.col("text").rlike(tx.EMAIL).alias("found"))
+    """Texts without sentences about contacts, and without addresses and numbers elsewhere."""
+    return table(spark, sf_dir, "documents").select("doc_id", tx.scrub_contacts(F.col("text")).alias("text"))
 
 
-@query(r"""SELECT doc_id, CASE WHEN length(t) >= 40 THEN md5(t) END AS cleaned FROM (SELECT doc_id, trim(regexp_replace(text, '(?i)^(?:https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{2,}(?:/\S*)?)\s+', '')) AS t FROM documents)""")
+@query(rf"""WITH {SCRUB_SQL}, p AS (SELECT doc_id, whole, string_split(regexp_replace(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)) AS parts FROM s),
+l AS (SELECT doc_id, whole, array_to_string(CASE WHEN starts_with(lower(parts[-1]), 'learn more about ') THEN parts[:-2] ELSE parts END, ' ') AS x FROM p)
+SELECT doc_id, CASE WHEN NOT regexp_matches(whole, '(?i)^\s*(?:this website requires|point of contact|public body website|agency website|report website problems)') AND NOT regexp_matches(x, '(?i)\b(?:phone|fax|email|correspondence)\b') AND length(x) >= 40 THEN x END AS cleaned,
+  CASE WHEN length(trim(regexp_replace(whole, '(?i)^(?:https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:/\S*)?)\s+', ''))) >= 40 THEN md5(trim(regexp_replace(whole, '(?i)^(?:https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:/\S*)?)\s+', ''))) END AS without_url FROM l""")
 def description_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(tx.strip_leading_url(F.col("text"))).alias("cleaned"))
+    t = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", tx.clean_description(t).alias("cleaned"), F.md5(tx.strip_leading_url(t)).alias("without_url"))
 
 
 @query("""SELECT event_id, json_extract_string(props, '$.k') AS k, json_valid(props) AS valid, '{"k":' || json_extract_string(props, '$.k') || '}' AS stable FROM events""")
