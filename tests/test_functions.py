@@ -45,6 +45,13 @@ def cases():
         (tx.raw_verb(F.lit("relation:governs")), "governs"),
         (tx.source_family(F.lit("gis.boards")), "gis"),
         (tx.scrub_contacts(F.lit("Write to a@b.org or c@d.org.  Call 555-1234 .")), "Write to or c@d.org. Call."),
+        (tx.scrub_contacts(F.lit("We meet. For questions call 202-555-1234 today. The Board can be reached by phone: (202) 555-1234. All correspondence should be sent to us.")), "We meet."),
+        (tx.scrub_contacts(F.lit("Rooms 12 and 1234567890123 stay, Fax: 555-1234.\nSo does a.b.")), "So does a.b."),
+        (tx.scrub_contacts(F.lit(" ")), ""),
+        (tx.replace_first(F.lit("a1b2"), "[0-9]", "-"), "a-b2"),
+        (tx.without_email(F.lit("x" * 70 + "@y.org z")), "x" * 6 + " z"),
+        (tx.percent_id(F.lit("(*!)_-. é~")), "(*!)_-.~20~C3~A9~7E"),
+        (tx.clean_description(F.lit("The commission hears appeals from every ward of the city. Send an email if you can.")), None),
         (tx.clean_description(F.lit("Point of Contact: somebody who answers every letter there is.")), None),
         (tx.clean_description(F.lit("The board advises the council on food and farms in the city. Learn more about food.")), "The board advises the council on food and farms in the city."),
         (tx.clean_description(F.lit("Too short.")), None),

@@ -80,15 +80,15 @@ def test_compile(spark):
     (kept,) = made.state[1].collect()
     assert (kept["from_id"], kept["kind"], kept["to_id"]) == ("board:a", "governs", "agency:b") and [c["source_record_id"] for c in kept["citations"]] == ["1", "2"]
     codes = sorted(r["code"] for r in made.findings.collect())
-    assert codes == ["promotion.drop", "promotion.promote_with_warning", "promotion.review_required", "relation.kind_canonicalized", "relation.source_not_promoted", "relation.target_not_promoted"]
+    assert codes == ["compiler.relation_kind_canonicalized", "compiler.relation_source_not_promoted", "compiler.relation_target_not_promoted", "promotion.drop", "promotion.promote_with_warning", "promotion.review_required"]
 
 
 @pytest.mark.parametrize(
     ("rows", "edges", "code"),
     [
-        ([frag("a"), frag("a", "r2", kind="agency")], [], "entry.kind_mismatch"),
-        ([frag("a")], [edge("a", "governs", "nowhere")], "relation.target_missing"),
-        ([frag("a")], [edge("nowhere", "governs", "nowhere")], "relation.source_missing"),
+        ([frag("a"), frag("a", "r2", kind="agency")], [], "compiler.conflict.entry_kind_mismatch"),
+        ([frag("a")], [edge("a", "governs", "nowhere")], "compiler.conflict.relation_target_missing"),
+        ([frag("a")], [edge("nowhere", "governs", "nowhere")], "compiler.conflict.relation_source_missing"),
         ([frag("a"), frag("b", source="unknown")], [], "promotion.conflict"),
         ([frag("a", attributes={"n": '"text"'})], [], "entry.attribute_type"),
         ([frag("a"), frag("b")], [edge("a", "elects", "b")], "entry.relation_kind_unknown"),
@@ -132,18 +132,18 @@ def test_retargeting_follows_the_order_of_revisions(spark):
     earlier = rv.fold_revisions([revision("1", "y", shadow("z")), revision("2", "x", shadow("y"))], touched, {})
     assert later.final_target == {"x": "z", "y": "z"} and earlier.final_target == {"y": "z", "x": "y"}
     again = rv.fold_revisions([revision("1", "x", {"suppress": True}), revision("2", "x", {"name": "n"})], touched, {})
-    assert [f[1] for f in again.conflicts] == ["revision.target_missing"]
+    assert [f[1] for f in again.conflicts] == ["compiler.conflict.revision_target_missing"]
 
 
 def test_revision_targets(spark):
     touched = {"a": ("board", "A"), "b": ("board", "B")}
     select = lambda **k: {"canonical_id": None, "previous_ids": None, "source_refs": None, "kind": None, "name": None} | k
     fold = lambda r, aliases=None: [f[1] for f in rv.fold_revisions([r], touched, aliases or {}).conflicts]
-    assert fold(revision("1", "a", {"name": "x"}, selector=select(canonical_id="b"))) == ["revision.target_ambiguous"]
-    assert fold(revision("1", "a", {"name": "x"}, selector=select(kind="agency"))) == ["revision.target_guard_mismatch"]
-    assert fold(revision("1", "old", {"name": "x"}), {("id", "old"): {"a", "b"}}) == ["revision.target_ambiguous"]
+    assert fold(revision("1", "a", {"name": "x"}, selector=select(canonical_id="b"))) == ["compiler.conflict.revision_target_ambiguous"]
+    assert fold(revision("1", "a", {"name": "x"}, selector=select(kind="agency"))) == ["compiler.conflict.revision_target_guard_mismatch"]
+    assert fold(revision("1", "old", {"name": "x"}), {("id", "old"): {"a", "b"}}) == ["compiler.conflict.revision_target_ambiguous"]
     assert fold(revision("1", "gone", {"name": "x"}, selector=select(source_refs=[cited("s", "9")])), {("ref", rv.ref_key(cited("s", "9"))): {"b"}}) == []
-    assert fold(revision("1", "a", {}, kind="relation")) == ["revision.invalid_state"]
+    assert fold(revision("1", "a", {}, kind="relation")) == ["compiler.conflict.revision_invalid_state"]
 
 
 def test_relation_patches_replace_all_relations(spark):
@@ -250,7 +250,9 @@ def test_html(spark):
     wanted = F.contains("href", F.lit("/public-bodies/")) & (F.col("text") != "meetings")
     assert {(r["slug"], r["from_supplement"]) for r in ht.crawl_index(full, more, "id", wanted).collect()} == {("x", False), ("new", True)}
     texts = spark.createDataFrame([("Office of Planning plans", "p1"), ("Office of Planning plans much", "p2"), ("Office of X", "p3")], "text string, url string")
-    assert [(r["label"], r["text"], r["urls"]) for r in ht.evidence(texts, ["Office", "office of planning"]).where("label <> 'Office'").collect()] == [("office of planning", "Office of Planning plans much", ["p1", "p2"])]
+    labels = ["Office", "office of planning"]
+    assert [(r["label"], r["text"], r["n"]) for r in ht.evidence(texts, labels).where("label <> 'Office'").collect()] == [("office of planning", "Office of Planning plans much", 2)]
+    assert {tuple(r) for r in ht.evidence_pages(texts, labels).collect()} == {("office of planning", "p1"), ("office of planning", "p2"), ("Office", "p3")}
     assert ht.page_facts(pages, "id").first()["heading"] == "Body"
 
 
@@ -281,10 +283,26 @@ def test_state_files_and_sinks(spark, tmp_path):
     sinks.upsert(spark.createDataFrame([("s", "2", "c"), ("t", "1", "d")], first.schema), table, ["source", "key"])
     assert {tuple(r) for r in spark.read.parquet(table).collect()} == {("s", "1", "a"), ("s", "2", "c"), ("t", "1", "d")}
     by_source = str(tmp_path / "by_source")
-    sinks.replace_source(first, by_source)
-    sinks.replace_source(spark.createDataFrame([("t", "9", "x")], first.schema), by_source)
-    sinks.replace_source(spark.createDataFrame([("s", "3", "y")], first.schema), by_source)
+    sinks.replace_source(first, by_source, ["s"])
+    sinks.replace_source(spark.createDataFrame([("t", "9", "x")], first.schema), by_source, ["t"])
+    sinks.replace_source(spark.createDataFrame([("s", "3", "y")], first.schema), by_source, ["s"])
     assert {(r["source"], r["key"]) for r in spark.read.parquet(by_source).collect()} == {("s", "3"), ("t", "9")}
+    sinks.replace_source(first.limit(0), by_source, ["s", "never"])
+    assert {(r["source"], r["key"]) for r in spark.read.parquet(by_source).collect()} == {("t", "9")}
+    with pytest.raises(ValueError):
+        sinks.replace_source(first, by_source, ["t"])
+    # null keys are keys, and of rows that share one in a batch one counts
+    sinks.upsert(spark.createDataFrame([(None, "1", "e"), (None, "1", "f"), ("t", "1", "g"), ("t", "1", "h")], first.schema), table, ["source", "key"])
+    sinks.upsert(spark.createDataFrame([(None, "1", "k")], first.schema), table, ["source", "key"])
+    assert {tuple(r) for r in spark.read.parquet(table).collect()} == {("s", "1", "a"), ("s", "2", "c"), ("t", "1", "h"), (None, "1", "k")}
+    # a job lost within a swap: the old table comes back
+    (tmp_path / "t").rename(tmp_path / "t.old")
+    sinks.recover(spark, table)
+    assert spark.read.parquet(table).count() == 4 and not (tmp_path / "t.old").exists()
+    for bad in ("", "/x", "../x", "a/../b", "a//b", "file:x", "a\\b"):
+        with pytest.raises(ValueError):
+            sinks.safe_path(bad)
+    assert sinks.safe_path("a/b.csv") == "a/b.csv"
 
     csv = spark.createDataFrame([("b", 'say "x", y\nz'), ("a", None)], "k string, v string")
     sinks.write_csv(csv, str(tmp_path / "csv"), ["k"])
@@ -322,10 +340,12 @@ def test_paged_json(spark, tmp_path, monkeypatch):
     from recolith.sources import rest
 
     pages = {0: {"features": [{"attributes": {"ID": 1, "n": "é"}}, {"attributes": {"ID": 2}}], "exceededTransferLimit": True, "objectIdFieldName": "ID"}, 2: {"features": [{"attributes": {"ID": 3}}], "objectIdFieldName": "ID"}}
-    (tmp_path / "fake_rest.py").write_text(f"import json\nPAGES = {pages!r}\ndef fetch(url, p):\n    return json.dumps(PAGES.get(p['resultOffset'], {{'features': []}}))\n")
+    (tmp_path / "fake_rest.py").write_text(f"import json\nPAGES = {pages!r}\ndef fetch(url, p):\n    if 'returnCountOnly' in p:\n        return json.dumps({{'count': 3}}) if url == 'u' else 'no count'\n    return json.dumps(PAGES.get(p['resultOffset'], {{'features': []}}))\n")
     monkeypatch.syspath_prepend(str(tmp_path))
     reader = rest.PagedReader({"url": "u", "page_size": "2", "fetch": "fake_rest:fetch"})
     rows = [r for p in reader.partitions() for r in reader.read(p)]
+    assert [(p.first, p.pages) for p in reader.partitions()] == [(0, 1), (1, 0)]
+    assert [(p.first, p.pages) for p in rest.PagedReader({"url": "other", "fetch": "fake_rest:fetch"}).partitions()] == [(0, 0)]
     assert [(r[0], r[1]) for r in rows] == [("page:0", "1"), ("page:0", "2"), ("page:2", "3")] and json.loads(rows[0][2])["n"] == "é"
     split = rest.PagedReader({"url": "u", "page_size": "2", "pages": "3", "fetch": "fake_rest:fetch"})
     assert sorted(r[1] for p in split.partitions() for r in split.read(p)) == ["1", "2", "3"]
