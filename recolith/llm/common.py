@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..stages import clean_up, fresh_path, materialise, shared_dir
+
+__all__ = ["ascii_lower", "clean_up", "column", "fresh_path", "materialise", "private", "read", "shared_dir", "small_side"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Most rows of a build side that is sent to every executor. Rows are keys and
@@ -17,40 +18,6 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Where the session names none and driver and executors are one process (a local master), one is made and set. On a
-    cluster that is an error: what executors write to a folder of their own machine, others would read as missing or empty.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="recolith-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes ``df`` to the shared folder and reads it back: lineage ends there,
-    and the loss of an executor repeats none of the work before it."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def clean_up(spark: SparkSession) -> None:
-    """Deletes the tables and files that this application's operators have written to the shared folder. Results that
-    read them must be written elsewhere before."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` (a written table) with a broadcast hint if it has at most ``rows``
     rows; else as it is, for a shuffled join whose hot keys AQE splits."""
