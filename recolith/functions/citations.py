@@ -94,7 +94,12 @@ _CODE_SECTION = r"^D\.?\s*C\.? (?:Official )?Code § ([0-9][0-9A-Za-z.\-]*(?:\([
 @F.pandas_udf(ArrayType(StringType()))
 def text_locators(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in texts:
-        yield s.map(locators)
+        yield s.map(lambda t: None if t is None else locators(t))
+
+
+def locators_of(text: Column) -> Column:
+    """``locators`` of a column, empty for null. No locator is without a digit, so other texts are not given to the Arrow function."""
+    return F.coalesce(text_locators(F.when(text.rlike("[0-9]"), text)), F.array().cast("array<string>"))
 
 
 def payload_text(payload: Column) -> Column:

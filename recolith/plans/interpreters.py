@@ -120,7 +120,7 @@ def with_law(rows: DataFrame, urls: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with authorities (distinct by type and address, those of texts before those of urls) and law_citations; a written table, as
     fragments, edges and findings read it."""
     from_urls = [ci.url_locators(F.col(u)) for u in urls]
-    found = F.array_distinct(F.concat(F.coalesce(ci.text_locators(ci.payload_text(F.col("payload"))), F.array().cast("array<string>")), *from_urls))
+    found = F.array_distinct(F.concat(ci.locators_of(ci.payload_text(F.col("payload"))), *from_urls))
     pairs = F.transform(found, lambda x: F.struct(x.alias("locator"), ci.authority(x).alias("a")))
     rows = rows.withColumn("__pairs", pairs).withColumn("__a", F.array_compact("__pairs.a"))
     same = lambda x, y: (x["authority_type"] == y["authority_type"]) & (x["canonical_url"] == y["canonical_url"])
@@ -149,7 +149,7 @@ def union(*frames: DataFrame) -> DataFrame:
 
 def agencies(records: DataFrame) -> tuple[Interpreted, Lookups]:
     """Agencies by the slug of their name; reports_to their parent by source id. Several source ids of one slug are a conflict."""
-    rows, bad = parsed(records, source_id=("AGENCY_ID", "AGENCYID"), name=("AGENCY_NAME", "NAME"), short=("SHORT_NAME", "SHORTNAME"), parent=("PARENT_AGENCY_ID", "PARENT_ID"))
+    rows, bad = parsed(records, source_id=("AGENCY_ID", "AGENCYID", "OBJECTID"), name=("AGENCY_NAME", "NAME"), short=("SHORT_NAME", "SHORTNAME"), parent=("PARENT_AGENCY", "PARENT_AGENCY_ID", "parent_agency_id"))
     rows, lost = required(rows, source_id="agency_id_missing", name="agency_name_missing")
     rows = with_law(rows.withColumn("id", made_id("agency", entity_slug(F.col("name")))))
     by_id = materialise(rows.groupBy("source_id").agg(F.max_by("id", "key").alias("id")), "agency-ids")
@@ -171,7 +171,7 @@ def agencies(records: DataFrame) -> tuple[Interpreted, Lookups]:
 def bodies(records: DataFrame, lookups: Lookups, kind: str) -> Interpreted:
     """Boards, commissions, councils or authorities: they govern the agency of their record, by its id or its name."""
     upper = kind.upper()
-    rows, bad = parsed(records, source_id=(f"{upper}_ID", f"{upper}ID"), name=(f"{upper}_NAME", "NAME"), short=("SHORT_NAME", "SHORTNAME"), ref=("AGENCY_ID", "AGENCYID"), label=("AGENCY_NAME", "AGENCY"))
+    rows, bad = parsed(records, source_id=(f"{upper}_ID", f"{upper}ID", "ENTITY_ID", "OBJECTID"), name=(f"{upper}_NAME", "NAME"), short=("SHORT_NAME", "SHORTNAME"), ref=("AGENCY_ID", "AGENCYID"), label=("GOVERNING_AGENCY", "AGENCY_NAME", "AGENCY"))
     rows, lost = required(rows, source_id=f"{kind}_id_missing", name=f"{kind}_name_missing")
     rows = with_law(it.resolve(rows.withColumn("id", made_id(kind, F.col("source_id"))), lookups.by_id, lookups.by_name, "ref", "label", "agency:"))
     made = entry(0, F.col("id"), kind, "organization", F.col("name"), attribute_map(**{"shortName": F.coalesce(text("short"), text("name")), f"source{kind.capitalize()}Id": text("source_id")}), F.col("law_citations"))
@@ -188,14 +188,14 @@ def ancs(records: DataFrame) -> Interpreted:
 
 def smds(records: DataFrame) -> Interpreted:
     """An area and its seat a record; the commission contains the area, the seat represents it. A vacant seat has no holder."""
-    rows, bad = parsed(records, source_id="SMD_ID", name="NAME", anc="ANC_ID", holder=("REP_NAME", "REPRESENTATIVE"), web="WEB_URL")
+    rows, bad = parsed(records, source_id="SMD_ID", name="NAME", anc="ANC_ID", holder=("REP_NAME", "REPRESENTATIVE"), first="FIRST_NAME", last="LAST_NAME", web="WEB_URL")
     rows, lost = required(rows, source_id="smd_id_missing")
     rows = it.with_fallback_name(rows, "SMD ").withColumn("vacant", F.upper("holder") == "VACANT")
     area, seat = made_id("smd", percent_id(F.col("source_id"))), made_id("anc_commissioner_seat", percent_id(F.col("source_id")))
-    holder = F.when(~F.col("vacant"), text("holder"))
+    held = lambda c: F.when(~F.col("vacant"), text(c))
     made = [
         entry(0, area, "smd", "area", F.col("name"), attribute_map(sourceSmdId=text("source_id"), sourceAncId=text("anc"), webUrl=text("web")), cited_once()),
-        entry(1, seat, "anc_commissioner_seat", "position", F.concat(F.lit("Commissioner Seat for "), F.col("name")), attribute_map(sourceSmdId=text("source_id"), sourceAncId=text("anc"), sourceRepresentativeName=holder), cited_once()),
+        entry(1, seat, "anc_commissioner_seat", "position", F.concat(F.lit("Commissioner Seat for "), F.col("name")), attribute_map(sourceSmdId=text("source_id"), sourceAncId=text("anc"), sourceRepresentativeName=held("holder"), sourceFirstName=held("first"), sourceLastName=held("last")), cited_once()),
     ]
     edges = [edge(2, made_id("anc", percent_id(F.col("anc"))), "contains", area, cited_once(), F.col("anc").isNotNull()), edge(3, seat, "represents", area, cited_once())]
     problems = [finding(rows.where("NOT named"), "warn", "smd_name_missing"), finding(rows.where("vacant"), "warn", "smd_representative_vacant"), finding(rows.where("holder IS NULL"), "warn", "smd_representative_missing"), finding(rows.where("anc IS NULL"), "warn", "smd_anc_id_missing")]
@@ -225,9 +225,31 @@ def members(records: DataFrame) -> Interpreted:
     return Interpreted(entries_of(rows, made), edges_of(rows, edges), union(bad, *lost))
 
 
+def committees(records: DataFrame, roster: DataFrame) -> Interpreted:
+    """Committees with their members, who are known by the last part of their profile's address: a chair is a member too, and the committee of the whole has
+    everyone of ``roster`` (member_id). Members that the roster lacks become entries of their own."""
+    rows, bad = parsed(records, name="committeeName", slug="committeeSlug", type="committeeType", url="committeeUrl", chair_name="chairpersonName", chair_url="chairpersonUrl")
+    missing = "council_committee_missing_fields"
+    rows, lost = required(rows, name=missing, slug=missing, url=missing)
+    member = lambda url: made_id("councilmember", percent_id(F.substring_index(F.regexp_replace(url, "[?#].*$|/+$", ""), "/", -1)))
+    listed = F.coalesce(F.try_variant_get("__v", "$.councilmembers", "array<struct<name:string,url:string>>"), F.array().cast("array<struct<name:string,url:string>>"))
+    people = F.filter(listed, lambda p: p["name"].isNotNull() & p["url"].isNotNull())
+    rows = written(rows.withColumns({"id": made_id("committee", percent_id(F.col("slug"))), "people": people, "chair": F.when(F.col("chair_url").isNotNull(), member(F.col("chair_url")))}).withColumn("members", F.transform("people", lambda p: member(p["url"]))))
+    cited = F.array(cite(F.col("source"), F.col("key"), url=F.col("url")))
+    made = entry(0, F.col("id"), "committee", "organization", F.col("name"), attribute_map(committeeType=text("type"), sourceUrl=text("url"), sourceCommitteeSlug=text("slug")), cited)
+    named = F.transform("people", lambda p: F.struct(member(p["url"]).alias("id"), p["name"].alias("name"), p["url"].alias("url")))
+    chair = F.when(F.col("chair").isNotNull() & F.col("chair_name").isNotNull(), F.array(F.struct(F.col("chair").alias("id"), F.col("chair_name").alias("name"), F.col("chair_url").alias("url")))).otherwise(F.array().cast("array<struct<id:string,name:string,url:string>>"))
+    own = rows.select("*", F.explode(F.array_distinct(F.concat(named, chair))).alias("p")).join(roster.select(F.col("member_id").alias("__known")), F.col("p.id") == F.col("__known"), "left_anti")
+    person = entry(1, F.col("p.id"), "councilmember", "person", F.col("p.name"), attribute_map(sourceProfileUrl=quoted(F.col("p.url"))), cited)
+    # edges know their committee, whose record they cite
+    edges = it.committee_edges(rows.select("id", "name", "chair", "members"), roster).withColumnRenamed("to_id", "id").join(rows.select("id", "source", "key", "url"), "id")
+    links = [edge(2, F.col("from_id"), kind, F.col("id"), cited, F.col("kind") == kind) for kind in ("member_of", "chairs")]
+    return Interpreted(union(entries_of(rows, [made]), entries_of(own, [person])), edges_of(edges, links), union(bad, *lost, finding(rows.where("chair IS NULL"), "warn", "council_committee_chair_missing")))
+
+
 def structure(records: DataFrame, kinds: dict[str, str], prefix: str, id_of: Callable[[Column, Column], Column] | None = None) -> Interpreted:
     """Pages of a hierarchy (ethics board, courts): entries of the payload's kind, ``part_of`` the page of the parent's exact name."""
-    rows, bad = parsed(records, name="name", ref="key", url="url", source_kind="entryKind", parent="parentName", page_title="pageTitle", heading="heading", summary="summary")
+    rows, bad = parsed(records, name="name", ref="key", url="url", source_kind="entryKind", parent="parentName", discovery="discoveryPageUrl", page_title="pageTitle", heading="heading", summary="summary")
     of = F.create_map(*[F.lit(x) for kv in kinds.items() for x in kv])
     rows = rows.withColumn("kind", of[F.col("source_kind")])
     missing = f"{prefix}_missing_fields"
@@ -238,7 +260,7 @@ def structure(records: DataFrame, kinds: dict[str, str], prefix: str, id_of: Cal
     # of pages of one name the last is the parent
     by_name = rows.groupBy(F.col("name").alias("parent")).agg(F.max_by("id", "key").alias("parent_entry"))
     up = rows.where("parent IS NOT NULL").join(by_name, "parent", "left")
-    made = entry(0, F.col("id"), F.col("kind"), "organization", F.col("name"), attribute_map(shortName=text("name"), sourceStructureKey=text("ref"), sourcePageUrl=text("url"), officialUrl=text("url"), sourcePageTitle=text("page_title"), sourceHeading=text("heading"), sourceSummary=text("summary")), cited)
+    made = entry(0, F.col("id"), F.col("kind"), "organization", F.col("name"), attribute_map(shortName=text("name"), sourceStructureKey=text("ref"), sourcePageUrl=text("url"), officialUrl=text("url"), sourceDiscoveryPageUrl=text("discovery"), sourcePageTitle=text("page_title"), sourceHeading=text("heading"), sourceSummary=text("summary")), cited)
     return Interpreted(entries_of(rows, [made]), edges_of(up, [edge(1, F.col("id"), "part_of", F.col("parent_entry"), cited)]), union(bad, *lost, finding(up.where("parent_entry IS NULL"), "warn", f"{prefix}_parent_missing", F.concat_ws(" ", "key", F.lit("has parent"), "parent"))))
 
 
@@ -315,7 +337,7 @@ def entrypoints(records: DataFrame) -> Interpreted:
     """Legal sites, one entry a record; whether they come from the seed is an attribute."""
     rows, bad = parsed(records, name="name", url="url", page_title="pageTitle", heading="heading", summary="summary")
     rows, lost = required(rows, name="legal_entrypoint_missing_fields", url="legal_entrypoint_missing_fields")
-    seeded = F.coalesce(F.try_variant_get("__v", "$.sourceSeeded", "boolean"), F.lit(False)).cast("string")
+    seeded = F.coalesce(F.try_variant_get("__v", "$.fromSeed", "boolean"), F.lit(False)).cast("string")
     made = entry(0, made_id("legal_entrypoint", entity_slug(F.col("name"))), "legal_entrypoint", "authority", F.col("name"), attribute_map(officialUrl=text("url"), sourcePageTitle=text("page_title"), sourceHeading=text("heading"), sourceSummary=text("summary"), sourceSeeded=seeded), F.array(cite(F.col("source"), F.col("key"), url=F.col("url"))))
     none = edges_of(rows.limit(0), [edge(0, F.col("name"), "contains", F.col("name"), cited_once())])
     return Interpreted(entries_of(rows, [made]), none, union(bad, *lost))
@@ -323,7 +345,7 @@ def entrypoints(records: DataFrame) -> Interpreted:
 
 def directory(records: DataFrame, lookups: Lookups) -> Interpreted:
     """A directory's addresses as further fragments of agencies that are known by one of the names that a row may go by."""
-    rows, bad = parsed(records, name="name", url="url")
+    rows, bad = parsed(records, name=("directoryName", "name"), url=("officialUrl", "url"))
     rows, lost = required(rows, name="agency_directory_missing_fields", url="agency_directory_missing_fields")
     placed = rows.select("name", "url", F.col("key").alias("pos"))
     found, problems = it.enrich_directory(placed, lookups.by_name)

@@ -61,7 +61,7 @@ def board_parts(spark: SparkSession, sf_dir: str) -> tuple[ip.Interpreted, ip.In
     """Agencies, and customers as boards: of an agency by its id, known or not, by its name, or of none."""
     k = F.col("c_custkey")
     label = F.when(k % 3 == 1, F.concat(F.lit("Supplier#"), F.lpad((k % 50).cast("string"), 9, "0")))
-    rows = records(table(spark, sf_dir, "customer"), "gis.boards", "c_custkey", BOARD_ID=k, NAME=F.col("c_name"), AGENCY_ID=F.when(k % 3 == 0, F.col("c_nationkey")), AGENCY_NAME=label)
+    rows = records(table(spark, sf_dir, "customer"), "gis.boards", "c_custkey", BOARD_ID=k, NAME=F.col("c_name"), AGENCY_ID=F.when(k % 3 == 0, F.col("c_nationkey")), GOVERNING_AGENCY=label)
     agencies, lookups = ip.agencies(agency_records(spark, sf_dir))
     return agencies, ip.bodies(rows, lookups, "board")
 

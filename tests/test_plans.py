@@ -29,7 +29,7 @@ def got(made):
 
 
 def test_agencies_and_what_looks_them_up(spark):
-    made, lookups = ip.agencies(records(spark, "gis", {"AGENCY_ID": 1, "NAME": "Dept of Food", "SHORT_NAME": "DF", "STATUTE": "D.C. Code § 1-2, D.C. Code § 0-1"}, {"AGENCY_ID": "2", "NAME": "Farms", "PARENT_ID": 1}, {"AGENCY_ID": "3", "NAME": "Farms"}, {"NAME": "x"}, "[]", None, {"AGENCY_ID": 4, "NAME": "Own", "PARENT_ID": 4}))
+    made, lookups = ip.agencies(records(spark, "gis", {"AGENCY_ID": 1, "NAME": "Dept of Food", "SHORT_NAME": "DF", "STATUTE": "D.C. Code § 1-2, D.C. Code § 0-1"}, {"AGENCY_ID": "2", "NAME": "Farms", "PARENT_AGENCY": 1}, {"AGENCY_ID": "3", "NAME": "Farms"}, {"NAME": "x"}, "[]", None, {"AGENCY_ID": 4, "NAME": "Own", "PARENT_AGENCY_ID": 4}))
     entries, edges, codes = got(made)
     assert set(entries) == {"agency:dept-of-food", "agency:farms", "agency:own", "legal_authority:d-c-code-1-2"} and entries["agency:dept-of-food"]["attributes"]["shortName"] == '"DF"'
     assert edges == {("agency:farms", "reports_to", "agency:dept-of-food"), ("agency:dept-of-food", "authorized_by", "legal_authority:d-c-code-1-2")}
@@ -56,18 +56,31 @@ def test_profiles_and_entrypoints(spark):
     assert set(entries) == {"anc:1A", "anc:3~2F4G", "anc_commissioner_seat:1A01", "ward:1", "ward:2"} and json.loads(entries["anc:1A"]["attributes"]["sourceWardNumbers"]) == ["1", "2"]
     assert edges == {("ward:1", "contains", "anc:1A"), ("ward:2", "contains", "anc:1A")} and entries["anc_commissioner_seat:1A01"]["attributes"]["officerRole"] == '"Chair"'
     assert codes == ["interpreter.commissioner_slash_smd_deferred"] * 2 + ["interpreter.profile_missing_fields"]
-    entries, _, codes = got(ip.entrypoints(records(spark, "law", {"name": "The Code", "url": "https://c", "sourceSeeded": True}, {"name": "x"})))
+    entries, _, codes = got(ip.entrypoints(records(spark, "law", {"name": "The Code", "url": "https://c", "fromSeed": True}, {"name": "x"})))
     assert entries["legal_entrypoint:the-code"]["attributes"] == {"officialUrl": '"https://c"', "sourceSeeded": "true"} and codes == ["interpreter.legal_entrypoint_missing_fields"]
     none = spark.createDataFrame([], model.RECORD)
     assert all(f.count() == 0 for f in (ip.members(none).entries, ip.smds(none).relations, ip.profiles(none).findings))
 
 
+def test_areas_and_committees(spark):
+    """Two records of areas give four entries and four relations, and no contacts."""
+    entries, edges, codes = got(ip.smds(records(spark, "gis.smds", {"SMD_ID": "1A01", "ANC_ID": "1A", "NAME": "SMD 1A01", "REP_NAME": "Ann B", "FIRST_NAME": "Ann", "EMAIL": "a@b.org"}, {"SMD_ID": "3/4G01", "ANC_ID": "3/4G", "NAME": "SMD 3/4G01", "REP_NAME": "vacant"})))
+    assert len(entries) == 4 and len(edges) == 4 and codes == ["interpreter.smd_representative_vacant"] and "a@b.org" not in str(entries)
+    assert ("anc:3~2F4G", "contains", "smd:3~2F4G01") in edges and entries["anc_commissioner_seat:1A01"]["attributes"]["sourceFirstName"] == '"Ann"'
+    roster = spark.createDataFrame([("councilmember:ann",), ("councilmember:bob",)], "member_id string")
+    whole = {"committeeName": "Committee of the Whole", "committeeSlug": "whole", "committeeUrl": "https://w", "councilmembers": [{"name": "Ann", "url": "https://c/ann/"}]}
+    health = {"committeeName": "Health", "committeeSlug": "health", "committeeUrl": "https://h", "committeeType": "standing", "chairpersonName": "Ann", "chairpersonUrl": "https://c/ann", "councilmembers": [{"name": "Cy", "url": "https://c/cy"}]}
+    entries, edges, codes = got(ip.committees(records(spark, "council", whole, health, {"committeeName": "x"}), roster))
+    assert set(entries) == {"committee:whole", "committee:health", "councilmember:cy"} and codes == ["interpreter.council_committee_chair_missing", "interpreter.council_committee_missing_fields"]
+    assert edges == {("councilmember:ann", "member_of", "committee:whole"), ("councilmember:bob", "member_of", "committee:whole"), ("councilmember:ann", "chairs", "committee:health"), ("councilmember:ann", "member_of", "committee:health"), ("councilmember:cy", "member_of", "committee:health")}
+
+
 CIVIC = Registry({k: Kind(f) for k, f in (("agency", "organization"), ("board", "organization"), ("councilmember", "person"), ("committee", "organization"), ("legal_authority", "authority"), ("ward", "area"), ("elected_office", "position"))}, {"governs", "reports_to", "authorized_by", "holds", "represents", "member_of", "chairs"})
 
 
 def civic(spark):
     """Agencies, a board and members compiled to a state, with a committee beside."""
-    made, lookups = ip.agencies(records(spark, "gis.agencies", {"AGENCY_ID": 1, "NAME": "Food"}, {"AGENCY_ID": 2, "NAME": "Farms", "PARENT_ID": 1}))
+    made, lookups = ip.agencies(records(spark, "gis.agencies", {"AGENCY_ID": 1, "NAME": "Food"}, {"AGENCY_ID": 2, "NAME": "Farms", "PARENT_AGENCY": 1}))
     board = ip.bodies(records(spark, "gis.boards", {"BOARD_ID": 7, "NAME": "Food", "AGENCY_ID": 1, "LAW": "D.C. Law 1-2"}, {"BOARD_ID": 8, "NAME": "Zoning", "AGENCY_ID": 99}), lookups, "board")
     people = ip.members(records(spark, "council.members", {"memberName": "Ward 3 Councilmember Ann", "profileSlug": "ann", "profileUrl": "https://a"}, {"memberName": "Chairman Bob", "profileSlug": "bob", "profileUrl": "https://b"}, {"memberName": "At-Large Councilmember Cy", "profileSlug": "cy", "profileUrl": "https://c"}))
     return ip.together(made, board, people)
