@@ -40,6 +40,8 @@ MIN_WORDS, MOST_REPEATED, REPEAT_WINDOW = 10, 20, 5
 #: more than four in five of its like are bad.
 THRESHOLD = 0.2
 ROWS_PER_CLASS = 2000
+#: Rows of the sample whose features a task holds.
+SAMPLED_AT_ONCE = 64
 _BASE, _SPREAD = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 
 
@@ -125,7 +127,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
-        for b in batches:
+        # a few rows at a time: features are some times the size of the texts
+        for b in (b.slice(i, SAMPLED_AT_ONCE) for b in batches for i in range(0, b.num_rows, SAMPLED_AT_ONCE)):
             at, value = [], []
             for t in b.column(1):
                 found = [np.unique(p.astype(np.int64) + i * DIM, return_counts=True) for i, p in enumerate(hasher.parts(t.as_py()))]
@@ -133,7 +136,9 @@ def labelled_features(docs: DataFrame, labels: DataFrame, id_col: str, text_col:
                 value.append(np.concatenate([f[1] / max(1, f[1].sum()) for f in found]).astype("<f4").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(at, pa.binary()), pa.array(value, pa.binary())], names=["label", "at", "value"])
 
-    rows = sorted(chosen.select("label", "text").mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
+    # the sample's order has put each class into one task; they are dealt out again
+    dealt = chosen.repartition(16, "t").select("label", "text")
+    rows = sorted(dealt.mapInArrow(run, "label int, at binary, value binary").collect(), key=lambda r: (r["label"], len(r["at"]), bytes(r["at"])))
     sampled = Counter(r["label"] for r in rows)
     return rows, {c: n / sampled[c] for c, n in totals.items() if sampled[c]}
 
