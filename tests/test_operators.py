@@ -333,7 +333,7 @@ def test_release_and_tampering(spark):
     twice = tables | {"entries": tables["entries"].unionByName(tables["entries"])}
     assert {r["check"] for r in verify_release(twice, counts, keys, headers).where("NOT ok").collect()} == {"rows:entries", "unique:entries", "rollup:kind_counts"}
     lost = tables | {"nodes": tables["nodes"].where("id <> 'a:1'"), "entries": tables["entries"].drop("slug")}
-    assert {r["check"] for r in verify_release(lost, counts, keys, headers).where("NOT ok").collect()} == {"rows:nodes", "edges:ends", "header:entries"}
+    assert {r["check"] for r in verify_release(lost, counts, keys, headers).where("NOT ok").collect()} == {"rows:nodes", "edges:ends", "header:entries", "rollup:graph_summary:nodes"}
 
 
 def test_paged_json(spark, tmp_path, monkeypatch):
@@ -364,4 +364,5 @@ def test_stream_of_collections(spark, tmp_path):
         query = collect_stream(spark.readStream.schema(model.RECORD).parquet(source), out, str(tmp_path / "cp"))
         query.awaitTermination()
         spark.createDataFrame([("s", "k", "2", "{}"), ("t", "k", "1", "{}")], model.RECORD).write.mode("append").parquet(source)
-    assert {(r["source"], r["key"]) for r in spark.read.parquet(out).collect()} == {("s", "2"), ("t", "1")}
+    # a source may be spread over micro-batches: by key, not by source, are rows replaced
+    assert {(r["source"], r["key"]) for r in spark.read.parquet(out).collect()} == {("s", "1"), ("s", "2"), ("t", "1")}
