@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, linededup, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
+from . import archives, decontaminate, importance, linededup, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
 from .common import read
 
 
@@ -50,6 +50,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.digest(read(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_warc,
         op10_simhash,
+        op11_importance_resampling,
     )
 }
 
@@ -71,4 +76,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_line_dedup": linededup.ORACLE,
     "op4_mix_sources": mixing.ORACLE,
     "op9_warc": archives.ORACLE,
+    "op11_importance_resampling": importance.ORACLE,
 }
