@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, importance, linededup, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
+from . import archives, decontaminate, importance, linededup, merkle, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
 from .common import read
 
 
@@ -54,6 +54,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.digest(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -68,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_warc,
         op10_simhash,
         op11_importance_resampling,
+        op12_merkle_manifest,
     )
 }
 
@@ -77,4 +82,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_mix_sources": mixing.ORACLE,
     "op9_warc": archives.ORACLE,
     "op11_importance_resampling": importance.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
