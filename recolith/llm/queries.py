@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import archives, decontaminate, importance, linededup, merkle, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
+from . import archives, decontaminate, fingerprints, importance, linededup, merkle, mixing, quality, secrets, simhash, tokencounts, tokenfiles, toxicity
 from .common import read
 
 
@@ -58,6 +58,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(read(spark, sf_dir, "documents"))
 
 
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash,
         op11_importance_resampling,
         op12_merkle_manifest,
+        op13_fingerprints,
     )
 }
 
