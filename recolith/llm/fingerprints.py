@@ -153,7 +153,8 @@ def merge(parts: DataFrame, key: str, print_col: str = "fingerprint", k: int = K
     def group(f: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({key: f[key].iloc[:1], "fingerprint": [packed(merged([unpacked(t) for t in f["fingerprint"]], k))]})
 
-    return rows.mapInPandas(ahead, schema).groupBy(column(rows, key)).applyInPandas(group, schema)
+    some = rows.mapInPandas(ahead, schema)
+    return some.groupBy(column(some, key)).applyInPandas(group, schema)
 
 
 def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K, shingle: int = SHINGLE, range_bytes: int = RANGE_BYTES) -> DataFrame:

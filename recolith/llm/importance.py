@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialise
+from .common import column, materialise, private
 from .places import placed
 
 N, BUCKETS = 2, 10_000
@@ -75,9 +76,10 @@ def _pieces(docs: DataFrame, id_col: str | None, text_col: str, n: int, size: in
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
-                id_, key = b.column(0)[i : i + 1], b.column(1)[i : i + 1]
-                for no, (chunk, own) in enumerate(chunks(b.column(2)[i].as_py(), n, size)):
-                    yield pa.RecordBatch.from_arrays([id_, key, pa.array([no]), pa.array([chunk], pa.binary()), pa.array([own])], names=["id", "key", "no", "chunk", "own"])
+                found = enumerate(chunks(b.column(2)[i].as_py(), n, size))
+                while some := list(islice(found, 64)):
+                    ids, keys = (b.column(j).take(pa.array([i] * len(some))) for j in (0, 1))
+                    yield pa.RecordBatch.from_arrays([ids, keys, pa.array([no for no, _ in some]), pa.array([c for _, (c, _) in some], pa.binary()), pa.array([own for _, (_, own) in some])], names=["id", "key", "no", "chunk", "own"])
 
     keyed = rows.where(long).select("id", F.unhex(F.sha2("text", 256)).alias("key"), "text")
     dealt = keyed.mapInArrow(cut, "id long, key binary, no long, chunk binary, own long").repartition("id", "key", "no")
@@ -169,8 +171,9 @@ def digest(docs: DataFrame, bench: DataFrame) -> DataFrame:
 
 def drawn(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that are drawn, in columns as they were; ids must be keys there."""
-    chosen = resample(docs, target, id_col=id_col, text_col=text_col, **how).where("rank IS NOT NULL").select(F.col(id_col).alias("__drawn"))
-    return docs.join(chosen, column(docs, id_col).cast("long") == F.col("__drawn"), "left_semi")
+    name = private(docs, "__drawn")
+    chosen = resample(docs, target, id_col=id_col, text_col=text_col, **how).where("rank IS NOT NULL").select(F.col(id_col).alias(name))
+    return docs.join(chosen, column(docs, id_col).cast("long") == F.col(name), "left_semi")
 
 
 ORACLE = r"""

@@ -122,12 +122,11 @@ def climbed(rows: DataFrame, fanout: int, block: int) -> list[DataFrame]:
         rows = tables[-1].select("key", F.col("block").alias("at"), n.alias("n"), F.element_at(F.element_at("levels", -1), 1).alias("node"), F.lit(None).cast("string").alias("rest"))
 
 
-def with_paths(tables: list[DataFrame], top: DataFrame, fanout: int, block: int) -> DataFrame:
-    """The lowest table with path; ``top``: key and path of each key's last node."""
-    none = F.array().cast(f"array<{STEP}>")
-    above = top.select("key", F.lit(0).cast("long").alias("block"), "path")
+def with_paths(tables: list[DataFrame], top: DataFrame | None, fanout: int, block: int) -> DataFrame:
+    """The lowest table with path; ``top``: key and path of each key's last node, None where it is the root."""
+    above = top.select("key", F.lit(0).cast("long").alias("block"), "path") if top else None
     for i, table in reversed(list(enumerate(tables))):
-        found = table.join(small_side(above), ["key", "block"]).select(*table.columns, F.coalesce("path", none).alias("path"))
+        found = table.join(small_side(above), ["key", "block"]).select(*table.columns, "path") if above else table.withColumn("path", F.array().cast(f"array<{STEP}>"))
         if not i:
             return found
         each = found.select("key", "block", "levels", "path", F.explode(F.sequence(F.lit(0), F.size(F.element_at("levels", 1)) - 1)).alias("place"))
@@ -144,9 +143,7 @@ def build(rows: DataFrame, fanout: int = FANOUT, block: int = BLOCK) -> Tree:
     # the groups' own tree has one key, and the groups' keys are its order
     tops = subroots.select(F.lit(0).alias("key"), F.col("key").alias("order"), F.col("subroot").alias("node"), F.col("key").alias("rest"))
     upper = climbed(numbered(materialise(tops, "tops"), "tops-in-order"), fanout, block)
-    none = F.array().cast(f"array<{STEP}>")
-    whole = subroots.sparkSession.range(1).select(F.lit(0).alias("key"), none.alias("path"))
-    placed_tops = with_paths(upper, whole, fanout, block).select("levels", "path", F.posexplode("rests").alias("place", "key"))
+    placed_tops = with_paths(upper, None, fanout, block).select("levels", "path", F.posexplode("rests").alias("place", "key"))
     paths = materialise(placed_tops.select("key", F.concat(steps(F.col("levels"), F.col("place"), fanout), F.col("path")).alias("path")), "subroot-paths")
     last = upper[-1].select(F.element_at(F.element_at("levels", -1), 1).alias("root")).first()  # one row, or none
     return Tree(with_paths(tables, paths, fanout, block), subroots, last["root"] if last else None, fanout)
