@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..stages import clean_up, fresh_path, materialise, shared_dir
 
-__all__ = ["ascii_lower", "clean_up", "column", "fresh_path", "materialise", "private", "read", "shared_dir", "small_side"]
+__all__ = ["ascii_lower", "clean_up", "column", "fresh_path", "in_order", "materialise", "private", "read", "shared_dir", "small_side"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,5 +42,14 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def in_order(values: Column, value: Column) -> Column:
+    """Whether ``value`` is in the sorted array ``values``, in as many steps as their number has binary digits."""
+    n = F.size(values)
+    powers = F.transform(F.sequence(F.length(F.bin(n)), F.lit(1), F.lit(-1)), lambda b: F.call_function("shiftleft", F.lit(1), b - 1))
+    # how many of them are at most the value: a power of two is added while that holds
+    below = F.aggregate(powers, F.lit(0), lambda at, p: F.when((at + p <= n) & (F.get(values, at + p - 1) <= value), at + p).otherwise(at))
+    return F.coalesce(F.get(values, below - 1) == value, F.lit(False))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_BYTES, BROADCAST_ROWS, ascii_lower, column, materialise, private, small_side
+from .common import BROADCAST_BYTES, BROADCAST_ROWS, ascii_lower, column, in_order, materialise, private, small_side
 
 #: Words are runs of anything but the ASCII characters that are no digit or lower-case letter.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -165,11 +165,11 @@ def drop_spans(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
 
     Each row is judged on its own words; texts without hits are unchanged.
     """
-    spans = judge_texts(docs, bench, text_col, **how).where("size(hit_words) > 0").select(F.col("__key").alias("__bad"), F.col("hit_words").alias("__hit"))
+    spans = judge_texts(docs, bench, text_col, **how).where("size(hit_words) > 0").select(F.col("__key").alias("__bad"), F.array_sort("hit_words").alias("__hit"))
     spans, whole = materialise(spans, "hit-spans"), column(docs, text_col)
     gap = RAW_WORD.replace("[^", "[")[:-1] + "*"
     pieces = F.regexp_extract_all(whole, F.lit(f"{gap}{RAW_WORD}"), F.lit(0))
-    kept = F.filter(pieces, lambda _, i: ~F.array_contains(spans["__hit"], i + 1))
+    kept = F.filter(pieces, lambda _, i: ~in_order(spans["__hit"], i + 1))
     rest = F.regexp_extract(whole, f"{gap}$", 0)
     joined = docs.join(small_side(spans, 20_000), text_key(whole) == spans["__bad"], "left")
     text = F.when(spans["__hit"].isNull(), whole).otherwise(F.concat(F.array_join(kept, ""), rest))

@@ -2,10 +2,11 @@
 
 Lines are the text between block-level tags and line ends of a page's HTML, without scripts,
 styles, comments and inline tags. Pages are cut into lines once (a written table);
-what is counted and shuffled are 12-byte hashes of distinct lines, pre-aggregated, so neither a hot host
-nor a line that all its pages share is one task's work. A host keeps at most
-(lines a page / ratio) boilerplate lines; these sets meet the pages by a join on the host, broadcast if
-few, else shuffled with hot hosts split by AQE. Texts are not shuffled on the first way.
+what is counted and shuffled are 8-byte hashes of distinct lines, pre-aggregated, so neither a hot host
+nor a line that all its pages share is one task's work. (Lines are compared within a host, where 64 bits tell billions of them apart.) A host keeps at most
+(lines a page / ratio) boilerplate lines; their hashes, in order, meet the pages by a join on the host, broadcast if
+few, else shuffled with hot hosts split by AQE, and each line of a page is looked up by halving: a page of n lines takes n log n steps.
+Texts are not shuffled on the first way.
 
 Defined cases: null and empty pages have no lines and an empty text; pages without a
 host (null or other urls) share the host ''; a line that a page repeats counts once for it and is dropped every time;
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, materialise, small_side
+from .common import BROADCAST_ROWS, column, in_order, materialise
 
 #: What is no text, whole.
 HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
@@ -42,16 +43,11 @@ def lines_of(html: Column) -> Column:
     return F.coalesce(F.filter(clean, lambda x: x != ""), F.array().cast("array<string>"))
 
 
-def key_of(line: Column) -> Column:
-    """96 bits that stand for the line."""
-    return F.struct(F.xxhash64(line).alias("a"), F.hash(line).alias("b"))
-
-
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> DataFrame:
-    """host and drop, the keys of its boilerplate lines, of ``pages`` (host, keys)."""
+    """host and drop, the keys of its boilerplate lines in order, of ``pages`` (host, keys)."""
     seen = pages.groupBy("host").agg(F.count("*").alias("pages"))
     counted = pages.select("host", F.explode(F.array_distinct("keys")).alias("key")).groupBy("host", "key").agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    return counted.join(seen, "host").where(F.col("n") > F.lit(float(ratio)) * F.col("pages")).groupBy("host").agg(F.collect_set("key").alias("drop"))
+    return counted.join(seen, "host").where(F.col("n") > F.lit(float(ratio)) * F.col("pages")).groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("drop"))
 
 
 def dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", ratio: float = RATIO, least: int = LEAST) -> DataFrame:
@@ -59,11 +55,12 @@ def dedup(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     if not 0 <= ratio < 1:
         raise ValueError("ratio lies in [0, 1)")
     cut = pages.select(column(pages, id_col), host_of(column(pages, url_col)).alias("host"), lines_of(column(pages, html_col).cast("string")).alias("lines"))
-    cut = materialise(cut.withColumn("keys", F.transform("lines", key_of)), "page-lines")
+    cut = materialise(cut.withColumn("keys", F.transform("lines", lambda x: F.xxhash64(x))), "page-lines")
     drop = materialise(boilerplate(cut.select("host", "keys"), ratio, least), "boilerplate")
-    # hosts have few boilerplate lines each, but a row holds them all
-    joined = cut.join(small_side(drop, 20_000), "host", "left")
-    kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~F.array_contains("drop", F.get("keys", i))))
+    # a row holds all the keys of a host, so it is they that are counted
+    few = (drop.agg(F.sum(F.size("drop")).alias("n")).first()["n"] or 0) <= BROADCAST_ROWS
+    joined = cut.join(F.broadcast(drop) if few else drop, "host", "left")
+    kept = F.when(F.col("drop").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x, i: ~in_order(F.col("drop"), F.get("keys", i))))
     return joined.select(id_col, "host", "lines", kept.alias("kept")).select(
         id_col,
         "host",

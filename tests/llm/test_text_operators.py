@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recolith.llm import decontaminate, linededup, mixing, simhash
-from recolith.llm.common import materialise
+from recolith.llm.common import in_order, materialise
 
 DOCS = "doc_id long, text string, lang string, source string, n_words string"
 VOCAB = [f"w{i}" for i in range(40)] + ["é", "Ünï", "the", "The"]
@@ -117,6 +118,33 @@ def test_line_dedup(spark):
     assert linededup.dedup(pages.limit(0)).count() == 0
 
 
+def test_pages_of_many_distinct_lines(spark):
+    """Two equal pages of 100,000 lines, and one of which half are its own; some seconds, not minutes."""
+    lines = [f"line {i} of a page" for i in range(100_000)]
+    rows = [(1, "http://h.example/", "\n".join(lines)), (2, "http://h.example/", "\n".join(lines)), (3, "http://h.example/", "\n".join(x if i % 2 else x + " own" for i, x in enumerate(lines)))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    began = time.time()
+    got = {r["page_id"]: r for r in linededup.dedup(pages).collect()}
+    assert time.time() - began < 60
+    assert [(got[i]["n_lines"], got[i]["n_dropped"], got[i]["text"]) for i in (1, 2)] == [(100_000, 100_000, "")] * 2
+    assert got[3]["n_dropped"] == 50_000 and got[3]["text"] == "\n".join(x + " own" for x in lines[::2])
+
+
+def test_values_in_order(spark):
+    draw = random.Random(6)
+    rows = [(sorted(draw.choices(range(50), k=draw.randint(0, 40))), v) for _ in range(40) for v in (-1, 0, 25, 49, 60)] + [([], None), ([1], None)]
+    got = spark.createDataFrame(rows, "a array<long>, v long").select("a", "v", in_order(F.col("a"), F.col("v")).alias("found")).collect()
+    assert all(r["found"] == (r["v"] in r["a"]) for r in got)
+
+
+def test_spans_of_a_long_document(spark):
+    text = " ".join(f"w{i}" for i in range(20_000))
+    docs, bench = spark.createDataFrame([(1, text + " the rest")], "doc_id long, text string"), spark.createDataFrame([(1, text)], "item_id long, text string")
+    began = time.time()
+    assert decontaminate.drop_spans(docs, bench).first()["text"] == " the rest"
+    assert time.time() - began < 60
+
+
 def filled(sizes, weights, share, most):
     """Targets by resharing in rounds."""
     left, target, open_ = share * sum(sizes), [0.0] * len(sizes), list(range(len(sizes)))
