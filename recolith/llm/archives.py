@@ -109,6 +109,7 @@ def clean_url(url: str | None, page_id: int | None) -> str:
 
 def write_arc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", date: str = "20240101000000") -> list:
     """Pages as HTTP responses in ARC files, tasks of even number in version 1, of odd number in version 2; returns LISTED rows."""
+    folder = files.qualify(pages.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -254,6 +255,7 @@ def revisits(index: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
 
 def arc_to_warc(spark: SparkSession, listed: list, folder: str, least: int = MIN_REVISIT) -> list:
     """Converts listed ARC files; returns LISTED rows of the WARC files."""
+    folder = files.qualify(spark, folder)
     groups = small_side(materialise(revisits(read_arc(spark, listed, index=True), least), "revisits"))
     records = read_arc(spark, listed)
     payload = F.substring(F.col("block"), F.col("head_bytes").cast("int") + 1, F.length("block"))

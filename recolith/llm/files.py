@@ -24,6 +24,15 @@ def file_system(uri: str) -> tuple[Any, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def qualify(spark: SparkSession, folder: str) -> str:
+    """The folder, made, by the URI of the store that has it, as Spark's own settings say. A path without a scheme is the default file system's, which
+    tasks, who have no such settings, would take for their own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    return store.resolvePath(path).toString()
+
+
 def open_new(folder: str, name: str) -> Any:
     files, path = file_system(folder)
     files.create_dir(path, recursive=True)

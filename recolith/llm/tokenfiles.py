@@ -146,6 +146,7 @@ def segments(stream: Any) -> Iterator[tuple[list[int | None], np.ndarray, np.nda
 def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> list:
     """Writes the files and returns their list in ascending order of document ids: FILES' columns."""
     path = path or vocabulary()
+    folder = files.qualify(docs.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -358,3 +358,18 @@ def test_arc_to_warc(spark):
     assert len(set(every)) == len(every)
     assert {h["warc-target-uri"] for h in records if h["warc-type"] != "warcinfo"} >= {"http://a%20b%0A/x", "urn:page:2", "urn:page:None"}
     assert {h["warc-date"] for h in records if h["warc-type"] != "warcinfo"} == {"2024-01-01T00:00:00Z"} and archives.iso("2024") == "2024-01-01T00:00:00Z"
+
+
+def test_files_of_a_default_file_system(spark, docs, tmp_path):
+    """A path without a scheme belongs to the default file system, here one that is mounted; tasks are told where that really is."""
+    conf = spark._jsc.hadoopConfiguration()
+    before = {k: conf.get(k) for k in ("fs.defaultFS", "fs.viewfs.mounttable.mine.link./data")}
+    conf.set("fs.viewfs.mounttable.mine.link./data", f"file://{tmp_path}")
+    conf.set("fs.defaultFS", "viewfs://mine/")
+    try:
+        listed = tokenfiles.write(docs, "/data/tokens")
+    finally:
+        for k, v in before.items():
+            conf.set(k, v) if v else conf.unset(k)
+    assert listed and {p.name for p in (tmp_path / "tokens").iterdir()} == {r["path"].rsplit("/", 1)[1] for r in listed}
+    assert tokenfiles.read(spark, listed, len, "n long").count() == docs.count()
