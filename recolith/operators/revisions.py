@@ -1,16 +1,7 @@
-"""Revisions and identity aliases: resolution of ids, and the ordered fold over an otherwise set-based state.
-
-Revisions are few (``MOST_REVISIONS`` is checked) and ordered, entries and aliases many. The driver folds the revisions, of which it knows ids, patches, the
-aliases that they name and the ids, kinds and names of the entries they touch, to a plan of at most one row a touched id: what is suppressed and by what
-replaced, patched, whose relations are new. The plan then meets entries and relations in one join each.
-"""
+"""Revisions and identity aliases: rules, resolution of ids, and what suppressions and patches do to a state. ``replay`` has the order in which revisions see each other."""
 
 from __future__ import annotations
 
-import json
-from dataclasses import dataclass, field
-from typing import Any
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +24,25 @@ def resolve_aliases(keys: DataFrame, index: DataFrame) -> DataFrame:
     return keys.join(found, ["key_type", "key"], "left").select(*keys.columns, status.alias("status"), F.when(n == 1, F.get("all", 0)).alias("canonical_id"), F.array_join("all", ",").alias("canonical_ids"))
 
 
-#: Most revisions that are folded on the driver.
-MOST_REVISIONS = 200_000
-
-
-def named_keys(revisions: DataFrame) -> DataFrame:
-    """key_type and key, distinct: the ids and source references that revisions name, in their targets and in their patches."""
-    review = F.try_parse_json("patch")
-    in_patch = F.array(F.try_variant_get(review, "$.review.canonicalEntryId", "string"))
-    related = F.flatten(F.transform(F.map_values(F.coalesce(F.from_json("patch", "relations map<string,array<struct<to:string>>>")["relations"], F.create_map().cast("map<string,array<struct<to:string>>>"))), lambda v: v["to"]))
+def target_keys(revisions: DataFrame) -> Column:
+    """The ids and source references by which a revision names its target, besides its canonical id: an array of (key_type, key)."""
     none = F.array().cast("array<string>")
-    ids = F.concat(F.array("target_id", "target.canonical_id"), F.coalesce("target.previous_ids", none), in_patch, F.coalesce(related, none))
+    ids = F.concat(F.array("target_id"), F.coalesce("target.previous_ids", none))
     refs = F.transform(F.coalesce("target.source_refs", F.expr("array()").cast(revisions.schema["target"].dataType["source_refs"].dataType)), lambda c: citation_id(c, "|"))
-    every = F.concat(F.transform(ids, lambda x: F.struct(F.lit("id").alias("key_type"), x.alias("key"))), F.transform(refs, lambda x: F.struct(F.lit("ref").alias("key_type"), x.alias("key"))))
-    return revisions.select(F.explode(every).alias("k")).select("k.*").where("key IS NOT NULL").distinct()
+    return _keys(ids, refs)
+
+
+def patch_keys() -> Column:
+    """The ids that a patch refers to, in the same form: the canonical entry of its review and the ends of its relations."""
+    by_kind = F.from_json("patch", "relations map<string,string>")["relations"]
+    ends = F.flatten(F.array_compact(F.transform(F.map_values(by_kind), lambda v: F.from_json(v, "array<struct<to:string>>")["to"])))
+    canonical = F.try_variant_get(F.try_parse_json("patch"), "$.review.canonicalEntryId", "string")
+    return _keys(F.concat(F.array(canonical), F.coalesce(ends, F.array().cast("array<string>"))), F.array().cast("array<string>"))
+
+
+def _keys(ids: Column, refs: Column) -> Column:
+    each = F.concat(F.transform(ids, lambda x: F.struct(F.lit("id").alias("key_type"), x.alias("key"))), F.transform(refs, lambda x: F.struct(F.lit("ref").alias("key_type"), x.alias("key"))))
+    return F.filter(each, lambda k: k["key"].isNotNull())
 
 
 def revision_issues(revisions: DataFrame) -> DataFrame:
@@ -71,120 +67,6 @@ def revision_issues(revisions: DataFrame) -> DataFrame:
     return revisions.select("id", F.explode(F.array_compact(F.array(*[F.when(F.coalesce(bad, F.lit(False)), name) for name, bad in rules]))).alias("rule"))
 
 
-@dataclass
-class Fold:
-    """What the revisions amount to."""
-
-    suppressed: dict[str, str | None] = field(default_factory=dict)
-    retargets: list[tuple[str, str | None]] = field(default_factory=list)
-    patches: dict[str, dict[str, Any]] = field(default_factory=dict)
-    relations: dict[str, list[tuple[str, str, list]]] = field(default_factory=dict)
-    findings: list[tuple[str, str, str]] = field(default_factory=list)
-    final_target: dict[str, str | None] = field(default_factory=dict)
-
-    @property
-    def conflicts(self) -> list[tuple[str, str, str]]:
-        return [f for f in self.findings if f[0] == "conflict"]
-
-
-def fold_revisions(revisions: list[Any], touched: dict[str, tuple[str, str]], aliases: dict[tuple[str, str], set[str]]) -> Fold:
-    """``revisions``: REVISION rows. ``touched``: kind and name by id of the entries that revisions may name.
-    ``aliases``: canonical ids by (key type, key). In order of revision id; a later one sees what earlier ones did."""
-    fold, state = Fold(), dict(touched)
-
-    def say(kind: str, code: str, message: str) -> None:
-        fold.findings.append((kind, code, message))
-
-    def reference(id_: str) -> str:
-        found = aliases.get(("id", id_), set())
-        if len(found) > 1:
-            raise ValueError(f"reference {id_} has several canonical entries: {', '.join(sorted(found))}")
-        if found and found != {id_}:
-            say("info", "compiler.identity_alias.reference_resolved", f"{id_}: {min(found)}")
-        return next(iter(found), id_)
-
-    def target_of(r: Any) -> str | None:
-        selector = r["target"]
-        options: set[str] = set()
-        unclear: list[str] = []
-        keys = [("id", r["target_id"])] + ([("id", p) for p in selector["previous_ids"] or []] if selector else [])
-        refs = [("ref", ref_key(s)) for s in (selector["source_refs"] or [])] if selector else []
-        if selector and selector["canonical_id"] in state:
-            options.add(selector["canonical_id"])
-        for key in keys + refs:
-            if key[0] == "id" and key[1] in state:
-                options.add(key[1])
-                continue
-            found = aliases.get(key, set())
-            if len(found) == 1:
-                options |= found
-            elif found:
-                unclear.append(key[1])
-        if unclear or len(options) > 1:
-            say("conflict", "compiler.conflict.revision_target_ambiguous", f"{r['id']}: {', '.join(unclear or sorted(options))}")
-        elif not options or next(iter(options)) not in state:
-            say("conflict", "compiler.conflict.revision_target_missing", f"{r['id']}: {r['target_id']}")
-        else:
-            id_ = next(iter(options))
-            kind, name = state[id_]
-            if selector and ((selector["kind"] and selector["kind"] != kind) or (selector["name"] and selector["name"] != name)):
-                say("conflict", "compiler.conflict.revision_target_guard_mismatch", f"{r['id']}: {id_}")
-                return None
-            return id_
-        return None
-
-    for r in sorted(revisions, key=lambda r: r["id"]):
-        id_ = target_of(r)
-        if id_ is None:
-            continue
-        patch = json.loads(r["patch"])
-        review = patch.get("review") if isinstance(patch.get("review"), dict) else {}
-        try:
-            if r["target_kind"] == "entry" and patch.get("suppress") is True:
-                canonical = review.get("canonicalEntryId")
-                other = reference(canonical) if review.get("decision") == "source_shadow" and isinstance(canonical, str) and canonical.strip() else None
-                del state[id_]
-                fold.suppressed[id_] = other
-                fold.retargets.append((id_, other))
-                fold.relations = {k: [(kind, other if to == id_ and other and other != k else to, c) for kind, to, c in v if to != id_ or (other and other != k)] for k, v in fold.relations.items() if k != id_}
-                fold.patches.pop(id_, None)
-                say("info", "compiler.revision.entry_suppressed", f"{r['id']}: {id_}")
-                continue
-            if isinstance(patch.get("relations"), dict):
-                fold.relations[id_] = [(x["kind"], reference(x["to"]), x.get("citations") or []) for v in patch["relations"].values() if isinstance(v, list) for x in v if isinstance(x.get("kind"), str) and isinstance(x.get("to"), str)]
-            elif r["target_kind"] == "relation":
-                raise ValueError("patch must include a relations object")
-            if r["target_kind"] == "entry":
-                own = fold.patches.setdefault(id_, {"attributes": {}})
-                for key in ("kind", "name", "family"):
-                    if isinstance(patch.get(key), str) and patch[key]:
-                        own[key] = patch[key]
-                if isinstance(patch.get("attributes"), dict):
-                    own["attributes"] |= {k: json.dumps(v, ensure_ascii=False, separators=(",", ":")) for k, v in patch["attributes"].items()}
-                if isinstance(patch.get("citations"), list):
-                    own["citations"] = patch["citations"]
-                if review:
-                    entry = {k: review[k] for k in ("aliasNames", "relatedEntryIds", "canonicalEntryId") if k in review}
-                    entry |= {"decision": review.get("decision"), "rationale": r["rationale"], "revisionId": r["id"], "source": r["source"]}
-                    own.setdefault("reviews", []).append(entry)
-                    own["attributes"]["revisionReviews"] = json.dumps(sorted(own["reviews"], key=lambda x: x["revisionId"]), ensure_ascii=False, separators=(",", ":"), sort_keys=True)
-                    say("info", "compiler.revision.review_recorded", f"{r['id']}: {id_}")
-                state[id_] = (own.get("kind", state[id_][0]), own.get("name", state[id_][1]))
-        except ValueError as e:
-            say("conflict", "compiler.conflict.revision_invalid_state", f"{r['id']}: {e}")
-    # where an edge to a suppressed id leads in the end: each step holds for what stood when it was taken
-    # an id is suppressed once, so read backwards each replacement's own end is known by then if it goes later
-    for gone, other in reversed(fold.retargets):
-        fold.final_target[gone] = fold.final_target.get(other, other) if other else None
-    return fold
-
-
-def ref_key(citation: Any) -> str:
-    """citation_id with ``|``, of a row."""
-    c = citation.asDict() if hasattr(citation, "asDict") else citation
-    return "|".join(["source", c["source"], c["source_record_id"], c.get("locator") or "", c.get("url") or ""])
-
-
 def suppress(entries: DataFrame, relations: DataFrame, plan: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Without the plan's ids; relations to them lead to their replacement, but never back to their own source. ``plan``: id, replacement or null."""
     ids = plan.select("id")
@@ -206,24 +88,6 @@ def patch_entries(entries: DataFrame, patches: DataFrame) -> DataFrame:
     return joined.select("id", *[columns[c].alias(c) for c in ("family", "kind", "name")], merged.alias("attributes"), columns["citations"].alias("citations"))
 
 
-def apply_fold(entries: DataFrame, relations: DataFrame, fold: Fold) -> tuple[DataFrame, DataFrame]:
-    """The state after the revisions. All tables made here have a row a touched id or relation."""
-    spark = entries.sparkSession
-    kind = entries.schema["citations"].dataType.simpleString()
-    patches = [(k, v.get("kind"), v.get("name"), v.get("family"), v["attributes"], json.dumps(v["citations"]) if "citations" in v else None) for k, v in fold.patches.items()]
-    if patches:
-        table = spark.createDataFrame(patches, "id string, kind string, name string, family string, attributes map<string,string>, c string")
-        entries = patch_entries(entries, table.withColumn("citations", F.from_json("c", kind)).drop("c"))
-    if fold.relations:
-        rows = [(k, kind_, to, json.dumps(c)) for k, v in fold.relations.items() for kind_, to, c in v]
-        new = spark.createDataFrame(rows, "from_id string, kind string, to_id string, c string").withColumn("citations", F.from_json("c", kind)).drop("c")
-        sources = spark.createDataFrame([(k,) for k in fold.relations], "from_id string")
-        relations = relations.join(sources, "from_id", "left_anti").select(*relations.columns).unionByName(new)
-    if fold.suppressed:
-        entries, relations = suppress(entries, relations, spark.createDataFrame([(k, fold.final_target.get(k)) for k in fold.suppressed], "id string, replacement string"))
-    return entries, relations
-
-
 def item_revisions(items: DataFrame, revisions: DataFrame) -> DataFrame:
     """item_id and revision_id where a revision's target or related id is among the item's ids, or a citation of both is equal.
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..model import FINDING
 from ..operators import fragments as fr
-from ..operators.revisions import MOST_REVISIONS, alias_index, apply_fold, fold_revisions, named_keys
+from ..operators.replay import apply, replay
 from ..operators.validate import Registry, state_issues
 from ..stages import materialise
 
@@ -44,7 +44,7 @@ def baseline(entries: DataFrame, relations: DataFrame, policy: DataFrame, kinds:
 
 
 def compile_state(entries: DataFrame, relations: DataFrame, policy: DataFrame, registry: Registry, kinds: dict[str, str] | None = None, revisions: DataFrame | None = None, aliases: DataFrame | None = None) -> Compiled:
-    """The state of the fragments, as entries and relations. Revisions, and the aliases that they name, meet on the driver; entries and other aliases don't."""
+    """The state of the fragments, as entries and relations, after the revisions."""
     merged, kept, findings = baseline(entries, relations, policy, kinds or {})
     findings = materialise(findings, "findings")
     conflicts = materialise(findings.where("kind = 'conflict'").unionByName(issues_as_findings(state_issues(merged, kept, registry))), "conflicts")
@@ -53,22 +53,12 @@ def compile_state(entries: DataFrame, relations: DataFrame, policy: DataFrame, r
         return Compiled(start, None, findings, conflicts)
     if revisions is None:
         return Compiled(start, start, findings, conflicts)
-    rows = revisions.limit(MOST_REVISIONS + 1).collect()
-    if len(rows) > MOST_REVISIONS:
-        raise ValueError(f"more than {MOST_REVISIONS} revisions: they are folded on the driver")
-    index: dict[tuple[str, str], set[str]] = {}
-    # of all aliases, those that revisions name
-    for r in alias_index(aliases).join(named_keys(revisions), ["key_type", "key"], "left_semi").collect() if aliases is not None else []:
-        index.setdefault((r["key_type"], r["key"]), set()).add(r["canonical_id"])
-    named = {r["target_id"] for r in rows} | {p for r in rows if r["target"] for p in [r["target"]["canonical_id"], *(r["target"]["previous_ids"] or [])] if p} | {c for s in index.values() for c in s}
-    ids = merged.sparkSession.createDataFrame([(n,) for n in sorted(named)], "id string")
-    touched = {r["id"]: (r["kind"], r["name"]) for r in merged.join(ids, "id").select("id", "kind", "name").collect()}
-    fold = fold_revisions(rows, touched, index)
-    state = apply_fold(merged, kept, fold)
+    replayed = replay(revisions, merged, aliases)
+    after = apply(merged, kept, replayed)
+    state = (materialise(after[0], "entries"), materialise(after[1], "relations-after"))
     none = F.lit(None).cast(findings.schema["citation"].dataType)
-    if fold.findings:
-        said = merged.sparkSession.createDataFrame(fold.findings, "kind string, code string, message string").withColumn("citation", none)
-        findings = findings.unionByName(said)
-        conflicts = conflicts.unionByName(said.where("kind = 'conflict'"))
+    said = replayed.findings.withColumn("citation", none)
+    findings = findings.unionByName(said)
+    conflicts = conflicts.unionByName(said.where("kind = 'conflict'"))
     conflicts = conflicts.unionByName(issues_as_findings(state_issues(*state, registry)))
     return Compiled(start, state if conflicts.isEmpty() else None, findings, conflicts)

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_name
 from ..functions.values import cite
+from ..model import REVISION
 from ..operators import candidates as ca
 from ..operators import fragments as fr
+from ..operators import replay as rp
 from ..operators import revisions as rv
 from ..operators.validate import Kind, Registry, entry_issues, state_issues
 from ..plans.compile import compile_state
@@ -203,13 +206,42 @@ def revision_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
         row("r3", "supplier:3", {"name": "Three", "kind": "vendor"}), row("r1", "supplier:1", {"name": "One", "attributes": {"note": "x"}}), row("r2", "supplier:2", {"attributes": {"note": "y"}}),
         row("r4", "supplier:2", {"attributes": {"note": "z"}}), row("r5", "supplier:4", {"suppress": True}), row("r6", "nation:0", shadow("nation:1")), row("r7", "nowhere", {"name": "x"}),
     ]
-    touched = {r["id"]: (r["kind"], r["name"]) for r in entries.where(F.col("id").isin([r["target_id"] for r in revisions])).select("id", "kind", "name").collect()}
-    after, edges = rv.apply_fold(entries, relations, rv.fold_revisions(revisions, touched, {}))
+    after, edges = rp.apply(entries, relations, rp.replay(spark.createDataFrame(revisions, REVISION), entries))
     targets = edges.groupBy(F.col("from_id").alias("id")).agg(F.array_join(F.array_sort(F.collect_list("to_id")), ",").alias("targets"))
     suppliers = after.where("kind IN ('supplier', 'vendor')")
     return suppliers.join(targets, "id", "left").select("id", "kind", "name", F.try_element_at("attributes", F.lit("note")).alias("note"), "targets")
 
 
+@query("""WITH c AS (SELECT c_custkey AS k, c_custkey % 9 AS m FROM customer), o AS (SELECT o_custkey AS k, o_orderkey AS o, o_orderstatus AS s FROM orders), l AS (SELECT k, arg_max(s, o) AS status FROM o GROUP BY k),
+e AS (SELECT CASE WHEN k % 9 BETWEEN 1 AND 4 THEN k - k % 9 + 5 ELSE k END AS k, count(*) :: BIGINT AS n FROM o GROUP BY 1)
+SELECT 'customer:' || k AS id, CASE WHEN m = 5 THEN 'account' WHEN m = 0 AND k + 6 NOT IN (SELECT k FROM c) THEN 'merged' ELSE 'customer' END AS kind, status, coalesce(n, 0) AS orders
+FROM c LEFT JOIN l USING (k) LEFT JOIN e USING (k) WHERE m NOT BETWEEN 1 AND 4""")
+def revision_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A revision an order, which patches its customer; others give kinds, name two customers at once (which is a conflict) or suppress
+    runs of four customers, each for the next, whose orders end at the fifth."""
+    c, o = table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
+    k, m = F.col("c_custkey"), F.col("c_custkey") % 9
+    customer = lambda key: F.concat(F.lit("customer:"), key.cast("string"))
+    entries = c.select(customer(k).alias("id"), F.lit("organization").alias("family"), F.lit("customer").alias("kind"), F.col("c_name").alias("name"), attributes(x=F.lit("1")).alias("attributes"), no_citations().alias("citations"))
+    relations = o.select(F.concat(F.lit("order:"), text("o_orderkey")).alias("from_id"), F.lit("placed_by").alias("kind"), customer(F.col("o_custkey")).alias("to_id"), no_citations().alias("citations"))
+    target = spark.createDataFrame([], REVISION).schema["target"].dataType.simpleString()
+    none = F.lit(None).cast(target)
+    revision = lambda rows, id_, key, to, patch: rows.select(id_.alias("id"), F.lit("q").alias("source"), F.lit("entry").alias("target_kind"), customer(key).alias("target_id"), to.alias("target"), F.lit("r").alias("rationale"), no_citations().alias("evidence"), patch.alias("patch"))
+    named = lambda first: F.concat(F.lit(first), F.lpad(k.cast("string"), 12, "0"))
+    shadow = F.concat(F.lit('{"suppress":true,"review":{"decision":"source_shadow","canonicalEntryId":"customer:'), (k + 1).cast("string"), F.lit('"}}'))
+    both = F.struct(F.lit(None).cast("string").alias("canonical_id"), F.array(customer(k + 6)).alias("previous_ids"), no_citations().alias("source_refs"), F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("name"))
+    revisions = [
+        revision(o, F.lpad(text("o_orderkey"), 12, "0"), F.col("o_custkey"), none, F.concat(F.lit('{"attributes":{"status":"'), "o_orderstatus", F.lit('"}}'))),
+        revision(c.where(m == 5), named("k"), k, none, F.lit('{"kind":"account"}')),
+        revision(c.where(m == 0), named("m"), k, both, F.lit('{"kind":"merged"}')),
+        revision(c.where(m.between(1, 4)), named("s"), k, none, shadow),
+    ]
+    every = reduce(DataFrame.unionByName, revisions)
+    after, edges = rp.apply(entries, relations, rp.replay(every, entries))
+    counts = edges.groupBy(F.col("to_id").alias("id")).agg(F.count("*").alias("orders"))
+    return after.join(counts, "id", "left").select("id", "kind", F.regexp_replace(F.try_element_at("attributes", F.lit("status")), '"', "").alias("status"), F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
 def named_entries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Parts as entries with names that collide; some have relations."""
     p, k = table(spark, sf_dir, "part"), F.col("p_partkey")

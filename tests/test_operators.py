@@ -12,6 +12,7 @@ from recolith.operators import candidates as ca
 from recolith.operators import fragments as fr
 from recolith.operators import graph as gr
 from recolith.operators import interpret as it
+from recolith.operators import replay as rp
 from recolith.operators import revisions as rv
 from recolith.operators import windows as wi
 from recolith.operators.validate import Kind, Registry, entry_issues, relation_issues
@@ -126,24 +127,28 @@ def test_revisions(spark):
     assert {r["id"] for r in made.baseline[0].collect()} == {f"board:{x}" for x in "abcd"} and made.baseline[1].count() == 3
 
 
+def replayed(spark, revisions, ids, aliases=()):
+    """Codes of findings by revision, and where edges to suppressed ids go."""
+    alias = [{"id": str(i), "canonical_id": c, "previous_ids": [k] if t == "id" else None, "source_refs": [cited("s", k)] if t == "ref" else None, "kind": None, "name": None, "rationale": None, "evidence": None} for i, (t, k, c) in enumerate(aliases)]
+    done = rp.replay(spark.createDataFrame(revisions, model.REVISION), spark.createDataFrame([entry(i) for i in ids], model.ENTRY), spark.createDataFrame(alias, model.ALIAS))
+    return {(f["message"].split(":")[0], f["code"].rsplit(".", 1)[1]) for f in done.findings.collect()}, {r["id"]: r["replacement"] for r in done.suppressed.collect()}
+
+
 def test_retargeting_follows_the_order_of_revisions(spark):
-    touched = {x: ("board", x) for x in "xyz"}
-    later = rv.fold_revisions([revision("1", "x", shadow("y")), revision("2", "y", shadow("z"))], touched, {})
-    earlier = rv.fold_revisions([revision("1", "y", shadow("z")), revision("2", "x", shadow("y"))], touched, {})
-    assert later.final_target == {"x": "z", "y": "z"} and earlier.final_target == {"y": "z", "x": "y"}
-    again = rv.fold_revisions([revision("1", "x", {"suppress": True}), revision("2", "x", {"name": "n"})], touched, {})
-    assert [f[1] for f in again.conflicts] == ["compiler.conflict.revision_target_missing"]
+    rows = [revision("1", "x", shadow("y")), revision("2", "y", shadow("z")), revision("3", "q", shadow("r")), revision("4", "p", shadow("q")), revision("5", "o", {"suppress": True}), revision("6", "o", {"name": "n"})]
+    said, ends = replayed(spark, rows, "xyzpqro")
+    assert ends == {"x": "z", "y": "z", "q": "r", "p": "q", "o": None}
+    assert ("6", "revision_target_missing") in said and len(said) == 6
 
 
 def test_revision_targets(spark):
-    touched = {"a": ("board", "A"), "b": ("board", "B")}
     select = lambda **k: {"canonical_id": None, "previous_ids": None, "source_refs": None, "kind": None, "name": None} | k
-    fold = lambda r, aliases=None: [f[1] for f in rv.fold_revisions([r], touched, aliases or {}).conflicts]
-    assert fold(revision("1", "a", {"name": "x"}, selector=select(canonical_id="b"))) == ["compiler.conflict.revision_target_ambiguous"]
-    assert fold(revision("1", "a", {"name": "x"}, selector=select(kind="agency"))) == ["compiler.conflict.revision_target_guard_mismatch"]
-    assert fold(revision("1", "old", {"name": "x"}), {("id", "old"): {"a", "b"}}) == ["compiler.conflict.revision_target_ambiguous"]
-    assert fold(revision("1", "gone", {"name": "x"}, selector=select(source_refs=[cited("s", "9")])), {("ref", rv.ref_key(cited("s", "9"))): {"b"}}) == []
-    assert fold(revision("1", "a", {}, kind="relation")) == ["compiler.conflict.revision_invalid_state"]
+    rows = [
+        revision("1", "a", {"name": "x"}, selector=select(canonical_id="b")), revision("2", "c", {"name": "x"}, selector=select(kind="agency")), revision("3", "old", {"name": "x"}),
+        revision("4", "gone", {"name": "x"}, selector=select(source_refs=[cited("s", "9")])), revision("5", "d", {}, kind="relation"), revision("6", "e", shadow("old")),
+    ]
+    said, ends = replayed(spark, rows, "abcdefg", [("id", "old", "f"), ("id", "old", "g"), ("ref", "9", "f")])
+    assert said == {("1", "revision_target_ambiguous"), ("2", "revision_target_guard_mismatch"), ("3", "revision_target_ambiguous"), ("5", "revision_invalid_state"), ("6", "revision_invalid_state")} and not ends
 
 
 def test_relation_patches_replace_all_relations(spark):
