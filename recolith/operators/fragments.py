@@ -123,7 +123,7 @@ def relation_findings(checked: DataFrame) -> DataFrame:
 
 def findings_order() -> list[Column]:
     """Findings by kind, code, message and citation: an order for reports and files."""
-    text = F.coalesce(citation_id(F.col("citation")), F.lit(""))
+    text = F.coalesce(F.when(F.col("citation").isNotNull(), citation_id(F.col("citation"))), F.lit(""))
     return [F.col("kind"), F.col("code"), F.col("message"), text]
 
 

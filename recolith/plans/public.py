@@ -225,8 +225,8 @@ KEYS = {
 VIEWS = {"boards_and_commissions": "public_bodies", "advisory_neighborhood_commissions": "ancs", "single_member_districts": "smds", "council": "councilmembers"}
 
 
-def bundle(public: dict[str, DataFrame], audit: dict[str, DataFrame], path: str) -> None:
-    """All tables under one path, their keys checked, swapped in together."""
+def bundle(public: dict[str, DataFrame], audit: dict[str, DataFrame], path: str) -> dict[str, DataFrame]:
+    """All tables under one path, their keys checked, swapped in together; what was written, by name."""
     from ..sinks import write_bundle
 
-    write_bundle({**public, **{f"audit_{k}" if k in public else k: v for k, v in audit.items()}}, path, KEYS, VIEWS)
+    return write_bundle({**public, **{f"audit_{k}" if k in public else k: v for k, v in audit.items()}}, path, KEYS, VIEWS)

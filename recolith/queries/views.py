@@ -7,12 +7,14 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..model import REVISION
 from ..operators import coverage as co
 from ..operators import fragments as fr
 from ..operators import graph as gr
 from ..operators import review as re_
 from ..plans.review import Review, generate, posture
+from ..stages import fresh_path
 from ..streaming.collect import event_counts
 from .common import GRAPH_SQL, graph, registry, table, text
 from .entities import CANDIDATE_SQL, DECISION_SQL, checked_relations, document_decisions, named_entries, part_packets
@@ -219,3 +221,15 @@ def verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An extension: the streamed counts, over the whole table."""
     return event_counts(table(spark, sf_dir, "events"))
+
+
+@query("""WITH e AS (SELECT *, least(day(ts) // 10, 2) AS batch FROM events)
+SELECT user_id, event_type, arg_max(event_id, (batch, ts, event_id)) AS event_id, arg_max(value, (batch, ts, event_id)) AS value FROM e GROUP BY user_id, event_type""")
+def upsert_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three batches, by days, kept in a bucketed table: the last event of each user and type."""
+    events = table(spark, sf_dir, "events")
+    batch = F.least(F.floor(F.day("ts") / 10), F.lit(2))
+    path = fresh_path(spark, "upserts")
+    for i in range(3):
+        sinks.upsert(events.where(batch == i).select("user_id", "event_type", "ts", "event_id", "value"), path, ["user_id", "event_type"], buckets=16)
+    return sinks.read_table(spark, path).select("user_id", "event_type", "event_id", "value")

@@ -1,55 +1,36 @@
-"""Sinks: keyed upserts, replacement by source, state files, CSV and JSON exports, catalogues and checksums.
+"""Sinks: state files, CSV and JSON exports, catalogues and checksums; ``buckets`` has the tables that are written by parts.
 
-Tables are Parquet directories. Writers that replace write beside the old table and swap at the end: the old table moves aside, the new one takes its
-place, the old one goes. A job that is lost leaves the old table in its place, or, within the swap, both beside each other, which the next swap or ``recover`` puts right.
+Writers that replace write beside the old table or export and swap at the end: the old one moves aside, the new one takes its
+place, the old one goes. A job that is lost leaves the old one in its place, or, within the swap, both beside each other, which the next swap or ``recover`` puts right.
+An export is written by ordered tasks, a part each, and a list of the parts that makes them one file (``parts``, ``concatenate``).
 """
 
 from __future__ import annotations
 
+import csv
+import hashlib
+import io
 import json
 import uuid
-from typing import Any
+from collections.abc import Iterator
+from itertools import accumulate
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sources.state import exists
+from .buckets import file_system, read_table, recover, replace_source, sortables, swap, upsert
+from .operators.fragments import findings_order
+from .stores import file_system as store_of
+from .stores import qualify
 
+__all__ = ["changed_ranges", "concatenate", "content_fingerprint", "manifest", "overwrite", "ranges", "read_table", "recover", "replace_source", "safe_path", "swap", "upsert", "write_bundle", "write_csv", "write_export", "write_findings", "write_json_array", "write_json_lines", "write_state", "write_summary"]
 
-#: What is put behind the name of a table that has moved aside.
-ASIDE = ".old"
-MOST_SUMMARY = 100_000
-
-
-def _fs(spark: SparkSession, path: str) -> tuple[Any, Any]:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def swap(spark: SparkSession, staged: str, path: str) -> None:
-    """``staged`` takes the place of ``path``."""
-    files, new = _fs(spark, staged)
-    old = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files.mkdirs(old.getParent())
-    recover(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ASIDE)
-    if files.exists(old) and not files.rename(old, aside):
-        raise OSError(f"{path} can't be moved aside")
-    if not files.rename(new, old):
-        recover(spark, path)
-        raise OSError(f"{staged} can't be moved to {path}")
-    files.delete(aside, True)
-
-
-def recover(spark: SparkSession, path: str) -> None:
-    """After a job that was lost within a swap: the old table comes back where no new one has come, else it goes."""
-    files, old = _fs(spark, path)
-    aside = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ASIDE)
-    if files.exists(aside):
-        if files.exists(old):
-            files.delete(aside, True)
-        else:
-            files.rename(aside, old)
+#: Names that Spark's readers pass over: the text in front of the parts and behind them, and their list.
+HEAD, FOOT, PARTS = "_head", "_foot", "_parts"
+#: Bytes of a range that is hashed by itself.
+RANGE = 64 << 20
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -58,34 +39,9 @@ def overwrite(df: DataFrame, path: str) -> None:
     swap(df.sparkSession, staged, path)
 
 
-def upsert(df: DataFrame, path: str, keys: list[str]) -> None:
-    """Rows of ``df`` replace those of the same keys, null keys included. Of rows of ``df`` that share a key the one that is largest, column by column, counts."""
-    spark = df.sparkSession
-    recover(spark, path)
-    one = df.groupBy(*keys).agg(F.max(F.struct(*[c for c in df.columns if c not in keys])).alias("__row")).select(*keys, "__row.*") if len(df.columns) > len(keys) else df.distinct()
-    new = one.select(*df.columns)
-    if exists(spark, path):
-        # a union and one grouping: keys are equal as groups are, null to null
-        rows = lambda d, rank: d.select(*keys, F.struct(F.lit(rank).alias("rank"), F.struct(*df.columns).alias("row")).alias("r"))
-        both = rows(spark.read.parquet(path), 0).unionByName(rows(new, 1)).groupBy(*keys).agg(F.max_by("r.row", "r.rank").alias("row"))
-        new = both.select("row.*")
-    overwrite(new, path)
-
-
-def replace_source(df: DataFrame, path: str, sources: list[str]) -> None:
-    """The partitions of ``sources`` are replaced by the rows of ``df``, which must be theirs; others stay. A source that has no rows any more has none afterwards."""
-    spark = df.sparkSession
-    if not df.where(F.coalesce(~F.col("source").isin(*sources), F.lit(True))).isEmpty():
-        raise ValueError("rows of other sources than those that are replaced")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source").parquet(path)
-    full = {r["source"] for r in df.select("source").distinct().collect()}  # some of ``sources``
-    for source in set(sources) - full:
-        reset(spark, f"{path}/source={spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(source)}")
-
-
 def reset(spark: SparkSession, *paths: str) -> None:
     for path in paths:
-        files, p = _fs(spark, path)
+        files, p = file_system(spark, path)
         files.delete(p, True)
 
 
@@ -116,24 +72,94 @@ def blank_nulls(df: DataFrame) -> DataFrame:
     return df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns])
 
 
-def write_csv(df: DataFrame, path: str, order: list[str]) -> None:
-    """Minimal quotes, doubled inside, a header a file; rows ordered over all files."""
-    blank_nulls(df).orderBy(*order).write.mode("overwrite").option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    files, p = file_system(spark, path)
+    out = files.create(p, True)
+    out.write(text.encode())
+    out.close()
+
 
+def read_text(spark: SparkSession, path: str) -> str:
+    files, p = file_system(spark, path)
+    stream = files.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _finish(spark: SparkSession, staged: str, path: str, head: str = "", foot: str = "", between: int = 0) -> None:
+    """Lists the parts that ordered tasks have written to ``staged`` as one file - name, bytes and offset, the head first - and swaps it in.
+    ``between``: bytes that end each row and don't belong behind the last."""
+    files, p = file_system(spark, staged)
+    found = [(s.getPath().getName(), s.getLen()) for s in files.listStatus(p) if s.getPath().getName().startswith("part-") and s.getLen()]  # a row a task
+    found.sort(key=lambda f: int(f[0].split("-")[1]))
+    if found:
+        found[-1] = (found[-1][0], found[-1][1] - between)
+    for name, text in ((HEAD, head), (FOOT, foot)):
+        if text:
+            _write_text(spark, f"{staged}/{name}", text)
+    rows = [(HEAD, len(head.encode()))] * bool(head) + found + [(FOOT, len(foot.encode()))] * bool(foot)
+    starts = accumulate((n for _, n in rows), initial=0)
+    _write_text(spark, f"{staged}/{PARTS}", json.dumps([{"name": name, "bytes": n, "offset": at} for (name, n), at in zip(rows, starts, strict=False)]))
+    swap(spark, staged, path)
 
-def write_json_lines(df: DataFrame, path: str, order: list[str]) -> None:
-    df.orderBy(*order).write.mode("overwrite").json(path)
 
+def parts(spark: SparkSession, path: str) -> list[dict]:
+    """name, bytes and offset of the parts that make one file, in order."""
+    return json.loads(read_text(spark, f"{path}/{PARTS}"))
 
-def write_summary(df: DataFrame, path: str, order: list[str]) -> None:
-    """A small table as one JSON array; for summaries, a row a kind or source, ``MOST_SUMMARY`` at most."""
-    rows = df.orderBy(*order).limit(MOST_SUMMARY + 1).collect()
-    if len(rows) > MOST_SUMMARY:
-        raise ValueError(f"more than {MOST_SUMMARY} rows: write_json_lines is for tables")
-    files, p = _fs(df.sparkSession, path)
+
+def concatenate(spark: SparkSession, path: str, target: str) -> None:
+    """The parts of an export as one file, copied through the driver some KB at a time."""
+    copy = spark._jvm.org.apache.commons.io.IOUtils.copyLarge
+    staged = f"{target}.{uuid.uuid4().hex}"
+    files, p = file_system(spark, staged)
     out = files.create(p, True)
-    out.write(json.dumps([r.asDict(recursive=True) for r in rows], indent=2, sort_keys=True, default=str).encode())
+    for part in parts(spark, path):
+        source, q = file_system(spark, f"{path}/{part['name']}")
+        stream = source.open(q)
+        copy(stream, out, 0, part["bytes"])
+        stream.close()
     out.close()
+    swap(spark, staged, target)
+
+
+def write_csv(df: DataFrame, path: str, order: list) -> None:
+    """Rows ordered over all parts, minimal quotes, doubled inside; the header once, in front of the first. The old export stays until the new one is whole."""
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    blank_nulls(df.orderBy(*order)).write.option("header", False).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(staged)
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\n").writerow(df.columns)
+    _finish(df.sparkSession, staged, path, head.getvalue())
+
+
+def write_json_lines(df: DataFrame, path: str, order: list) -> None:
+    """A JSON object a line, ordered over all parts."""
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    df.orderBy(*order).write.json(staged)
+    _finish(df.sparkSession, staged, path)
+
+
+def write_json_array(df: DataFrame, path: str, order: list) -> None:
+    """One JSON array over all parts, an object a line, keys in order, nulls written."""
+    staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
+    row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    df.orderBy(*order).select(row.alias("row")).write.option("lineSep", ",\n").text(staged)
+    _finish(df.sparkSession, staged, path, "[\n", "\n]\n", between=2)
+
+
+def write_summary(df: DataFrame, path: str, order: list) -> None:
+    """A table as a single file of one JSON array, of any length."""
+    parted = f"{path}.parts"
+    write_json_array(df, parted, order)
+    concatenate(df.sparkSession, parted, path)
+    reset(df.sparkSession, parted)
+
+
+def write_findings(findings: DataFrame, path: str) -> None:
+    """Findings as JSON lines, by kind, code, message and citation."""
+    write_json_lines(findings, path, findings_order())
 
 
 def catalogue(tables: dict[str, DataFrame]) -> DataFrame:
@@ -149,14 +175,62 @@ def catalogue(tables: dict[str, DataFrame]) -> DataFrame:
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """rows and sum of row hashes: equal for equal bags of rows, whatever the order and files."""
-    row = F.xxhash64(*df.columns).cast("decimal(38,0)") if df.columns else F.lit(0).cast("decimal(38,0)")
+    row = F.xxhash64(*sortables(df)).cast("decimal(38,0)") if df.columns else F.lit(0).cast("decimal(38,0)")
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("fingerprint"))
 
 
+def listed(spark: SparkSession, path: str) -> DataFrame:
+    """root, path, name (below ``path``) and bytes of the files there, empty ones and the lists of exports too, without Hadoop's own checksums. A row a file passes the driver; of the contents nothing is read."""
+    root = qualify(spark, path)
+    store, base = store_of(root)
+    found = [f for f in store.get_file_info(fs.FileSelector(base, recursive=True)) if f.is_file and not (f.base_name.startswith(".") and f.base_name.endswith(".crc"))]
+    rows = [(root, f.path, f.path[len(base.rstrip("/")) + 1 :], f.size) for f in found]
+    return spark.createDataFrame(rows, "root string, path string, name string, bytes long")
+
+
+def ranges(spark: SparkSession, path: str, size: int = RANGE) -> DataFrame:
+    """name, bytes, at, size and sha256 of the byte ranges of the files below a path; each is hashed by itself, so a large file is no one task's."""
+    files = listed(spark, path)
+    starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(size).cast("long"))
+    cut = files.select("root", "path", "name", "bytes", F.explode(starts).alias("at")).withColumn("size", F.least(F.lit(size), F.col("bytes") - F.col("at")))
+    return _hashed(cut.repartition("path", "at"))
+
+
 def manifest(spark: SparkSession, path: str) -> DataFrame:
-    """name, bytes and sha256 of the files below a path; hashed where they are read."""
-    rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return rows.select(F.substring_index("path", "/", -1).alias("name"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """name, bytes and sha256 of the files below a path, of any size: read as streams, some MB at a time."""
+    files = listed(spark, path)
+    return _hashed(files.withColumns({"at": F.lit(0).cast("long"), "size": F.col("bytes")}).repartition("path")).select("name", "bytes", "sha256")
+
+
+def _hashed(cut: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                store, path = store_of(r["root"])[0], r["path"]
+                digest, left = hashlib.sha256(), r["size"]
+                with store.open_input_file(path) as stream:
+                    stream.seek(r["at"])
+                    while left and (block := stream.read(min(left, 4 << 20))):
+                        digest.update(block)
+                        left -= len(block)
+                if left:
+                    raise OSError(f"{path} has become shorter")
+                yield pa.RecordBatch.from_pylist([{k: r[k] for k in ("name", "bytes", "at", "size")} | {"sha256": digest.hexdigest()}])
+
+    return cut.select("root", "path", "name", "bytes", "at", "size").mapInArrow(run, "name string, bytes long, at long, size long, sha256 string")
+
+
+def range_tree(hashed: DataFrame) -> DataFrame:
+    """name, bytes and tree: a file's range digests in order, hashed as one text; a file's ranges are its size by theirs."""
+    each = F.transform(F.array_sort(F.collect_list(F.struct("at", "sha256"))), lambda x: x["sha256"])
+    return hashed.groupBy("name").agg(F.max("bytes").alias("bytes"), F.sha2(F.array_join(each, ""), 256).alias("tree"))
+
+
+def changed_ranges(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """name, at and problem (missing, unexpected, changed) of byte ranges that aren't as listed."""
+    both = expected.select("name", "at", F.col("sha256").alias("s"), F.lit(True).alias("e")).join(actual.select("name", "at", "sha256", F.lit(True).alias("a")), ["name", "at"], "full_outer")
+    problem = F.when(F.col("a").isNull(), "missing").when(F.col("e").isNull(), "unexpected").when(~F.col("s").eqNullSafe(F.col("sha256")), "changed")
+    return both.select("name", "at", problem.alias("problem")).where("problem IS NOT NULL")
 
 
 def verify_manifest(actual: DataFrame, expected: DataFrame) -> DataFrame:
@@ -174,8 +248,9 @@ def safe_path(name: str) -> str:
     return name
 
 
-def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], views: dict[str, str] | None = None) -> None:
-    """Tables as Parquet under a path, swapped in together, after their primary keys are checked; ``views`` are further names of tables."""
+def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[str]], views: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Tables as Parquet under a path, swapped in together, after their primary keys are checked; ``views`` are further names of tables. Returns
+    what was written, by name: the caller makes views of them, or not."""
     spark = next(iter(tables.values())).sparkSession
     for name, key in keys.items():
         if not tables[name].groupBy(*key).count().where("count > 1").isEmpty():
@@ -184,7 +259,11 @@ def write_bundle(tables: dict[str, DataFrame], path: str, keys: dict[str, list[s
     for name, df in tables.items():
         blank_nulls(df).write.parquet(f"{staged}/{safe_path(name)}")
     swap(spark, staged, path)
-    for name in tables:
-        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(name)
-    for view, name in (views or {}).items():
-        spark.read.parquet(f"{path}/{name}").createOrReplaceTempView(view)
+    return {name: spark.read.parquet(f"{path}/{of}") for name, of in ({n: n for n in tables} | (views or {})).items()}
+
+
+def write_export(tables: dict[str, tuple[DataFrame, list]], path: str, kind: str = "csv") -> None:
+    """Tables, each with its order, as ``name.kind`` below a path; a name that leads elsewhere is an error before anything is written."""
+    writer = {"csv": write_csv, "jsonl": write_json_lines, "json": write_json_array}[kind]
+    for name, (df, order) in [(f"{safe_path(n)}.{kind}", t) for n, t in tables.items()]:
+        writer(df, f"{path.rstrip('/')}/{name}", order)

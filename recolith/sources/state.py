@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.values import is_object
 from ..model import ALIAS, CITATION, FINDING, REVISION
@@ -59,6 +62,14 @@ def load_findings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Quoted as written by ``sinks.write_csv``; all columns text without a schema."""
-    reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("multiLine", True).option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema else reader).csv(path)
+    """Quoted as written by ``sinks.write_csv``, whose header stands once beside the parts; all columns text without a schema."""
+    reader = spark.read.option("quote", '"').option("escape", '"').option("multiLine", True).option("mode", "FAILFAST")
+    if not exists(spark, f"{path}/_head"):
+        reader = reader.option("header", True)
+        return (reader.schema(schema) if schema else reader).csv(path)
+    files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_head")
+    stream = files.getFileSystem(spark._jsc.hadoopConfiguration()).open(files)
+    (names,) = csv.reader([spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")])
+    stream.close()
+    kinds = StructType([StructField(n, StringType()) for n in names])
+    return reader.schema(schema or kinds).csv(path)

@@ -160,8 +160,8 @@ def test_public_tables_and_bundle(spark, tmp_path):
     audit = pu.audit_tables(entries, relations)
     assert {(r["councilmember_name"], r["membership_role"]) for r in audit["committee_memberships"].collect()} == {("Ann", "member"), ("Bob", "member"), ("Cy", "chair")}
     assert audit["board_affiliations"].count() == 2 and {r["source"] for r in audit["source_counts"].collect()} >= {"gis.agencies", "council.committees"}
-    pu.bundle(tables, {**audit, "entries": audit["entries"]}, str(tmp_path / "release"))
-    assert spark.table("council").count() == 3 and (tmp_path / "release" / "relationships").is_dir()
+    written = pu.bundle(tables, {**audit, "entries": audit["entries"]}, str(tmp_path / "release"))
+    assert written["council"].count() == 3 and (tmp_path / "release" / "relationships").is_dir()
     checks = {r["check"]: r["ok"] for r in verify_release({**tables, "entries": entries, "relations": relations, "source_counts": audit["source_counts"]}, sinks.catalogue({"entries": entries}), {}, {}, coverage=coverage).collect()}
     assert checks["rows:entries"] and checks["coverage:collection_status"] and checks["coverage:release_status"] and not checks["coverage:citations"] and not checks["relations:dangling"]
 

@@ -64,7 +64,8 @@ def test_item_records_and_bundle(spark, tmp_path):
     records = spark.createDataFrame([("s", "1", "{}")], "source string, key string, payload string")
     assert {(r["key"], r["found"]) for r in review.item_records(items, records).collect()} == {("1", True), ("2", False)}
     table = spark.createDataFrame([("a", None), ("b", "x")], "k string, v string")
-    sinks.write_bundle({"bundle_t": table}, str(tmp_path / "b"), {"bundle_t": ["k"]}, {"bundle_alias": "bundle_t"})
-    assert {tuple(r) for r in spark.table("bundle_alias").collect()} == {("a", ""), ("b", "x")}
+    made = sinks.write_bundle({"bundle_t": table}, str(tmp_path / "b"), {"bundle_t": ["k"]}, {"bundle_alias": "bundle_t"})
+    assert {tuple(r) for r in made["bundle_alias"].collect()} == {("a", ""), ("b", "x")} and set(made) == {"bundle_t", "bundle_alias"}
+    assert not spark.catalog.tableExists("bundle_alias")
     with pytest.raises(ValueError):
         sinks.write_bundle({"bundle_t": table.unionByName(table)}, str(tmp_path / "b"), {"bundle_t": ["k"]})
