@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import id_slug
+from ..stages import materialise
+from .places import placed
 
 
 @dataclass(frozen=True)
@@ -95,13 +97,46 @@ def related_counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(F.count("*").alias("n"))
 
 
-def related_list(relations: DataFrame, entries: DataFrame, relation: str, incoming: bool = False, most: int = 10_000) -> DataFrame:
-    """id, n (not distinct), ids and names of the other ends, distinct by id, in order of name, joined by ``; ``: for file sinks whose readers want
-    lists in a cell. Entries of more than ``most`` relations have null lists: their neighbours are the rows of ``related``."""
+#: Members of an entry beyond which its list is made in chunks, and the members of a chunk.
+MOST, CHUNK = 10_000, 1_000
+SEPARATOR = "; "
+
+
+def list_chunks(rows: DataFrame, key: str, order: list[str], texts: list[str], chunk: int = CHUNK) -> DataFrame:
+    """key, chunk (from 0), n and, for each of ``texts``, the values of ``chunk`` rows joined, in the given order. ``rows`` are dealt by
+    ranges of key and order, so a key of any number of rows is no one task's."""
+    at = placed(materialise(rows, "members"), [F.col(c).asc() for c in (key, *order)], "members-in-order")
+    first = at.groupBy(key).agg(F.min("__at").alias("__first"))
+    cut = at.join(first, key).withColumn("chunk", F.floor((F.col("__at") - F.col("__first")) / chunk).cast("long"))
+    each = cut.groupBy(key, "chunk").agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(F.col("__at").alias("at"), *texts))).alias("l"))
+    return each.select(key, "chunk", "n", *[F.array_join(F.col("l")[t], SEPARATOR).alias(t) for t in texts])
+
+
+def listed(rows: DataFrame, key: str, order: list[str], texts: list[str], most: int = MOST, chunk: int = CHUNK) -> DataFrame:
+    """key, n and, for each of ``texts``, the values joined by ``; `` in the given order: for files whose readers want lists in a cell.
+
+    Keys of more than ``most`` rows are listed in chunks, which alone are put together; the cell is the same text either way.
+    """
+
+    def joined(part: DataFrame) -> DataFrame:
+        group = part.groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], *texts))).alias("l"))
+        return group.select(key, "n", *[F.array_join(F.col("l")[t], SEPARATOR).alias(t) for t in texts])
+
+    rows = rows.where(F.col(key).isNotNull())
+    hubs = materialise(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(key), "hubs")
+    if hubs.isEmpty():
+        return joined(rows)
+    parts = list_chunks(rows.join(F.broadcast(hubs) if hubs.count() <= MOST else hubs, key, "left_semi"), key, order, texts, chunk)
+    group = parts.groupBy(key).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("chunk", *texts))).alias("l"))
+    large = group.select(key, "n", *[F.array_join(F.col("l")[t], SEPARATOR).alias(t) for t in texts])
+    return joined(rows.join(hubs, key, "left_anti")).unionByName(large)
+
+
+def related_list(relations: DataFrame, entries: DataFrame, relation: str, incoming: bool = False, most: int = MOST) -> DataFrame:
+    """id, n (not distinct), ids and names of the other ends, distinct by id, in order of name, joined by ``; ``."""
     rows = related(relations, entries, relation, incoming)
-    counts = related_counts(rows)
-    short = rows.distinct().join(counts.where(F.col("n") <= most), "id", "left_semi").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("name", "other"))).alias("l"))
-    return counts.join(short, "id", "left").select("id", "n", F.array_join("l.other", "; ").alias("ids"), F.array_join("l.name", "; ").alias("names"))
+    made = listed(rows.distinct(), "id", ["name", "other"], ["other", "name"], most).drop("n")
+    return related_counts(rows).join(made, "id", "left").select("id", "n", F.col("other").alias("ids"), F.col("name").alias("names"))
 
 
 def chain(entries: DataFrame, relations: DataFrame, first: tuple[str, str], second: tuple[str, str], top_kind: str) -> DataFrame:
@@ -121,10 +156,11 @@ def role_override(rows: DataFrame, keys: list[str], role: str, ranks: tuple[str,
 
 
 def distinct_summary(rows: DataFrame, key: str, member: str, name: str) -> DataFrame:
-    """key, members (distinct, counted by rows of key and member), names (distinct, sorted, joined; a column of few values)."""
+    """key, members (distinct, counted by rows of key and member), names (distinct, sorted, joined)."""
     members = rows.select(key, member).where(F.col(member).isNotNull()).distinct().groupBy(key).agg(F.count("*").alias("members"))
-    names = rows.select(key, name).distinct().groupBy(key).agg(F.array_join(F.array_sort(F.collect_list(name)), "; ").alias("names"))
-    return names.join(members, key, "left").select(key, F.coalesce("members", F.lit(0)).cast("long").alias("members"), "names")
+    names = listed(rows.select(key, F.col(name).alias("names")).where("names IS NOT NULL").distinct(), key, ["names"], ["names"]).drop("n")
+    both = rows.select(key).distinct().join(names, key, "left").join(members, key, "left")
+    return both.select(key, F.coalesce("members", F.lit(0)).cast("long").alias("members"), F.coalesce("names", F.lit("")).alias("names"))
 
 
 def stable_position(rows: DataFrame, order: Column, tie: Column) -> DataFrame:

@@ -10,7 +10,9 @@ not expected (the compile has merged them); an empty state gives empty tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -73,8 +75,24 @@ def with_source(rows: DataFrame, citation: Column, coverage: DataFrame, *fallbac
     return joined.withColumn("source_url", first_filled(F.col("__c.url"), F.col("__url"), *fallback)).drop("__c", "__source", "__url")
 
 
-def bases(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs: dict[str, graph.Verb], names: Names) -> tuple[DataFrame, DataFrame]:
-    """Entries and relations with what the tables say of them; both written."""
+class Tables(Mapping[str, DataFrame]):
+    """Tables by name, each planned when it is first asked for, with no more of what several share than it needs."""
+
+    def __init__(self, makers: dict[str, Callable[[], DataFrame]]) -> None:
+        self.makers = {k: cache(f) for k, f in makers.items()}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.makers[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.makers)
+
+    def __len__(self) -> int:
+        return len(self.makers)
+
+
+def bases(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs: dict[str, graph.Verb], names: Names) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """Entries with what the tables say of them, and what makes the relations with it; both are written."""
     primary = first_source(F.col("citations"))
     for kind, sources in reversed(names.preferred):
         own = [cited_from(s) for s in sources]
@@ -82,10 +100,14 @@ def bases(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs:
     rows = with_source(entries, primary, coverage, *[attribute(a) for a in SOURCE_URLS])
     rows = materialise(rows.select("id", "kind", "name", "attributes", "source_url", "source_id"), "public-entries")
     end = lambda side: rows.select(F.col("id").alias(f"{side}_id"), F.col("name").alias(f"{side}_name"), F.col("kind").alias(f"{side}_kind"))
-    links = relations.join(end("from"), "from_id").join(end("to"), "to_id", "left")
-    label = F.coalesce(graph.public_verb(verbs, F.col("kind"), F.col("from_kind"), F.col("to_kind")), raw_verb(F.col("kind")))
-    links = with_source(links.withColumn("label", label), first_source(F.col("citations")), coverage).na.fill("", ["to_name", "to_kind"])
-    return rows, materialise(links.select("from_id", "from_name", "from_kind", "kind", "label", "to_id", "to_name", "to_kind", "source_url", "source_id"), "public-relations")
+
+    def relations_named() -> DataFrame:
+        links = relations.join(end("from"), "from_id").join(end("to"), "to_id", "left")
+        label = F.coalesce(graph.public_verb(verbs, F.col("kind"), F.col("from_kind"), F.col("to_kind")), raw_verb(F.col("kind")))
+        links = with_source(links.withColumn("label", label), first_source(F.col("citations")), coverage).na.fill("", ["to_name", "to_kind"])
+        return materialise(links.select("from_id", "from_name", "from_kind", "kind", "label", "to_id", "to_name", "to_kind", "source_url", "source_id"), "public-relations")
+
+    return rows, relations_named
 
 
 def seat(office: Column, ward: Column) -> Column:
@@ -98,12 +120,6 @@ def sort_order(seat_type: Column, ward: Column, name: Column) -> Column:
     return F.when(seat_type == "chairman", "00").when(seat_type == "ward", F.concat(F.lit("2"), F.lpad(ward, F.greatest(F.length(ward), F.lit(2)), F.lit("0")))).when(seat_type == "at_large", F.concat(F.lit("1"), name)).otherwise(F.concat(F.lit("99"), name))
 
 
-def listed(rows: DataFrame, key: str, order: Column, *texts: str) -> DataFrame:
-    """key, n and, for each of ``texts``, the values joined by ``; `` in the given order."""
-    group = rows.groupBy(key).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct(order.alias("o"), *texts))).alias("l"))
-    return group.select(key, "n", *[F.array_join(F.col("l")[t], "; ").alias(t) for t in texts])
-
-
 def usage(links: DataFrame, names: Names) -> DataFrame:
     """authority_id, entry_id, name: what each authority authorises, a row each."""
     return links.where(F.col("kind") == names.relation("authorized_by")).select(F.col("to_id").alias("authority_id"), F.col("from_id").alias("entry_id"), F.col("from_name").alias("name"))
@@ -119,12 +135,13 @@ def structure(rows: DataFrame, links: DataFrame, names: Names) -> DataFrame:
     return found.withColumns({"anc": F.trim(strip_label(F.col("anc_name"), "ANC")), "smd": F.trim(strip_label(F.col("smd_name"), "SMD"))}).na.fill("", ["commissioner_seat_id", "current_commissioner_name", "officer_role", "wards"])
 
 
-def public_tables(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs: dict[str, graph.Verb] | None = None, names: Names | None = None) -> dict[str, DataFrame]:
-    """The fourteen tables by name. ``coverage``: a row a source, with ``SOURCES`` or some of them."""
+def public_tables(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs: dict[str, graph.Verb] | None = None, names: Names | None = None) -> Tables:
+    """The fourteen tables by name, planned when asked for. ``coverage``: a row a source, with ``SOURCES`` or some of them."""
     names = names or Names()
-    rows, links = bases(entries, relations, coverage, verbs or {}, names)
+    rows, made = bases(entries, relations, coverage, verbs or {}, names)
+    links = cache(made)
     of = lambda *kinds: rows.where(F.col("kind").isin(*[names.kind(k) for k in kinds]))
-    by = lambda *kinds: links.where(F.col("kind").isin(*[names.relation(k) for k in kinds]))
+    by = lambda *kinds: links().where(F.col("kind").isin(*[names.relation(k) for k in kinds]))
     bare = lambda c: F.regexp_replace(c, "^" + names.kind_prefix.replace(".", r"\."), "") if names.kind_prefix else c
 
     def parents(*kinds: str) -> DataFrame:
@@ -135,52 +152,62 @@ def public_tables(entries: DataFrame, relations: DataFrame, coverage: DataFrame,
         up = of(kind).join(parents("reports_to", "part_of"), "id", "left").na.fill("", ["parent_id", "parent_name"])
         return up.select(F.col("id").alias(key), "name", attribute("shortName").alias("short_name"), attribute("officialUrl").alias("official_url"), "parent_id", "parent_name", "source_url", "source_id")
 
-    seat_type = seat(attribute("officeLabel"), attribute("wardNumber"))
-    people = of("councilmember").select("id", "name", seat_type.alias("seat_type"), attribute("officeLabel").alias("office_title"), attribute("wardNumber").alias("ward"), attribute("sourceProfileUrl").alias("profile_url"), "source_url", "source_id")
-    people = people.withColumn("sort_order", sort_order(F.col("seat_type"), F.col("ward"), F.col("name")))
-
-    chairs = by("chairs").groupBy(F.col("to_id").alias("id")).agg(F.min(F.struct(F.col("from_id").alias("id"), F.col("from_name").alias("name"))).alias("c")).select("id", F.col("c.id").alias("chair_id"), F.col("c.name").alias("chair_name"))
-    seated = by("member_of").join(people.select(F.col("id").alias("from_id"), "sort_order"), "from_id").select(F.col("to_id").alias("id"), F.struct("sort_order", "from_name").alias("place"), F.col("from_name").alias("members"))
-    committees = of("committee").join(chairs, "id", "left").join(listed(seated, "id", F.col("place"), "members"), "id", "left").na.fill("", ["chair_id", "chair_name", "members"]).na.fill(0, ["n"])
-
-    agencies_of = by("governs", "affiliated_with").select(F.col("from_id").alias("id"), F.col("to_id").alias("agency_ids"), F.col("to_name").alias("agency_names")).distinct()
-    agency_lists = listed(agencies_of, "id", F.struct("agency_names", "agency_ids"), "agency_ids", "agency_names").drop("n")
-    law = of("legal_authority").select(F.col("id").alias("to_id"), attribute("locator").alias("locator"), attribute("canonicalUrl").alias("canonical_url"))
-    first_law = by("authorized_by").join(law, "to_id").groupBy(F.col("from_id").alias("id")).agg(F.min_by(F.struct("locator", "canonical_url"), "to_id").alias("law"))
-    bodies = of(*BODY_KINDS).join(first_law, "id", "left").join(agency_lists, "id", "left").na.fill("", ["agency_ids", "agency_names"])
-
-    areas = structure(rows, links, names)
-    held = areas.where("current_commissioner_name <> ''").select(F.col("anc_id").alias("id"), F.col("current_commissioner_name").alias("commissioners")).distinct()
-    commissions = of("anc").join(areas.groupBy(F.col("anc_id").alias("id")).agg(F.count_distinct("smd_id").alias("smd_count")), "id", "left").join(listed(held, "id", F.col("commissioners"), "commissioners").drop("n"), "id", "left").na.fill("", ["commissioners"]).na.fill(0, ["smd_count"])
-
-    used = usage(links, names)
-    used_lists = listed(used.select(F.col("authority_id").alias("id"), F.col("entry_id").alias("used_by_ids"), F.col("name").alias("used_by_names")), "id", F.struct("used_by_names", "used_by_ids"), "used_by_ids", "used_by_names")
-    laws = of("legal_authority").join(used_lists, "id", "left").na.fill("", ["used_by_ids", "used_by_names"]).na.fill(0, ["n"])
+    @cache
+    def people() -> DataFrame:
+        seat_type = seat(attribute("officeLabel"), attribute("wardNumber"))
+        found = of("councilmember").select("id", "name", seat_type.alias("seat_type"), attribute("officeLabel").alias("office_title"), attribute("wardNumber").alias("ward"), attribute("sourceProfileUrl").alias("profile_url"), "source_url", "source_id")
+        return found.withColumn("sort_order", sort_order(F.col("seat_type"), F.col("ward"), F.col("name")))
+
+    def committees() -> DataFrame:
+        chairs = by("chairs").groupBy(F.col("to_id").alias("id")).agg(F.min(F.struct(F.col("from_id").alias("id"), F.col("from_name").alias("name"))).alias("c")).select("id", F.col("c.id").alias("chair_id"), F.col("c.name").alias("chair_name"))
+        seated = by("member_of").join(people().select(F.col("id").alias("from_id"), "sort_order"), "from_id").select(F.col("to_id").alias("id"), "sort_order", F.col("from_name").alias("members"))
+        return of("committee").join(chairs, "id", "left").join(graph.listed(seated, "id", ["sort_order", "members"], ["members"]), "id", "left").na.fill("", ["chair_id", "chair_name", "members"]).na.fill(0, ["n"])
+
+    def bodies() -> DataFrame:
+        agencies_of = by("governs", "affiliated_with").select(F.col("from_id").alias("id"), F.col("to_id").alias("agency_ids"), F.col("to_name").alias("agency_names")).distinct()
+        agency_lists = graph.listed(agencies_of, "id", ["agency_names", "agency_ids"], ["agency_ids", "agency_names"]).drop("n")
+        law = of("legal_authority").select(F.col("id").alias("to_id"), attribute("locator").alias("locator"), attribute("canonicalUrl").alias("canonical_url"))
+        first_law = by("authorized_by").join(law, "to_id").groupBy(F.col("from_id").alias("id")).agg(F.min_by(F.struct("locator", "canonical_url"), "to_id").alias("law"))
+        return of(*BODY_KINDS).join(first_law, "id", "left").join(agency_lists, "id", "left").na.fill("", ["agency_ids", "agency_names"])
+
+    @cache
+    def areas() -> DataFrame:
+        return structure(rows, links(), names)
+
+    def commissions() -> DataFrame:
+        held = areas().where("current_commissioner_name <> ''").select(F.col("anc_id").alias("id"), F.col("current_commissioner_name").alias("commissioners")).distinct()
+        sizes = areas().groupBy(F.col("anc_id").alias("id")).agg(F.count_distinct("smd_id").alias("smd_count"))
+        return of("anc").join(sizes, "id", "left").join(graph.listed(held, "id", ["commissioners"], ["commissioners"]).drop("n"), "id", "left").na.fill("", ["commissioners"]).na.fill(0, ["smd_count"])
+
+    def laws() -> DataFrame:
+        used = usage(links(), names).select(F.col("authority_id").alias("id"), F.col("entry_id").alias("used_by_ids"), F.col("name").alias("used_by_names"))
+        lists = graph.listed(used, "id", ["used_by_names", "used_by_ids"], ["used_by_ids", "used_by_names"])
+        return of("legal_authority").join(lists, "id", "left").na.fill("", ["used_by_ids", "used_by_names"]).na.fill(0, ["n"])
 
     known = set(coverage.columns)
-    return {
-        "agencies": organisations("agency", "agency_id"),
-        "offices": organisations("office", "office_id"),
-        "councilmembers": people.select("sort_order", F.col("id").alias("councilmember_id"), "name", "seat_type", "office_title", "ward", F.col("seat_type").isin("at_large", "chairman").cast("string").alias("is_at_large"), "profile_url", "source_url", "source_id"),
-        "council_committees": committees.select(F.col("id").alias("committee_id"), "name", attribute("committeeType").alias("committee_type"), "chair_id", "chair_name", F.col("n").alias("member_count"), "members", "source_url", "source_id"),
-        "public_bodies": bodies.select(
+    return Tables({
+        "agencies": lambda: organisations("agency", "agency_id"),
+        "offices": lambda: organisations("office", "office_id"),
+        "councilmembers": lambda: people().select("sort_order", F.col("id").alias("councilmember_id"), "name", "seat_type", "office_title", "ward", F.col("seat_type").isin("at_large", "chairman").cast("string").alias("is_at_large"), "profile_url", "source_url", "source_id"),
+        "council_committees": lambda: committees().select(F.col("id").alias("committee_id"), "name", attribute("committeeType").alias("committee_type"), "chair_id", "chair_name", F.col("n").alias("member_count"), "members", "source_url", "source_id"),
+        "public_bodies": lambda: bodies().select(
             F.col("id").alias("public_body_id"), "name", bare(F.col("kind")).alias("body_type"), attribute("shortName").alias("short_name"), attribute("officialUrl").alias("official_url"),
             first_filled(F.col("law.locator"), attribute("enablingStatute")).alias("enabling_authority"), first_filled(F.col("law.canonical_url"), attribute("enablingStatuteUrl")).alias("authority_url"),
             attribute("sourceOpenDcUrl").alias("open_dc_url"), attribute("currentStateNote").alias("current_state_note"), "agency_ids", "agency_names", "source_url", "source_id",
         ),
-        "public_body_affiliations": by("governs", "affiliated_with").where(F.col("from_kind").isin(*[names.kind(k) for k in BODY_KINDS])).select(F.col("from_id").alias("public_body_id"), F.col("from_name").alias("public_body_name"), bare(F.col("from_kind")).alias("body_type"), F.col("label").alias("relation_type"), F.col("to_id").alias("target_id"), F.col("to_name").alias("target_name"), F.col("to_kind").alias("target_type"), "source_url", "source_id"),
-        "ancs": commissions.select(
+        "public_body_affiliations": lambda: by("governs", "affiliated_with").where(F.col("from_kind").isin(*[names.kind(k) for k in BODY_KINDS])).select(F.col("from_id").alias("public_body_id"), F.col("from_name").alias("public_body_name"), bare(F.col("from_kind")).alias("body_type"), F.col("label").alias("relation_type"), F.col("to_id").alias("target_id"), F.col("to_name").alias("target_name"), F.col("to_kind").alias("target_type"), "source_url", "source_id"),
+        "ancs": lambda: commissions().select(
             F.col("id").alias("anc_id"), F.col("name").alias("anc"), first_filled(attribute("officialUrl"), attribute("webUrl")).alias("official_url"), attribute("sourceOancProfileUrl").alias("oanc_profile_url"), attribute("sourceWardNumbers").alias("wards"),
             attribute("representedNeighborhoods").alias("neighborhoods"), "smd_count", F.col("commissioners").alias("current_commissioners"), first_filled(attribute("currentStateNote"), attribute("description")).alias("current_state_note"), "source_url", "source_id",
         ),
-        "smds": areas.select("smd_id", "smd", "anc_id", "anc", "wards", "commissioner_seat_id", "current_commissioner_name", "officer_role", "source_url", "source_id"),
-        "smd_commissioners": areas.select("smd", "anc", "wards", "current_commissioner_name", "officer_role", "smd_id", "anc_id", "commissioner_seat_id", "source_url", "source_id"),
-        "wards": of("ward").select(F.col("id").alias("ward_id"), attribute("wardNumber").alias("ward_number"), "name"),
-        "courts": of("court_system", "court", "court_division").join(parents("part_of"), "id", "left").na.fill("", ["parent_id", "parent_name"]).select(F.col("id").alias("court_id"), "name", bare(F.col("kind")).alias("court_type"), "parent_id", "parent_name", attribute("officialUrl").alias("official_url"), "source_url", "source_id"),
-        "legal_authorities": laws.select(F.col("id").alias("authority_id"), attribute("authorityType").alias("authority_type"), attribute("locator").alias("locator"), attribute("canonicalUrl").alias("canonical_url"), "name", F.col("n").alias("used_by_count"), "used_by_ids", "used_by_names"),
-        "relationships": links.select("from_id", "from_name", F.col("from_kind").alias("from_type"), F.col("label").alias("relation_type"), "to_id", "to_name", F.col("to_kind").alias("to_type"), "source_url", "source_id"),
-        "sources": coverage.select(*[F.col(c) if c in known else F.lit("").alias(c) for c in SOURCES]),
-    }
+        "smds": lambda: areas().select("smd_id", "smd", "anc_id", "anc", "wards", "commissioner_seat_id", "current_commissioner_name", "officer_role", "source_url", "source_id"),
+        "smd_commissioners": lambda: areas().select("smd", "anc", "wards", "current_commissioner_name", "officer_role", "smd_id", "anc_id", "commissioner_seat_id", "source_url", "source_id"),
+        "wards": lambda: of("ward").select(F.col("id").alias("ward_id"), attribute("wardNumber").alias("ward_number"), "name"),
+        "courts": lambda: of("court_system", "court", "court_division").join(parents("part_of"), "id", "left").na.fill("", ["parent_id", "parent_name"]).select(F.col("id").alias("court_id"), "name", bare(F.col("kind")).alias("court_type"), "parent_id", "parent_name", attribute("officialUrl").alias("official_url"), "source_url", "source_id"),
+        "legal_authorities": lambda: laws().select(F.col("id").alias("authority_id"), attribute("authorityType").alias("authority_type"), attribute("locator").alias("locator"), attribute("canonicalUrl").alias("canonical_url"), "name", F.col("n").alias("used_by_count"), "used_by_ids", "used_by_names"),
+        "relationships": lambda: links().select("from_id", "from_name", F.col("from_kind").alias("from_type"), F.col("label").alias("relation_type"), "to_id", "to_name", F.col("to_kind").alias("to_type"), "source_url", "source_id"),
+        "sources": lambda: coverage.select(*[F.col(c) if c in known else F.lit("").alias(c) for c in SOURCES]),
+    })
 
 
 def audit_tables(entries: DataFrame, relations: DataFrame, names: Names | None = None) -> dict[str, DataFrame]:

@@ -233,3 +233,10 @@ def upsert_touched(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i in range(3):
         sinks.upsert(events.where(batch == i).select("user_id", "event_type", "ts", "event_id", "value"), path, ["user_id", "event_type"], buckets=16)
     return sinks.read_table(spark, path).select("user_id", "event_type", "event_id", "value")
+
+
+@query("""SELECT o_orderstatus AS status, count(*) :: BIGINT AS n, md5(string_agg(o_orderpriority || '/' || o_orderkey, '; ' ORDER BY o_orderpriority || '/' || o_orderkey)) AS digest FROM orders GROUP BY o_orderstatus""")
+def hub_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of a status in one cell: hubs, whose lists are made in chunks."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderstatus").alias("status"), F.concat("o_orderpriority", F.lit("/"), text("o_orderkey")).alias("name"))
+    return gr.listed(rows, "status", ["name"], ["name"], most=500).select("status", "n", F.md5("name").alias("digest"))

@@ -172,7 +172,19 @@ def test_related_lists_of_hubs(spark):
     full = {r["id"]: r for r in graph.related_list(relations, entries, "k", incoming=True).collect()}
     assert (full["hub"]["n"], full["hub"]["names"], full["hub"]["ids"]) == (6, "n5; n6; n7; n8; n9", "e4; e3; e2; e1; e0") and full["e1"]["names"] == "n9"
     short = {r["id"]: r for r in graph.related_list(relations, entries, "k", incoming=True, most=3).collect()}
-    assert short["hub"]["n"] == 6 and short["hub"]["names"] is None and short["e1"]["ids"] == "e0"
+    assert short == full
+
+
+def test_lists_of_a_large_hub(spark):
+    """100,000 members of one key in chunks: no row holds more than a chunk's members before the text is put together."""
+    n = 100_000
+    rows = spark.range(n).select(F.when(F.col("id") % 1000 == 0, "small").otherwise("hub").alias("key"), F.sha2(F.col("id").cast("string"), 256).substr(1, 12).alias("name"))
+    chunks = graph.list_chunks(rows, "key", ["name"], ["name"], 1000)
+    assert chunks.agg(F.max("n")).first()[0] == 1000 and chunks.where("key = 'hub'").count() == 100
+    got = {r["key"]: r for r in graph.listed(rows, "key", ["name"], ["name"], most=5000).collect()}
+    whole = {r["key"]: r["l"] for r in rows.groupBy("key").agg(F.array_sort(F.collect_list("name")).alias("l")).collect()}
+    assert {k: (r["n"], r["name"]) for k, r in got.items()} == {k: (len(v), "; ".join(v)) for k, v in whole.items()}
+    assert graph.listed(rows.limit(0), "key", ["name"], ["name"]).count() == 0
 
 
 def test_shared_folder_on_a_cluster_must_be_named():
