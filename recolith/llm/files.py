@@ -11,26 +11,15 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def file_system(uri: str) -> tuple[Any, str]:
-    """pyarrow's file system and path of a URI or path."""
-    from pyarrow import fs
-
-    uri = uri.replace("s3a://", "s3://", 1)
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
+from .. import stores
+from ..stores import file_system
 
 
 def qualify(spark: SparkSession, folder: str) -> str:
-    """The folder, made, by the URI of the store that has it, as Spark's own settings say. A path without a scheme is the default file system's, which
-    tasks, who have no such settings, would take for their own disk."""
+    """The folder, made, by the URI of the store that has it."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    store.mkdirs(path)
-    return store.resolvePath(path).toString()
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    return stores.qualify(spark, folder)
 
 
 def open_new(folder: str, name: str) -> Any:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, materialise, private
-from .places import placed
+from ..operators.places import placed
 
 N, BUCKETS = 2, 10_000
 #: Bytes of a text from which it is cut, and of the part that a chunk owns.

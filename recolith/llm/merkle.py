@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import column, materialise, small_side
-from .places import placed
+from ..operators.places import placed
 
 COLUMNS = ("doc_id", "source", "lang", "n_chars", "text")
 FANOUT = 2
