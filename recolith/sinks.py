@@ -12,12 +12,13 @@ import hashlib
 import io
 import json
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from functools import reduce
 from itertools import accumulate
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .buckets import file_system, read_table, recover, replace_source, sortables, swap, upsert
@@ -162,21 +163,38 @@ def write_findings(findings: DataFrame, path: str) -> None:
     write_json_lines(findings, path, findings_order())
 
 
-def catalogue(tables: dict[str, DataFrame]) -> DataFrame:
-    """name, columns, row_count of tables, one row for each and one for the catalogue itself."""
+def row_hash(df: DataFrame) -> Column:
+    """A hash of the row as a number that sums without overflow."""
+    return (F.xxhash64(*sortables(df)) if df.columns else F.lit(0)).cast("decimal(38,0)")
+
+
+def catalogue(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """name, columns, row_count and fingerprint of tables, each read once, and a row for the catalogue itself."""
     spark = next(iter(tables.values())).sparkSession
-    counts = None
-    for name, df in tables.items():
-        row = df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("name"), F.lit(json.dumps(df.columns)).alias("columns"), "row_count")
-        counts = row if counts is None else counts.unionByName(row)
-    own = spark.createDataFrame([("catalogue", json.dumps(["name", "columns", "row_count"]), len(tables) + 1)], "name string, columns string, row_count long")
-    return own.unionByName(counts)
+    each = [content_fingerprint(df).select(F.lit(name).alias("name"), F.lit(json.dumps(df.columns)).alias("columns"), F.col("rows").alias("row_count"), "fingerprint") for name, df in tables.items()]
+    own = spark.createDataFrame([("catalogue", json.dumps(["name", "columns", "row_count", "fingerprint"]), len(tables) + 1, None)], "name string, columns string, row_count long, fingerprint string")
+    return reduce(DataFrame.unionByName, [own, *each])
 
 
 def content_fingerprint(df: DataFrame) -> DataFrame:
     """rows and sum of row hashes: equal for equal bags of rows, whatever the order and files."""
-    row = F.xxhash64(*sortables(df)).cast("decimal(38,0)") if df.columns else F.lit(0).cast("decimal(38,0)")
-    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("fingerprint"))
+    return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_hash(df)), F.lit(0)).cast("string").alias("fingerprint"))
+
+
+def range_fingerprints(df: DataFrame, keys: list[str], digits: int = 2) -> DataFrame:
+    """range, rows and fingerprint of the rows whose keys' md5 begins with the digits ``range``, for 0 to ``digits`` of them: a tree whose root is the table's own
+    fingerprint, as sums of a node's children are its own. One pass over the rows."""
+    key = F.md5(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}))
+    leaves = df.select(F.substring(key, 1, digits).alias("range"), row_hash(df).alias("h")).groupBy("range").agg(F.count("*").alias("rows"), F.sum("h").alias("h"))
+    nodes = leaves.select(F.explode(F.sequence(F.lit(0), F.lit(digits))).alias("level"), "range", "rows", "h").groupBy(F.expr("substring(range, 1, level)").alias("range")).agg(F.sum("rows").alias("rows"), F.sum("h").cast("string").alias("fingerprint"))
+    return nodes
+
+
+def changed_key_ranges(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """range, rows_expected and rows_actual of the nodes of two trees that differ; those of most digits name the keys."""
+    both = expected.select("range", F.col("rows").alias("r"), F.col("fingerprint").alias("f")).join(actual, "range", "full_outer")
+    changed = both.where(~F.col("f").eqNullSafe(F.col("fingerprint")) | ~F.col("r").eqNullSafe(F.col("rows")))
+    return changed.select("range", F.coalesce("r", F.lit(0)).alias("rows_expected"), F.coalesce("rows", F.lit(0)).alias("rows_actual"))
 
 
 def listed(spark: SparkSession, path: str) -> DataFrame:

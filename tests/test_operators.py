@@ -17,7 +17,8 @@ from recolith.operators import revisions as rv
 from recolith.operators import windows as wi
 from recolith.operators.validate import Kind, Registry, entry_issues, relation_issues
 from recolith.plans.compile import compile_state
-from recolith.plans.release import release_tables, verify_release
+from recolith.plans.release import release_tables, verify_export, verify_release
+from recolith.stages import materialise
 from recolith.sources import html as ht
 from recolith.sources import state as st
 from recolith.streaming.collect import collect_stream
@@ -336,9 +337,32 @@ def test_release_and_tampering(spark):
     keys, headers = {"entries": ["id"]}, {"entries": ["id", "slug", "family", "kind", "name"]}
     assert verify_release(tables, counts, keys, headers).where("NOT ok").count() == 0
     twice = tables | {"entries": tables["entries"].unionByName(tables["entries"])}
-    assert {r["check"] for r in verify_release(twice, counts, keys, headers).where("NOT ok").collect()} == {"rows:entries", "unique:entries", "rollup:kind_counts"}
+    assert {r["check"] for r in verify_release(twice, counts, keys, headers).where("NOT ok").collect()} == {"rows:entries", "content:entries", "unique:entries", "rollup:kind_counts"}
     lost = tables | {"nodes": tables["nodes"].where("id <> 'a:1'"), "entries": tables["entries"].drop("slug")}
-    assert {r["check"] for r in verify_release(lost, counts, keys, headers).where("NOT ok").collect()} == {"rows:nodes", "edges:ends", "header:entries", "rollup:graph_summary:nodes"}
+    assert {r["check"] for r in verify_release(lost, counts, keys, headers).where("NOT ok").collect()} == {"rows:nodes", "content:nodes", "edges:ends", "header:entries", "content:entries", "rollup:graph_summary:nodes"}
+    written = {k: materialise(df, k) for k, df in tables.items()}
+    plan = verify_release(written, counts, keys, headers)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == len({"entries", "relations", "nodes", "edges", "graph_summary", "kind_counts", "relation_kind_counts", "attributes", "entry_citations", "relation_citations"})
+
+
+def test_posture_coverage_and_files(spark, tmp_path):
+    """Items against a posture, coverage against a catalog, and an export against its manifest, headers and counts."""
+    empty = {"entries": spark.createDataFrame([entry("a:1")], model.ENTRY)}
+    items = spark.createDataFrame([("blocking", "c1", "open", True), ("deferred", "c2", "open", False)], "queue string, category string, status string, blocking boolean")
+    said = [("queue", "blocking", 1), ("queue", "deferred", 1), ("queue", "actionable", 0), ("category", "c1", 1), ("category", "c2", 1), ("status", "open", 2)]
+    coverage = spark.createDataFrame([("s", 1, 1, 1, "collected", "exported"), ("t", 0, 0, 0, "collected", "not_collected")], "source string, snapshots long, records long, citations long, collection_status string, release_status string")
+    check = lambda posture, catalog: {r["check"]: r["actual"] for r in verify_release(empty, sinks.catalogue(empty), {}, {}, coverage=coverage, catalog=spark.createDataFrame(catalog, "source string"), items=items, posture=spark.createDataFrame(posture, "section string, label string, n long")).where("NOT ok").collect()}
+    assert check(said, [("s",), ("t",)]) == {"blockers": "1", "coverage:collection_status": "1"}
+    assert check([*said[:-1], ("status", "open", 3), ("status", "drafted", 1)], [("s",), ("u",)]) == {"blockers": "1", "coverage:collection_status": "1", "posture": "2", "coverage:sources": "2"}
+
+    table = spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string")
+    sinks.write_export({"t": (table, ["k"])}, str(tmp_path / "out"))
+    files = spark.createDataFrame(sinks.manifest(spark, str(tmp_path / "out")).collect())
+    want = {"t.csv": (["k", "v"], 2)}
+    assert verify_export(spark, str(tmp_path / "out"), files, want).where("NOT ok").count() == 0
+    sinks.write_csv(table.limit(1).select("k", F.lit("x").alias("w")), str(tmp_path / "out" / "t.csv"), ["k"])
+    bad = {r["check"].split(":")[0] for r in verify_export(spark, str(tmp_path / "out"), files, want | {"gone.csv": (["k"], 0)}).where("NOT ok").collect()}
+    assert bad == {"file", "header", "rows"}
 
 
 def test_paged_json(spark, tmp_path, monkeypatch):
