@@ -122,45 +122,71 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop("bucket")
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], buckets: int | None = None, bucket_bytes: int = BUCKET_BYTES) -> list[str]:
+def _count(parts: list[str]) -> int:
+    """How many buckets the table has, as its parts' names say; 0 if it isn't there."""
+    return next((int(p.rsplit("of", 1)[1]) for p in parts if p.startswith("bucket=")), 0)
+
+
+def _touched(rows: DataFrame, by: list[str], count: int) -> list[str]:
+    return sorted(r["bucket"] for r in rows.select(bucket_of(by, count).alias("bucket")).distinct().collect())  # some of ``count`` names
+
+
+def lookup(spark: SparkSession, path: str, wanted: DataFrame, by: list[str], schema: StructType) -> DataFrame:
+    """Rows of the table whose columns ``by``, which place them, are those of a row of ``wanted``. Only the buckets that may have some are read."""
+    recover(spark, path)
+    count = _count(_parts(spark, path))
+    if not count:
+        return spark.createDataFrame([], schema)
+    keys = wanted.select(*by).distinct()
+    rows = spark.read.schema(StructType([*schema.fields, StructField("bucket", StringType())])).parquet(path).where(F.col("bucket").isin(_touched(keys, by, count))).drop("bucket")
+    names = {c: f"__{c}" for c in by}
+    return rows.join(keys.withColumnsRenamed(names), [rows[c].eqNullSafe(F.col(n)) for c, n in names.items()], "left_semi")
+
+
+def upsert(df: DataFrame, path: str, keys: list[str], buckets: int | None = None, bucket_bytes: int = BUCKET_BYTES, by: list[str] | None = None, deleted: DataFrame | None = None) -> list[str]:
     """Rows of ``df`` replace those of the same keys, null keys included. Of rows of ``df`` that share a key the one that is largest, column by column, counts.
 
-    ``buckets`` is for a table that isn't there yet. Returns the names of the parts that were written.
+    ``deleted``: keys whose rows go, unless ``df`` has them. ``by``: those of the keys that place a row in a bucket, by default all. ``buckets`` is for a table that isn't there yet. Returns
+    the names of the parts that were written.
     """
-    spark = df.sparkSession
+    spark, by = df.sparkSession, by or keys
     path = path.rstrip("/")
     if "bucket" in df.columns:
         raise ValueError("the column bucket is the table's own")
     recover(spark, path)
     new = materialise(one_a_key(df, keys), "upsert")
-    found = [p for p in _parts(spark, path) if p.startswith("bucket=")]
-    count = int(found[0].rsplit("of", 1)[1]) if found else buckets or min(MOST_BUCKETS, max(1, 1 << (new.count() // BUCKET_ROWS).bit_length()))
-    placed = new.withColumn("bucket", bucket_of(keys, count))
-    touched = sorted(r["bucket"] for r in placed.select("bucket").distinct().collect())  # some of ``count`` names
+    found = _parts(spark, path)
+    count = _count(found) or buckets or min(MOST_BUCKETS, max(1, 1 << (new.count() // BUCKET_ROWS).bit_length()))
+    bucket = bucket_of(by, count).alias("bucket")
+    row = F.struct(*df.columns).alias("row")
+    changes = new.select(bucket, *keys, F.lit(2).alias("rank"), row)
+    if deleted is not None:
+        changes = changes.unionByName(deleted.select(bucket, *keys, F.lit(1).alias("rank")).withColumn("row", F.lit(None).cast(changes.schema["row"].dataType)))
+    touched = sorted(r["bucket"] for r in changes.select("bucket").distinct().collect())  # some of ``count`` names
     if not touched:
         return []
     there = {p.removeprefix("bucket=") for p in found}
     old = [b for b in touched if b in there]
-    both = placed.select("bucket", *keys, F.lit(1).alias("rank"), F.struct(*df.columns).alias("row"))
     if old:
         kept = spark.read.schema(StructType([*df.schema.fields, StructField("bucket", StringType())])).parquet(path).where(F.col("bucket").isin(old))
-        both = both.unionByName(kept.select("bucket", *keys, F.lit(0).alias("rank"), F.struct(*df.columns).alias("row")))
+        changes = changes.unionByName(kept.select("bucket", *keys, F.lit(0).alias("rank"), row))
     # dealt by bucket, which the grouping takes as it is: one shuffle, a file a bucket
-    merged = both.repartition(len(touched), "bucket").groupBy("bucket", *keys).agg(F.max_by("row", "rank").alias("row"))
+    merged = changes.repartition(len(touched), "bucket").groupBy("bucket", *keys).agg(F.max_by(F.struct("row"), "rank").alias("row"))
     staged = f"{path}.{uuid.uuid4().hex}"
-    merged.select("bucket", "row.*").write.partitionBy("bucket").parquet(staged)
-    move_in(spark, staged, path)
-    files, table = file_system(spark, path)
-    sizes = [files.getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}")).getLength() for b in touched]
-    if sum(sizes) > 2 * bucket_bytes * len(sizes) and count < MOST_BUCKETS:
-        rebucket(spark, path, keys, 4 * count)
+    merged.select("bucket", "row.row").where("row IS NOT NULL").select("bucket", "row.*").write.partitionBy("bucket").parquet(staged)
+    full = set(_parts(spark, staged))
+    move_in(spark, staged, path, [f"bucket={b}" for b in old if f"bucket={b}" not in full])
+    files, _ = file_system(spark, path)
+    sizes = [files.getContentSummary(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{p}")).getLength() for p in sorted(full)]
+    if sum(sizes) > 2 * bucket_bytes * max(1, len(sizes)) and count < MOST_BUCKETS:
+        rebucket(spark, path, by, 4 * count)
     return [f"bucket={b}" for b in touched]
 
 
-def rebucket(spark: SparkSession, path: str, keys: list[str], buckets: int) -> None:
+def rebucket(spark: SparkSession, path: str, by: list[str], buckets: int) -> None:
     """The whole table in another number of buckets."""
     staged = f"{path.rstrip('/')}.{uuid.uuid4().hex}"
-    read_table(spark, path).withColumn("bucket", bucket_of(keys, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(staged)
+    read_table(spark, path).withColumn("bucket", bucket_of(by, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(staged)
     swap(spark, staged, path)
 
 

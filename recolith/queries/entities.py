@@ -17,6 +17,8 @@ from ..operators import replay as rp
 from ..operators import revisions as rv
 from ..operators.validate import Kind, Registry, entry_issues, state_issues
 from ..plans.compile import compile_state
+from ..plans.incremental import Ledger
+from ..stages import fresh_path, materialise
 from .common import GRAPH_SQL, attributes, entity_edges, entity_fragments, graph, json_text, no_citations, ord_of, registry, table, text
 
 QUERIES, ORACLE_SQL, query = registry()
@@ -79,6 +81,23 @@ def entry_merge_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merged.select("id", "kind", "family", "name", value("last").alias("last"), value("segment").alias("segment"), F.size("citations").cast("long").alias("n_citations"), ids.alias("citations"))
 
 
+@query(f"""WITH {NATION_SQL.replace("FROM f", "FROM f WHERE segment IS DISTINCT FROM 'BUILDING'")}
+SELECT 'entry' AS what, id, arg_min(kind, i) AS kind, (SELECT name FROM o p WHERE p.id = o.id ORDER BY length(name) DESC, i LIMIT 1) AS name, count(DISTINCT source || ':' || (k % 20)) :: BIGINT AS n FROM o GROUP BY id
+UNION ALL SELECT 'relation', 'nation:' || n_nationkey, 'located_in', 'nation:' || n_regionkey, 1 FROM nation WHERE n_nationkey IN (SELECT s_nationkey FROM supplier UNION SELECT c_nationkey FROM customer WHERE c_mktsegment <> 'BUILDING')
+  AND n_regionkey IN (SELECT s_nationkey FROM supplier UNION SELECT c_nationkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
+def incremental_compile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two sources compiled one after the other, the second then without a segment: entries and relations as of a full compile."""
+    rows = nation_fragments(spark, sf_dir)
+    policy = rows.select("source", "kind").distinct().withColumn("action", F.lit("promote"))
+    ledger = Ledger(spark, fresh_path(spark, "ledger"), materialise(policy, "policy"), {"inside": "located_in"}, buckets=4)
+    edges = table(spark, sf_dir, "nation").select(F.lit("supplier").alias("source"), text("n_nationkey").alias("source_record_id"), F.concat(F.lit("nation:"), text("n_nationkey")).alias("from_id"), F.lit("inside").alias("relation_kind"), F.concat(F.lit("nation:"), text("n_regionkey")).alias("to_id"), F.array(cite(F.lit("supplier"), text("n_nationkey"))).alias("citations"), ord_of(F.col("n_nationkey")).alias("ord"))
+    ledger.update("supplier", rows.where("source = 'supplier'"), edges)
+    ledger.update("customer", rows.where("source = 'customer'"), edges.limit(0))
+    ledger.update("customer", rows.where("source = 'customer' AND NOT attributes['segment'] <=> '\"BUILDING\"'"), edges.limit(0))
+    entries = ledger.entries().select(F.lit("entry").alias("what"), "id", "kind", "name", F.size("citations").cast("long").alias("n"))
+    return entries.unionByName(ledger.relations().select(F.lit("relation").alias("what"), F.col("from_id").alias("id"), "kind", F.col("to_id").alias("name"), F.size("citations").cast("long").alias("n")))
+
+
 @query(f"""WITH {NATION_SQL}, k AS (SELECT id, arg_min(kind, i) AS kind FROM o GROUP BY id)
 SELECT k.id, k.kind, count(*) :: BIGINT AS conflicts FROM o JOIN k USING (id) WHERE o.kind <> k.kind GROUP BY k.id, k.kind""")
 def kind_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
