@@ -14,6 +14,7 @@ from ..functions.text import normalize_name, source_family, stable_key
 from ..functions.url import canonical_url, is_url_key, looks_like_url
 from ..functions.values import unquoted
 from ..stages import materialise
+from .graph import listed
 
 PLACES = ("officialUrl", "sourcePageUrl", "sourceDiscoveryPageUrl", "webUrl", "sourceOancProfileUrl")
 NAME, URL, LOCATOR = "same_normalized_name", "shared_url", "shared_legal_locator"
@@ -133,19 +134,35 @@ def noise(rows: DataFrame, heads: DataFrame, relations: DataFrame, prefix: str =
     return sized.where(F.col("laws") | F.col("authorised") | F.col("courts") | F.col("ancs") | (one & (F.col("n") > 2)) | (one & (F.size("families") == 1) & F.array_contains("families", "area"))).select(*block)
 
 
-def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
-    """Packets without the noise, and their members (packet id, entry id)."""
-    rows = materialise(members(entries.withColumn("places", places(prefix)), relations, ("places",)), "block-members")
+def blocks(entries: DataFrame, relations: DataFrame, prefix: str = "") -> DataFrame:
+    """``members`` with ``places``, written: what packets, noise and stale duplicates are made from."""
+    return materialise(members(entries.withColumn("places", places(prefix)), relations, ("places",)), "block-members")
+
+
+def packets_of(rows: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+    """Packets of ``blocks`` without the noise, and their members (packet id, entry id)."""
     heads = groups(rows)
     kept = packets(heads.join(noise(rows, heads, relations, prefix), ["reason", "match_key"], "left_anti"))
     return kept, rows.select("reason", "match_key", F.col("id").alias("entry_id")).join(kept.select("id", "reason", "match_key"), ["reason", "match_key"]).select(F.col("id").alias("packet_id"), "entry_id")
 
 
+def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+    """Packets without the noise, and their members (packet id, entry id)."""
+    return packets_of(blocks(entries, relations, prefix), relations, prefix)
+
+
 def top_packets(found: DataFrame, limit: int) -> DataFrame:
     """The first packets by (reason, match_key), each with the number of all before the limit."""
     return found.orderBy("reason", "match_key").limit(limit).withColumn("candidate_count", F.lit(found.count()).cast("long"))
 
 
+def duplicate_slugs(rows: DataFrame, name: Column, slug: Column, most: int = 1000) -> DataFrame:
+    """name, n and slugs (distinct, in order, joined by ``; ``) of normalised names that several slugs share; names of more than ``most`` slugs are listed in chunks."""
+    each = rows.select(name.alias("name"), slug.alias("slugs")).where("name <> '' AND slugs IS NOT NULL").distinct()
+    shared = each.groupBy("name").agg(F.count("*").alias("__n")).where("__n > 1").select("name")
+    return listed(each.join(shared, "name", "left_semi"), "name", ["slugs"], ["slugs"], most).select("name", "n", "slugs")
+
+
 def stale_duplicates(rows: DataFrame, name: Column, substantive: Column) -> DataFrame:
     """``rows`` with stale: the name is shared, some row of it has substance and this one has none.
 

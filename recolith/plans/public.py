@@ -24,9 +24,9 @@ from ..stages import materialise
 
 #: Kinds of public bodies.
 BODY_KINDS = ("board", "commission", "council", "authority")
-#: Attributes that say where an entry comes from, if its citations don't.
+# Attributes that say where an entry comes from, if its citations don't.
 SOURCE_URLS = ("sourceProfileUrl", "sourceUrl", "sourcePageUrl", "sourceOpenDcUrl", "sourceOancProfileUrl", "webUrl", "officialUrl", "canonicalUrl")
-#: Columns of the sources table, as coverage has them.
+# Columns of the sources table, as coverage has them.
 SOURCES = ("source", "publisher", "source_url", "family", "access_method", "collection_status", "release_status", "records", "citations", "scope", "contributes", "excludes", "notes")
 
 
@@ -237,18 +237,18 @@ def audit_tables(entries: DataFrame, relations: DataFrame, names: Names | None =
     }
 
 
-#: First columns, by which files of the tables are ordered, with those that break ties.
+# The public tables and their first columns, by which files are ordered, with those that break ties.
 ORDER = {
     "agencies": ("agency_id",), "offices": ("office_id",), "councilmembers": ("sort_order", "councilmember_id"), "council_committees": ("committee_id",), "public_bodies": ("public_body_id",),
     "public_body_affiliations": ("public_body_id", "relation_type", "target_id"), "ancs": ("anc_id",), "smds": ("smd_id", "anc_id"), "smd_commissioners": ("smd", "smd_id", "anc_id"), "wards": ("ward_id",), "courts": ("court_id",),
     "legal_authorities": ("authority_id",), "relationships": ("from_id", "relation_type", "to_id"), "sources": ("source",),
 }
-#: Primary keys of the bundle's tables.
+# Primary keys of the bundle's tables.
 KEYS = {
     "agencies": ["agency_id"], "offices": ["office_id"], "councilmembers": ["councilmember_id"], "council_committees": ["committee_id"], "public_bodies": ["public_body_id"], "ancs": ["anc_id"], "smds": ["smd_id", "anc_id"],
     "wards": ["ward_id"], "courts": ["court_id"], "legal_authorities": ["authority_id"], "sources": ["source"], "entries": ["id"], "kind_counts": ["kind"], "relation_kind_counts": ["kind"], "source_counts": ["source"],
 }
-#: Further names of tables in the bundle.
+# Further names of tables in the bundle.
 VIEWS = {"boards_and_commissions": "public_bodies", "advisory_neighborhood_commissions": "ancs", "single_member_districts": "smds", "council": "councilmembers"}
 
 

@@ -113,8 +113,12 @@ def generate(
     """Items of the four origins. ``tracked``: REVISION rows. ``drafts``: the same and source_review_item_id. ``no_decision``: codes of findings that ask
     for none. ``directory_url``: the page whose shared-url item is broad from ``BROAD_ENTRIES`` entries on."""
     findings = materialise(findings, "findings")
-    packets, members = ca.find_candidates(entries, relations, prefix)
-    stale_blocks = re_.stale_packets(ca.members(entries, relations), directory_source).withColumn("__stale", F.lit(True))
+    rows = ca.blocks(entries, relations, prefix)
+    packets, members = ca.packets_of(rows, relations, prefix)
+    # only blocks of the directory's entries alone can be stale, so theirs are all the attributes that are looked at
+    own = rows.groupBy("reason", "match_key").agg(F.bool_and(F.array_contains("sources", directory_source)).alias("own")).where("own").drop("own")
+    directory = rows.join(own, ["reason", "match_key"], "left_semi").join(entries.select("id", "attributes"), "id")
+    stale_blocks = re_.stale_packets(directory, directory_source).withColumn("__stale", F.lit(True))
     packets = materialise(packets.join(stale_blocks, ["reason", "match_key"], "left").na.fill(False, ["__stale"]), "packets")
     members = materialise(members, "packet-members")
     found = re_.from_candidates(packets, source_family(F.lit(directory_source)), F.col("__stale"))

@@ -337,6 +337,14 @@ def stale_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ca.stale_duplicates(docs, F.col("key"), good).select("doc_id", "stale")
 
 
+@query("""WITH d AS (SELECT 'slug-' || (p_partkey // 2) AS slug, trim(regexp_replace(replace(lower(p_name), '&', ' and '), '[^a-z0-9]+', ' ', 'g')) AS name FROM part)
+SELECT name, count(DISTINCT slug) :: BIGINT AS n, string_agg(DISTINCT slug, '; ' ORDER BY slug) AS slugs FROM d WHERE name <> '' GROUP BY name HAVING count(DISTINCT slug) > 1""")
+def duplicate_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of parts that several slugs share; one is that of two parts each."""
+    p = table(spark, sf_dir, "part")
+    return ca.duplicate_slugs(p, normalize_name(F.col("p_name")), F.concat(F.lit("slug-"), F.floor(F.col("p_partkey") / 2).cast("string")), most=5)
+
+
 @query(f"WITH {CANDIDATE_SQL} SELECT id, match_key, (SELECT count(*) FROM c) :: BIGINT AS candidate_count FROM c ORDER BY match_key LIMIT 20")
 def topk_with_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 20 packets and the number of all."""

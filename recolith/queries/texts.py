@@ -74,7 +74,7 @@ def url_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 SCRUB_SQL = r"""
 k AS (SELECT doc_id, text AS whole, list_filter(string_split(regexp_replace(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda s: NOT (regexp_matches(s, '(?i)\b(?:phone|telephone|fax|correspondence)\b|\b(?:by|via) e-?mail\b|\be-?mail\s*:')
   OR (regexp_matches(s, '(?i)\bfor (?:(?:any|all) )?(?:questions|(?:more|additional|further) information)\b') AND (regexp_matches(s, '(?i)\b(?:contact|e-?mail)\b') OR regexp_matches(s, '\b[0-9]{10}\b|(?:\(?\b[0-9]{3}\)?[-. ]?)?\b[0-9]{3}[-. ]?[0-9]{4}\b'))))) AS parts FROM documents),
-s AS (SELECT doc_id, whole, trim(regexp_replace(regexp_replace(array_to_string(list_transform(parts, lambda s: regexp_replace(regexp_replace(s, '[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', ''), '\b[0-9]{10}\b|(?:\(?\b[0-9]{3}\)?[-. ]?)?\b[0-9]{3}[-. ]?[0-9]{4}\b', '')), ' '), ' {2,}', ' ', 'g'), ' +([.,;!?])', '\1', 'g')) AS text FROM k)
+s AS (SELECT doc_id, whole, trim(regexp_replace(regexp_replace(array_to_string(list_transform(parts, lambda s: regexp_replace(regexp_replace(s, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}', ''), '\b[0-9]{10}\b|(?:\(?\b[0-9]{3}\)?[-. ]?)?\b[0-9]{3}[-. ]?[0-9]{4}\b', '')), ' '), ' {2,}', ' ', 'g'), ' +([.,;!?])', '\1', 'g')) AS text FROM k)
 """
 
 
@@ -86,7 +86,7 @@ def pii_scrub(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(rf"""WITH {SCRUB_SQL}, p AS (SELECT doc_id, whole, string_split(regexp_replace(trim(regexp_replace(text, '[ \t\n\x0B\f\r]+', ' ', 'g')), '([.!?]) ', '\1' || chr(1), 'g'), chr(1)) AS parts FROM s),
 l AS (SELECT doc_id, whole, array_to_string(CASE WHEN starts_with(lower(parts[-1]), 'learn more about ') THEN parts[:-2] ELSE parts END, ' ') AS x FROM p)
-SELECT doc_id, CASE WHEN NOT regexp_matches(whole, '(?i)^\s*(?:this website requires|point of contact|public body website|agency website|report website problems)') AND NOT regexp_matches(x, '(?i)\b(?:phone|fax|email|correspondence)\b') AND length(x) >= 40 THEN x END AS cleaned,
+SELECT doc_id, CASE WHEN NOT regexp_matches(whole, '(?i)^\s*(?:this website requires a browser feature called javascript|point of contact:|public body website:|agency website:|report website problems to:)') AND NOT regexp_matches(x, '(?i)\b(?:phone|fax|email|correspondence)\b') AND length(x) >= 40 THEN x END AS cleaned,
   CASE WHEN length(trim(regexp_replace(whole, '(?i)^(?:https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:/\S*)?)\s+', ''))) >= 40 THEN md5(trim(regexp_replace(whole, '(?i)^(?:https?://\S+|(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:/\S*)?)\s+', ''))) END AS without_url FROM l""")
 def description_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = F.col("text")
