@@ -373,3 +373,43 @@ def test_files_of_a_default_file_system(spark, docs, tmp_path):
             conf.set(k, v) if v else conf.unset(k)
     assert listed and {p.name for p in (tmp_path / "tokens").iterdir()} == {r["path"].rsplit("/", 1)[1] for r in listed}
     assert tokenfiles.read(spark, listed, len, "n long").count() == docs.count()
+
+
+def test_toxicity_against_one_compression_a_window():
+    """Features, scores and the fit's own texts: each window compressed by itself, with dictionaries given anew."""
+    import zstandard
+
+    draw = random.Random(12)
+    words = ["".join(draw.choices("abcdefghijk", k=draw.randint(2, 9))) for _ in range(300)]
+    bad = ["zqxvurk", "wyzzqof", "xxqwzyv"]
+    text = lambda n, share: " ".join(draw.choice(bad) if draw.random() < share else draw.choice(words) for _ in range(n))
+    rows = [(text(draw.randint(5, 80), 0.2), 1) for _ in range(60)] + [(text(draw.randint(5, 80), 0), 0) for _ in range(120)]
+    model = toxicity.fit(rows, {0: 1200, 1: 60})
+
+    def length(window, tail):
+        content = zstandard.ZstdCompressionDict(model.ordinary + tail, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters.from_level(6, window_log=16, hash_log=13, chain_log=13, min_match=5, write_checksum=False, write_content_size=False, write_dict_id=False)
+        return len(zstandard.ZstdCompressor(dict_data=content, compression_params=how).compress(window))
+
+    def slow(t):
+        w = t.encode().lower().split()
+        front = model.ordinary[-200 : toxicity.FRONT - 200]
+        saved = []
+        for i in range(0, len(w), toxicity.WINDOW):
+            window = front + b" " + b" ".join(w[i : i + toxicity.WINDOW]) + b" "
+            saved.append(min(max(length(window, bytes(len(model.toxic))) - length(window, model.toxic), 0), toxicity.STEPS))
+        if not saved:
+            return np.zeros(toxicity.FEATURES)
+        top = sorted([*saved, 0])[-2:]
+        flags = [float(v == k) for v in top for k in range(toxicity.STEPS + 1)]
+        counts = np.array([saved.count(k) for k in range(1, toxicity.STEPS + 1)])
+        return np.array([*top, *flags, *np.log1p(counts), *(counts / len(saved)), np.log1p(len(saved))])
+
+    for t in [text(draw.randint(0, 60), draw.choice([0, 0.1, 0.5])) for _ in range(40)] + ["", "one", "É ü " * 9]:
+        assert np.allclose(model.features(t), slow(t)), t
+    held = [(text(40, 0.2), 1) for _ in range(40)] + [(text(40, 0), 0) for _ in range(40)]
+    right = [(model.score(slow(t)) >= 0.5) == bool(label) for t, label in held]
+    assert np.mean(right) > 0.95
+    # a score of exactly 0.5 is toxic
+    even = toxicity.Model(b"", b"", np.zeros(toxicity.FEATURES), np.ones(toxicity.FEATURES), np.zeros(toxicity.FEATURES + 1))
+    assert even.score(even.features("any")) == 0.5
