@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -40,6 +40,16 @@ def html_title_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ht.page_facts(table(spark, sf_dir, "pages"), "page_id")
 
 
+@query(f"""WITH u AS (SELECT page_id, unnest(x) AS box, generate_subscripts(x, 1) AS list FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g'), '(?is)<[uo]l\\b[^>]*>(.*?)</[uo]l>', 1) AS x FROM pages)),
+i AS (SELECT page_id, list, unnest(y) AS li, generate_subscripts(y, 1) AS item FROM (SELECT page_id, list, regexp_extract_all(box, '(?is)<li\\b[^>]*>(.*?)</li>', 1) AS y FROM u))
+SELECT page_id, list :: INT AS list, item :: BIGINT AS item, 1 :: BIGINT AS depth, {CLEAN.format("li")} AS text FROM i""")
+def html_list_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the lists of pages, by list and place; none of these stands in another."""
+    items = ht.nested_texts(table(spark, sf_dir, "pages"), "page_id", ht.LIST)
+    lists = F.dense_rank().over(Window.partitionBy("page_id").orderBy("box"))
+    return items.select("page_id", lists.alias("list"), F.col("l1").alias("item"), "depth", "text")
+
+
 @query(rf"""WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>|<a\b[^>]*>.*?</a>|<footer')) AS t, generate_subscripts(regexp_extract_all(html, '(?is)<h[1-6][^>]*>.*?</h[1-6]>|<a\b[^>]*>.*?</a>|<footer'), 1) AS i FROM pages)
 SELECT page_id, count_if(t ILIKE '<a%') :: BIGINT AS n_links, count_if(t ILIKE '<h%') :: BIGINT AS n_headings FROM t WHERE t NOT ILIKE '<footer%' GROUP BY page_id""")
 def html_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,15 @@
 """HTML pages as DataFrames: links, tables, fields, rosters, headings. ``pages`` have an id column, url and html.
 
-Patterns are bounded and without backtracking over whole pages; each function explodes what one page holds.
+Patterns are bounded and without backtracking over whole pages; each function explodes what one page holds, and windows run along a page.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import blank_to_null, first_paragraph, heading_of, is_script_shell, strip_tags, title_of
+from ..functions.text import blank_to_null, first_paragraph, heading_of, is_script_shell, let, strip_tags, title_of
 from ..functions.url import detail_slug
 from ..operators.windows import fill_forward, first_per_key
 
@@ -34,11 +35,74 @@ def crawl_index(index: DataFrame, supplement: DataFrame, id_col: str, wanted: Co
     return rows[0].withColumn("from_supplement", F.lit(False)).unionByName(more.withColumn("from_supplement", F.lit(True))).select(F.col("key").alias("slug"), "link.href", F.col("link.text").alias("name"), "from_supplement")
 
 
+#: Comments, scripts and styles whole, tags, and the text between.
+TOKEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<[^>]*>|[^<]+"
+TABLE, LIST = (("table",), (("tr",), ("td", "th"))), (("ul", "ol"), (("li",),))
+
+
+def nested(pages: DataFrame, id_col: str, shape: tuple, html: str = "html") -> DataFrame:
+    """Tables or lists (``TABLE``, ``LIST``) of pages, whatever stands in what: id_col, pos, token, depth (of the table, from 1), box (the
+    place where it opens), up (that of the one around it, or null), and l1, l2, the numbers of row and cell in it, from 1; 0 before the first.
+
+    A token belongs to the innermost table around it. All are running counts along a page: the depth counts opened and closed tables, the table is the last that
+    was opened at that depth, and rows and cells are counted in it, so that rows and cells which nothing closes end where the next begins.
+    """
+    boxes, levels = shape
+    tag = F.lower(F.regexp_extract("token", r"^<(/?[A-Za-z][A-Za-z0-9]*)", 1))
+    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN), F.lit(0))).alias("pos", "token")).where(~F.col("token").rlike(r"(?i)^<(?:!--|script\b|style\b)")).withColumn("tag", tag)
+    along = lambda *keys: W.partitionBy(id_col, *keys).orderBy("pos")
+    opens = F.col("tag").isin(*boxes)
+    closes = F.col("tag").isin(*[f"/{b}" for b in boxes]).cast("int")
+    # a closing tag belongs to what it closes
+    rows = rows.withColumn("depth", F.sum(opens.cast("int") - closes).over(along()) + closes)
+    last = lambda keys: F.last(F.when(opens, F.col("pos")), ignorenulls=True).over(along(*keys))
+    rows = rows.withColumn("box", last(("depth",))).where("depth > 0")
+    above = rows.where(opens).select(id_col, (F.col("depth") + 1).alias("depth"), F.col("pos").alias("up"))
+    # the table around is the last of the depth above that opens before
+    around = rows.where(opens).select(id_col, "depth", "box").join(above.where("up IS NOT NULL"), [id_col, "depth"]).where("up < box").groupBy(id_col, "box").agg(F.max("up").alias("up"))
+    rows = rows.join(around, [id_col, "box"], "left")
+    keys = ["box"]
+    for i, tags in enumerate(levels, 1):
+        rows = rows.withColumn(f"l{i}", F.sum(F.when(F.col("tag").isin(*tags), 1).otherwise(0)).over(along(*keys)))
+        keys.append(f"l{i}")
+    return rows.select(id_col, "pos", "token", "depth", "box", "up", *keys[1:])
+
+
+def joined_tokens() -> Column:
+    """A group's tokens in order, a blank where something is left out."""
+
+    def text(tokens: Column) -> Column:
+        gap = lambda x, i: (i > 0) & (x["pos"] > F.get(tokens, i - 1)["pos"] + 1)
+        return F.array_join(F.transform(tokens, lambda x, i: F.concat(F.when(gap(x, i), " ").otherwise(""), x["token"])), "")
+
+    return let(F.array_sort(F.collect_list(F.struct("pos", "token"))), text)
+
+
+def nested_texts(pages: DataFrame, id_col: str, shape: tuple, html: str = "html") -> DataFrame:
+    """id_col, box, up, depth, the numbers of row and cell, inner (the HTML) and text of the innermost parts; what a table inside holds is its own."""
+    rows = nested(pages, id_col, shape, html)
+    levels = [f"l{i}" for i in range(1, len(shape[1]) + 1)]
+    parts = rows.where(f"{levels[-1]} > 0").groupBy(id_col, "box", *levels).agg(F.first("up").alias("up"), F.first("depth").alias("depth"), F.min("pos").alias("pos"), joined_tokens().alias("inner"))
+    return parts.select(id_col, "box", "up", "depth", *levels, "pos", "inner", strip_tags(F.col("inner")).alias("text"))
+
+
 def table_cells(pages: DataFrame, id_col: str, html: str = "html") -> DataFrame:
-    """id_col, row, cells (array of texts) of the rows of all tables."""
-    rows = pages.select(id_col, F.posexplode(F.regexp_extract_all(F.col(html), F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))).alias("row", "inner"))
-    cells = F.transform(F.regexp_extract_all(F.col("inner"), F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), lambda c: strip_tags(c))
-    return rows.select(id_col, "row", cells.alias("cells"), "inner")
+    """id_col, row (from 0, in order of the page), cells (texts), inner (the row's HTML) of the rows of all tables, those of tables inside others too."""
+    rows = nested(pages, id_col, TABLE, html).where("l1 > 0")
+    cell = F.struct("l2", joined_tokens().alias("inner"), F.min("pos").alias("pos"))
+    cells = rows.groupBy(id_col, "box", "l1", "l2").agg(cell.alias("c"))
+    each = cells.groupBy(id_col, "box", "l1").agg(F.array_sort(F.collect_list("c")).alias("c"), F.min("c.pos").alias("pos"))
+    number = F.row_number().over(W.partitionBy(id_col).orderBy("pos")) - 1
+    texts = F.transform(F.filter("c", lambda x: x["l2"] > 0), lambda x: strip_tags(x["inner"]))
+    return each.select(id_col, number.alias("row"), texts.alias("cells"), F.array_join(F.transform("c", lambda x: x["inner"]), "").alias("inner"))
+
+
+def first_table(pages: DataFrame, id_col: str, html: str = "html") -> DataFrame:
+    """``table_cells`` of the first table of a page."""
+    depth = nested(pages, id_col, TABLE, html)
+    first = depth.groupBy(id_col).agg(F.min("box").alias("box"))
+    cut = depth.join(first, [id_col, "box"], "left_semi").groupBy(id_col).agg(joined_tokens().alias("__first"))
+    return table_cells(cut, id_col, "__first")
 
 
 def directory_rows(pages: DataFrame, id_col: str, generic: tuple[str, ...] = ()) -> DataFrame:
@@ -51,8 +115,8 @@ def directory_rows(pages: DataFrame, id_col: str, generic: tuple[str, ...] = ())
 
 def officers(pages: DataFrame, id_col: str, heading: str) -> DataFrame:
     """Rows of the table after a heading: seat, name, roles (distinct emphasised texts, joined by ``; ``)."""
-    section = F.regexp_extract("html", rf"(?is)<h\d[^>]*>\s*{heading}.*?<table\b[^>]*>(.*?)</table>", 1)
-    rows = table_cells(pages.withColumn("__table", section), id_col, "__table")
+    section = F.regexp_extract("html", rf"(?is)<h\d[^>]*>\s*{heading}.*?(<table\b.*)$", 1)
+    rows = first_table(pages.withColumn("__table", section), id_col, "__table")
     roles = F.array_join(F.array_distinct(F.transform(F.regexp_extract_all(F.col("inner"), F.lit(r"(?is)<em[^>]*>(.*?)</em>"), F.lit(1)), lambda c: strip_tags(c))), "; ")
     name = strip_tags(F.regexp_replace("inner", r"(?is)<em[^>]*>.*?</em>", " "))
     return rows.select(id_col, "row", F.get("cells", 0).alias("seat"), blank_to_null(F.regexp_replace(name, F.concat(F.lit(r"^\Q"), F.get("cells", 0), F.lit(r"\E\s*")), "")).alias("name"), blank_to_null(roles).alias("roles"))
