@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import citations as ci
-from ..functions.text import BODY_RULES, clean_description, clean_statute, entity_slug, lookup_key, percent_id
+from ..functions.text import BODY_RULES, clean_description, clean_statute, entity_slug, lookup_key, member_title, percent_id
 from ..functions.values import attribute_map, cite, is_object, quoted, variant_string
 from ..model import CITATION
 from ..operators import interpret as it
@@ -207,9 +207,11 @@ def members(records: DataFrame) -> Interpreted:
     rows, bad = parsed(records, title="memberName", slug="profileSlug", profile="profileUrl")
     rows, lost = required(rows, title="councilmember_missing_fields", slug="councilmember_missing_fields", profile="councilmember_missing_fields")
     clean = F.trim(F.regexp_replace("title", r"\s+", " "))
-    pattern = r"(?i)^(?:(Ward\s+(\d+)\s+Councilmember)|(At-Large\s+Councilmember)|(Chairman))\s+(.+)$"
-    part = lambda i: F.nullif(F.regexp_extract(clean, pattern, i), F.lit(""))
-    rows = rows.withColumns({"ward": part(2), "at_large": part(3), "chairman": part(4), "plain": F.coalesce(part(5), clean)})
+    # a title counts where a name follows it
+    name = F.regexp_extract(clean, r"(?i)^(?:ward \d+ |at-large )?(?:councilmember|chairman) (.+)$", 1)
+    title = member_title(F.when(name != "", F.substr(clean, F.lit(1), F.length(clean) - F.length(name))))
+    held = lambda office: F.when(title["office"] == office, F.lit(office))
+    rows = rows.withColumns({"ward": title["ward_number"], "at_large": held("at_large"), "chairman": held("chair"), "plain": F.when(title["office"].isNotNull(), name).otherwise(clean)})
     choose = lambda ward, at_large, chairman: F.when(F.col("ward").isNotNull(), ward).when(F.col("at_large").isNotNull(), at_large).when(F.col("chairman").isNotNull(), chairman)
     label = choose(F.concat(F.lit("Ward "), F.col("ward"), F.lit(" Councilmember")), F.lit("At-Large Councilmember"), F.lit("Chairman"))
     office = made_id("elected_office", choose(F.concat(F.lit("ward-"), F.col("ward"), F.lit("-councilmember")), F.lit("at-large-councilmember"), F.lit("council-chairman")))

@@ -122,11 +122,14 @@ def officers(pages: DataFrame, id_col: str, heading: str) -> DataFrame:
     return rows.select(id_col, "row", F.get("cells", 0).alias("seat"), blank_to_null(F.regexp_replace(name, F.concat(F.lit(r"^\Q"), F.get("cells", 0), F.lit(r"\E\s*")), "")).alias("name"), blank_to_null(roles).alias("roles"))
 
 
+def pair(label: str, value: str, inside: str = r"[^<]+") -> str:
+    """A pattern of two elements in a row: a label, whose text is group 1, and what it names, group 2."""
+    return rf"(?is)<{label}\b[^>]*>({inside})</{label}\s*>\s*<{value}\b[^>]*>(.*?)</{value}\s*>"
+
+
 #: Layouts of named fields, first to last; group 1 is the name, group 2 the value.
 LAYOUTS = (
-    r"(?is)<h3[^>]*>\s*([^<]+?)\s*</h3>\s*<p[^>]*>(.*?)</p>",
-    r"(?is)<dt[^>]*>\s*([^<]+?)\s*</dt>\s*<dd[^>]*>(.*?)</dd>",
-    r"(?is)<th[^>]*>\s*([^<]+?)\s*</th>\s*<td[^>]*>(.*?)</td>",
+    *(pair(label, value) for label, value in (("h3", "p"), ("dt", "dd"), ("th", "td"))),
     r"(?is)<strong>\s*([^<:]+?)\s*:?\s*</strong>\s*:?\s*(.*?)</(?:p|li|div)>",
     r"(?is)<div[^>]*\bfield-label[^>]*>\s*([^<:]+?)\s*:?\s*</div>\s*<div[^>]*>(.*?)</div>",
     r"(?is)<li[^>]*>\s*([^<:]{2,60}?):\s*(.*?)</li>",
