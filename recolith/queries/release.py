@@ -27,6 +27,13 @@ def release(spark: SparkSession, made: ip.Interpreted) -> dict[str, DataFrame]:
     return pu.public_tables(entries, materialise(fr.dedupe_relations(known), "relations"), coverage)
 
 
+def audit(spark: SparkSession, made: ip.Interpreted) -> dict[str, DataFrame]:
+    """The audit tables of what interpreters made."""
+    entries = materialise(fr.merge_entries(made.entries), "entries")
+    known = fr.endpoint_status(made.relations, entries.select("id"), entries.select("id").limit(0)).where("status = 'keep'")
+    return pu.audit_tables(entries, materialise(fr.dedupe_relations(known), "relations"))
+
+
 @query(f"""WITH {AGENCY_SQL} SELECT g.id AS agency_id, g.name, g.name AS short_name, '' AS official_url, coalesce(p.id, '') AS parent_id, coalesce(p.name, '') AS parent_name, 'https://gis.agencies.example/' AS source_url, 'gis.agencies:' || g.k AS source_id
 FROM g LEFT JOIN g p ON g.up = p.k AND g.up <> g.k""")
 def public_agencies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +80,28 @@ def public_smds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release(spark, ip.together(*area_parts(spark, sf_dir)))["smds"]
 
 
+@query(f"""WITH {AREA_SQL} SELECT smd, n_name AS anc, '' AS wards, holder AS current_commissioner_name, '' AS officer_role, 'smd:' || k AS smd_id, 'anc:' || n AS anc_id, 'anc_commissioner_seat:' || k AS commissioner_seat_id, 'https://gis.smds.example/' AS source_url, 'gis.smds:' || k AS source_id
+FROM s JOIN nation ON n = n_nationkey""")
+def public_smd_commissioners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return release(spark, ip.together(*area_parts(spark, sf_dir)))["smd_commissioners"]
+
+
+@query("""SELECT DISTINCT 'ward:' || c_nationkey AS ward_id, c_nationkey :: VARCHAR AS ward_number, 'Ward ' || c_nationkey AS name FROM customer WHERE c_custkey % 4 = 0 AND c_custkey % 9 <> 0""")
+def public_wards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return release(spark, member_parts(spark, sf_dir))["wards"]
+
+
+@query(f"""WITH {BOARD_SQL} SELECT 'board:' || k AS board_id, name AS board_name, 'governs' AS kind, agency AS to_id, agency_name AS to_name FROM a""")
+def audit_board_affiliations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, ip.together(*board_parts(spark, sf_dir)))["board_affiliations"]
+
+
+@query(f"""WITH {BOARD_SQL} SELECT 'gis.boards' AS source, (SELECT count(*) FROM b) + (SELECT count(*) FROM a) AS n""")
+def audit_board_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of boards and of what they belong to, counted by source."""
+    return audit(spark, ip.together(*board_parts(spark, sf_dir)))["source_counts"].where("source = 'gis.boards'")
+
+
 @query("""SELECT CASE c_custkey % 4 WHEN 0 THEN '2' || CASE WHEN c_nationkey < 10 THEN '0' ELSE '' END || c_nationkey WHEN 1 THEN '1' || c_name WHEN 2 THEN '00' ELSE '99' || c_name END AS sort_order, 'councilmember:m' || c_custkey AS councilmember_id, c_name AS name,
   CASE c_custkey % 4 WHEN 0 THEN 'ward' WHEN 1 THEN 'at_large' WHEN 2 THEN 'chairman' ELSE 'unknown' END AS seat_type, CASE c_custkey % 4 WHEN 0 THEN 'Ward ' || c_nationkey || ' Councilmember' WHEN 1 THEN 'At-Large Councilmember' WHEN 2 THEN 'Chairman' ELSE '' END AS office_title,
   CASE c_custkey % 4 WHEN 0 THEN c_nationkey :: VARCHAR ELSE '' END AS ward, CASE WHEN c_custkey % 4 IN (1, 2) THEN 'true' ELSE 'false' END AS is_at_large, 'https://c.example/' AS profile_url, 'https://council.members.example/' AS source_url, 'council.members:' || c_custkey AS source_id FROM customer WHERE c_custkey % 9 <> 0""")
