@@ -31,8 +31,8 @@ from .common import column, materialise
 K, SHINGLE = 128, 8
 #: Code points whose hashes are made at once.
 PART = 1 << 18
-#: Bytes of text in a range, about, and the most ranges.
-RANGE_BYTES, MOST_RANGES = 16 << 20, 20_000
+#: Bytes of text in a range, about, the most ranges, and how many of them a task has on average: ranges are dealt by a hash, and many small ones more evenly than few large ones.
+RANGE_BYTES, MOST_RANGES, RANGES_A_TASK = 4 << 20, 100_000, 4
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -181,7 +181,7 @@ def against_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     order = ["range", "borrowed", "n", "i", "h"]
     ranges = rows.withColumn("to", dealt("n", "i", "h")).select("n", "i", "h", "id", "text", F.posexplode("to").alias("borrowed", "range"))
-    stream = ranges.repartition(max(1, len(firsts)), "range").sortWithinPartitions(*order).select("range", "borrowed", "id", "text")
+    stream = ranges.repartition(max(1, len(firsts) // RANGES_A_TASK), "range").sortWithinPartitions(*order).select("range", "borrowed", "id", "text")
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
