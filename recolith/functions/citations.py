@@ -1,19 +1,16 @@
-"""Legal citations: one grammar of heads and section lists, applied to whole texts in Arrow batches.
+"""Legal citations in texts: heads by one pattern, the lists behind them as tokens that a fold reads with the section before in hand.
 
-A head (a code with its title, a law, an act, an order) is followed by a list of sections; items are joined by commas,
-semicolons and ``and``, ranges give their two ends, and ``(b)`` alone stands for the section before it. Spark's
-expressions have no grammar with state, so the parser of one text is a small Python helper inside an Arrow function.
+A citation is a title (a code, a volume of federal law, a law or order with its number) and a list of sections: joined by commas, semicolons and ``and``; of ranges the two ends count,
+and ``(b)`` alone stands for the section before it. Everything is an expression: titles and what follows them come from one ``regexp_extract_all``, whose lookahead
+leaves what follows for the next title to be found in; a list's items from another, folded by ``aggregate``.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from .text import let, stable_key
 from .values import cite
@@ -26,85 +23,84 @@ SECTION_PAGES = "https://code.dccouncil.gov/us/dc/council/code/sections/"
 LAW_PAGES = "https://code.dccouncil.gov/us/dc/council/laws/"
 ORDER_PAGES = "https://dcregs.dc.gov/Common/MayorOrders.aspx?Type=MayorOrder&OrderNumber="
 
-_BLANKS = re.compile(r"\s+")
-_HEAD = re.compile(
-    r"(?P<dc>D\.?\s*C\.?\s*(?:Official\s+Code|Code|Municipal\s+Regulations))"
-    r"|(?P<law>D\.?\s*C\.?\s*(?:Law|Act))\s+(?P<law_no>\d+-\d+)"
-    r"|(?P<order>Mayor['’]?s\s+Order)\s+(?P<order_no>\d{4}-\d{1,4})"
-    r"|\b(?P<usc>\d+)\s*U\.?\s?S\.?\s*(?:C\.?|Code)(?![a-z])"
-    r"|\b(?P<cfr>\d+)\s*CFR\b",
-    re.I,
-)
-_MARK = re.compile(r"\s*(?P<sign>§{1,2}|Sections?\b)?\s*", re.I)
-_SECTION = r"[0-9](?:[0-9A-Za-z]|[.\-](?=[0-9A-Za-z]))*(?:\([^)]+\))*"
-_ITEM = re.compile(rf"(?P<from>{_SECTION})(?:\s*[–—]\s*|\s+-\s+|\s+(?:to|through)\s+)(?P<to>{_SECTION})|(?P<one>{_SECTION})|(?P<short>\([^)]+\))")
-_JOIN = re.compile(r"\s*(?:[,;]\s*(?:and\s+)?|and\s+)(?:§{1,2}\s*)?", re.I)
-#: Ranges without blanks: title-section to title-section of one title; numbers of a federal code.
-_SAME_TITLE = re.compile(r"((\d+)-[0-9][0-9A-Za-z.]*(?:\([^)]+\))*)-(\2-[0-9][0-9A-Za-z.]*(?:\([^)]+\))*)")
-_NUMBERS = re.compile(r"(\d+(?:\.\d+)*(?:\([^)]+\))*)-(\d+(?:\.\d+)*(?:\([^)]+\))*)")
-
-
-def _sections(text: str, at: int, compact: re.Pattern | None) -> list[str]:
-    """Sections listed from ``at`` on."""
-    out: list[str] = []
-    base = ""
-    while m := _ITEM.match(text, at):
-        if out and _HEAD.match(text, at):  # the title of the next citation
-            break
-        if m["short"]:
-            if not base:
-                break
-            out.append(base + m["short"])
-        elif m["one"]:
-            ends = compact.fullmatch(m["one"]) if compact else None
-            out += [ends[1], ends[ends.re.groups]] if ends else [m["one"]]
-            base = re.sub(r"\([^)]+\)$", "", out[-1])
-        else:
-            title = re.match(r"(\d+)-", m["from"])
-            base = m["to"] if "-" in m["to"] or not title else f"{title[1]}-{m['to']}"
-            out += [m["from"], base]
-        joint = _JOIN.match(text, m.end())
-        if not joint:
-            break
-        at = joint.end()
-    return out
-
-
-def locators(text: str | None) -> list[str]:
-    """Locators of a text: distinct, sorted. Heads keep their spelling, and so does a federal citation with one sign."""
-    clean = re.sub(r"(?<=[0-9])[–—](?=[0-9])", "-", _BLANKS.sub(" ", text or "").strip())
-    out: set[str] = set()
-    at = 0
-    while m := _HEAD.search(clean, at):
-        at = m.end()
-        if m["law"]:
-            out.add(f"D.C. {m['law'].split()[-1].capitalize()} {m['law_no']}")
-            continue
-        if m["order"]:
-            out.add(f"Mayor's Order {m['order_no']}")
-            continue
-        mark = _MARK.match(clean, at)
-        sign = mark["sign"] or ""
-        found = _sections(clean, mark.end(), (_SAME_TITLE if m["dc"] else _NUMBERS) if sign != "§" else None)
-        glued = sign == "§" and clean[mark.end("sign") : mark.end()] == ""
-        name = f"{m['usc']} U.S.C. § " if m["usc"] else f"{m['cfr']} CFR {'§' if glued else '§ ' if sign == '§' else ''}" if m["cfr"] else f"{m['dc']} § "
-        out |= {name + x for x in found}
-    return sorted(out)
 
+def spelt(*words: str) -> str:
+    """Words with blanks between that may be missing, points behind single letters too."""
+    return r"\s*".join(w + r"\.?" if len(w) == 1 else w.replace(" ", r"\s+") for w in words)
+
+
+#: Titles: of the district's codes, its laws and acts with their number, mayors' orders, and the two federal codes with the number of a title in front.
+DISTRICT = spelt("D", "C")
+CODE = spelt(DISTRICT, "(?:Code|Official Code|Municipal Regulations)")
+LAW = rf"{DISTRICT}\s*(Law|Act)\s+(\d+-\d+)"
+ORDER = r"Mayor['’]?s\s+Order\s+(\d{4}-\d{1,4})"
+STATUTES = rf"\b(\d+)\s*U\.?\s?S\.?\s*(?:C\.?|Code)(?![a-z])"
+RULES = r"\b(\d+)\s*CFR\b"
+_bare = lambda pattern: re.sub(r"\((?![?])", "(?:", pattern)
+TITLE = "|".join(map(_bare, (CODE, LAW, ORDER, STATUTES, RULES)))
+#: What may stand between a title and its list, and the parts of a list.
+SIGN = r"\s*(?:§{1,2}|Sections?\b)?\s*"
+SECTION = r"[0-9](?:[0-9A-Za-z]|[.\-](?=[0-9A-Za-z]))*+(?:\([^)]+\))*+"
+BETWEEN = r"(?:\s*[–—]\s*|\s-\s|\s(?:to|through)\s)"
+ITEM = rf"(?:{SECTION}(?:{BETWEEN}{SECTION})?|\([^)]+\))"
+JOINT = r"\s*(?:[,;]\s*(?:and\s)?|and\s)(?:§{1,2}\s*)?"
+LIST = rf"{ITEM}(?:{JOINT}(?!{TITLE}){ITEM})*+"
+CITED = rf"(?i)(?:{TITLE})(?=({SIGN}(?:{LIST})?))"
+#: Ranges without blanks: two sections of one title of a code; two numbers of a federal one.
+SAME_TITLE = r"^((\d+)-[0-9][0-9A-Za-z.]*(?:\([^)]+\))*)-(\2-[0-9][0-9A-Za-z.]*(?:\([^)]+\))*)$"
+NUMBERS = r"^(\d+(?:\.\d+)*(?:\([^)]+\))*)-(\d+(?:\.\d+)*(?:\([^)]+\))*)$"
+
+
+def _ends(item: Column, code: Column, closed: Column) -> Column:
+    """The ends of an item: range (two), from, to; ``closed``: ranges without blanks are single sections."""
+    part = lambda pattern, i: F.regexp_extract(item, pattern, i)
+    spaced = rf"(?i)^({SECTION}){BETWEEN}({SECTION})$"
+    first = F.when(closed, "").when(code, part(SAME_TITLE, 1)).otherwise(part(NUMBERS, 1))
+    second = F.when(code, part(SAME_TITLE, 3)).otherwise(part(NUMBERS, 2))
+    return F.struct(item.alias("item"), part(spaced, 1).alias("from"), part(spaced, 2).alias("to"), first.alias("first"), second.alias("second"))
+
+
+def _fold(items: Column) -> Column:
+    """Sections of a list of ``_ends``. The state: the section that a bare ``(b)`` adds to, what has been found, and whether the list has broken off."""
+    nothing = F.array().cast("array<string>")
+
+    def step(s: Column, x: Column) -> Column:
+        short = F.startswith(x["item"], F.lit("("))
+        title = F.regexp_extract(x["from"], r"^(\d+)-", 1)
+        until = F.when(F.contains(x["to"], F.lit("-")) | (title == ""), x["to"]).otherwise(F.concat(title, F.lit("-"), x["to"]))
+        found = F.when(short, F.array(F.concat(s["base"], x["item"]))).when(x["from"] != "", F.array(x["from"], until)).when(x["first"] != "", F.array(x["first"], x["second"])).otherwise(F.array(x["item"]))
+        single = F.regexp_replace(F.when(x["first"] != "", x["second"]).otherwise(x["item"]), r"\([^)]+\)$", "")
+        base = F.when(short, s["base"]).when(x["from"] != "", until).otherwise(single)
+        stop = s["stop"] | (short & (s["base"] == ""))
+        return F.struct(F.when(stop, s["base"]).otherwise(base).alias("base"), F.when(stop, s["found"]).otherwise(F.concat(s["found"], found)).alias("found"), stop.alias("stop"))
+
+    start = F.struct(F.lit("").alias("base"), nothing.alias("found"), F.lit(False).alias("stop"))
+    return F.aggregate(items, start, step, lambda s: s["found"])
+
+
+def _of_title(title: Column, rest: Column) -> Column:
+    """Locators of one citation: its title and what follows."""
+    part = lambda pattern, i: F.regexp_extract(title, "(?i)^" + pattern, i)
+    law, order, statutes, rules = part(LAW, 2), part(ORDER, 1), part(STATUTES, 1), part(RULES, 1)
+    sign = F.regexp_extract(rest, r"(?i)^\s*(§{1,2}|Sections?\b)?\s*", 1)
+    closed, glued = sign == "§", rest.rlike(r"^\s*§(?![§\s])")
+    code = (statutes == "") & (rules == "")
+    name = F.when(statutes != "", F.concat(statutes, F.lit(" U.S.C. § "))).when(rules != "", F.concat(rules, F.when(glued, " CFR §").when(closed, " CFR § ").otherwise(" CFR "))).otherwise(F.concat(title, F.lit(" § ")))
+    listed = F.regexp_extract_all(F.regexp_replace(rest, "(?i)^" + SIGN, ""), F.lit(f"(?i){ITEM}"), F.lit(0))
+    sections = F.transform(_fold(F.transform(listed, lambda x: _ends(x, code, closed))), lambda x: F.concat(name, x))
+    return F.when(law != "", F.array(F.concat(F.lit("D.C. "), F.initcap(part(LAW, 1)), F.lit(" "), law))).when(order != "", F.array(F.concat(F.lit("Mayor's Order "), order))).otherwise(sections)
 
-#: A locator that is a section of the code.
-_CODE_SECTION = r"^D\.?\s*C\.? (?:Official )?Code § ([0-9][0-9A-Za-z.\-]*(?:\([^)]+\))*)$"
 
-
-@F.pandas_udf(ArrayType(StringType()))
-def text_locators(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in texts:
-        yield s.map(lambda t: None if t is None else locators(t))
+def locators_of(text: Column) -> Column:
+    """Locators of a text: distinct, sorted; empty for null. Titles of codes keep their spelling, and so does a federal citation with one sign."""
+    clean = F.regexp_replace(F.trim(F.regexp_replace(text, r"(?U)\s+", " ")), "(?<=[0-9])[–—](?=[0-9])", "-")
+    both = lambda t: F.arrays_zip(F.regexp_extract_all(t, F.lit(CITED), F.lit(0)).alias("title"), F.regexp_extract_all(t, F.lit(CITED), F.lit(1)).alias("rest"))
+    every = F.flatten(F.transform(let(clean, both), lambda c: _of_title(c["title"], c["rest"])))
+    return F.when(text.rlike(rf"(?i){TITLE}"), F.array_sort(F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
 
 
-def locators_of(text: Column) -> Column:
-    """``locators`` of a column, empty for null. No locator is without a digit, so other texts are not given to the Arrow function."""
-    return F.coalesce(text_locators(F.when(text.rlike("[0-9]"), text)), F.array().cast("array<string>"))
+#: A locator that is a section of the code.
+_CODE_SECTION = r"^D\.?\s*C\.? (?:Official )?Code § ([0-9][0-9A-Za-z.\-]*(?:\([^)]+\))*)$"
 
 
 def payload_text(payload: Column) -> Column:

@@ -1,5 +1,7 @@
 """Text, URL, value and citation functions on single values."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,7 +123,7 @@ def test_authority(value):
 
 def test_record_citations(spark):
     payload = '{"legal_basis":"D.C. Code § 2-501(a)","LEGAL reference":"5 CFR 1","note":"D.C. Code § 9-9"}'
-    row = spark.createDataFrame([("s", "r", payload)], "s string, r string, p string").withColumn("found", ci.text_locators(ci.payload_text(F.col("p"))))
+    row = spark.createDataFrame([("s", "r", payload)], "s string, r string, p string").withColumn("found", ci.locators_of(ci.payload_text(F.col("p"))))
     got = row.select(ci.record_citations(F.col("s"), F.col("r"), F.col("found")).alias("c")).first()["c"]
     assert [c["locator"] for c in got] == [None, "5 CFR 1", "D.C. Code § 2-501(a)"]
 
@@ -144,10 +146,61 @@ LOCATORS = {
 }
 
 
-@pytest.mark.parametrize("text", LOCATORS)
-def test_locators(text):
-    assert "|".join(ci.locators(text)) == LOCATORS[text]
-
-
-def test_locators_of_nothing():
-    assert ci.locators(None) == [] and ci.locators("(a), (b) and §§ 1") == []
+def locators(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", ci.locators_of(F.col("t")).alias("v")).collect()
+    return [r["v"] for r in sorted(rows, key=lambda r: r["i"])]
+
+
+def test_locators(spark):
+    assert ["|".join(v) for v in locators(spark, list(LOCATORS))] == list(LOCATORS.values())
+
+
+def test_locators_of_nothing(spark):
+    assert locators(spark, [None, "", "(a), (b) and §§ 1", "D.C. Code", "D.C. Code § (b), 1-2", "D.C. Code § and 1-2"]) == [[]] * 6
+
+
+def test_lists_of_sections(spark):
+    """Lists put together with what they must give: sections, their paragraphs, ranges with and without blanks, in several titles a text."""
+    draw = random.Random(7)
+
+    def listed(code):
+        number = lambda: f"{draw.randint(1, 50)}-{draw.randint(100, 999)}" if code else str(draw.randint(100, 999))
+        parts, found, base = [], [], None
+        for _ in range(draw.randint(1, 5)):
+            kind = draw.choice(["one", "one", "paragraph", "short", "range", "tight"])
+            if kind == "short" and base:
+                parts.append("(z)")
+                found.append(base + "(z)")
+            elif kind == "range":
+                a, b = number(), number()
+                parts.append(a + draw.choice([" to ", " through ", " - "]) + (b.split("-")[1] if code and draw.random() < 0.5 else b))
+                base = b if parts[-1].endswith(b) and (not code or "-" in parts[-1].split()[-1]) else f"{a.split('-')[0]}-{b.split('-')[1]}"
+                found += [a, base]
+            elif kind == "tight":
+                a = number()
+                b = f"{a.split('-')[0]}-{draw.randint(100, 999)}" if code else number()
+                parts.append(f"{a}-{b}")
+                found += [a, b]
+                base = b
+            else:
+                base = number()
+                parts.append(base + ("(a)(1)" if kind == "paragraph" else ""))
+                found.append(parts[-1])
+                base += "(a)" if kind == "paragraph" else ""
+        text = parts[0]
+        for x in parts[1:]:
+            text += draw.choice([", ", "; ", " and ", ", and ", ",", ", §§ "]) + x
+        return text, found
+
+    texts, want = [], []
+    for _ in range(400):
+        said, every = [], set()
+        for _ in range(draw.randint(1, 3)):
+            title, name = draw.choice([("D.C. Code", "D.C. Code § "), ("DC Official  Code", "DC Official Code § "), ("42 U.S.C.", "42 U.S.C. § "), ("7 CFR", "7 CFR ")])
+            text, found = listed("C" in title and "D" in title)
+            said.append(f"{title} {draw.choice(['§§ ', 'Sections ', ''])}{text}")
+            every |= {name + x for x in found}
+        texts.append("; ".join(said) + ".")
+        want.append(sorted(every))
+    wrong = [(t, w, g) for t, w, g in zip(texts, want, locators(spark, texts), strict=True) if w != g]
+    assert not wrong, wrong[:2]
