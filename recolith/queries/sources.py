@@ -27,6 +27,16 @@ def shown(made: ip.Interpreted) -> DataFrame:
     return entries.unionByName(relations).unionByName(findings)
 
 
+def shown_whole(made: ip.Interpreted) -> DataFrame:
+    """Entries with their attributes (name=JSON, in order) and citations (source, record, locator, url), relations with their citations, and findings."""
+    cites = F.array_join(F.transform("citations", lambda c: F.concat_ws("|", c["source"], c["source_record_id"], F.coalesce(c["locator"], F.lit("")), F.coalesce(c["url"], F.lit("")))), ";")
+    values = F.array_join(F.transform(F.array_sort(F.map_entries("attributes")), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    entries = made.entries.select(F.lit("entry").alias("what"), F.col("provisional_id").alias("a"), F.col("kind").alias("b"), F.col("name").alias("c"), values.alias("attributes"), cites.alias("cited"))
+    relations = made.relations.select(F.lit("relation").alias("what"), F.col("from_id").alias("a"), F.col("relation_kind").alias("b"), F.col("to_id").alias("c"), F.lit("").alias("attributes"), cites.alias("cited"))
+    findings = made.findings.select(F.lit("finding").alias("what"), F.col("code").alias("a"), F.col("message").alias("b"), F.col("kind").alias("c"), F.lit("").alias("attributes"), F.lit("").alias("cited"))
+    return entries.unionByName(relations).unionByName(findings)
+
+
 def agency_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers as agencies below the supplier of their nation's number; some without a name."""
     k = F.col("s_suppkey")
@@ -149,3 +159,51 @@ def interpreted_public_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     x = (F.col("id") * 4).cast("string")
     trusted = spark.range(20).select(F.lit("board").alias("kind"), F.concat(F.lit("Body "), x, F.lit(" Board")).alias("name"), F.concat(F.lit("board:t"), x).alias("id"), F.col("id").alias("seq"))
     return shown(ip.public_bodies(rows, trusted, ip.agencies(agency_records(spark, sf_dir))[1], BODY_RULES))
+
+
+@query("""WITH n AS (SELECT n_nationkey AS k, n_name AS name, CASE WHEN n_nationkey % 7 <> 0 THEN 'https://law.example/' || n_nationkey END AS url FROM nation)
+SELECT 'entry' AS what, 'legal_entrypoint:' || trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-') AS a, 'legal_entrypoint' AS b, name AS c,
+  'officialUrl="' || url || '";sourceHeading="H ' || k || '";sourceSeeded=' || CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END AS attributes, 'law.sites|' || k || '||' || url AS cited FROM n WHERE url IS NOT NULL
+UNION ALL SELECT 'finding', 'interpreter.legal_entrypoint_missing_fields', 'law.sites:' || k, 'warn', '', '' FROM n WHERE url IS NULL""")
+def interpreted_entrypoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as legal sites, some of the seed and some without an address."""
+    k = F.col("n_nationkey")
+    url = F.when(k % 7 != 0, F.concat(F.lit("https://law.example/"), text("n_nationkey")))
+    rows = records(table(spark, sf_dir, "nation"), "law.sites", "n_nationkey", name=F.col("n_name"), url=url, heading=F.concat(F.lit(" H "), text("n_nationkey")), fromSeed=k % 2 == 0)
+    return shown_whole(ip.entrypoints(rows))
+
+
+@query(f"""WITH {AGENCY_SQL}, n AS (SELECT 'n' || n_nationkey AS k, n_name AS name, CASE WHEN n_nationkey > 4 THEN 'n' || n_regionkey END AS up, CASE WHEN n_nationkey % 3 = 0 THEN 'reports_to' ELSE 'part_of' END AS kind FROM nation),
+r AS (SELECT 's' || s_suppkey AS k, s_name AS name, 'n' || CASE WHEN s_suppkey % 9 = 0 THEN 99 ELSE s_nationkey END AS up, 'Supplier#' AS label FROM supplier)
+SELECT 'entry' AS what, 'office:' || k AS a, 'office' AS b, name AS c, 'sourceOfficeKey="' || k || '";sourcePageUrl="https://x.example/"' AS attributes, 'exec|' || k || '||https://x.example/' AS cited FROM n
+UNION ALL SELECT 'relation', 'office:' || k, kind, 'office:' || up, '', 'exec|' || k || '||https://x.example/' FROM n WHERE up IS NOT NULL
+UNION ALL SELECT 'relation', g.id, 'reports_to', 'office:' || r.up, '', 'exec|' || r.k || '||https://x.example/' FROM r JOIN g ON g.name = r.name WHERE r.up <> 'n99'
+UNION ALL SELECT 'finding', 'interpreter.executive_agency_unresolved', k || ' names agency ' || name, 'warn', '', '' FROM r WHERE name NOT IN (SELECT name FROM g)
+UNION ALL SELECT 'finding', 'interpreter.executive_parent_missing', r.k || ' has parent n99', 'warn', '', '' FROM r JOIN g ON g.name = r.name WHERE r.up = 'n99'""")
+def interpreted_executive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as offices, most below another, and suppliers as agencies below them; some agencies and some offices are nowhere."""
+    n, s = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
+    k, url = F.col("n_nationkey"), F.lit("https://x.example/")
+    own = n.withColumn("k", F.concat(F.lit("n"), text("n_nationkey")))
+    offices = records(own, "exec", "k", key=F.col("k"), name=F.col("n_name"), sourceUrl=url, entryKind=F.lit("office"), parentKey=F.when(k > 4, F.concat(F.lit("n"), text("n_regionkey"))), relationKind=F.when(k % 3 == 0, "reports_to").otherwise("part_of"))
+    below = s.withColumn("k", F.concat(F.lit("s"), text("s_suppkey")))
+    parent = F.concat(F.lit("n"), F.when(F.col("s_suppkey") % 9 == 0, F.lit(99)).otherwise(F.col("s_nationkey")).cast("string"))
+    agencies = records(below, "exec", "k", key=F.col("k"), name=F.col("s_name"), sourceUrl=url, entryKind=F.lit("agency_ref"), parentKey=parent, relationKind=F.lit("reports_to"))
+    return shown_whole(ip.executive(offices.unionByName(agencies), ip.agencies(agency_records(spark, sf_dir))[1]))
+
+
+@query("""WITH c AS (SELECT n_nationkey AS k, n_name AS name FROM nation), s AS (SELECT c_custkey AS k, c_nationkey AS anc, c_name AS name FROM customer)
+SELECT 'entry' AS what, 'anc:' || k AS a, 'anc' AS b, name AS c, 'sourceAncId="' || k || '";sourceOancProfileUrl="https://p.example/' || k || '";sourceWardNumbers=["' || k % 8 || '"]' AS attributes, 'oanc|' || k || '||https://p.example/' || k AS cited FROM c
+UNION ALL SELECT 'entry', 'ward:' || k % 8, 'ward', 'Ward ' || k % 8, 'wardNumber="' || k % 8 || '"', 'oanc|' || k || '||' FROM c
+UNION ALL SELECT 'relation', 'ward:' || k % 8, 'contains', 'anc:' || k, '', 'oanc|' || k || '||' FROM c
+UNION ALL SELECT 'entry', 'anc_commissioner_seat:' || k, 'anc_commissioner_seat', 'Commissioner Seat for SMD ' || k, 'currentHolderName="' || name || '"' || CASE WHEN k % 4 = 0 THEN ';officerRole="Chair"' ELSE '' END || ';sourceAncId="' || anc || '";sourceOancProfileUrl="https://p.example/' || anc || '";sourceSmdId="' || k || '"', 'oanc|' || anc || '||https://p.example/' || anc FROM s WHERE k % 5 <> 0
+UNION ALL SELECT 'finding', 'interpreter.commissioner_slash_smd_deferred', anc || ' has seat ' || k || '/x', 'info', '', '' FROM s WHERE k % 5 = 0""")
+def interpreted_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as commissions of a ward, with customers as commissioners; seats whose id has a slash wait for review."""
+    n, c = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    seat = F.struct(F.concat(text("c_custkey"), F.when(k % 5 == 0, "/x").otherwise("")).alias("smdId"), F.col("c_name").alias("name"), F.when(k % 4 == 0, "Chair").alias("officerRole"))
+    people = c.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.collect_list(seat).alias("people"))
+    whole = n.join(people, "n_nationkey", "left")
+    rows = records(whole, "oanc", "n_nationkey", ancId=text("n_nationkey"), name=F.col("n_name"), profileUrl=F.concat(F.lit("https://p.example/"), text("n_nationkey")), wardNumbers=F.array((F.col("n_nationkey") % 8).cast("string")), commissioners=F.col("people"))
+    return shown_whole(ip.profiles(rows))
