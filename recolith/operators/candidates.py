@@ -7,6 +7,8 @@ members stand in a table of their own.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,17 +29,29 @@ def entry_sources(entries: DataFrame, relations: DataFrame) -> DataFrame:
     return own.unionByName(edges).where("source IS NOT NULL").distinct()
 
 
-def block_keys(entries: DataFrame) -> DataFrame:
-    """reason, match_key, id: distinct."""
+def name_keys() -> Column:
+    return F.array(normalize_name(F.col("name")))
+
+
+def url_keys() -> Column:
+    """Addresses in attributes and citations."""
     texts = F.transform(F.map_entries("attributes"), lambda e: F.struct(e["key"].alias("key"), unquoted(e["value"]).alias("text")))
     urls = F.filter(texts, lambda e: looks_like_url(e["text"]) | (e["text"].isNotNull() & is_url_key(e["key"])))
-    all_urls = F.concat(F.transform(urls, lambda e: canonical_url(e["text"])), F.transform(F.filter(F.col("citations.url"), lambda u: u.isNotNull()), lambda u: canonical_url(u)))
-    locators = F.transform(F.filter(F.col("citations.locator"), lambda x: x.isNotNull()), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
+    return F.concat(F.transform(urls, lambda e: canonical_url(e["text"])), F.transform(F.filter(F.col("citations.url"), lambda u: u.isNotNull()), lambda u: canonical_url(u)))
+
 
-    def keyed(reason: str, keys: Column) -> Column:
-        return F.transform(keys, lambda k: F.struct(F.lit(reason).alias("reason"), k.alias("match_key")))
+def locator_keys() -> Column:
+    return F.transform(F.filter(F.col("citations.locator"), lambda x: x.isNotNull()), lambda x: F.trim(F.regexp_replace(x, r"\s+", " ")))
 
-    every = F.concat(keyed(NAME, F.array(normalize_name(F.col("name")))), keyed(URL, all_urls), keyed(LOCATOR, locators))
+
+#: What entries are blocked by: reasons, and the keys of an entry as an array over its columns. Callers may give others, or more.
+KEYERS: dict[str, Callable[[], Column]] = {NAME: name_keys, URL: url_keys, LOCATOR: locator_keys}
+
+
+def block_keys(entries: DataFrame, keyers: Mapping[str, Callable[[], Column]] = KEYERS) -> DataFrame:
+    """reason, match_key, id: distinct."""
+    keyed = lambda reason, keys: F.transform(keys, lambda k: F.struct(F.lit(reason).alias("reason"), k.alias("match_key")))
+    every = F.concat(*[keyed(reason, keys()) for reason, keys in keyers.items()])
     return entries.select("id", F.explode(every).alias("k")).select("k.reason", "k.match_key", "id").where("match_key IS NOT NULL AND match_key <> ''").distinct()
 
 
@@ -48,14 +62,14 @@ def shared_keys(keys: DataFrame) -> DataFrame:
     return keys.join(shared, ["reason", "match_key"], "left_semi")
 
 
-def members(entries: DataFrame, relations: DataFrame, carry: tuple[str, ...] = ("name", "attributes")) -> DataFrame:
+def members(entries: DataFrame, relations: DataFrame, carry: tuple[str, ...] = ("name", "attributes"), keyers: Mapping[str, Callable[[], Column]] = KEYERS) -> DataFrame:
     """reason, match_key, id, and what the packets look at: family, kind, related (has relations), sources; and the columns ``carry`` of
     entries, which come once a block key."""
     sources = entry_sources(entries, relations).groupBy("id").agg(F.array_sort(F.collect_set("source")).alias("sources"))
     related = relations.select(F.col("from_id").alias("id")).distinct().withColumn("related", F.lit(True))
     facts = entries.select("id", "family", "kind", *carry).join(sources, "id", "left").join(related, "id", "left")
     facts = facts.withColumn("sources", F.coalesce("sources", F.array().cast("array<string>"))).withColumn("related", F.coalesce("related", F.lit(False)))
-    return shared_keys(block_keys(entries)).join(facts, "id")
+    return shared_keys(block_keys(entries, keyers)).join(facts, "id")
 
 
 def groups(rows: DataFrame) -> DataFrame:
@@ -134,9 +148,9 @@ def noise(rows: DataFrame, heads: DataFrame, relations: DataFrame, prefix: str =
     return sized.where(F.col("laws") | F.col("authorised") | F.col("courts") | F.col("ancs") | (one & (F.col("n") > 2)) | (one & (F.size("families") == 1) & F.array_contains("families", "area"))).select(*block)
 
 
-def blocks(entries: DataFrame, relations: DataFrame, prefix: str = "") -> DataFrame:
+def blocks(entries: DataFrame, relations: DataFrame, prefix: str = "", keyers: Mapping[str, Callable[[], Column]] = KEYERS) -> DataFrame:
     """``members`` with ``places``, written: what packets, noise and stale duplicates are made from."""
-    return materialise(members(entries.withColumn("places", places(prefix)), relations, ("places",)), "block-members")
+    return materialise(members(entries.withColumn("places", places(prefix)), relations, ("places",), keyers), "block-members")
 
 
 def packets_of(rows: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
@@ -146,9 +160,9 @@ def packets_of(rows: DataFrame, relations: DataFrame, prefix: str = "") -> tuple
     return kept, rows.select("reason", "match_key", F.col("id").alias("entry_id")).join(kept.select("id", "reason", "match_key"), ["reason", "match_key"]).select(F.col("id").alias("packet_id"), "entry_id")
 
 
-def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "") -> tuple[DataFrame, DataFrame]:
+def find_candidates(entries: DataFrame, relations: DataFrame, prefix: str = "", keyers: Mapping[str, Callable[[], Column]] = KEYERS) -> tuple[DataFrame, DataFrame]:
     """Packets without the noise, and their members (packet id, entry id)."""
-    return packets_of(blocks(entries, relations, prefix), relations, prefix)
+    return packets_of(blocks(entries, relations, prefix, keyers), relations, prefix)
 
 
 def top_packets(found: DataFrame, limit: int) -> DataFrame:

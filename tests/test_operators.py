@@ -183,6 +183,15 @@ def test_candidates_by_url_and_locator(spark):
     assert all(p["risks"] == ["kind_conflict", "same_source_duplicate"] and p["severity"] == "high" for p in found.values())
 
 
+def test_candidates_by_other_keys(spark):
+    """A jurisdiction's own blocks beside the usual ones."""
+    rows = [entry("a", "board", "A", attributes={"phone": '"1"'}), entry("b", "board", "B", attributes={"phone": '"1"'}), entry("c", "board", "a", attributes={"phone": '"2"'})]
+    own = {**ca.KEYERS, "shared_phone": lambda: F.array(F.try_element_at("attributes", F.lit("phone")))}
+    found, listed = ca.find_candidates(spark.createDataFrame(rows, model.ENTRY), spark.createDataFrame([], model.RELATION), keyers=own)
+    assert {(r["reason"], r["match_key"], r["n"]) for r in found.collect()} == {("shared_phone", '"1"', 2), (ca.NAME, "a", 2)}
+    assert {r["entry_id"] for r in listed.where("packet_id LIKE 'shared_phone%'").collect()} == {"a", "b"}
+
+
 def test_noise_among_shared_urls(spark):
     at = lambda **k: {a: json.dumps(v) for a, v in k.items()}
     url = "https://x.example/p"
