@@ -207,3 +207,12 @@ def interpreted_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = n.join(people, "n_nationkey", "left")
     rows = records(whole, "oanc", "n_nationkey", ancId=text("n_nationkey"), name=F.col("n_name"), profileUrl=F.concat(F.lit("https://p.example/"), text("n_nationkey")), wardNumbers=F.array((F.col("n_nationkey") % 8).cast("string")), commissioners=F.col("people"))
     return shown_whole(ip.profiles(rows))
+
+
+@query(f"""WITH {AGENCY_SQL}, d AS (SELECT s_suppkey AS k, s_name AS name, 'https://a.example/' || s_suppkey AS url FROM supplier)
+SELECT 'entry' AS what, g.id AS a, 'agency' AS b, d.name AS c, 'officialUrl="' || url || '"' AS attributes, 'dir|' || d.k || '||' || url AS cited FROM d JOIN g ON g.name = d.name
+UNION ALL SELECT 'finding', 'interpreter.agency_directory_unmatched', name || ' ' || url, 'warn', '', '' FROM d WHERE name NOT IN (SELECT name FROM g)""")
+def interpreted_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers in a directory: addresses of the agencies of their names; some names are no agency's."""
+    rows = records(table(spark, sf_dir, "supplier"), "dir", "s_suppkey", directoryName=F.col("s_name"), officialUrl=F.concat(F.lit("https://a.example/"), text("s_suppkey")))
+    return shown_whole(ip.directory(rows, ip.agencies(agency_records(spark, sf_dir))[1]))
