@@ -12,7 +12,11 @@ def stable_json(text: Column) -> Column:
 
 
 def is_object(text: Column) -> Column:
-    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    return is_variant_object(F.try_parse_json(text))
+
+
+def is_variant_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
 
 
 def variant_string(v: Column, *keys: str) -> Column:

@@ -18,8 +18,12 @@ from .candidates import stale_duplicates
 def split_valid(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Records whose payload is an object, and findings for the others."""
     ok = is_object(F.col("payload"))
-    bad = records.where(~ok).select(F.lit("warn").alias("kind"), F.when(F.col("payload").isNull(), "interpreter.invalid_record").otherwise("interpreter.invalid_payload").alias("code"), F.concat_ws(":", "source", "key").alias("message"), cite(F.col("source"), F.col("key")).alias("citation"))
-    return records.where(ok), bad
+    return records.where(ok), invalid(records.where(~ok))
+
+
+def invalid(records: DataFrame) -> DataFrame:
+    """Findings for records whose payload is no object."""
+    return records.select(F.lit("warn").alias("kind"), F.when(F.col("payload").isNull(), "interpreter.invalid_record").otherwise("interpreter.invalid_payload").alias("code"), F.concat_ws(":", "source", "key").alias("message"), cite(F.col("source"), F.col("key")).alias("citation"))
 
 
 def keyed(records: DataFrame, id_keys: tuple[str, ...], name_keys: tuple[str, ...]) -> DataFrame:

@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from ..functions import citations as ci
 from ..functions.text import BODY_RULES, clean_description, clean_statute, entity_slug, lookup_key, member_title, percent_id
-from ..functions.values import attribute_map, cite, is_object, quoted, variant_string
+from ..functions.values import attribute_map, cite, is_variant_object, quoted, variant_string
 from ..model import CITATION
 from ..operators import interpret as it
-from ..stages import materialise
+from ..stages import materialise, spread
 
 
 @dataclass
@@ -53,12 +53,13 @@ def together(*parts: Interpreted) -> Interpreted:
 
 
 def parsed(records: DataFrame, **fields: tuple[str, ...] | str) -> tuple[DataFrame, DataFrame]:
-    """Records with a column for each field, the first of the payload's keys that is there; and findings for the others."""
-    _, bad = it.split_valid(records)
-    rows = records.where(is_object(F.col("payload"))).withColumn("__v", F.parse_json("payload"))
-    for name, keys in fields.items():
-        rows = rows.withColumn(name, variant_string(F.col("__v"), *((keys,) if isinstance(keys, str) else keys)))
-    return rows.withColumn("cited", cite(F.col("source"), F.col("key"))), bad
+    """Records with a column for each field, the first of the payload's keys that is there; and findings for the others. Payloads are parsed once, by
+    all cores, and what was read is written: conditions on a field would otherwise parse them again, for every output."""
+    rows = spread(records).withColumn("__v", F.try_parse_json("payload"))
+    found = {name: variant_string(F.col("__v"), *((keys,) if isinstance(keys, str) else keys)) for name, keys in fields.items()}
+    rows = materialise(rows.withColumns({"__object": is_variant_object(F.col("__v")), **found}).drop("__v"), "parsed")
+    good = rows.where("__object").drop("__object")
+    return good.withColumns({"__v": F.parse_json("payload"), "cited": cite(F.col("source"), F.col("key"))}), it.invalid(rows.where("NOT __object"))
 
 
 def written(rows: DataFrame) -> DataFrame:
@@ -191,13 +192,14 @@ def smds(records: DataFrame) -> Interpreted:
     rows, bad = parsed(records, source_id="SMD_ID", name="NAME", anc="ANC_ID", holder=("REP_NAME", "REPRESENTATIVE"), first="FIRST_NAME", last="LAST_NAME", web="WEB_URL")
     rows, lost = required(rows, source_id="smd_id_missing")
     rows = it.with_fallback_name(rows, "SMD ").withColumn("vacant", F.upper("holder") == "VACANT")
-    area, seat = made_id("smd", percent_id(F.col("source_id"))), made_id("anc_commissioner_seat", percent_id(F.col("source_id")))
+    rows = written(rows.withColumns({"area": made_id("smd", percent_id(F.col("source_id"))), "seat": made_id("anc_commissioner_seat", percent_id(F.col("source_id"))), "top": made_id("anc", percent_id(F.col("anc")))}))
+    area, seat = F.col("area"), F.col("seat")
     held = lambda c: F.when(~F.col("vacant"), text(c))
     made = [
         entry(0, area, "smd", "area", F.col("name"), attribute_map(sourceSmdId=text("source_id"), sourceAncId=text("anc"), webUrl=text("web")), cited_once()),
         entry(1, seat, "anc_commissioner_seat", "position", F.concat(F.lit("Commissioner Seat for "), F.col("name")), attribute_map(sourceSmdId=text("source_id"), sourceAncId=text("anc"), sourceRepresentativeName=held("holder"), sourceFirstName=held("first"), sourceLastName=held("last")), cited_once()),
     ]
-    edges = [edge(2, made_id("anc", percent_id(F.col("anc"))), "contains", area, cited_once(), F.col("anc").isNotNull()), edge(3, seat, "represents", area, cited_once())]
+    edges = [edge(2, F.col("top"), "contains", area, cited_once(), F.col("anc").isNotNull()), edge(3, seat, "represents", area, cited_once())]
     problems = [finding(rows.where("NOT named"), "warn", "smd_name_missing"), finding(rows.where("vacant"), "warn", "smd_representative_vacant"), finding(rows.where("holder IS NULL"), "warn", "smd_representative_missing"), finding(rows.where("anc IS NULL"), "warn", "smd_anc_id_missing")]
     return Interpreted(entries_of(rows, made), edges_of(rows, edges), union(bad, *lost, *problems))
 
@@ -217,6 +219,7 @@ def members(records: DataFrame) -> Interpreted:
     office = made_id("elected_office", choose(F.concat(F.lit("ward-"), F.col("ward"), F.lit("-councilmember")), F.lit("at-large-councilmember"), F.lit("council-chairman")))
     kind = choose(F.lit("ward_councilmember"), F.lit("at_large_councilmember"), F.lit("council_chairman"))
     rows = rows.withColumns({"label": label, "office": office, "office_type": kind, "id": made_id("councilmember", percent_id(F.col("slug"))), "ward_id": made_id("ward", F.col("ward"))})
+    rows = written(rows)
     has_office, has_ward = F.col("office").isNotNull(), F.col("ward").isNotNull()
     made = [
         entry(0, F.col("id"), "councilmember", "person", F.col("plain"), attribute_map(sourceProfileSlug=text("slug"), sourceProfileUrl=text("profile"), officeLabel=text("label"), wardNumber=text("ward")), cited_once()),

@@ -37,6 +37,12 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt over all cores, some tasks each. A compressed file of some MB is read by one task, and what its rows go through would be one core's."""
+    spark = rows.sparkSession
+    return rows.repartition(max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def clean_up(spark: SparkSession) -> None:
     """Deletes the tables and files that this application has written to the shared folder. Results that
     read them must be written elsewhere before."""

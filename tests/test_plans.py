@@ -14,7 +14,7 @@ from recolith.plans import public as pu
 from recolith.plans.compile import compile_state
 from recolith.plans.release import verify_release
 from recolith.plans.review import generate, posture
-from recolith.stages import materialise, shared_dir
+from recolith.stages import materialise, shared_dir, spread
 
 
 def records(spark, source, *payloads):
@@ -194,3 +194,14 @@ def test_shared_folder_on_a_cluster_must_be_named():
 
     with pytest.raises(ValueError):
         shared_dir(Spark())
+
+
+def test_payloads_of_one_file_are_parsed_once_by_all_cores(spark):
+    one = records(spark, "council", {"memberName": "Ward 1 Councilmember Ann", "profileSlug": "ann", "profileUrl": "https://a"}, {"memberName": "x"}, None, "[1]").coalesce(1)
+    assert spread(one).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    rows, bad = ip.parsed(one, title="memberName", slug="profileSlug")
+    assert sorted(r["code"] for r in bad.collect()) == ["interpreter.invalid_payload", "interpreter.invalid_record"]
+    assert "parse_json" not in rows.where("slug IS NOT NULL").select("title", "slug")._jdf.queryExecution().optimizedPlan().toString()
+    made = ip.members(one)
+    assert all("parse_json" not in df._jdf.queryExecution().optimizedPlan().toString() for df in (made.entries, made.relations))
+    assert {r["provisional_id"] for r in made.entries.collect()} == {"councilmember:ann", "elected_office:ward-1-councilmember", "ward:1"}
