@@ -7,6 +7,7 @@ id with many fragments is spread over its keys.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,14 +34,15 @@ def merge_order() -> Column:
     return F.struct(F.collate("source_record_id", "UNICODE").alias("record"), F.col("ord"))
 
 
-def merge_entries(fragments: DataFrame) -> DataFrame:
+def merge_entries(fragments: DataFrame, leading: tuple[str, ...] | None = None) -> DataFrame:
     """One entry an id: first kind, last family, longest name (the first of equal length), attributes of the last
-    fragment that has them, citations distinct and ordered. ENTRY columns."""
+    fragment that has them, citations distinct and ordered. ENTRY columns. With ``leading`` citations are the ``leading_citations`` of these sources alone."""
     ordered = fragments.withColumn("o", merge_order())
     heads = ordered.groupBy(F.col("provisional_id").alias("id")).agg(
         F.max_by("family", "o").alias("family"),
         F.min_by("kind", "o").alias("kind"),
         F.min_by("name", F.struct((-F.length("name")).alias("n"), F.col("o"))).alias("name"),
+        *([] if leading is None else [leading_citations(leading)]),
     )
     attributes = (
         ordered.select(F.col("provisional_id").alias("id"), "o", F.explode("attributes").alias("key", "value"))
@@ -49,9 +51,10 @@ def merge_entries(fragments: DataFrame) -> DataFrame:
         .groupBy("id")
         .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("attributes"))
     )
-    citations = merge_citations(ordered.select(F.col("provisional_id").alias("id"), "citations"), "id")
     empty = F.create_map().cast("map<string,string>")
-    return heads.join(attributes, "id", "left").join(citations, "id").select("id", "family", "kind", "name", F.coalesce("attributes", empty).alias("attributes"), "citations")
+    if leading is None:
+        heads = heads.join(merge_citations(ordered.select(F.col("provisional_id").alias("id"), "citations"), "id"), "id")
+    return heads.join(attributes, "id", "left").select("id", "family", "kind", "name", F.coalesce("attributes", empty).alias("attributes"), "citations")
 
 
 def merge_citations(rows: DataFrame, *keys: str) -> DataFrame:
@@ -63,6 +66,18 @@ def merge_citations(rows: DataFrame, *keys: str) -> DataFrame:
     return one.groupBy(*keys).agg(F.transform(F.array_sort(kept), lambda x: x["c"]).alias("citations"))
 
 
+def leading_citations(sources: tuple[str, ...] = ()) -> Column:
+    """An aggregate of citations: of the merged ones in their order, the first that names a source or an address, and the first of each of
+    ``sources``. What an entry is shown to come from is among these, so one that a third of all records cite needs no list of them."""
+
+    def first(fits: Callable[[Column], Column]) -> Column:
+        own = F.filter("citations", lambda c: is_citation(c) & fits(c))
+        return F.min(F.array_min(F.transform(own, lambda c: F.struct(citation_id(c).alias("k"), c.alias("c")))))
+
+    every = [first(lambda c: c["source"].isNotNull() | c["url"].isNotNull()), *[first(lambda c, s=s: c["source"] == s) for s in sources]]
+    return F.transform(F.array_sort(F.array_distinct(F.array_compact(F.array(*every)))), lambda x: x["c"]).alias("citations")
+
+
 def kind_conflicts(fragments: DataFrame) -> DataFrame:
     """id, kind (the first), conflicts: fragments whose kind is another."""
     by_kind = fragments.withColumn("o", merge_order()).groupBy("provisional_id", "kind").agg(F.count("*").alias("n"), F.min("o").alias("o"))
@@ -127,9 +142,11 @@ def findings_order() -> list[Column]:
     return [F.col("kind"), F.col("code"), F.col("message"), text]
 
 
-def dedupe_relations(relations: DataFrame) -> DataFrame:
-    """RELATION rows: one a (from, kind, to), citations united."""
+def dedupe_relations(relations: DataFrame, leading: tuple[str, ...] | None = None) -> DataFrame:
+    """RELATION rows: one a (from, kind, to), citations united; with ``leading`` the ``leading_citations`` of these sources alone."""
     rows = relations.select("from_id", F.col("relation_kind").alias("kind"), "to_id", "citations")
+    if leading is not None:
+        return rows.groupBy("from_id", "kind", "to_id").agg(leading_citations(leading))
     return merge_citations(rows, "from_id", "kind", "to_id")
 
 

@@ -38,6 +38,10 @@ class Names:
     relation_prefix: str = ""
     preferred: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
+    def leading(self) -> tuple[str, ...]:
+        """Sources whose citations the tables look for; the public tables need no more of an entry's citations than ``fragments.leading_citations`` of these."""
+        return tuple(dict.fromkeys(s for _, sources in self.preferred for s in sources))
+
     def kind(self, name: str) -> str:
         return self.kind_prefix + name
 
@@ -138,7 +142,9 @@ def structure(rows: DataFrame, links: DataFrame, names: Names) -> DataFrame:
 def public_tables(entries: DataFrame, relations: DataFrame, coverage: DataFrame, verbs: dict[str, graph.Verb] | None = None, names: Names | None = None) -> Tables:
     """The fourteen tables by name, planned when asked for. ``coverage``: a row a source, with ``SOURCES`` or some of them."""
     names = names or Names()
-    rows, made = bases(entries, relations, coverage, verbs or {}, names)
+    # entries and relations have few sources each, so a shuffled join would make them one task's
+    cited = F.broadcast(coverage) if coverage.count() <= graph.MOST else coverage
+    rows, made = bases(entries, relations, cited, verbs or {}, names)
     links = cache(made)
     of = lambda *kinds: rows.where(F.col("kind").isin(*[names.kind(k) for k in kinds]))
     by = lambda *kinds: links().where(F.col("kind").isin(*[names.relation(k) for k in kinds]))

@@ -205,3 +205,19 @@ def test_payloads_of_one_file_are_parsed_once_by_all_cores(spark):
     made = ip.members(one)
     assert all("parse_json" not in df._jdf.queryExecution().optimizedPlan().toString() for df in (made.entries, made.relations))
     assert {r["provisional_id"] for r in made.entries.collect()} == {"councilmember:ann", "elected_office:ward-1-councilmember", "ward:1"}
+
+
+def test_public_tables_need_leading_citations_alone(spark):
+    made = ip.members(records(spark, "b.council", *[{"memberName": f"Chairman M{i}", "profileSlug": f"m{i}", "profileUrl": "https://a"} for i in range(5)]))
+    more = made.entries.withColumns({"source": F.lit("a.other"), "citations": F.transform("citations", lambda c: c.withField("source", F.lit("a.other")))})
+    fragments = made.entries.unionByName(more)
+    names = pu.Names(preferred=(("councilmember", ("b.council",)),))
+    coverage = spark.createDataFrame([("a.other", "https://o"), ("b.council", "https://b")], "source string, source_url string")
+    whole, lean = fr.merge_entries(fragments), fr.merge_entries(fragments, names.leading())
+    # five records cite the office, and two citations stand for them
+    assert {r["id"]: [(c["source"], c["source_record_id"]) for c in r["citations"]] for r in lean.collect()}["elected_office:council-chairman"] == [("a.other", "0"), ("b.council", "0")]
+    assert whole.where("size(citations) = 10").count() == 1 and lean.where("size(citations) > 2").count() == 0
+    for name in ("councilmembers", "relationships"):
+        every = pu.public_tables(whole, fr.dedupe_relations(made.relations), coverage, names=names)[name]
+        few = pu.public_tables(lean, fr.dedupe_relations(made.relations, names.leading()), coverage, names=names)[name]
+        assert sorted(map(str, every.collect())) == sorted(map(str, few.collect())) and few.count() == 5
