@@ -12,14 +12,16 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import ALIAS
-from ..stages import materialise
+from ..stages import materialise, spread
 from .links import components, ends
 from .revisions import alias_index, patch_entries, patch_keys, suppress, target_keys
 
@@ -124,10 +126,25 @@ def effects(r: dict[str, Any], id_: str, state: dict, reference: Any, say: Any)
     state[id_] = (own.get("kind", kind), own.get("name", name))
 
 
+def _values(column: pa.Array) -> list[Any]:
+    """A column as Python values; lists of structs by their fields' columns, as made one by one they take most of a revision's time."""
+    if column.null_count == len(column):
+        return [None] * len(column)
+    if not (pa.types.is_list(column.type) and pa.types.is_struct(column.type.value_type)):
+        return column.to_pylist()
+    flat, names = column.flatten(), [f.name for f in column.type.value_type]
+    each = iter([dict(zip(names, v, strict=True)) for v in zip(*[_values(flat.field(i)) for i in range(len(names))], strict=True)])
+    return [None if n is None else list(islice(each, n)) for n in pc.list_value_length(column).to_pylist()]
+
+
+def _rows(b: pa.RecordBatch) -> Iterator[dict[str, Any]]:
+    return (dict(zip(b.schema.names, v, strict=True)) for v in zip(*[_values(c) for c in b.columns], strict=True))
+
+
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group, state, out = None, {}, []
     for b in batches:
-        for r in b.to_pylist():
+        for r in _rows(b):
             if r["group"] != group:
                 group, state = r["group"], {}
             out += [e | {"revision": r["id"], "row": r["row"]} for e in decide(r, state)]
@@ -146,11 +163,11 @@ def grouped(revisions: DataFrame, entries: DataFrame, aliases: DataFrame | None)
     """``revisions`` with what they may mean: keys, answers (of the aliases to what they name), known (the entries among it), and
     group: the component, where the order in it matters, else the row alone."""
     spark = revisions.sparkSession
-    patch = F.try_parse_json("patch")
+    patch = F.col("__patch")
     changes = (F.col("target_kind") == "entry") & (F.coalesce(F.try_variant_get(patch, "$.suppress", "boolean"), F.lit(False)) | F.try_variant_get(patch, "$.kind", "string").isNotNull() | F.try_variant_get(patch, "$.name", "string").isNotNull())
-    rows = revisions.select(
+    rows = spread(revisions).withColumn("__patch", F.try_parse_json("patch")).select(
         F.monotonically_increasing_id().alias("row"), "id", "source", "target_kind", "target_id", F.col("target.canonical_id").alias("canonical_id"), F.col("target.kind").alias("guard_kind"), F.col("target.name").alias("guard_name"),
-        "rationale", "patch", target_keys(revisions).alias("keys"), patch_keys().alias("patch_keys"), F.coalesce(changes, F.lit(False)).alias("changes"),
+        "rationale", "patch", target_keys(revisions).alias("keys"), patch_keys(patch).alias("patch_keys"), F.coalesce(changes, F.lit(False)).alias("changes"),
     )
     rows = materialise(rows, "revisions")
     index = alias_index(aliases if aliases is not None else spark.createDataFrame([], ALIAS)).groupBy("key_type", "key").agg(F.array_sort(F.collect_set("canonical_id")).alias("ids"))

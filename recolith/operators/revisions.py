@@ -32,11 +32,14 @@ def target_keys(revisions: DataFrame) -> Column:
     return _keys(ids, refs)
 
 
-def patch_keys() -> Column:
-    """The ids that a patch refers to, in the same form: the canonical entry of its review and the ends of its relations."""
-    by_kind = F.from_json("patch", "relations map<string,string>")["relations"]
+def patch_keys(parsed: Column | None = None) -> Column:
+    """The ids that a patch refers to, in the same form: the canonical entry of its review and the ends of its relations. ``parsed``: the patch as a variant."""
+    parsed = F.try_parse_json("patch") if parsed is None else parsed
+    # a patch that isn't parsed may still have relations to read
+    has = parsed.isNull() | F.try_variant_get(parsed, "$.relations", "variant").isNotNull()
+    by_kind = F.when(has, F.from_json("patch", "relations map<string,string>")["relations"])
     ends = F.flatten(F.array_compact(F.transform(F.map_values(by_kind), lambda v: F.from_json(v, "array<struct<to:string>>")["to"])))
-    canonical = F.try_variant_get(F.try_parse_json("patch"), "$.review.canonicalEntryId", "string")
+    canonical = F.try_variant_get(parsed, "$.review.canonicalEntryId", "string")
     return _keys(F.concat(F.array(canonical), F.coalesce(ends, F.array().cast("array<string>"))), F.array().cast("array<string>"))
 
 

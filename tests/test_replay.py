@@ -4,6 +4,7 @@ import json
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from serial_fold import fold_revisions, ref_key
@@ -128,3 +129,9 @@ def test_chains_of_replacements(spark):
     assert all(found[f"d{i}"] == f"d{i + 1}" for i in range(50))
     # each step holds for what stood when it was taken: x led to y before y went, y to x after x was gone
     assert (found["x"], found["y"], found["z"], found["w"], found["v"]) == ("x", "x", None, None, "z")
+
+
+def test_rows_of_a_batch_by_columns():
+    pairs = pa.list_(pa.struct([("key", pa.string()), ("ids", pa.list_(pa.string()))]))
+    b = pa.RecordBatch.from_pydict({"id": pa.array(["a", None, "c", "d"]), "none": pa.nulls(4, pairs), "known": pa.array([[{"key": "x", "ids": ["1", "2"]}, {"key": None, "ids": None}], None, [], [{"key": "y", "ids": []}]], pairs)})
+    assert list(replay._rows(b)) == b.to_pylist() and list(replay._rows(b.slice(2, 2))) == b.slice(2, 2).to_pylist() and list(replay._rows(b.slice(0, 0))) == []
