@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from recolith.llm import decontaminate, mixing, quality, simhash, tokenfiles
 from recolith.llm.common import materialise, read
 
+#: Pre-tokens that a worker keeps. Workers outlive their stage, and so does what they keep, beside the other stages.
+TOKEN_CACHE = 50_000
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules reject go. The model learns from the labelled rows among ``docs``.
@@ -56,7 +59,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Null and empty texts are the end id alone; null ids come first; ties in the id go by a hash of the text and then by the text; a very long text is a segment of its own; an empty table
     gives no files and no rows. Other columns are not written, whatever their names.
     """
-    return tokenfiles.digest(docs)
+    return tokenfiles.digest(docs, TOKEN_CACHE)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -119,12 +119,12 @@ class Pieces:
         return out | dict(zip(rest, (self.value(e.ids) for e in encoded), strict=True))
 
     @classmethod
-    def of_worker(cls, path: str, name: str, value: Any) -> Pieces:
-        """The Python worker's own, under the path and ``name`` of the value: tasks that follow each other share it."""
+    def of_worker(cls, path: str, name: str, value: Any, most: int = CACHE) -> Pieces:
+        """The Python worker's own, under the path, ``name`` of the value and bound: tasks that follow each other share it."""
         kept = sys.modules.setdefault("_recolith_worker", types.ModuleType("_recolith_worker")).__dict__
-        key = f"{name}:{path}"
+        key = f"{name}:{most}:{path}"
         if key not in kept:
-            kept[key] = cls(path, value)
+            kept[key] = cls(path, value, most)
         return kept[key]
 
     def whole(self, text: str) -> Any:

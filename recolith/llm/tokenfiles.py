@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from . import files
 from .common import column, fresh_path
-from .tokencounts import Pieces, batches_of, vocabulary
+from .tokencounts import CACHE, Pieces, batches_of, vocabulary
 
 MAGIC = b"S8BT0001"
 #: magic, documents, ids, blocks, words, escapes, crc32.
@@ -143,15 +143,15 @@ def segments(stream: Any) -> Iterator[tuple[list[int | None], np.ndarray, np.nda
         yield [None if null else int(d) for d, null in zip(known, nulls, strict=True)], lengths.astype(np.int64), decode(offsets, words, escapes, n)
 
 
-def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID) -> list:
-    """Writes the files and returns their list in ascending order of document ids: FILES' columns."""
+def write(docs: DataFrame, folder: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID, cache: int = CACHE) -> list:
+    """Writes the files and returns their list in ascending order of document ids: FILES' columns. ``cache``: most pre-tokens that a worker keeps; the ids are the same."""
     path = path or vocabulary()
     folder = files.qualify(docs.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        pieces = Pieces.of_worker(path, "ids", lambda ids: array("I", ids).tobytes())
+        pieces = Pieces.of_worker(path, "ids", lambda ids: array("I", ids).tobytes(), cache)
         end = np.array([end_id], dtype="<u4").tobytes()
         part, name = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.s8b"
         out, total_docs, total = None, 0, 0
@@ -212,7 +212,7 @@ def crc32_of(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, cache: int = CACHE) -> DataFrame:
     """The contract's columns, from the files read back."""
     spark = docs.sparkSession
-    return read(spark, write(docs, fresh_path(spark, "token-files")), crc32_of, "ids_crc32 long")
+    return read(spark, write(docs, fresh_path(spark, "token-files"), cache=cache), crc32_of, "ids_crc32 long")

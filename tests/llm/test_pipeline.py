@@ -152,3 +152,16 @@ def test_shared_folder_on_a_cluster_must_be_named():
 def test_private_names(spark):
     assert private(spark.createDataFrame([(1, 2)], "__ROW int, __row_ int"), "__row") == "__row__"
     assert simhash.keep_one(spark.createDataFrame([(1, "a", 5), (2, "a", 6)], "doc_id long, text string, __row int")).collect()[0]["__row"] == 5
+
+
+def test_workers_keep_few_pre_tokens_and_write_the_same_ids(spark):
+    from recolith.llm import tokenfiles
+    from recolith.llm.tokencounts import Pieces, vocabulary
+
+    assert corpus_pipeline.TOKEN_CACHE <= 100_000
+    small, large = (Pieces.of_worker(vocabulary(), "test", len, most) for most in (3, 1000))
+    texts = ["a b c d e f", "d e f g, a", "zebras a b"]
+    assert small is not large and list(map(sum, small.of_texts(texts))) == list(map(sum, large.of_texts(texts)))
+    assert len(small.known) <= 3 < len(large.known)
+    docs = spark.createDataFrame([(i, f"word{i} and {'again ' * i}") for i in range(40)], "doc_id long, text string")
+    assert sorted(tokenfiles.digest(docs, 3).collect()) == sorted(tokenfiles.digest(docs).collect())
