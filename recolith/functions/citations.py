@@ -110,6 +110,12 @@ def payload_text(payload: Column) -> Column:
     return F.array_join(F.transform(legal, lambda e: e["value"]), " | ")
 
 
+def payload_locators(payload: Column) -> Column:
+    """``locators_of`` a record's legal fields. A text without backslashes stands in its payload as it is, so a payload without a title in it isn't read."""
+    may = F.contains(payload, F.lit("\\")) | payload.rlike(rf"(?i){TITLE}")
+    return F.when(may, locators_of(payload_text(payload))).otherwise(F.array().cast("array<string>"))
+
+
 def url_locators(url: Column) -> Column:
     """Of pages of the code: its section or law."""
     on_site = url.rlike(r"(?i)^https?://code\.dccouncil\.(?:gov|us)/")

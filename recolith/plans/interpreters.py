@@ -121,7 +121,7 @@ def with_law(rows: DataFrame, urls: tuple[str, ...] = ()) -> DataFrame:
     """``rows`` with authorities (distinct by type and address, those of texts before those of urls) and law_citations; a written table, as
     fragments, edges and findings read it."""
     from_urls = [ci.url_locators(F.col(u)) for u in urls]
-    found = F.array_distinct(F.concat(ci.locators_of(ci.payload_text(F.col("payload"))), *from_urls))
+    found = F.array_distinct(F.concat(ci.payload_locators(F.col("payload")), *from_urls))
     pairs = F.transform(found, lambda x: F.struct(x.alias("locator"), ci.authority(x).alias("a")))
     rows = rows.withColumn("__pairs", pairs).withColumn("__a", F.array_compact("__pairs.a"))
     same = lambda x, y: (x["authority_type"] == y["authority_type"]) & (x["canonical_url"] == y["canonical_url"])

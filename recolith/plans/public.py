@@ -181,8 +181,10 @@ def public_tables(entries: DataFrame, relations: DataFrame, coverage: DataFrame,
         return structure(rows, links(), names)
 
     def commissions() -> DataFrame:
-        held = areas().where("current_commissioner_name <> ''").select(F.col("anc_id").alias("id"), F.col("current_commissioner_name").alias("commissioners")).distinct()
-        sizes = areas().groupBy(F.col("anc_id").alias("id")).agg(F.count_distinct("smd_id").alias("smd_count"))
+        # sizes and lists read these several times, and the joins before are the work
+        found = materialise(areas().select(F.col("anc_id").alias("id"), "smd_id", F.col("current_commissioner_name").alias("commissioners")), "commissions")
+        held = materialise(found.where("commissioners <> ''").select("id", "commissioners").distinct(), "commissioners")
+        sizes = found.groupBy("id").agg(F.count_distinct("smd_id").alias("smd_count"))
         return of("anc").join(sizes, "id", "left").join(graph.listed(held, "id", ["commissioners"], ["commissioners"]).drop("n"), "id", "left").na.fill("", ["commissioners"]).na.fill(0, ["smd_count"])
 
     def laws() -> DataFrame:

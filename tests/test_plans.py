@@ -221,3 +221,17 @@ def test_public_tables_need_leading_citations_alone(spark):
         every = pu.public_tables(whole, fr.dedupe_relations(made.relations), coverage, names=names)[name]
         few = pu.public_tables(lean, fr.dedupe_relations(made.relations, names.leading()), coverage, names=names)[name]
         assert sorted(map(str, every.collect())) == sorted(map(str, few.collect())) and few.count() == 5
+
+
+def test_payloads_without_titles_are_not_read_for_citations(spark):
+    from recolith.functions import citations as ci
+
+    payloads = [None, "no object", '{"NAME": "x"}', '{"LAW": "D.C. Law 1-2; 5 U.S.C. 7"}', '{"LAW": "D.C.\\nCode \u00a7 1-2"}', '{"legal basis": "\\u0044.C. Law 3-4"}', '{"NAME": "D.C. Law 5-6"}']
+    rows = spark.createDataFrame([(p,) for p in payloads], "payload string").select(ci.payload_locators(F.col("payload")).alias("new"), ci.locators_of(ci.payload_text(F.col("payload"))).alias("old")).collect()
+    assert [r["new"] for r in rows] == [r["old"] for r in rows] and sum(bool(r["new"]) for r in rows) == 3
+
+
+def test_commissions_read_written_areas(spark):
+    made = civic(spark)
+    tables = pu.public_tables(materialise(fr.merge_entries(made.entries), "entries"), materialise(fr.dedupe_relations(made.relations), "relations"), spark.createDataFrame([("gis.ancs", "https://a")], "source string, source_url string"))
+    assert not any("public-relations" in f for f in tables["ancs"].inputFiles())
