@@ -83,8 +83,10 @@ def move_in(spark: SparkSession, staged: str, path: str, emptied: list[str] = ()
 def sortable(value: Column, kind: DataType) -> Column:
     """The value in a form that Spark orders and hashes: maps as their entries in order, whatever they are nested in."""
     if isinstance(kind, MapType):
-        entry = lambda e: F.struct(e["key"].alias("key"), sortable(e["value"], kind.valueType).alias("value"))
-        return F.array_sort(F.transform(F.map_entries(value), entry))
+        entries = F.map_entries(value)
+        if "map<" in kind.valueType.simpleString():
+            entries = F.transform(entries, lambda e: F.struct(e["key"].alias("key"), sortable(e["value"], kind.valueType).alias("value")))
+        return F.sort_array(entries)  # compiled, unlike array_sort; entries are never null
     if "map<" not in kind.simpleString():
         return value
     if isinstance(kind, ArrayType):
@@ -109,7 +111,8 @@ def one_a_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.format_string(f"%05dof{buckets:05d}", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
+    number = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
+    return F.concat(F.repeat(F.lit("0"), 5 - F.length(number)), number, F.lit(f"of{buckets:05d}"))
 
 
 def _parts(spark: SparkSession, path: str) -> list[str]:

@@ -30,6 +30,8 @@ BLOCK_KEY = "reason string, match_key string, id string"
 MEMBER = "reason string, match_key string, packet_id string, entry_id string"
 PACKET = "id string, reason string, match_key string, severity string, confidence string, review_category string, risks array<string>, source_families array<string>, n long, kinds array<string>, families array<string>, sources array<string>"
 RAW_EDGE = ["from_id", "relation_kind", "to_id"]
+#: Fragments of a file. A bucket of more, though all may be of one id, is several tasks' to write and to read.
+FILE_ROWS = 1 << 16
 
 
 class Ledger:
@@ -78,12 +80,19 @@ class Ledger:
         return changed, placed
 
     def _store(self, name: str, source: str, placed: DataFrame, changed: DataFrame, column: str) -> None:
-        """The source's fragments in the buckets of changed ids."""
+        """The source's fragments in the buckets of changed ids, ``FILE_ROWS`` a file."""
         parts = [f"{source}~{b}" for b in bk._touched(changed, [column], self.buckets)]
         if not parts:
             return
         staged = f"{self._at(name)}.{uuid.uuid4().hex}"
-        placed.where(F.col("part").isin(parts)).repartition("part").write.partitionBy("part").parquet(staged)
+        rows = placed.where(F.col("part").isin(parts))
+        sizes = rows.groupBy("part").count().collect()  # of ids alone; a row a touched part
+        shares = [-(-r["count"] // FILE_ROWS) for r in sizes]
+        dealt = self.spark.createDataFrame([(r["part"], sum(shares[:i]), n) for i, (r, n) in enumerate(zip(sizes, shares, strict=True))], "part string, first int, files int")
+        # a task a file: fragments of a part by their own place, not their id
+        file = (F.col("first") + F.pmod(F.xxhash64("source_record_id", "ord"), F.col("files"))).cast("int")
+        rows = rows.join(F.broadcast(dealt), "part").repartitionById(max(1, sum(shares)), file)
+        rows.select(*placed.columns).write.partitionBy("part").parquet(staged)
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         full = set(bk._parts(self.spark, staged))
         bk.move_in(self.spark, staged, self._at(name), [n for n in (f"part={escape(p)}" for p in parts) if n not in full])
@@ -95,7 +104,7 @@ class Ledger:
         return rows.where(F.substring_index("part", "~", -1).isin(names)).drop("part").join(wanted.select(column).distinct(), column, "left_semi").select(*self._schema(schema).names)
 
     def update(self, source: str, entries: DataFrame, relations: DataFrame) -> None:
-        """``entries`` and ``relations`` (fragments) take the place of those that the source had."""
+        """``entries`` and ``relations`` (fragments) take the place of those that the source had. Both are read more than once: what is dear to make is written before."""
         ids, new_entries = self._differing("entry_fragments", ENTRY_FRAGMENT, source, entries, ["provisional_id"])
         edges, new_edges = self._differing("relation_fragments", RELATION_FRAGMENT, source, relations, RAW_EDGE)
         ids, edges = self._pending("ids", ids), self._pending("edges", edges)

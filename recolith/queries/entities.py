@@ -18,7 +18,7 @@ from ..operators import revisions as rv
 from ..operators.validate import Kind, Registry, entry_issues, state_issues
 from ..plans.compile import compile_state
 from ..plans.incremental import Ledger
-from ..stages import fresh_path, materialise
+from ..stages import fresh_path, materialise, spread
 from .common import GRAPH_SQL, attributes, entity_edges, entity_fragments, graph, json_text, no_citations, ord_of, registry, table, text
 
 QUERIES, ORACLE_SQL, query = registry()
@@ -49,8 +49,10 @@ def nation_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = []
     for name, p, extra in (("supplier", "s", {}), ("customer", "c", {"segment": json_text(F.col("c_mktsegment"))})):
         key = F.col(f"{p}_{'suppkey' if p == 's' else 'custkey'}")
+        # the few columns that are read are dealt and written once; what they become is read several times, by all cores
+        rows = materialise(spread(table(spark, sf_dir, name).select(key, f"{p}_name", f"{p}_nationkey", *(["c_mktsegment"] if p == "c" else []))), name)
         frames.append(
-            table(spark, sf_dir, name).select(
+            rows.select(
                 F.lit(name).alias("source"), F.lpad((key % 50).cast("string"), 3, "0").alias("source_record_id"), F.concat(F.lit("nation:"), text(f"{p}_nationkey")).alias("provisional_id"), F.lit(f"{p}-family").alias("family"),
                 F.when(key % 3 == 0, "place").otherwise("nation").alias("kind"), F.concat(F.col(f"{p}_name"), F.repeat(F.lit("x"), (key % 4).cast("int"))).alias("name"),
                 attributes(last=json_text(F.col(f"{p}_name")), **extra).alias("attributes"), F.array(cite(F.lit(name), (key % 20).cast("string"))).alias("citations"), ord_of(key).alias("ord"),

@@ -92,3 +92,21 @@ def test_an_update_reads_and_writes_what_it_touches(spark, tmp_path):
     after = files()
     ledger.update("a", spark.createDataFrame(rows, model.ENTRY_FRAGMENT), none)
     assert files() == after and ledger.entries().where(F.col("name") == "other").count() == 1
+
+
+def test_a_hot_id_is_many_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inc, "FILE_ROWS", 40, raising=False)
+    draw = random.Random(7)
+    hot, few = fragments(draw, "a", 400), fragments(draw, "b", 30)
+    for e in hot[0][:350]:
+        e["provisional_id"] = "e3"
+    ledger = inc.Ledger(spark, str(tmp_path), spark.createDataFrame(POLICY, "source string, kind string, action string"), {"old_governs": "governs"}, buckets=4)
+    for source, (es, rs) in (("a", hot), ("b", few)):
+        ledger.update(source, spark.createDataFrame(es, model.ENTRY_FRAGMENT), spark.createDataFrame(rs, model.RELATION_FRAGMENT))
+    stored = spark.read.parquet(str(tmp_path / "entry_fragments")).withColumn("file", F.input_file_name())
+    sizes = {r["file"]: r["count"] for r in stored.groupBy("file").count().collect()}
+    assert sum(sizes.values()) == 430 and max(sizes.values()) <= 80
+    assert stored.where("provisional_id = 'e3' AND source = 'a'").select("file").distinct().count() >= 8
+    # a bucket that is no larger than a file is one
+    assert stored.where("source = 'b'").groupBy("part").agg(F.count_distinct("file").alias("n")).where("n > 1").isEmpty()
+    assert_same(spark, ledger, {"a": hot, "b": few})
